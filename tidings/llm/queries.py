@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidings.llm import mixing
+from tidings.llm import mixing, secrets
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +15,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": lambda spark, d: mixing.digest(_documents(spark, d)),
+    "op8_secrets": lambda spark, d: secrets.digest(_documents(spark, d)),
 }
 
 ORACLE_SQL: dict[str, str] = {}
