@@ -6,14 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidings.llm import mixing, secrets
+from tidings.llm import mixing, quality, secrets
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": lambda spark, d: quality.digest(_documents(spark, d), _labels(spark, d)),
     "op5_mixing": lambda spark, d: mixing.digest(_documents(spark, d)),
     "op8_secrets": lambda spark, d: secrets.digest(_documents(spark, d)),
 }
