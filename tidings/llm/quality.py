@@ -1,12 +1,14 @@
 """Quality by compression: texts of the kind a dictionary was built from compress better with it.
 
 Two zstandard dictionaries are built from good and from bad labelled texts. Every block of a text is compressed with
-each; the difference of the summed sizes, divided by their sum, is turned into a probability by logistic calibration on
-labelled texts that no dictionary has seen.
+each; the difference of the summed sizes, divided by their sum, and the size that the bad dictionary leaves of each byte (tiny
+for mere repetition, which neither dictionary tells apart) are turned into a probability by logistic calibration on labelled
+texts that no dictionary has seen.
 """
 
 from __future__ import annotations
 
+import math
 import pickle
 
 import numpy as np
@@ -48,8 +50,8 @@ class Model:
     def __reduce__(self):
         return Model, (self.good, self.bad, self.weights)
 
-    def difference(self, text: str | None) -> float:
-        """(bad - good) / (bad + good) of the summed compressed sizes; 0 for an empty text."""
+    def features(self, text: str | None) -> tuple[float, float]:
+        """(bad - good) / (bad + good) of the summed compressed sizes, and log of bad over the text's bytes; zeros for an empty text."""
         if self._compressors is None:
             made = []
             for data in (self.good, self.bad):
@@ -58,12 +60,15 @@ class Model:
                     d.precompute_compress(level=LEVEL)
                 made.append(zstandard.ZstdCompressor(dict_data=d, write_content_size=False, write_dict_id=False) if d else zstandard.ZstdCompressor(level=LEVEL))
             self._compressors = made
-        good, bad = (sum(len(c.compress(b)) for b in _blocks(text)) for c in self._compressors)
-        return (bad - good) / (bad + good) if good + bad else 0.0
+        blocks = _blocks(text)
+        if not blocks:
+            return 0.0, 0.0
+        good, bad = (sum(len(c.compress(b)) for b in blocks) for c in self._compressors)
+        return (bad - good) / (bad + good), math.log(bad / sum(map(len, blocks)))
 
     def score(self, texts) -> np.ndarray:
-        d = np.array([self.difference(t) for t in texts], dtype=float)
-        return sigmoid(d * self.weights[0] + self.weights[-1])
+        x = np.array([self.features(t) for t in texts], dtype=float).reshape(-1, 2)
+        return sigmoid(x @ self.weights[:-1] + self.weights[-1])
 
 
 def fit(rows: pd.DataFrame) -> Model:
@@ -72,11 +77,11 @@ def fit(rows: pd.DataFrame) -> Model:
     calibrates = np.arange(len(rows)) % 4 == 3
     y = rows["_label"].to_numpy(dtype=float)
     if len(rows) < 8 or len(set(y[calibrates])) < 2 or len(set(y[~calibrates])) < 2:
-        return Model(b"", b"", np.array([0.0, np.log((y.sum() + 1) / (len(y) - y.sum() + 1))]))
+        return Model(b"", b"", np.array([0.0, 0.0, np.log((y.sum() + 1) / (len(y) - y.sum() + 1))]))
     texts = rows["text"].fillna("")
-    model = Model(*(_dictionary(list(texts[~calibrates & (y == v)])) for v in (1.0, 0.0)), np.zeros(2))
-    d = np.array([[model.difference(t)] for t in texts[calibrates]])
-    model.weights = logistic(d, y[calibrates], rows["_weight"].to_numpy(dtype=float)[calibrates], l2=1e-4)
+    model = Model(*(_dictionary(list(texts[~calibrates & (y == v)])) for v in (1.0, 0.0)), np.zeros(3))
+    x = np.array([model.features(t) for t in texts[calibrates]])
+    model.weights = logistic(x, y[calibrates], rows["_weight"].to_numpy(dtype=float)[calibrates], l2=1e-4)
     return model
 
 
