@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidings.llm import mixing, quality, secrets
+from tidings.llm import decontam, mixing, quality, rules, secrets, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,9 +17,16 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def _benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": lambda spark, d: toxicity.digest(_documents(spark, d), _labels(spark, d)),
     "op2_quality": lambda spark, d: quality.digest(_documents(spark, d), _labels(spark, d)),
     "op5_mixing": lambda spark, d: mixing.digest(_documents(spark, d)),
+    "op6_rules": lambda spark, d: rules.digest(_documents(spark, d)),
+    "op7_decontam": lambda spark, d: decontam.digest(_documents(spark, d), _benchmark(spark, d)),
     "op8_secrets": lambda spark, d: secrets.digest(_documents(spark, d)),
 }
 
