@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidings.llm import decontam, mixing, quality, rules, secrets, substr, toxicity
+from tidings.llm import decontam, mixing, quality, rules, secrets, substr, suffix, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontam": lambda spark, d: decontam.digest(_documents(spark, d), _benchmark(spark, d)),
     "op8_secrets": lambda spark, d: secrets.digest(_documents(spark, d)),
     "op9_substr": lambda spark, d: substr.digest(_documents(spark, d)),
+    "op10_suffix": lambda spark, d: suffix.digest(_documents(spark, d)),
 }
 
 ORACLE_SQL: dict[str, str] = {}
