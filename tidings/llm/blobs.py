@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidings.llm.common import partitions_of
@@ -99,12 +99,25 @@ def window_hashes(x: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def dealt(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` as (_group, _id, _tie, _text): the id, a hash of the text that orders equal ids, and the text's bytes, dealt to groups."""
+def join_blobs(blobs: list[bytes]) -> bytes:
+    return b"".join(len(b).to_bytes(4, "little") + b for b in blobs)
+
+
+def split_blobs(data: bytes) -> list[bytes]:
+    out, at = [], 0
+    while at < len(data):
+        n = int.from_bytes(data[at : at + 4], "little")
+        out.append(data[at + 4 : at + 4 + n])
+        at += 4 + n
+    return out
+
+
+def dealt(docs: DataFrame, text: str = "text", flag: Column | None = None) -> DataFrame:
+    """`docs` as (_group, _id, _tie, _text[, _flag]): the id, a hash of the text that orders equal ids, and the text's bytes, dealt to groups."""
     n = partitions_of(docs)
     tie = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     group = F.pmod(F.xxhash64(F.lit(1), "doc_id", text), F.lit(n * GROUPS_PER_PARTITION)).cast("int")
-    narrow = docs.select(group.alias("_group"), F.col("doc_id").cast("long").alias("_id"), tie.alias("_tie"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_text"))
+    narrow = docs.select(group.alias("_group"), F.col("doc_id").cast("long").alias("_id"), tie.alias("_tie"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_text"), *([] if flag is None else [flag.alias("_flag")]))
     return narrow.repartition(n, "_group")
 
 

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidings.llm.blobs import dealt, ordered, pack, pack_bits, pack_sorted, sections, unpack, unpack_bits, unpack_sorted, window_hashes, word_hashes
+from tidings.llm.blobs import dealt, join_blobs, ordered, pack, pack_bits, pack_sorted, sections, split_blobs, unpack, unpack_bits, unpack_sorted, window_hashes, word_hashes
 from tidings.llm.common import mix64, partitions_of
 
 WINDOW = 20  # words
@@ -125,21 +125,12 @@ def _exact(bits: int, parts: int, size: int):
                 s = slice(at[k], at[k + 1])
                 used, local = np.unique(doc[s], return_inverse=True)
                 blobs = [pack_sorted(h[s]), pack(w.check[firsts[s]]), pack(local.astype(np.uint32)), pack((place[s] - w.first[doc[s]]).astype(np.uint32)), pack(w.ids[used]), pack(w.ties[used])]
-                out.append((k, "", key[0], b"".join(len(b).to_bytes(4, "little") + b for b in blobs)))
+                out.append((k, "", key[0], join_blobs(blobs)))
         return pd.DataFrame(out, columns=["to", "kind", "at", "data"])
 
     return run
 
 
-def split_blobs(data: bytes) -> list[bytes]:
-    out, at = [], 0
-    while at < len(data):
-        n = int.from_bytes(data[at : at + 4], "little")
-        out.append(data[at + 4 : at + 4 + n])
-        at += 4 + n
-    return out
-
-
 def _merged_exact(key, pdf: pd.DataFrame) -> pd.DataFrame:
     """Groups equal windows of all senders; answers each whether it holds the first of each."""
     cols: list[list[np.ndarray]] = [[], [], [], [], []]

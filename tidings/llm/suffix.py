@@ -16,9 +16,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidings.llm.blobs import dealt, ordered, pack, pack_sorted, sections, unpack, unpack_bits, window_hashes
+from tidings.llm.blobs import dealt, join_blobs, ordered, pack, pack_sorted, sections, split_blobs, unpack, unpack_bits, window_hashes
 from tidings.llm.common import mix64, partitions_of
-from tidings.llm.substr import ANSWER, MESSAGE, _cuts, _merged_sketch, split_blobs
+from tidings.llm.substr import ANSWER, MESSAGE, _cuts, _merged_sketch
 
 LENGTH = 100  # bytes of a string
 GRAM = 32  # bytes hashed for anchors
@@ -220,7 +220,7 @@ def _runs(bits: int, parts: int):
                 used, local = np.unique(s.doc[own], return_inverse=True)
                 place = (s.place[own] - g.first[s.doc[own]]).astype(np.uint32)
                 blobs = [pack(shared), pack(rest), pack(local.astype(np.uint32)), pack(place), pack(g.ids[used]), pack(g.ties[used])]
-                out.append((k, "", key[0], b"".join(len(b).to_bytes(4, "little") + b for b in blobs)))
+                out.append((k, "", key[0], join_blobs(blobs)))
         return pd.DataFrame(out, columns=["to", "kind", "at", "data"])
 
     return run
