@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidings.llm import decontam, lm, mixing, quality, rules, secrets, substr, suffix, toxicity
+from tidings.llm import decontam, jaccard, lm, mixing, quality, rules, secrets, substr, suffix, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": lambda spark, d: toxicity.digest(_documents(spark, d), _labels(spark, d)),
     "op2_quality": lambda spark, d: quality.digest(_documents(spark, d), _labels(spark, d)),
     "op3_lm": lambda spark, d: lm.digest(_documents(spark, d)),
+    "op4_jaccard": lambda spark, d: jaccard.digest(_documents(spark, d)),
     "op5_mixing": lambda spark, d: mixing.digest(_documents(spark, d)),
     "op6_rules": lambda spark, d: rules.digest(_documents(spark, d)),
     "op7_decontam": lambda spark, d: decontam.digest(_documents(spark, d), _benchmark(spark, d)),
