@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from tidings.llm.common import partitions_of
 
-GROUPS_PER_PARTITION = 3  # so that hash-dealt groups even out
+GROUP, RECEIVER = 5e6, 16e6  # bytes of text behind a sender and a receiver, of tables up to 1 GB
+LARGEST = 256e6
 CACHE = 400_000  # words whose hash a worker remembers
 NULL_ID = np.int64(2**63 - 1)
 
@@ -112,13 +113,22 @@ def split_blobs(data: bytes) -> list[bytes]:
     return out
 
 
-def dealt(docs: DataFrame, text: str = "text", flag: Column | None = None) -> DataFrame:
-    """`docs` as (_group, _id, _tie, _text[, _flag]): the id, a hash of the text that orders equal ids, and the text's bytes, dealt to groups."""
-    n = partitions_of(docs)
+def sizing(size: int) -> tuple[int, int]:
+    """Numbers of groups and of receivers for so many bytes of text.
+
+    Every group may write to every receiver. Both numbers grow with the root of the input until a task's share reaches
+    LARGEST, so that messages grow only with the input; neither depends on how many partitions Spark shuffles into.
+    """
+    scale = max(1.0, (size / 1e9) ** 0.5)
+    return max(24, int(np.ceil(size / min(LARGEST, GROUP * scale)))), max(12, int(np.ceil(size / min(LARGEST, RECEIVER * scale))))
+
+
+def dealt(docs: DataFrame, groups: int, text: str = "text", flag: Column | None = None) -> DataFrame:
+    """`docs` as (_group, _id, _tie, _text[, _flag]): the id, a hash of the text that orders equal ids, and the text's bytes, dealt to so many groups."""
     tie = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    group = F.pmod(F.xxhash64(F.lit(1), "doc_id", text), F.lit(n * GROUPS_PER_PARTITION)).cast("int")
+    group = F.pmod(F.xxhash64(F.lit(1), "doc_id", text), F.lit(groups)).cast("int")
     narrow = docs.select(group.alias("_group"), F.col("doc_id").cast("long").alias("_id"), tie.alias("_tie"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_text"), *([] if flag is None else [flag.alias("_flag")]))
-    return narrow.repartition(n, "_group")
+    return narrow.repartition(partitions_of(docs), "_group")
 
 
 def ordered(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:

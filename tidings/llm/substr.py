@@ -15,8 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidings.llm.blobs import dealt, join_blobs, ordered, pack, pack_bits, pack_sorted, sections, split_blobs, unpack, unpack_bits, unpack_sorted, window_hashes, word_hashes
-from tidings.llm.common import mix64, partitions_of
+from tidings.llm.blobs import dealt, join_blobs, ordered, pack, pack_bits, pack_sorted, sections, sizing, split_blobs, unpack, unpack_bits, unpack_sorted, window_hashes, word_hashes
+from tidings.llm.common import mix64
 
 WINDOW = 20  # words
 ROWS = 2  # of the sketch
@@ -197,10 +197,10 @@ def dedup_windows(docs: DataFrame, *, size: int = WINDOW, text: str = "text") ->
     one, no matter which, counts as the first. Null texts count as empty; texts shorter than a window keep all words;
     other columns are not read.
     """
-    parts = partitions_of(docs)
-    chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
-    bits = min(48, max(20, int(np.ceil(np.log2(1 + SPREAD * chars / 6)))))
-    given = dealt(docs, text)
+    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    n, parts = sizing(total)
+    bits = min(48, max(20, int(np.ceil(np.log2(1 + SPREAD * total / 6)))))
+    given = dealt(docs, n, text)
     groups = given.groupBy("_group")
     hot = groups.applyInPandas(_sketch(bits, parts, size), MESSAGE).groupBy("to").applyInPandas(_merged_sketch, ANSWER)
     found = groups.cogroup(hot.groupBy("_group")).applyInPandas(_exact(bits, parts, size), MESSAGE)
