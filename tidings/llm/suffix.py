@@ -16,8 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidings.llm.blobs import dealt, join_blobs, ordered, pack, pack_sorted, sections, split_blobs, unpack, unpack_bits, window_hashes
-from tidings.llm.common import mix64, partitions_of
+from tidings.llm.blobs import dealt, join_blobs, ordered, pack, pack_sorted, sections, sizing, split_blobs, unpack, unpack_bits, window_hashes
+from tidings.llm.common import mix64
 from tidings.llm.substr import ANSWER, MESSAGE, _cuts, _merged_sketch
 
 LENGTH = 100  # bytes of a string
@@ -330,10 +330,10 @@ def dedup_bytes(docs: DataFrame, *, text: str = "text") -> DataFrame:
     the same. Null ids come last; rows of equal id are ordered by a hash of their text, and of fully equal rows one, no
     matter which, counts as the first. Null texts count as empty; shorter texts keep all bytes; other columns are not read.
     """
-    parts = partitions_of(docs)
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    n, parts = sizing(size)
     bits = min(48, max(20, int(np.ceil(np.log2(1 + SPREAD * size / (OFFSETS / 2))))))
-    groups = dealt(docs, text).groupBy("_group")
+    groups = dealt(docs, n, text).groupBy("_group")
     hot = groups.applyInPandas(_sketch(bits, parts), MESSAGE).groupBy("to").applyInPandas(_merged_sketch, ANSWER)
     runs = groups.cogroup(hot.groupBy("_group")).applyInPandas(_runs(bits, parts), MESSAGE)
     answers = hot.unionByName(runs.groupBy("to").applyInPandas(_merged_runs, ANSWER))
