@@ -71,22 +71,20 @@ def test_split_contexts_change_nothing_but_balance(spark, monkeypatch):
     assert np.mean(off) < 0.02 and max(off) < 0.06
 
 
-def test_seatings_follow_the_restaurant():
+def test_seatings_follow_the_restaurant(monkeypatch):
+    """The sampled numbers of tables against their exact distribution: t tables of n customers have the weight
+    S(n, t) * parent^t * prod(theta + d * tables so far), with S(n + 1, t) = S(n, t - 1) + (n - t * d) * S(n, t)."""
+    monkeypatch.setattr(lm, "BURN_IN", 12)
     rng = np.random.default_rng(0)
-    n, d, theta, p = 12, 0.6, 0.5, 0.05
-    many = 3000
-    tables = list(lm.seatings(np.full(many, n), np.full(many, p), np.arange(many), np.full(many, 4), np.ones(many, dtype=int), d, theta, rng))
-    got = np.mean([t.mean() for t in tables])
-    plain = []
-    for _ in range(4000):  # sequential seating with the same rule
-        sizes = []
-        for _ in range(n):
-            fresh = (theta + d * (4 + max(1, len(sizes)))) * p
-            w = np.array([s - d for s in sizes] + [fresh])
-            k = rng.choice(len(w), p=w / w.sum())
-            sizes = sizes + [1] if k == len(sizes) else [s + (i == k) for i, s in enumerate(sizes)]
-        plain.append(len(sizes))
-    assert abs(got - np.mean(plain)) < 0.12
+    n, d, theta, p, others = 12, 0.6, 0.5, 0.05, 4
+    many = 4000
+    tables = list(lm.seatings(np.full(many, n), np.full(many, p), np.arange(many), np.full(many, others), np.ones(many, dtype=int), d, theta, rng))
+    ways = {1: 1.0}
+    for i in range(1, n):
+        ways = {t: ways.get(t - 1, 0.0) + (i - t * d) * ways.get(t, 0.0) for t in range(1, i + 2)}
+    weight = {t: w * p**t * math.prod(theta + d * (others + k) for k in range(t)) for t, w in ways.items()}
+    exact = sum(t * w for t, w in weight.items()) / sum(weight.values())
+    assert abs(np.mean([t.mean() for t in tables]) - exact) < 0.02
     assert all((t >= 1).all() and (t <= n).all() for t in tables)
     big = next(iter(lm.seatings(np.array([10**6]), np.array([1e-3]), np.array([0]), np.array([0]), np.array([1]), 0.5, 1.0, rng)))
     assert 1 <= big[0] < 10**5

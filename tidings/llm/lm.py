@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidings.llm.blobs import GROUPS_PER_PARTITION, dealt, join_blobs, pack, pack_sorted, split_blobs, unpack, unpack_sorted, word_hashes
+from tidings.llm.blobs import dealt, join_blobs, pack, pack_sorted, sizing, split_blobs, unpack, unpack_sorted, word_hashes
 from tidings.llm.common import crc_mod, mix64, partitions_of
 from tidings.llm.substr import _cuts
 
@@ -27,7 +27,7 @@ END = np.uint64(0x452821E638D01377)  # the token after a text's last word
 START = np.uint64(0xBE5466CF34E90C6C)  # the context of its first
 KEY = 44  # bits by which a follower is known within its context
 THETA_PAIR, THETA_WORD = 0.5, 1.0
-BURN_IN, SAMPLES = 2, 3
+BURN_IN, SAMPLES = 3, 3
 SEATED = 24  # pairs of up to so many customers are seated one by one; larger ones by blocks
 HOT_SHARE, SHARDS = 0.005, 8
 MESSAGE = "to int, kind string, at int, data binary"
@@ -216,7 +216,7 @@ def seatings(count: np.ndarray, parent: np.ndarray, context: np.ndarray, fixed:
     """Numbers of tables of dishes with two or more customers, for each sample after the burn-in.
 
     `fixed`: tables of each context's other dishes; `scale`: how many shards a context is split into. A sweep lets every
-    customer of every dish leave and sit down again; a context's total of tables is brought up to date between sweeps. Of
+    customer of every dish leave and sit down again; the tables of a context's other dishes are counted between sweeps. Of
     dishes with over SEATED customers all leave and sit down anew, the later ones by blocks that double.
     """
     tables = np.ones(len(count), dtype=np.int64)
@@ -225,22 +225,24 @@ def seatings(count: np.ndarray, parent: np.ndarray, context: np.ndarray, fixed:
     large = np.flatnonzero(count > SEATED)
     for sweep in range(BURN_IN + SAMPLES):
         total = (fixed + np.bincount(context, weights=tables, minlength=len(fixed))) * scale
-        fresh = (theta + d * total[context]) * parent
+        others = total[context] - tables
         for c, i in by_count:
             s, rows = sizes[c], np.arange(len(i))
             for _ in range(c):
                 leaves = (np.cumsum(s, axis=1) <= (rng.random(len(i)) * s.sum(axis=1))[:, None]).sum(axis=1)
                 s[rows, np.minimum(leaves, c - 1)] -= 1
                 weight = np.cumsum(np.where(s > 0, s - d, 0.0), axis=1)
-                to = (weight <= (rng.random(len(i)) * (weight[:, -1] + fresh[i]))[:, None]).sum(axis=1)
+                fresh = (theta + d * (others[i] + (s > 0).sum(axis=1))) * parent[i]
+                to = (weight <= (rng.random(len(i)) * (weight[:, -1] + fresh))[:, None]).sum(axis=1)
                 to = np.where(to == c, (s == 0).argmax(axis=1), to)
                 s[rows, to] += 1
             tables[i] = (s > 0).sum(axis=1)
         if len(large):
-            n, f = count[large], fresh[large]
+            n = count[large]
             t, seated, step = np.ones(len(large)), 1, 1
             while (todo := np.minimum(step, n - seated)).max() > 0:
-                chance = (f) / (f + np.maximum(seated - d * t, 1e-9))
+                fresh = (theta + d * (others[large] + t)) * parent[large]
+                chance = fresh / (fresh + np.maximum(seated - d * t, 1e-9))
                 t += rng.binomial(np.maximum(todo, 0), np.clip(chance, 0, 1))
                 seated += step
                 step = 1 if seated < SEATED else seated // 2
@@ -412,15 +414,14 @@ def score_texts(docs: DataFrame, learn: Column, *, text: str = "text") -> DataFr
     `learn` holds, and scores all. Null texts count as empty: one end token. Without a row to learn from every token has
     probability 1. Equal rows score equally; an empty table stays empty; other columns are not read.
     """
-    parts = partitions_of(docs)
-    n = parts * GROUPS_PER_PARTITION
+    n, parts = sizing(docs.agg(F.sum(F.octet_length(text))).first()[0] or 0)
     hot = _frequent(docs, text)
-    groups = dealt(docs, text, learn).groupBy("_group")
+    groups = dealt(docs, n, text, learn).groupBy("_group")
     counted = groups.applyInPandas(_count(n, parts, hot), MESSAGE).groupBy("to")
     # What two later steps read is dealt out by name, so that both read the same exchange and nobody is seated twice.
-    tables = counted.applyInPandas(_first_tables(n, parts), MESSAGE).repartition(parts, "to")
+    tables = counted.applyInPandas(_first_tables(n, parts), MESSAGE).repartition(partitions_of(docs), "to")
     parents = counted.cogroup(tables.groupBy("to")).applyInPandas(_parents(n, parts), MESSAGE)
-    seated = counted.cogroup(parents.groupBy("to")).applyInPandas(_seat(n, parts, hot), MESSAGE).repartition(parts, "to")
+    seated = counted.cogroup(parents.groupBy("to")).applyInPandas(_seat(n, parts, hot), MESSAGE).repartition(partitions_of(docs), "to")
     told = tables.unionByName(seated)
     words = counted.cogroup(told.groupBy("to")).applyInPandas(_seat_words(n, parts), MESSAGE)
     schema = "doc_id long, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
