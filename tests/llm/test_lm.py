@@ -62,7 +62,7 @@ def test_probabilities_sum_to_one(spark):
 
 
 def test_split_contexts_change_nothing_but_balance(spark, monkeypatch):
-    rows = [(i, f"x y{i % 7} x z{i} x x") for i in range(200)]
+    rows = [(i, " ".join(f"x w{(i * 7 + k * k) % 900}" for k in range(20)) + f" x z{i} x y{i % 7}") for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     split = {r.doc_id: r.score for r in lm.digest(df).collect()}
     monkeypatch.setattr(lm, "HOT_SHARE", 2.0)

@@ -12,16 +12,14 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidings.llm.common import partitions_of
+from tidings.llm.common import mix64, partitions_of
 
 GROUP, RECEIVER = 5e6, 16e6  # bytes of text behind a sender and a receiver, of tables up to 1 GB
 LARGEST = 256e6
-CACHE = 400_000  # words whose hash a worker remembers
 NULL_ID = np.int64(2**63 - 1)
 
 
@@ -48,6 +46,24 @@ def unpack_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(x, dtype=x.dtype)
 
 
+def pack_common(x: np.ndarray) -> bytes:
+    """Numbers of which most are one of three: a code for each, and the others."""
+    values, n = np.unique(x, return_counts=True)
+    top = np.sort(values[np.argsort(-n, kind="stable")[:3]])
+    at = np.minimum(np.searchsorted(top, x), max(0, len(top) - 1))
+    codes = np.where(top[at] == x, at, 3).astype(np.uint8) if len(top) else np.zeros(0, dtype=np.uint8)
+    return join_blobs([pack(top), pack(codes), pack(x[codes == 3])])
+
+
+def unpack_common(data: bytes) -> np.ndarray:
+    top, codes, others = map(unpack, split_blobs(data))
+    out = np.empty(len(codes), dtype=others.dtype)
+    for k, v in enumerate(top):
+        out[codes == k] = v
+    out[codes == 3] = others
+    return out
+
+
 def pack_bits(x: np.ndarray) -> bytes:
     return len(x).to_bytes(8, "little") + zstandard.ZstdCompressor(level=1).compress(np.packbits(x).tobytes())
 
@@ -57,21 +73,46 @@ def unpack_bits(data: bytes) -> np.ndarray:
     return np.unpackbits(np.frombuffer(zstandard.ZstdDecompressor().decompress(data[8:]), dtype=np.uint8))[:n].astype(bool)
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
+SPACE = np.isin(np.arange(256), [*range(9, 14), 32])
+BYTE = mix64(np.arange(1, 257, dtype=np.uint64))
+POWER = np.uint64(0xD6E8FEB86659FD93)  # 3 modulo 4, so that swapped bytes differ
+TOGETHER = 1 << 20  # bytes of text hashed at a time
 
-_HASHES = _Hashes()
 
+def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts (UTF-8), one after another, and how many each text has.
 
-def word_hashes(raw: bytes) -> np.ndarray:
-    """64-bit hashes of the words of a text given as UTF-8."""
-    words = raw.split()
-    return np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
+    A word's hash mixes its length and the sum of random numbers for its bytes, weighted by powers for their places.
+    """
+    flats, counts, part, size = [], [], [], 0
+    for i, t in enumerate(texts):
+        part.append(t)
+        size += len(t) + 1
+        if size >= TOGETHER or i + 1 == len(texts):
+            h, n = _hashed(part)
+            flats.append(h)
+            counts.append(n)
+            part, size = [], 0
+    if not flats:
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    return np.concatenate(flats), np.concatenate(counts)
+
+
+def _hashed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
+    word = ~SPACE[raw]
+    edges = np.flatnonzero(word[1:] != word[:-1]) + 1
+    if word[0]:
+        edges = np.concatenate([[0], edges])
+    starts, length = edges[::2], edges[1::2] - edges[::2]
+    bounds = np.cumsum([0] + [len(t) + 1 for t in texts])
+    counts = np.diff(np.searchsorted(starts, bounds))
+    if not len(starts):
+        return np.zeros(0, dtype=np.uint64), counts
+    inner, at = raw[word], np.cumsum(length) - length
+    powers = np.multiply.accumulate(np.full(int(length.max()), POWER, dtype=np.uint64))
+    sums = np.add.reduceat(BYTE[inner] * powers[np.arange(len(inner)) - np.repeat(at, length)], at)
+    return mix64(sums ^ (length.astype(np.uint64) << np.uint64(40))), counts
 
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)

@@ -3,11 +3,13 @@
 Every context word has a restaurant: its followers are the dishes, their occurrences the customers. Each table is a customer
 of the one parent restaurant, which all contexts share and whose base is a share for the unseen word and a uniform rest.
 Seatings are sampled by Gibbs: customers leave and sit down again, at a table by its size less the discount, or at a new
-one by the parent's probability. The predictive probabilities of several sampled seatings are averaged.
+one by the parent's probability. The predictive probabilities of several sampled seatings are averaged: for each pair and
+context what its seatings give, and for each word what the parent's give on top of them.
 
 Counts, tables and probabilities never meet in one place. A group of documents sends each different pair of its own once;
 a context's receiver merges them, seats the customers and answers; word receivers do the same for the parent. Contexts that
-a sample shows to be very frequent are split by follower into shards, whose tables are summed by whoever asks.
+a sample shows to be very frequent are split by follower into shards, whose tables are summed by whoever asks; while it seats
+customers, a shard takes the context's tables to be its own times the number of shards.
 """
 
 from __future__ import annotations
@@ -19,13 +21,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidings.llm.blobs import dealt, join_blobs, pack, pack_sorted, sizing, split_blobs, unpack, unpack_sorted, word_hashes
+from tidings.llm.blobs import dealt, hashed_words, join_blobs, pack, pack_common, pack_sorted, sizing, split_blobs, unpack, unpack_common, unpack_sorted
 from tidings.llm.common import crc_mod, mix64, partitions_of
 from tidings.llm.substr import _cuts
 
 END = np.uint64(0x452821E638D01377)  # the token after a text's last word
 START = np.uint64(0xBE5466CF34E90C6C)  # the context of its first
-KEY = 44  # bits by which a follower is known within its context
+KEY = 40  # bits by which a follower is known within its context
 THETA_PAIR, THETA_WORD = 0.5, 1.0
 BURN_IN, SAMPLES = 3, 3
 SEATED = 24  # pairs of up to so many customers are seated one by one; larger ones by blocks
@@ -42,26 +44,31 @@ class Tokens:
     """A group's tokens: `types` (ascending hashes), each token's type and pair, and how often training shows them."""
 
     def __init__(self, pdf: pd.DataFrame, hot: np.ndarray):
-        texts = [word_hashes(bytes(t).lower()) for t in pdf["_text"]]
-        self.n = np.array([len(t) + 1 for t in texts], dtype=np.int64)
+        words, n = hashed_words([bytes(t).lower() for t in pdf["_text"]])
+        self.n = n + 1
         ends = np.cumsum(self.n)
-        token, context = np.empty(ends[-1], dtype=np.uint64), np.empty(ends[-1], dtype=np.uint64)
-        for t, e in zip(texts, ends):
-            token[e - len(t) - 1 : e - 1], token[e - 1] = t, END
-            context[e - len(t) - 1], context[e - len(t) : e] = START, t
+        token = np.full(ends[-1], END, dtype=np.uint64)
+        is_word = np.ones(len(token), dtype=bool)
+        is_word[ends - 1] = False
+        token[is_word] = words
         self.first = ends - self.n
         learned = np.repeat(pdf["_flag"].to_numpy(dtype=bool), self.n)
         self.n_learned = int(learned.sum())
-        self.types, self.token = np.unique(token, return_inverse=True)
+        self.types, where = np.unique(np.append(token, START), return_inverse=True)
+        self.token = where[:-1]
         self.type_count = np.bincount(self.token[learned], minlength=len(self.types))
-        sharded = shard_of(context, token, hot)
-        extra = shards_of(hot[np.isin(hot, context)]).reshape(-1)
-        self.contexts, inverse = np.unique(np.concatenate([sharded, extra]), return_inverse=True)
-        self.context = inverse[: len(token)]
-        pair, self.pair = np.unique(self.context.astype(np.int64) * len(self.types) + self.token, return_inverse=True)
+        before = np.empty(len(token), dtype=np.int64)  # the type of each token's context
+        before[1:] = self.token[:-1]
+        before[self.first] = where[-1]
+        split = np.isin(self.types, hot)
+        self.contexts = np.sort(np.concatenate([self.types[~split], shards_of(self.types[split]).reshape(-1)]))
+        self.context = np.searchsorted(self.contexts, self.types)[before]
+        some = np.flatnonzero(split[before])
+        self.context[some] = np.searchsorted(self.contexts, shard_of(self.types[before[some]], token[some]))
+        self.shards = np.searchsorted(self.contexts, shards_of(self.types[split]))  # a row for each split context
+        pair, self.pair = np.unique(self.context * len(self.types) + self.token, return_inverse=True)
         self.pair_context, self.pair_type = pair // len(self.types), pair % len(self.types)
         self.pair_count = np.bincount(self.pair[learned], minlength=len(pair))
-        self.whole = context  # unsharded, for totals
 
 
 def shards_of(contexts: np.ndarray) -> np.ndarray:
@@ -69,11 +76,8 @@ def shards_of(contexts: np.ndarray) -> np.ndarray:
     return mix64(contexts[:, None] + np.arange(1, SHARDS + 1, dtype=np.uint64)[None, :])
 
 
-def shard_of(context: np.ndarray, token: np.ndarray, hot: np.ndarray) -> np.ndarray:
-    out = context.copy()
-    some = np.flatnonzero(np.isin(context, hot))
-    out[some] = mix64(context[some] + (mix64(token[some]) % np.uint64(SHARDS)) + np.uint64(1))
-    return out
+def shard_of(context: np.ndarray, token: np.ndarray) -> np.ndarray:
+    return mix64(context + (mix64(token) % np.uint64(SHARDS)) + np.uint64(1))
 
 
 def short(x: np.ndarray) -> np.ndarray:
@@ -90,21 +94,37 @@ def _count(groups: int, parts: int, hot: np.ndarray):
         for k in range(parts):  # word receivers hear from all, for the total
             s = slice(at[k], at[k + 1])
             head = np.array([t.n_learned], dtype=np.int64)
-            out.append((groups + k, "words", key[0], join_blobs([pack(head), pack_sorted(t.types[s]), pack(t.type_count[s].astype(np.uint32))])))
+            out.append((groups + k, "words", key[0], join_blobs([pack(head), pack_sorted(t.types[s]), pack_common(t.type_count[s].astype(np.uint32))])))
         at = _cuts(short(t.contexts), KEY, parts)
         for k in np.flatnonzero(np.diff(at)):
             lo, hi = np.searchsorted(t.pair_context, at[k : k + 2])
             followers = np.bincount(t.pair_context[lo:hi] - at[k], minlength=at[k + 1] - at[k]).astype(np.uint32)
-            blobs = [pack_sorted(t.contexts[at[k] : at[k + 1]]), pack(followers), pack(_stepped(short(t.types[t.pair_type[lo:hi]]))), pack(t.pair_count[lo:hi].astype(np.uint32))]
+            blobs = [pack_sorted(t.contexts[at[k] : at[k + 1]]), pack_common(followers), pack(_stepped(short(t.types[t.pair_type[lo:hi]]), followers)), pack_common(t.pair_count[lo:hi].astype(np.uint32))]
             out.append((groups + parts + k, "pairs", key[0], join_blobs(blobs)))
         return pd.DataFrame(out, columns=["to", "kind", "at", "data"])
 
     return run
 
 
-def _stepped(x: np.ndarray) -> np.ndarray:
-    """Differences, modulo 2^64, of numbers that rise within each context."""
-    return np.diff(x, prepend=x.dtype.type(0))
+def _starts(followers: np.ndarray) -> np.ndarray:
+    """Where each context's followers begin, for contexts that have any."""
+    return (np.cumsum(followers) - followers)[followers > 0]
+
+
+def _stepped(x: np.ndarray, followers: np.ndarray) -> np.ndarray:
+    """Numbers that rise within each context: its first as it is, then the differences."""
+    at = _starts(followers.astype(np.int64))
+    out = np.diff(x, prepend=x.dtype.type(0))
+    out[at] = x[at]
+    return out
+
+
+def _unstepped(x: np.ndarray, followers: np.ndarray) -> np.ndarray:
+    at = _starts(followers.astype(np.int64))
+    total = np.cumsum(x, dtype=x.dtype)
+    lead = np.zeros(len(at), dtype=x.dtype)
+    lead[1:] = total[at[1:] - 1]
+    return total - np.repeat(lead, followers[followers > 0])
 
 
 class Words:
@@ -117,7 +137,7 @@ class Words:
             self.n_learned += int(unpack(head)[0])
             self.askers.append(r.at)
             self.asked.append(unpack_sorted(types))
-            counts.append(unpack(count))
+            counts.append(unpack_common(count))
         self.types, inverse = np.unique(np.concatenate(self.asked or [np.zeros(0, dtype=np.uint64)]), return_inverse=True)
         self.count = np.bincount(inverse, weights=np.concatenate(counts or [np.zeros(0)]), minlength=len(self.types)).astype(np.int64)
         self.inverse = np.split(inverse, np.cumsum([len(a) for a in self.asked])[:-1]) if self.asked else []
@@ -136,10 +156,9 @@ class Pairs:
             a, b, c, d = split_blobs(r.data)
             self.askers.append(r.at)
             contexts.append(unpack_sorted(a))
-            followers.append(unpack(b))
-            x = unpack(c)
-            keys.append(np.cumsum(x, dtype=x.dtype))
-            counts.append(unpack(d))
+            followers.append(unpack_common(b))
+            keys.append(_unstepped(unpack(c), followers[-1]))
+            counts.append(unpack_common(d))
         self.contexts, of = np.unique(np.concatenate(contexts or [np.zeros(0, dtype=np.uint64)]), return_inverse=True)
         self.asked_contexts = np.split(of, np.cumsum([len(c) for c in contexts])[:-1]) if contexts else []
         context = np.repeat(of, np.concatenate(followers or [np.zeros(0, dtype=np.int64)]))
@@ -221,12 +240,16 @@ def seatings(count: np.ndarray, parent: np.ndarray, context: np.ndarray, fixed:
     """
     tables = np.ones(len(count), dtype=np.int64)
     by_count = [(c, np.flatnonzero(count == c)) for c in np.unique(count[count <= SEATED])]
-    sizes = {c: np.concatenate([np.full((len(i), 1), c), np.zeros((len(i), c - 1), dtype=np.int64)], axis=1) for c, i in by_count}
+    sizes = {c: np.concatenate([np.full((len(i), 1), c), np.zeros((len(i), c - 1), dtype=np.int64)], axis=1) for c, i in by_count if c > 2}
     large = np.flatnonzero(count > SEATED)
     for sweep in range(BURN_IN + SAMPLES):
         total = (fixed + np.bincount(context, weights=tables, minlength=len(fixed))) * scale
         others = total[context] - tables
         for c, i in by_count:
+            if c == 2:  # one sits, the other joins or not; only the last to sit down matters
+                fresh = (theta + d * (others[i] + 1)) * parent[i]
+                tables[i] = 1 + (rng.random(len(i)) * (fresh + 1 - d) < fresh)
+                continue
             s, rows = sizes[c], np.arange(len(i))
             for _ in range(c):
                 leaves = (np.cumsum(s, axis=1) <= (rng.random(len(i)) * s.sum(axis=1))[:, None]).sum(axis=1)
@@ -273,15 +296,13 @@ def _seat(groups: int, parts: int, hot: np.ndarray):
             scale = np.where(np.isin(p.contexts, split), SHARDS, 1)
             rng = np.random.default_rng([me, 11])
             samples = list(seatings(p.count[many], parent, p.context[many], fixed, scale, d, THETA_PAIR, rng))
-            totals = [fixed + np.bincount(p.context[many], weights=t, minlength=len(fixed)).astype(np.int64) for t in samples]
+            mean = sum(samples) / SAMPLES if len(many) else np.zeros(0)
+            totals = (fixed + np.bincount(p.context[many], weights=mean, minlength=len(fixed))).astype(np.float32)
             customers = np.bincount(p.context, weights=p.count, minlength=len(p.contexts)).astype(np.int64)
-            place = np.full(len(p.count), -1, dtype=np.int64)
-            place[many] = np.arange(len(many))
+            own = np.where(p.count > 0, 1 - d, 0.0).astype(np.float32)
+            own[many] = p.count[many] - d * mean
             for at, contexts, inverse in zip(p.askers, p.asked_contexts, p.inverse):
-                some = place[inverse][p.count[inverse] > 1]
-                blobs = [pack(head), pack(customers[contexts].astype(np.uint32)), *(pack(t[contexts].astype(np.uint32)) for t in totals)]
-                blobs += [pack(p.count[inverse].astype(np.uint32)), *(pack(t[some].astype(np.uint32)) for t in samples)]
-                out.append((at, "pairs", me, join_blobs(blobs)))
+                out.append((at, "pairs", me, join_blobs([pack(np.array([d])), pack_common(customers[contexts].astype(np.uint32)), pack_common(totals[contexts]), pack_common(own[inverse])])))
             further, inverse = np.unique(p.key[many], return_inverse=True)
             at = _cuts(further, KEY, parts)
             sums = [np.bincount(inverse, weights=t - 1, minlength=len(further)).astype(np.uint32) for t in samples]
@@ -318,62 +339,44 @@ def _seat_words(groups: int, parts: int):
                 for last in seatings(x[many], share, one, np.array([(x == 1).sum()]), np.array([parts]), d, THETA_WORD, rng):
                     t[many] = last
                 tables.append(t)
-            sums = [known, w.n_learned, (first == 1).sum(), (first == 2).sum(), *(x.sum() for x in samples), *(t.sum() for t in tables)]
+            sums = pack(np.array([known, w.n_learned, sum(x.sum() for x in samples) / SAMPLES, d * sum(t.sum() for t in tables) / SAMPLES, sum(t.sum() for t in tables) / SAMPLES]))
+            own = (sum(np.maximum(x - d * t, 0) for x, t in zip(samples, tables)) / SAMPLES).astype(np.float32)
             for at, inverse in zip(w.askers, w.inverse):
-                blobs = [pack(np.array(sums, dtype=np.int64)), pack(w.count[inverse].astype(np.uint32))]
-                blobs += [pack(x[inverse].astype(np.uint32)) for x in samples] + [pack(t[inverse].astype(np.uint32)) for t in tables]
-                out.append((at, "words", me, join_blobs(blobs)))
+                out.append((at, "words", me, join_blobs([sums, pack_common(w.count[inverse].astype(np.uint32)), pack_common(own[inverse])])))
         return pd.DataFrame(out, columns=["to", "kind", "at", "data"])
 
     return run
 
 
-def _score(groups: int, parts: int, hot: np.ndarray):
+def _score(parts: int, hot: np.ndarray):
     def run(key, docs: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         if not len(docs):
             return pd.DataFrame(columns=["doc_id", "learned", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
         t = Tokens(docs, hot)
         heard = {(r.kind, r.at): split_blobs(r.data) for r in told.itertuples(index=False)}
-        count = np.zeros(len(t.types), dtype=np.int64)
-        customers, tables = np.zeros((SAMPLES, len(t.types))), np.zeros((SAMPLES, len(t.types)))
-        sums, n_learned = np.zeros(4 + 2 * SAMPLES, dtype=np.int64), 0
+        count, word = np.zeros(len(t.types), dtype=np.int64), np.zeros(len(t.types))
+        sums, n_learned = np.zeros(5), 0
         at = _cuts(short(t.types), KEY, parts)
         for k in range(parts):
-            head, c, *more = map(unpack, heard["words", k])
+            head, c, own = (f(x) for f, x in zip((unpack, unpack_common, unpack_common), heard["words", k]))
             n_learned, s = int(head[1]), slice(at[k], at[k + 1])
             sums += head
-            count[s] = c
-            for m in range(SAMPLES):
-                customers[m, s], tables[m, s] = more[m], more[SAMPLES + m]
-        known = int(sums[0])
-        pair_count, pair_tables = np.zeros(len(t.pair_context), dtype=np.int64), np.zeros((SAMPLES, len(t.pair_context)))
-        seats, totals, pairs = np.zeros(len(t.contexts)), np.zeros((SAMPLES, len(t.contexts))), np.zeros(3, dtype=np.int64)
+            count[s], word[s] = c, own
+        known, _, n, freed, tables = sums  # `freed`: what all tables' discounts leave to the base
+        unseen = np.clip(known / tables, 0.05, 0.95) if tables else 1.0
+        word = (word + (THETA_WORD + freed) * np.where(count > 0, (1 - unseen) / max(1.0, known), unseen)) / (THETA_WORD + n)
+        pair, seats, totals, d = np.zeros(len(t.pair_context)), np.zeros(len(t.contexts)), np.zeros(len(t.contexts)), 0.0
         at = _cuts(short(t.contexts), KEY, parts)
         for k in np.flatnonzero(np.diff(at)):
             s = slice(at[k], at[k + 1])
             lo, hi = np.searchsorted(t.pair_context, at[k : k + 2])
-            pairs, seats[s], *more = map(unpack, heard["pairs", k])
-            pair_count[lo:hi] = c = more[SAMPLES]
-            many = np.flatnonzero(c > 1) + lo
-            for m in range(SAMPLES):
-                totals[m, s] = more[m]
-                pair_tables[m, lo:hi] = np.minimum(c, 1)
-                pair_tables[m, many] = more[SAMPLES + 1 + m]
-        for shards in np.searchsorted(t.contexts, shards_of(hot[np.isin(hot, t.whole)])):  # a split context's seats and tables are its shards' together
-            seats[shards] = seats[shards].sum()
-            totals[:, shards] = totals[:, shards].sum(axis=1)[:, None]
-        d_word, d_pair = discount(sums[2], sums[3]), discount(pairs[1], pairs[2])
-        probability = np.zeros(len(pair_count))
-        for m in range(SAMPLES):
-            n, tabs = float(sums[4 + m]), float(sums[4 + SAMPLES + m])
-            unseen = np.clip(known / tabs, 0.05, 0.95) if tabs else 1.0
-            base = np.where(count > 0, (1 - unseen) / max(1, known), unseen)
-            word = (np.maximum(customers[m] - d_word * tables[m], 0) + (THETA_WORD + d_word * tabs) * base) / (THETA_WORD + n)
-            sat = seats[t.pair_context]
-            own = np.maximum(pair_count - d_pair * pair_tables[m], 0) + (THETA_PAIR + d_pair * totals[m][t.pair_context]) * word[t.pair_type]
-            probability += np.where(sat > 0, own / (THETA_PAIR + sat), word[t.pair_type]) / SAMPLES
+            d, seats[s], totals[s], pair[lo:hi] = (f(x) for f, x in zip((unpack, unpack_common, unpack_common, unpack_common), heard["pairs", k]))
+        for shards in t.shards:  # a split context's seats and tables are its shards' together
+            seats[shards], totals[shards] = seats[shards].sum(), totals[shards].sum()
+        sat, parent = seats[t.pair_context], word[t.pair_type]
+        probability = np.where(sat > 0, (pair + (THETA_PAIR + float(np.max(d)) * totals[t.pair_context]) * parent) / (THETA_PAIR + sat), parent)
         score = np.add.reduceat(np.log10(probability)[t.pair], t.first)
-        base_score = np.add.reduceat(np.log10((count + 0.5) / (n_learned + 0.5 * (known + 1)))[t.token], t.first)
+        base_score = np.add.reduceat(np.log10((count + 0.5) / (n_learned + 0.5 * (round(known) + 1)))[t.token], t.first)
         n_known = np.add.reduceat((count > 0).astype(np.int64)[t.token], t.first)
         return pd.DataFrame({
             "doc_id": docs["_id"].astype("Int64").to_numpy(), "learned": docs["_flag"].to_numpy(dtype=bool), "n_tokens": t.n, "n_known": n_known,
@@ -389,7 +392,7 @@ def _frequent(docs: DataFrame, text: str) -> np.ndarray:
     def top(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, counts = 0, {}
         for b in batches:
-            hashes = np.concatenate([word_hashes(bytes(t).lower()) for t in b["t"]] or [np.zeros(0, dtype=np.uint64)])
+            hashes, _ = hashed_words([bytes(t).lower() for t in b["t"]])
             total += len(hashes) + len(b)
             for h, n in zip(*np.unique(hashes, return_counts=True)):
                 if n > HOT_SHARE / 4 * len(hashes):
@@ -415,6 +418,7 @@ def score_texts(docs: DataFrame, learn: Column, *, text: str = "text") -> DataFr
     probability 1. Equal rows score equally; an empty table stays empty; other columns are not read.
     """
     n, parts = sizing(docs.agg(F.sum(F.octet_length(text))).first()[0] or 0)
+    n = max(24, n // 2)  # the larger the group, the fewer times a pair is sent
     hot = _frequent(docs, text)
     groups = dealt(docs, n, text, learn).groupBy("_group")
     counted = groups.applyInPandas(_count(n, parts, hot), MESSAGE).groupBy("to")
@@ -422,10 +426,11 @@ def score_texts(docs: DataFrame, learn: Column, *, text: str = "text") -> DataFr
     tables = counted.applyInPandas(_first_tables(n, parts), MESSAGE).repartition(partitions_of(docs), "to")
     parents = counted.cogroup(tables.groupBy("to")).applyInPandas(_parents(n, parts), MESSAGE)
     seated = counted.cogroup(parents.groupBy("to")).applyInPandas(_seat(n, parts, hot), MESSAGE).repartition(partitions_of(docs), "to")
+    # Unions of what is dealt alike need no new exchange.
     told = tables.unionByName(seated)
-    words = counted.cogroup(told.groupBy("to")).applyInPandas(_seat_words(n, parts), MESSAGE)
+    words = counted.cogroup(told.groupBy("to")).applyInPandas(_seat_words(n, parts), MESSAGE).repartition(partitions_of(docs), "to")
     schema = "doc_id long, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return groups.cogroup(seated.unionByName(words).groupBy("to")).applyInPandas(_score(n, parts, hot), schema)
+    return groups.cogroup(seated.unionByName(words).groupBy("to")).applyInPandas(_score(parts, hot), schema)
 
 
 def digest(docs: DataFrame) -> DataFrame:
