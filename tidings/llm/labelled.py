@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidings.llm.common import crc_mod
+from tidings.llm.common import crc_mod, mix64
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows_per_class: int) -> DataFrame:
@@ -55,3 +55,8 @@ def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, l2: float = 1e-3, roun
 
 def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def set_aside(ids, m: int) -> np.ndarray:
+    """One row in m, by a hash of its id: whatever order or pattern the labels have, both parts see it."""
+    return mix64(np.asarray(ids, dtype=np.int64).view(np.uint64)) % np.uint64(m) == 0

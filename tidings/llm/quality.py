@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidings.llm.labelled import held_out, labelled_sample, logistic, sigmoid
+from tidings.llm.labelled import held_out, labelled_sample, logistic, set_aside, sigmoid
 
 BLOCK = 2048  # bytes compressed at a time; the dictionary serves each block afresh
 LEVEL = 3
@@ -74,7 +74,7 @@ class Model:
 def fit(rows: pd.DataFrame) -> Model:
     """Dictionaries from three quarters of the rows, calibration on the rest. Without both classes the score is constant."""
     rows = rows.sort_values("_id", kind="stable").reset_index(drop=True)
-    calibrates = np.arange(len(rows)) % 4 == 3
+    calibrates = set_aside(rows["_id"], 4)
     y = rows["_label"].to_numpy(dtype=float)
     if len(rows) < 8 or len(set(y[calibrates])) < 2 or len(set(y[~calibrates])) < 2:
         return Model(b"", b"", np.array([0.0, 0.0, np.log((y.sum() + 1) / (len(y) - y.sum() + 1))]))
