@@ -29,6 +29,8 @@ def test_packing_round_trips():
             x = rng.integers(0, np.iinfo(dtype).max, n, dtype=dtype)
             assert (blobs.unpack(blobs.pack(x)) == x).all()
             assert (blobs.unpack_sorted(blobs.pack_sorted(np.sort(x))) == np.sort(x)).all()
+    for x in (np.zeros(0, dtype=np.uint32), np.ones(5, dtype=np.uint32), rng.integers(0, 9, 500).astype(np.uint32), rng.random(300).astype(np.float32)):
+        assert (blobs.unpack_common(blobs.pack_common(x)) == x).all() and blobs.unpack_common(blobs.pack_common(x)).dtype == x.dtype
     b = rng.random(1003) < 0.5
     assert (blobs.unpack_bits(blobs.pack_bits(b)) == b).all()
 
@@ -61,3 +63,11 @@ def test_equal_rows_and_null_ids(spark):
     df = spark.createDataFrame([(1, text), (1, text), (None, text), (None, text + " more")], "doc_id long, text string")
     got = sorted(((r.doc_id is None, r.n_removed) for r in substr.digest(df).collect()))
     assert got == [(False, 0), (False, 25), (True, 25), (True, 25)]
+
+
+def test_word_hashes_name_words():
+    texts = [b"", b" \t\n", b"ab ba ab", "é ab\x0bba\x0c é".encode(), b"x" * 70_000 + b" y", b"a" * 3 + b" " + b"a" * 4] + [b"w%d" % i for i in range(50)]
+    flat, counts = blobs.hashed_words(texts)
+    words = [w for t in texts for w in t.split()]
+    assert counts.tolist() == [len(t.split()) for t in texts] and len(flat) == len(words)
+    assert len(set(flat.tolist())) == len(set(words)) and len(set(zip(words, flat.tolist()))) == len(set(words))

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidings.llm.blobs import dealt, join_blobs, ordered, pack, pack_bits, pack_sorted, sections, sizing, split_blobs, unpack, unpack_bits, unpack_sorted, window_hashes, word_hashes
+from tidings.llm.blobs import dealt, hashed_words, join_blobs, ordered, pack, pack_bits, pack_sorted, sections, sizing, split_blobs, unpack, unpack_bits, unpack_sorted, window_hashes
 from tidings.llm.common import mix64
 
 WINDOW = 20  # words
@@ -31,10 +31,8 @@ class Windows:
 
     def __init__(self, pdf: pd.DataFrame, size: int):
         self.ids, self.ties, self.texts, self.null = ordered(pdf)
-        hashes = [word_hashes(t) for t in self.texts]
-        self.n_words = np.array([len(h) for h in hashes], dtype=np.int64)
+        flat, self.n_words = hashed_words(self.texts)
         self.first = np.concatenate([[0], np.cumsum(self.n_words)])
-        flat = np.concatenate(hashes or [np.zeros(0, dtype=np.uint64)])
         inside = np.zeros(len(flat), dtype=bool)
         for s, n in zip(self.first, self.n_words):
             inside[s : s + max(0, n - size + 1)] = True
