@@ -13,6 +13,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TRIES = 3
 GAP = 0.5  # seconds between requests of one task
@@ -66,7 +67,7 @@ def fetch(requests: DataFrame, make_transport: Callable[[], Callable[[str], Answ
             yield b[names].assign(status=[a.status for a in answers], body=[a.body for a in answers])
 
     kept = requests.select(*names)
-    schema = kept.schema.add("status", "int").add("body", "binary")
+    schema = T.StructType([*kept.schema.fields, T.StructField("status", T.IntegerType()), T.StructField("body", T.BinaryType())])
     return kept.mapInPandas(run, schema)
 
 
