@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from tidings.llm import graph
 from tidings.llm import jaccard as J
@@ -90,7 +91,9 @@ def test_pruning_keeps_what_reaches_the_threshold():
     assert lost == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("small", [0, 10, 1_000_000])
+def test_components(spark, monkeypatch, small):
+    monkeypatch.setattr(graph, "SMALL", small)
     edges = [(i, i + 1) for i in range(60)] + [(100, 101), (100, 102), (7, 7), (200, 199)]
     got = dict(map(tuple, graph.components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 102: 100, 199: 199, 200: 199}

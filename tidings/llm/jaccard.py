@@ -17,8 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidings.llm.blobs import window_hashes, word_hashes
-from tidings.llm.common import cut, join_small, mix64, partitions_of
+from tidings.llm.blobs import hashed_words, window_hashes
+from tidings.llm.common import arrow_batches, cut, join_small, mix64, partitions_of
 from tidings.llm.graph import components
 
 SHINGLE = 5
@@ -30,16 +30,21 @@ TOLERANCE = 1e-7
 BLOCK = 512  # nodes
 MEMBERS = 2_000_000  # node names, counted, that may be broadcast (8 bytes each); beyond, the texts' sets are joined
 DENSE = 4096  # pairs left in a pair of blocks from which they are verified by a matrix product
-MIX_A = mix64(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
-MIX_B = mix64(np.arange(1001, HASHES + 1001, dtype=np.uint64))
-
-
-def shingles(raw: bytes) -> np.ndarray:
-    """The set of a text's shingles as ascending hashes. A shorter text with a word is one shingle; without, none."""
-    w = word_hashes(raw)
-    if len(w) >= SHINGLE:
-        return np.unique(window_hashes(w, SHINGLE))
-    return mix64(window_hashes(w, len(w)) + np.uint64(len(w))) if len(w) else np.zeros(0, dtype=np.uint64)
+MIX_A = (mix64(np.arange(1, HASHES + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+MIX_B = (mix64(np.arange(1001, HASHES + 1001, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
+
+
+def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
+    """The sets of the texts' shingles as ascending hashes. A shorter text with a word is one shingle; without, none."""
+    flat, counts = hashed_words(texts)
+    hashes, out, at = window_hashes(flat, SHINGLE), [], 0
+    for n in counts.tolist():
+        if n >= SHINGLE:
+            out.append(np.unique(hashes[at : at + n - SHINGLE + 1]))
+        else:
+            out.append(mix64(window_hashes(flat[at : at + n], n) + np.uint64(n)) if n else np.zeros(0, dtype=np.uint64))
+        at += n
+    return out
 
 
 def node_name(s: np.ndarray) -> int:
@@ -51,11 +56,11 @@ def node_name(s: np.ndarray) -> int:
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
     """A row of MinHash values (32 bits) for each set; none of the sets is empty."""
     flat, starts = np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
-    out = np.empty((len(sets), HASHES), dtype=np.uint32)
-    with np.errstate(over="ignore"):
-        for k in range(HASHES):
-            out[:, k] = np.minimum.reduceat(((flat * MIX_A[k] + MIX_B[k]) >> np.uint64(32)).astype(np.uint32), starts)
-    return out
+    high = (mix64(flat) >> np.uint64(32)).astype(np.uint32)
+    out = np.empty((HASHES, len(sets)), dtype=np.uint32)
+    for k in range(HASHES):  # odd factors permute the 32-bit numbers
+        out[k] = np.minimum.reduceat(high * MIX_A[k] + MIX_B[k], starts)
+    return np.ascontiguousarray(out.T)
 
 
 def least_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> list[int]:
@@ -103,7 +108,7 @@ def verified(x: np.ndarray, y: np.ndarray, sets_a: list[np.ndarray], sets_b: lis
     """Which of the pairs reach the threshold, exactly. Many pairs are counted at once, as products of 0/1 matrices."""
     size_a, size_b = np.array([len(s) for s in sets_a]), np.array([len(s) for s in sets_b])
     if len(x) < DENSE:
-        common = np.array([len(np.intersect1d(sets_a[i], sets_b[j], assume_unique=True)) for i, j in zip(x, y)], dtype=np.int64)
+        common = np.array([_common(sets_a[i], sets_b[j]) for i, j in zip(x, y)], dtype=np.int64)
     else:
         shared = np.intersect1d(np.concatenate(sets_a), np.concatenate(sets_b))
         product = np.zeros((len(sets_a), len(sets_b)), dtype=np.float32)
@@ -114,6 +119,10 @@ def verified(x: np.ndarray, y: np.ndarray, sets_a: list[np.ndarray], sets_b: lis
     return common >= threshold * (size_a[x] + size_b[y] - common) - 1e-9
 
 
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+
+
 def _indicator(sets: list[np.ndarray], columns: np.ndarray) -> np.ndarray:
     out = np.zeros((len(sets), len(columns)), dtype=np.float32)
     for i, s in enumerate(sets):
@@ -142,9 +151,9 @@ def _forest(x: np.ndarray, y: np.ndarray, n: int) -> list[int]:
 def _documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Each row's node, size and signature; null for rows without a word."""
     for b in batches:
-        for at in range(0, len(b), 256):
-            part = b.iloc[at : at + 256]
-            sets = [shingles(bytes(t)) for t in part["t"]]
+        for at in range(0, len(b), 128):
+            part = b.iloc[at : at + 128]
+            sets = shingle_sets([bytes(t) for t in part["t"]])
             some = [i for i, s in enumerate(sets) if len(s)]
             rows = signatures([sets[i] for i in some]) if some else []
             node, sign = [None] * len(sets), [None] * len(sets)
@@ -154,48 +163,55 @@ def _documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _compare(batches: Iterator[pd.DataFrame], least: list[int]) -> Iterator[pd.DataFrame]:
-    """Works on the tasks of a partition, whose members come one task after another."""
-    pending: list[pd.DataFrame] = []
+    """Works on the tasks of a partition, whose members come one task after another; a batch's last task waits for the next batch."""
+    rest: list[tuple] = []
 
-    def done() -> Iterator[pd.DataFrame]:
-        if pending:
-            rows = pd.concat(pending)
-            pending.clear()
-            out = _task(rows, least)
-            if len(out):
-                yield out
+    def done(rows: list[tuple]) -> Iterator[pd.DataFrame]:
+        found = []
+        for s, e in _stretches([r[0] for r in rows]):
+            found.append(_task(rows[s:e], least))
+        if found:
+            yield pd.DataFrame(np.concatenate(found), columns=["a", "b", "n"])
 
     for b in batches:
-        b = b.reset_index(drop=True)
-        edges = np.flatnonzero((b["task"].to_numpy()[1:] != b["task"].to_numpy()[:-1])) + 1
-        for s, e in zip([0, *edges], [*edges, len(b)]):
-            if pending and pending[-1]["task"].iloc[0] != b["task"].iloc[s]:
-                yield from done()
-            pending.append(b.iloc[s:e])
-    yield from done()
-
-
-def _task(rows: pd.DataFrame, least: list[int]) -> pd.DataFrame:
-    """Compares a block with another or with itself: links of each node (weighted by copies), and a spanning forest."""
-    rows = rows.sort_values(["side", "node"])
-    side = rows["side"].to_numpy()
-    node, copies = rows["node"].to_numpy(dtype=np.int64), rows["copies"].to_numpy(dtype=np.int64)
-    sign = np.frombuffer(b"".join(map(bytes, rows["sign"])), dtype=np.uint32).reshape(-1, HASHES)
-    sets = [np.frombuffer(bytes(s), dtype=np.uint64) for s in rows["set"]]
-    cut_at = int((side == 0).sum())
+        rest += list(zip(b["task"].tolist(), b["side"].tolist(), b["node"].tolist(), b["copies"].tolist(), b["sign"], b["set"]))
+        last = len(rest)
+        while last and rest[last - 1][0] == rest[-1][0]:
+            last -= 1
+        yield from done(rest[:last])
+        rest = rest[last:]
+    yield from done(rest)
+
+
+def _stretches(keys: list) -> Iterator[tuple[int, int]]:
+    start = 0
+    for i in range(1, len(keys) + 1):
+        if i == len(keys) or keys[i] != keys[start]:
+            yield start, i
+            start = i
+
+
+def _task(rows: list[tuple], least: list[int]) -> np.ndarray:
+    """Compares a block with another or with itself. Rows of (a, b, n): n > 0 links of node a, by copies; n = 0 an edge of a spanning forest."""
+    rows = sorted(rows, key=lambda r: (r[1], r[2]))
+    cut_at = sum(r[1] == 0 for r in rows)
     same = cut_at == len(rows)
+    if cut_at == 0 or len(rows) < 2:
+        return np.zeros((0, 3), dtype=np.int64)
+    node, copies = np.array([r[2] for r in rows], dtype=np.int64), np.array([r[3] for r in rows], dtype=np.int64)
+    sign = np.frombuffer(b"".join(bytes(r[4]) for r in rows), dtype=np.uint32).reshape(-1, HASHES)
     x, y = survivors(sign[:cut_at], sign if same else sign[cut_at:], same, least)
-    y_at = y if same else y + cut_at
-    if len(x):
-        ok = verified(x, y, sets[:cut_at], sets if same else sets[cut_at:])
-        x, y_at = x[ok], y_at[ok]
+    if not len(x):
+        return np.zeros((0, 3), dtype=np.int64)
+    sets = [np.frombuffer(bytes(r[5]), dtype=np.uint64) for r in rows]
+    ok = verified(x, y, sets[:cut_at], sets if same else sets[cut_at:])
+    x, y_at = x[ok], (y if same else y + cut_at)[ok]
     n = np.bincount(x, weights=copies[y_at], minlength=len(rows)) + np.bincount(y_at, weights=copies[x], minlength=len(rows))
     linked = np.flatnonzero(n)
     forest = _forest(x, y_at, len(rows))
-    return pd.DataFrame({
-        "a": np.concatenate([node[linked], node[x[forest]]]), "b": pd.array([None] * len(linked) + node[y_at[forest]].tolist(), dtype="Int64"),
-        "n": np.concatenate([n[linked], np.zeros(len(forest))]).astype(np.int64),
-    })
+    links = np.stack([node[linked], np.zeros(len(linked), dtype=np.int64), n[linked].astype(np.int64)], axis=1)
+    edges = np.stack([node[x[forest]], node[y_at[forest]], np.zeros(len(forest), dtype=np.int64)], axis=1)
+    return np.concatenate([links, edges])
 
 
 def _sets_of(docs: DataFrame, members: DataFrame, text: str) -> DataFrame:
@@ -208,16 +224,16 @@ def _sets_of(docs: DataFrame, members: DataFrame, text: str) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sent: set[int] = set()
         for b in batches:
-            out = []
-            for t in b["t"]:
-                s = shingles(bytes(t))
-                if len(s):
-                    node = node_name(s)
-                    wanted = names is None or ((i := int(np.searchsorted(names.value, node))) < len(names.value) and names.value[i] == node)
-                    if wanted and node not in sent:
-                        sent.add(node)
-                        out.append((node, s.tobytes()))
-            yield pd.DataFrame(out, columns=["_sn", "set"])
+            for at in range(0, len(b), 128):
+                out = []
+                for s in shingle_sets([bytes(t) for t in b["t"].iloc[at : at + 128]]):
+                    if len(s):
+                        node = node_name(s)
+                        wanted = names is None or ((i := int(np.searchsorted(names.value, node))) < len(names.value) and names.value[i] == node)
+                        if wanted and node not in sent:
+                            sent.add(node)
+                            out.append((node, s.tobytes()))
+                yield pd.DataFrame(out, columns=["_sn", "set"])
 
     sets = raw.mapInPandas(run, "_sn long, set binary")
     if names is None:
@@ -229,7 +245,8 @@ def classes(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
     """The documents (_id, _row, node), written, and the nodes (node, copies, n_links, class): see `link`."""
     parts = partitions_of(docs)
     raw = docs.select(F.col("doc_id").cast("long").alias("i"), F.xxhash64("doc_id", text).alias("r"), F.coalesce(text, F.lit("")).cast("binary").alias("t"))
-    rows = cut(raw.mapInPandas(_documents, "_id long, _row long, node long, size int, sign binary"))
+    with arrow_batches(docs.sparkSession, 1000):
+        rows = cut(raw.mapInPandas(_documents, "_id long, _row long, node long, size int, sign binary"))
     known = rows.where(F.col("node").isNotNull())
     nodes = cut(known.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("sign").alias("sign")))
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(k, F.substring("sign", k * BAND * 4 + 1, BAND * 4)))
@@ -258,10 +275,11 @@ def classes(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
     with_sets = placed.select("node", "copies", "sign", F.concat(own, up, down).alias("tasks")).join(_sets_of(docs, members, text), F.col("node") == F.col("_sn"))
     tasks = with_sets.select(F.explode("tasks").alias("x"), "node", "copies", "sign", "set").select("x.task", "x.side", "node", "copies", "sign", "set")
     least_counts = least_matches()
-    found = cut(tasks.repartition(parts, "task").sortWithinPartitions("task").mapInPandas(lambda it: _compare(it, least_counts), "a long, b long, n long"))
+    with arrow_batches(docs.sparkSession, 1000):
+        found = cut(tasks.repartition(parts, "task").sortWithinPartitions("task").mapInPandas(lambda it: _compare(it, least_counts), "a long, b long, n long"))
 
-    links = found.where(F.col("b").isNull()).groupBy(F.col("a").alias("_ln")).agg(F.sum("n").alias("links"))
-    named = components(found.where(F.col("b").isNotNull()).select("a", "b")).withColumnsRenamed({"node": "_cn", "component": "_class"})
+    links = found.where("n > 0").groupBy(F.col("a").alias("_ln")).agg(F.sum("n").alias("links"))
+    named = components(found.where("n = 0").select("a", "b")).withColumnsRenamed({"node": "_cn", "component": "_class"})
     out = nodes.select("node", "copies").join(links, F.col("node") == F.col("_ln"), "left").join(named, F.col("node") == F.col("_cn"), "left")
     return rows, out.select("node", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("_class", "node").alias("class"))
 
