@@ -290,7 +290,7 @@ def full_tildes(md: str) -> str:
     return "".join(out)
 
 
-#: Line rules after rendering, in order.
+#: Line rules after rendering, in order.
 RULES = (
     (re.compile(r"\n{3,}"), "\n\n"),
     (re.compile(r"\*\*([ \t]*)\*\*"), r"\1"),
