@@ -20,8 +20,17 @@ from tidings.llm.labelled import held_out
 ORACLE_SQL = None
 
 
+#: Rows that a stage passes to Python at a time: whole texts can be long, and an executor's workers share its memory.
+TEXTS_AT_A_TIME = 500
+
+
+def _whole_texts(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXTS_AT_A_TIME))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below their language's threshold. Rows whose id hashes to 0 of 5 teach nothing, as in query op1."""
+    _whole_texts(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, labels, ~held_out(F.col("doc_id"), 5, 0))
     scored = toxicity.score_toxicity(docs, model)
@@ -30,17 +39,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near duplicates the document of least id."""
+    _whole_texts(spark)
     return jaccard.keep_one(docs)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item is found."""
+    _whole_texts(spark)
     found = decontam.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.where(F.size("leaks") == 0).select(*docs.columns)
 
 
 def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a mark in place of each secret, and their new length."""
+    _whole_texts(spark)
     return secrets.redact_secrets(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
