@@ -59,23 +59,24 @@ def normalised(line: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(F.btrim(line, F.lit(SPACES))), r"[ \t\x0b\f\r]+", " "), "[0-9]+", "0")
 
 
-def measures(text: Column) -> dict[str, Column]:
-    """The base measures of one text; null counts as empty."""
+def measures(text: Column, words: Column) -> dict[str, Column]:
+    """The base measures of one text, given with its words; null counts as empty."""
     t = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(t, "\n", -1), _has_word)
     return {
-        "n_words": F.size(_words(t)).cast("long"),
+        "n_words": F.size(words).cast("long"),
         "word_chars": F.length(F.translate(t, SPACES, "")).cast("long"),
         "n_symbols": (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long"),
         "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-        "n_repeat_words": _repeat_words(_words(t)),
+        "n_repeat_words": _repeat_words(words),
     }
 
 
 def _line_keys(text: Column, host: Column) -> Column:
     """Key (64-bit hash of host and normalised line) and number of words of each line with a word."""
-    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n", -1), _has_word)
-    return F.transform(lines, lambda x: F.struct(F.xxhash64(host, normalised(x)).alias("k"), F.size(_words(x)).alias("w")))
+    lines = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), normalised), lambda x: x != "")
+    n_words = lambda x: F.length(x) - F.length(F.translate(x, " ", "")) + 1  # noqa: E731  one space between words is left
+    return F.transform(lines, lambda x: F.struct(F.xxhash64(host, x).alias("k"), n_words(x).alias("w")))
 
 
 def judge(docs: DataFrame, *, text: str = "text", host: str = "source", line_docs: int = LINE_DOCS) -> DataFrame:
@@ -85,7 +86,8 @@ def judge(docs: DataFrame, *, text: str = "text", host: str = "source", line_doc
     looked up salted, so no task gets all its documents.
     """
     key = F.xxhash64("doc_id", host, text)
-    narrow = docs.select("doc_id", key.alias("_key"), *(c.alias(n) for n, c in measures(F.col(text)).items()), _line_keys(F.col(text), F.col(host)).alias("_lines"))
+    read = docs.select("doc_id", host, text, _words(F.coalesce(F.col(text), F.lit(""))).alias("_words"))
+    narrow = read.select("doc_id", key.alias("_key"), *(c.alias(n) for n, c in measures(F.col(text), F.col("_words")).items()), _line_keys(F.col(text), F.col(host)).alias("_lines"))
     narrow = cut(narrow).dropDuplicates(["doc_id", "_key"])
     narrow = cut(narrow)
     each = narrow.select("doc_id", "_key", F.explode("_lines").alias("x")).select("doc_id", "_key", "x.k", "x.w")
@@ -98,6 +100,18 @@ def judge(docs: DataFrame, *, text: str = "text", host: str = "source", line_doc
     return joined.withColumns({"n_removed_words": F.coalesce("n_removed_words", F.lit(0)).cast("long"), "_bad": F.coalesce("_bad", F.array().cast("array<bigint>"))})
 
 
+def _verdicts(docs: DataFrame, text: str, host: str, line_docs: int, least_left: int) -> tuple[DataFrame, dict[str, Column]]:
+    """`docs` joined to what `judge` says of each row, and the columns of the verdict."""
+    v = judge(docs, text=text, host=host, line_docs=line_docs)
+    v = v.select(*(F.col(c).alias(f"_v_{c}") for c in v.columns))
+    joined = docs.withColumn("_key", F.xxhash64("doc_id", host, text)).join(v, (F.col("_key") == F.col("_v__key")) & F.col("doc_id").eqNullSafe(F.col("_v_doc_id")))
+    m = {n: F.col(f"_v_{n}") for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed_words")}
+    failed = (m["n_words"] < LEAST_WORDS) | (100 * m["n_repeat_words"] > MOST_REPEATED * m["n_words"])
+    kept = ~failed & (100 * (m["n_words"] - m["n_removed_words"]) >= least_left * m["n_words"])
+    removed = m.pop("n_removed_words")
+    return joined, m | {"base_failed": failed, "kept": kept, "n_removed_words": removed}
+
+
 def apply_rules(docs: DataFrame, *, text: str = "text", host: str = "source", line_docs: int = LINE_DOCS, least_left: int = LEAST_LEFT) -> DataFrame:
     """`docs` with `rules`: the base measures, base_failed, n_removed_words, kept, and the text without removed lines.
 
@@ -107,21 +121,13 @@ def apply_rules(docs: DataFrame, *, text: str = "text", host: str = "source", li
     text counts as empty; equal rows get equal verdicts; an empty table stays empty; a column called `rules` is replaced
     and all others are kept.
     """
-    v = judge(docs, text=text, host=host, line_docs=line_docs).withColumnsRenamed({"_key": "_vk", "doc_id": "_vd"})
-    joined = docs.drop("rules").withColumn("_key", F.xxhash64("doc_id", host, text)).join(
-        v.select("_vk", "_vd", F.struct(*(c for c in v.columns if c not in ("_vk", "_vd"))).alias("_v")),
-        (F.col("_key") == F.col("_vk")) & F.col("doc_id").eqNullSafe(F.col("_vd")))
-    m = F.col("_v")
-    failed = (m["n_words"] < LEAST_WORDS) | (100 * m["n_repeat_words"] > MOST_REPEATED * m["n_words"])
-    kept = ~failed & (100 * (m["n_words"] - m["n_removed_words"]) >= least_left * m["n_words"])
-    left = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1), lambda x: ~(_has_word(x) & F.array_contains(m["_bad"], F.xxhash64(F.col(host), normalised(x)))))
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed_words")
-    rules = F.struct(*(m[n].alias(n) for n in names), failed.alias("base_failed"), kept.alias("kept"), F.array_join(left, "\n").alias("text"))
-    return joined.withColumn("rules", rules).drop("_key", "_vk", "_vd", "_v")
+    kept_columns = [c for c in docs.columns if c != "rules"]
+    joined, m = _verdicts(docs.select(*kept_columns), text, host, line_docs, least_left)
+    left = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1), lambda x: ~(_has_word(x) & F.array_contains(F.col("_v__bad"), F.xxhash64(F.col(host), normalised(x)))))
+    return joined.select(*kept_columns, F.struct(*(c.alias(n) for n, c in m.items()), F.array_join(left, "\n").alias("text")).alias("rules"))
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """The columns of query op6."""
-    r = apply_rules(docs.select("doc_id", "source", "text"))
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed_words")
-    return r.select("doc_id", *(F.col("rules")[n].alias(n) for n in names))
+    """The columns of query op6; texts stay where they are read."""
+    joined, m = _verdicts(docs.select("doc_id", "source", "text"), "text", "source", LINE_DOCS, LEAST_LEFT)
+    return joined.select("doc_id", *(c.alias(n) for n, c in m.items()))
