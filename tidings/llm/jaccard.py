@@ -16,9 +16,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidings.llm.blobs import hashed_words, window_hashes
-from tidings.llm.common import arrow_batches, cut, join_small, mix64, partitions_of
+from tidings.llm.common import arrow_batches, cut, mix64, partitions_of
 from tidings.llm.graph import components
 
 SHINGLE = 5
@@ -305,13 +306,16 @@ def keep_one(docs: DataFrame, text: str = "text") -> DataFrame:
     rows, nodes = classes(docs, text)
     of = rows.where(F.col("node").isNotNull()).join(nodes.select(F.col("node").alias("_nn"), "class"), F.col("node") == F.col("_nn"))
     order = F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col("_row").alias("r"))
-    best = of.groupBy("class").agg(F.min(order).alias("b")).select(F.col("b.i").alias("_bi"), F.col("b.r").alias("_br"))
+    best = of.groupBy("class").agg(F.min(order).alias("b")).select(
+        F.coalesce("b.i", F.lit(0)).alias("_b1"), F.col("b.n").alias("_b2"), F.col("b.r").alias("_b3"))
     words = F.length(F.translate(F.coalesce(F.col(text), F.lit("")), " \t\n\x0b\f\r", "")) > 0
-    keyed = docs.withColumns({"_dr": F.xxhash64("doc_id", text), "_words": words})
-    kept = join_small(keyed, best, F.col("doc_id").cast("long").eqNullSafe(F.col("_bi")) & (F.col("_dr") == F.col("_br")), "left")
-    kept = kept.where(~F.col("_words") | F.col("_br").isNotNull())
-    once = kept.where(F.col("_words")).dropDuplicates(["doc_id", "_dr"]).unionByName(kept.where(~F.col("_words")))
-    return once.drop("_dr", "_words", "_bi", "_br")
+    at = F.col("doc_id").cast("long")
+    keyed = docs.withColumns({"_k1": F.coalesce(at, F.lit(0)), "_k2": at.isNull(), "_k3": F.xxhash64("doc_id", text), "_words": words})
+    # The texts are shuffled once, by these keys; equal rows meet in the same place.
+    kept = keyed.join(best, (F.col("_k1") == F.col("_b1")) & (F.col("_k2") == F.col("_b2")) & (F.col("_k3") == F.col("_b3")), "left")
+    nth = F.row_number().over(Window.partitionBy("_k1", "_k2", "_k3").orderBy("_words"))
+    kept = kept.where(~F.col("_words") | F.col("_b3").isNotNull()).withColumn("_nth", nth).where(~F.col("_words") | (F.col("_nth") == 1))
+    return kept.select(*docs.columns)
 
 
 def digest(docs: DataFrame) -> DataFrame:
