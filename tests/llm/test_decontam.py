@@ -46,3 +46,20 @@ def test_blocks(spark, monkeypatch):
     bench = spark.createDataFrame([(i, f"{ITEM} tail{i}") for i in range(3)], "item_id long, text string")
     docs = spark.createDataFrame([(7, f"{ITEM} tail1")], "doc_id long, text string")
     assert sorted(r.item_id for r in D.digest(docs, bench).collect()) == [0, 1, 2]
+
+
+def test_frequent_passages_are_found_like_rare_ones(spark, monkeypatch):
+    words = ITEM.split()
+    copy = " ".join(words[:11])  # half of the trigrams, which so many copies make frequent
+    bench = spark.createDataFrame([(10, ITEM), (11, "the quick heron wanders across a field of other words that no text here has")], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"a{i} b{i} {copy} c{i} d{i}") for i in range(3 * D.RARE)], "doc_id long, text string")
+    few = docs.where("doc_id < 3")
+    want = [(10, 0.55, 2, 13)]
+    found = lambda rows: [tuple(r)[1:] for r in D.digest(rows, bench).collect()]
+    assert found(few) == want * 3 and found(docs) == want * 3 * D.RARE
+    texts = [r.text for r in docs.collect()] + [ITEM, ""]
+    index = D.Index([(r.item_id, r.text) for r in bench.collect()])
+    whole = index.leaks(texts)
+    monkeypatch.setattr(D, "POSTINGS", 5)  # every text alone, and its items in turns
+    index.mark_rare(np.full(len(index.keys), 1000))
+    assert index.leaks(texts) == whole and len(whole[-2]) == 1

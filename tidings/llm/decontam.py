@@ -1,8 +1,10 @@
 """Benchmark decontamination: rare word n-grams seed, Smith-Waterman alignment decides.
 
-A test item's word trigrams are looked up in every text. Those that are rare in the corpus, measured over all documents,
-are seeds; where enough seeds of an item fall close together, the stretch around them is aligned to the item, so edited
-and paraphrased copies score as well as exact ones. The item set is taken in blocks of bounded size; each block is one
+A test item's word trigrams are looked up in every text; where enough of them fall close together, the stretch around them
+is aligned to the item, so edited and paraphrased copies score as well as exact ones. Trigrams that are rare in the corpus,
+measured over all documents, are seeds that lead to an alignment at once. A stretch that only frequent ones mark is aligned
+unless too few of the item's words occur in it for a reported score; so how often a trigram occurs decides on work alone,
+and never on the verdict. The item set is taken in blocks of bounded size; each block is one
 broadcast index, and all blocks are applied in the same scan.
 """
 
@@ -18,6 +20,7 @@ from pyspark.sql import types as T
 N = 3  # words of a seed
 BLOCK_WORDS = 1_000_000  # of benchmark text in one broadcast index
 RARE = 50  # documents; seeds up to this, or up to the median of their item, are rare
+POSTINGS = 2_000_000  # of trigrams met in texts that are clustered together
 MATCH, MISMATCH, GAP = 1.0, -0.6, -0.6
 REPORT_AT = 0.5  # alignment score over the item's number of words
 BATCH = 256  # alignments computed together
@@ -50,6 +53,8 @@ class Index:
         self.keys, self.first = np.unique(flat[order], return_index=True)
         self.end = np.append(self.first[1:], len(flat))
         self.owner, self.offset = owner[order], offset[order]
+        self.by_gram = np.repeat(np.arange(len(self.keys)), self.end - self.first) * len(items) + self.owner  # ascending
+        self.rare = np.ones(len(flat), dtype=bool)
         self.n_seeds = np.array([len(np.unique(g)) for g in grams], dtype=np.int64)
 
     def grams(self, ids: np.ndarray) -> np.ndarray:
@@ -59,19 +64,14 @@ class Index:
         a, b, c = ids[:-2], ids[1:-1], ids[2:]
         return np.where((a > 0) & (b > 0) & (c > 0), (a * self.base + b) * self.base + c, -1)
 
-    def keep_rare(self, df: np.ndarray) -> None:
-        """Drop postings of trigrams that are frequent, both in itself and among those of their item."""
+    def mark_rare(self, df: np.ndarray) -> None:
+        """Mark postings of trigrams that are not frequent, either in itself or among those of their item."""
         counts = np.repeat(df, self.end - self.first)
         limit = np.full(len(self.items), float(RARE))
         order = np.argsort(self.owner, kind="stable")
         for i, part in zip(*_groups(self.owner[order], counts[order])):
             limit[i] = max(RARE, float(np.median(part)))
-        keep = counts <= limit[self.owner]
-        gram = np.repeat(np.arange(len(self.keys)), self.end - self.first)[keep]
-        self.owner, self.offset = self.owner[keep], self.offset[keep]
-        used, self.first = np.unique(gram, return_index=True)
-        self.end = np.append(self.first[1:], len(gram))
-        self.keys = self.keys[used]
+        self.rare = counts <= limit[self.owner]
 
     def numbers(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """The texts' words as numbers, one after another with gaps of N zeros, and where each text begins."""
@@ -102,14 +102,41 @@ class Index:
         out: list[list[dict]] = [[] for _ in range(len(texts))]
         numbers, starts = self.numbers(texts)
         at, gram = self.hits(numbers)
-        if not len(at):
-            return out
-        n = self.end[gram] - self.first[gram]
-        post = np.repeat(self.first[gram] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        pos, item, offset = np.repeat(at, n), self.owner[post], self.offset[post]
+        best: dict[tuple[int, int], tuple] = {}
+        for some, first, end in self.slices(np.searchsorted(starts, at, side="right") - 1, gram):
+            for some_tasks in _batches(self.tasks(numbers, starts, at[some], first, end)):
+                self.judge(some_tasks, numbers, starts, best)
+        for (d, i), (s, b, e) in sorted(best.items()):
+            out[d].append({"item_id": self.ids[i], "score": round(s, 6), "start_word": b, "end_word": e})
+        return out
+
+    def slices(self, doc: np.ndarray, gram: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        """Hits by whole documents, with the range of postings of each, so that about POSTINGS come together.
+
+        A document with more is taken several times, each time with the postings of some of the items.
+        """
+        total = np.concatenate([[0], np.cumsum(self.end[gram] - self.first[gram])])
+        edges = np.append(np.flatnonzero(np.diff(doc, prepend=-1)), len(doc))
+        k = 0
+        while k + 1 < len(edges):
+            lo = edges[k]
+            k = max(k + 1, int(np.searchsorted(total[edges], total[lo] + POSTINGS, side="right")) - 1)
+            some, n = slice(lo, edges[k]), int(total[edges[k]] - total[lo])
+            base, turns = gram[some] * len(self.items), min(len(self.items), -(-n // POSTINGS))
+            for t in range(turns):
+                a, b = t * len(self.items) // turns, (t + 1) * len(self.items) // turns
+                yield some, np.searchsorted(self.by_gram, base + a), np.searchsorted(self.by_gram, base + b)
+
+    def tasks(self, numbers: np.ndarray, starts: np.ndarray, at: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[tuple]:
+        """Stretches to align, by width: width, text, item, place."""
+        n = end - begin
+        if not n.sum():
+            return []
+        post = np.repeat(begin - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        pos, item, offset, rare = np.repeat(at, n), self.owner[post], self.offset[post], self.rare[post]
         doc = np.searchsorted(starts, pos, side="right") - 1
         order = np.lexsort((pos, item, doc))
-        pos, item, offset, doc = pos[order], item[order], offset[order], doc[order]
+        pos, item, offset, doc, rare = pos[order], item[order], offset[order], doc[order], rare[order]
         length = np.array([len(x) for x in self.items])[item]
         new = np.ones(len(pos), dtype=bool)
         new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (pos[1:] - pos[:-1] > length[1:])
@@ -120,23 +147,30 @@ class Index:
         pad = length[first] // 4 + 2
         lo, hi = np.maximum(lo - pad, starts[doc[first]]), np.minimum(hi + pad, starts[doc[first] + 1] - N)
         cluster = np.repeat(np.arange(len(first)), last - first)
-        distinct = np.bincount(np.unique(np.stack([cluster, offset]), axis=1)[0], minlength=len(first))
-        enough = distinct >= np.where(self.n_seeds[item[first]] >= 8, 2, 1)
-        tasks = sorted((int(hi[k] - lo[k]), int(doc[first[k]]), int(item[first[k]]), int(lo[k])) for k in np.flatnonzero(enough & (hi > lo)))
-        best: dict[tuple[int, int], tuple] = {}
-        for some in _batches(tasks):
-            items = [self.items[i] for _, _, i, _ in some]
-            windows = [numbers[p : p + n] for n, _, _, p in some]
-            score, end_i, end_w = align(items, windows)
-            for k, (_, d, i, p) in enumerate(some):
-                s = float(score[k]) / len(items[k])
-                if s >= REPORT_AT and s > best.get((d, i), (0.0,))[0]:
-                    _, _, back = align([items[k][: end_i[k]][::-1]], [windows[k][: end_w[k]][::-1]])
-                    end = int(p - starts[d] + end_w[k])
-                    best[d, i] = (s, end - int(back[0]), end)
-        for (d, i), (s, b, e) in sorted(best.items()):
-            out[d].append({"item_id": self.ids[i], "score": round(s, 6), "start_word": b, "end_word": e})
-        return out
+        distinct = lambda x: np.bincount(np.unique(np.stack([cluster[x], offset[x]]), axis=1)[0], minlength=len(first))
+        need = np.where(self.n_seeds[item[first]] >= 8, 2, 1)
+        sure, enough = distinct(rare) >= need, distinct(slice(None)) >= need
+        return sorted(
+            (int(hi[k] - lo[k]), int(doc[first[k]]), int(item[first[k]]), int(lo[k]))
+            for k in np.flatnonzero(enough & (hi > lo)) if sure[k] or self.possible(item[first[k]], numbers[lo[k] : hi[k]])
+        )
+
+    def possible(self, item: int, window: np.ndarray) -> bool:
+        """False only where no alignment can be reported: a score is at most the number of the item's words in the window."""
+        x = self.items[item]
+        return np.isin(x, window).sum() / len(x) >= REPORT_AT
+
+    def judge(self, some: list[tuple], numbers: np.ndarray, starts: np.ndarray, best: dict[tuple[int, int], tuple]) -> None:
+        """Align some stretches; `best` keeps each text's and item's best reported score and its place."""
+        items = [self.items[i] for _, _, i, _ in some]
+        windows = [numbers[p : p + n] for n, _, _, p in some]
+        score, end_i, end_w = align(items, windows)
+        for k, (_, d, i, p) in enumerate(some):
+            s = float(score[k]) / len(items[k])
+            if s >= REPORT_AT and s > best.get((d, i), (0.0,))[0]:
+                _, _, back = align([items[k][: end_i[k]][::-1]], [windows[k][: end_w[k]][::-1]])
+                end = int(p - starts[d] + end_w[k])
+                best[d, i] = (s, end - int(back[0]), end)
 
 
 def _groups(key: np.ndarray, value: np.ndarray):
@@ -239,7 +273,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Dat
     found = F.array().cast(LEAKS)
     for index in _blocks(benchmark):
         held = sc.broadcast(index)
-        index.keep_rare(_frequencies(docs, held, len(index.keys), text))
+        index.mark_rare(_frequencies(docs, held, len(index.keys), text))
         held = sc.broadcast(index)
         found = F.concat(found, _search(held)(F.col(text)))
     return docs.withColumn("leaks", found)
