@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
 
 from tidings.llm import suffix as S
 
@@ -56,3 +57,36 @@ def test_equal_rows_and_null_ids(spark):
     df = spark.createDataFrame([(1, text), (1, text), (None, text), (None, text + " more")], "doc_id long, text string")
     got = sorted((r.doc_id is None, r.n_removed) for r in S.digest(df).collect())
     assert got == [(False, 0), (False, len(text)), (True, len(text)), (True, len(text))]
+
+
+def shared_passage(n):
+    """n documents that share a passage of 250 letters amid text of their own."""
+    rng = random.Random(7)
+    some = lambda k: "".join(rng.choice("abcdefghijklmnop") for _ in range(k))
+    passage = some(250)
+    return [(i, some(rng.randrange(90, 200)) + passage + some(rng.randrange(90, 200))) for i in range(n)]
+
+
+def test_a_passage_in_many_surroundings_loads_no_single_receiver():
+    bits, parts = 20, 12
+    pdf = pd.DataFrame([(i, i, t.encode()) for i, t in shared_passage(400)], columns=["_id", "_tie", "_text"])
+
+    def loads(limit):
+        sketch = S._sketch(bits, parts)((0,), pdf)
+        answers = pd.concat([S._merged_sketch(limit)((k,), rows) for k, rows in sketch.groupby("to")])
+        s = S.Suffixes(S.Group(pdf), S.sections(answers), bits, parts)
+        return np.bincount(s.to[s.new], minlength=parts) + np.bincount(s.strings.to[s.strings.new], minlength=parts)
+
+    assert loads(10**9).max() * 4 > loads(10**9).sum()
+    assert loads(200).max() * 6 < loads(200).sum()
+
+
+def test_hot_anchors_answer_like_others(spark):
+    rng = random.Random(8)
+    pool = ["".join(rng.choice("abcdefghij é") for _ in range(k)) for k in (120, 99, 300)]
+    rows = shared_passage(60) + [(100 + i, "".join(rng.choice(pool) + "xyz"[i % 3] * rng.choice([0, 1, 60]) for _ in range(4))) for i in range(60)]
+    rows += [(200, None), (201, ""), (202, "ab" * 3000), (203, rows[0][1]), (-5, rows[1][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for limit in (2, 20, S.HOT):
+        got = S.dedup_bytes(df, hot_from=limit).collect()
+        assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in got) == sorted(brute(rows))

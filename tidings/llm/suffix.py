@@ -7,6 +7,10 @@ around the anchor can reach. Each group of documents sorts its suffixes, keeps o
 as one run for each receiver; suffixes with the same GRAM bytes share a receiver. A receiver merges its runs with a loser
 tree that keeps the common prefix of every loser with its winner and never compares those bytes again; the merged order
 and its common prefixes tell, for each suffix and each offset, whether the string at that offset occurs earlier.
+
+GRAM bytes that a great many anchors share would load one receiver. The counts of the sketch tell every sender which these
+are; instead of their suffixes it sends the hashes of the strings themselves, each once, so that strings are dealt by all
+their bytes and a receiver gets any of them at most once from each group.
 """
 
 from __future__ import annotations
@@ -16,9 +20,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidings.llm.blobs import dealt, join_blobs, ordered, pack, pack_sorted, sections, sizing, split_blobs, unpack, unpack_bits, window_hashes
+from tidings.llm.blobs import dealt, join_blobs, ordered, pack, pack_bits, pack_sorted, sections, sizing, split_blobs, unpack, unpack_bits, unpack_sorted, window_hashes
 from tidings.llm.common import mix64
-from tidings.llm.substr import ANSWER, MESSAGE, _cuts, _merged_sketch
+from tidings.llm.substr import ANSWER, MESSAGE, _cuts
 
 LENGTH = 100  # bytes of a string
 GRAM = 32  # bytes hashed for anchors
@@ -28,7 +32,9 @@ WHOLE = LENGTH + LEFT
 PAD = 0xFF  # in no UTF-8 text
 SPREAD = 16  # counters for each anchor, about
 CHUNK = 1 << 17
+HOT = 20_000  # anchors with the same GRAM bytes from which their strings travel by themselves
 BYTES = mix64(np.arange(1, 257, dtype=np.uint64))
+BYTES_TOO = mix64(np.arange(1001, 1257, dtype=np.uint64))
 MASK = (OFFSETS + 7) // 8  # bytes of a suffix's answer: a bit for each offset
 
 
@@ -43,12 +49,15 @@ class Group:
         inside = np.zeros(len(self.flat), dtype=bool)
         for s, n in zip(self.first, sizes):
             inside[s : s + max(0, n - LENGTH + 1)] = True
-        self.at, self.hash = _anchors(self.flat, inside)
+        self.at, self.hash, self.start, self.n = _anchors(self.flat, inside)
+
 
+def _anchors(flat: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors of all strings that start where `inside` holds: places, ascending, and hashes of their GRAM bytes.
 
-def _anchors(flat: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Anchors of all strings that start where `inside` holds: places, ascending, and hashes of their GRAM bytes."""
-    places, hashes = [], []
+    Besides, where the first string with each anchor starts, and how many do, one after another.
+    """
+    places, hashes, starts, counts = [], [], [], []
     for start in range(0, max(0, len(flat) - LENGTH + 1), CHUNK):
         want = inside[start : start + CHUNK]
         if not want.any():
@@ -62,13 +71,16 @@ def _anchors(flat: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarr
         if rest := OFFSETS - length:
             least = np.minimum(least[:-rest], least[rest:])
         chosen = (least[: len(want)][want[: len(least)]] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        chosen = chosen[np.diff(chosen, prepend=-1) != 0]
+        heads = np.flatnonzero(np.diff(chosen, prepend=-1))
+        starts.append(np.flatnonzero(want)[heads] + start)
+        counts.append(np.diff(heads, append=len(chosen)))
+        chosen = chosen[heads]
         places.append(chosen + start)
         hashes.append(h[chosen])
     if not places:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     at, keep = np.unique(np.concatenate(places), return_index=True)  # a chunk's last anchor may be the next one's first
-    return at, mix64(np.concatenate(hashes)[keep])
+    return at, mix64(np.concatenate(hashes)[keep]), np.concatenate(starts)[keep], np.add.reduceat(np.concatenate(counts), keep)
 
 
 def _sketch(bits: int, parts: int):
@@ -78,21 +90,42 @@ def _sketch(bits: int, parts: int):
         at = _cuts(values, bits, parts)
         for k in np.flatnonzero(np.diff(at)):
             a = pack_sorted(values[at[k] : at[k + 1]])
-            out.append((k, "", key[0], len(a).to_bytes(4, "little") + a + pack(np.minimum(n[at[k] : at[k + 1]], 255).astype(np.uint8))))
+            out.append((k, "", key[0], len(a).to_bytes(4, "little") + a + pack(n[at[k] : at[k + 1]].astype(np.uint32))))
         return pd.DataFrame(out, columns=["to", "kind", "at", "data"])
 
     return run
 
 
+def _merged_sketch(limit: int):
+    """Adds up one range of the counters; answers each sender which of its own reached two, and which reached the limit."""
+
+    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        parts = []
+        for data in pdf["data"]:
+            n = int.from_bytes(data[:4], "little")
+            parts.append((unpack_sorted(data[4 : 4 + n]), unpack(data[4 + n :])))
+        uniques, inverse = np.unique(np.concatenate([v for v, _ in parts]), return_inverse=True)
+        total = np.bincount(inverse, weights=np.concatenate([c for _, c in parts]), minlength=len(uniques))[inverse]
+        ends = np.cumsum([len(v) for v, _ in parts])[:-1]
+        data = [join_blobs([pack_bits(a), pack_bits(b)]) for a, b in zip(np.split(total >= 2, ends), np.split(total >= limit, ends))]
+        return pd.DataFrame({"_group": pdf["at"], "kind": "sketch", "at": key[0], "data": data})
+
+    return run
+
+
 class Suffixes:
-    """The suffixes of a group at anchors that the sketch says occur again, sorted; `new` marks the first of equal ones."""
+    """The suffixes of a group at anchors that the sketch says occur again, sorted; `new` marks the first of equal ones.
+
+    Those at hot anchors are left out; `strings` has the strings of these.
+    """
 
     def __init__(self, g: Group, answers: dict, bits: int, parts: int):
         values, inverse = np.unique(g.hash >> np.uint64(64 - bits), return_inverse=True)
-        at, flags = _cuts(values, bits, parts), np.zeros(len(values), dtype=bool)
+        at, flags, hot = _cuts(values, bits, parts), np.zeros(len(values), dtype=bool), np.zeros(len(values), dtype=bool)
         for k in np.flatnonzero(np.diff(at)):
-            flags[at[k] : at[k + 1]] = unpack_bits(answers["sketch", k])
-        some = np.flatnonzero(flags[inverse])
+            flags[at[k] : at[k + 1]], hot[at[k] : at[k + 1]] = map(unpack_bits, split_blobs(answers["sketch", k]))
+        some = np.flatnonzero((flags & ~hot)[inverse])
+        self.strings = Strings(g, np.flatnonzero(hot[inverse]), parts)
         place = g.at[some]
         doc = np.searchsorted(g.first, place, side="right") - 1
         text = _suffixes(g.flat, place, g.first[doc], g.first[doc + 1])
@@ -103,6 +136,38 @@ class Suffixes:
         self.to = _receiver(g.hash[some][order], parts)
 
 
+class Strings:
+    """The strings whose anchors are hot, each by the hashes of its bytes (96 bits), sorted; of equal ones the first comes first."""
+
+    def __init__(self, g: Group, hot: np.ndarray, parts: int):
+        n = g.n[hot]
+        start = np.repeat(g.start[hot] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        hashes, checks = _string_hashes(g.flat, start)
+        to = _receiver(hashes, parts)
+        order = np.lexsort((start, checks, hashes, to))
+        self.start, self.hash, self.check, self.to = start[order], hashes[order], checks[order], to[order]
+        self.doc = np.searchsorted(g.first, self.start, side="right") - 1
+        self.new = np.ones(len(order), dtype=bool)
+        self.new[1:] = (self.hash[1:] != self.hash[:-1]) | (self.check[1:] != self.check[:-1])
+
+    def sent(self, k: int) -> np.ndarray:
+        """The strings that receiver k gets from this group."""
+        own = np.arange(*np.searchsorted(self.to, [k, k + 1]))
+        return own[self.new[own]]
+
+
+def _string_hashes(flat: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes, of 64 and 32 bits, of the LENGTH bytes at each of the ascending places."""
+    hashes, checks = np.empty(len(start), dtype=np.uint64), np.empty(len(start), dtype=np.uint32)
+    edges = np.searchsorted(start, np.arange(0, len(flat) + CHUNK, CHUNK))
+    for k in np.flatnonzero(np.diff(edges)):
+        some, raw = slice(edges[k], edges[k + 1]), flat[k * CHUNK : (k + 1) * CHUNK + LENGTH - 1]
+        at = start[some] - k * CHUNK
+        hashes[some] = mix64(window_hashes(BYTES[raw], LENGTH)[at])
+        checks[some] = mix64(window_hashes(BYTES_TOO[raw], LENGTH)[at]) >> np.uint64(32)
+    return hashes, checks
+
+
 def _receiver(hashes: np.ndarray, parts: int) -> np.ndarray:
     """Receivers by the hash of the GRAM bytes, from other bits than the sketch's ranges."""
     return ((mix64(hashes) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
@@ -214,12 +279,16 @@ def _runs(bits: int, parts: int):
             g = Group(docs)
             s = Suffixes(g, sections(answers), bits, parts)
             firsts = np.flatnonzero(s.new)
-            for k in np.unique(s.to[firsts]):
+            for k in np.union1d(s.to[firsts], s.strings.to):
                 own = firsts[s.to[firsts] == k]
                 shared, rest = front_coded(s.text[own])
                 used, local = np.unique(s.doc[own], return_inverse=True)
                 place = (s.place[own] - g.first[s.doc[own]]).astype(np.uint32)
                 blobs = [pack(shared), pack(rest), pack(local.astype(np.uint32)), pack(place), pack(g.ids[used]), pack(g.ties[used])]
+                own = s.strings.sent(k)
+                used, local = np.unique(s.strings.doc[own], return_inverse=True)
+                place = (s.strings.start[own] - g.first[s.strings.doc[own]]).astype(np.uint32)
+                blobs += [pack_sorted(s.strings.hash[own]), pack(s.strings.check[own]), pack(local.astype(np.uint32)), pack(place), pack(g.ids[used]), pack(g.ties[used])]
                 out.append((k, "", key[0], join_blobs(blobs)))
         return pd.DataFrame(out, columns=["to", "kind", "at", "data"])
 
@@ -227,16 +296,41 @@ def _runs(bits: int, parts: int):
 
 
 def _merged_runs(key, pdf: pd.DataFrame) -> pd.DataFrame:
-    """Merges the runs of all senders and answers, for each suffix, at which offsets its string occurs earlier."""
+    """Answers, for each suffix, at which offsets its string occurs earlier, and, for each string of hot anchors, whether it does."""
+    blobs = [split_blobs(data) for data in pdf["data"]]
+    data = [join_blobs(x) for x in zip(_merged_suffixes([b[:6] for b in blobs]), _merged_strings([b[6:] for b in blobs]))]
+    return pd.DataFrame({"_group": pdf["at"], "kind": "suffix", "at": key[0], "data": data})
+
+
+def _merged_strings(senders: list[list[bytes]]) -> list[bytes]:
+    """For each string of each sender, whether another sender has it earlier."""
+    cols = [[], [], [], [], []]
+    for hashes, *rest in senders:
+        check, local, place, ids, ties = map(unpack, rest)
+        for c, x in zip(cols, (place, ties[local], ids[local], check, unpack_sorted(hashes))):
+            c.append(x)
+    ends = np.cumsum([len(x) for x in cols[0]])[:-1]
+    cols = [np.concatenate(c) for c in cols]
+    order = np.lexsort(cols)
+    check, hashes = cols[3][order], cols[4][order]
+    again = np.zeros(len(order), dtype=bool)
+    again[order[1:]] = (hashes[1:] == hashes[:-1]) & (check[1:] == check[:-1])
+    return [pack_bits(x) for x in np.split(again, ends)]
+
+
+def _merged_suffixes(senders: list[list[bytes]]) -> list[bytes]:
+    """Merges the runs of all senders; for each suffix, a mask of the offsets at which its string occurs earlier."""
     runs, cols = [], [[], [], []]
-    for data in pdf["data"]:
-        shared, rest, local, place, ids, ties = map(unpack, split_blobs(data))
+    for data in senders:
+        shared, rest, local, place, ids, ties = map(unpack, data)
         runs.append((shared.tolist(), decoded(shared, rest)))
         for c, x in zip(cols, (ids[local], ties[local], place)):
             c.append(x)
     sizes = [len(r[0]) for r in runs]
     begin = np.concatenate([[0], np.cumsum(sizes)])
     ids, ties, place = (np.concatenate(c) for c in cols)
+    if not len(ids):
+        return [pack(np.zeros(0, dtype=np.uint8))] * len(runs)
     rank = np.empty(len(ids), dtype=np.int64)
     rank[np.lexsort((place, ties, ids))] = np.arange(len(ids))
     run, at, shared = merged(runs)
@@ -249,8 +343,7 @@ def _merged_runs(key, pdf: pd.DataFrame) -> pd.DataFrame:
     masks = np.full((len(ids), MASK), 0xFF, dtype=np.uint8)
     lead = rank[entry] == first[kind]
     masks[entry[lead]] = earlier[kind[lead]]
-    data = [pack(m.reshape(-1)) for m in np.split(masks, begin[1:-1])]
-    return pd.DataFrame({"_group": pdf["at"], "kind": "suffix", "at": key[0], "data": data})
+    return [pack(m.reshape(-1)) for m in np.split(masks, begin[1:-1])]
 
 
 def _earlier(text: np.ndarray, right: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -293,17 +386,19 @@ def _earlier(text: np.ndarray, right: np.ndarray, rank: np.ndarray) -> np.ndarra
 def _removed(g: Group, s: Suffixes, answers: dict) -> np.ndarray:
     """Which bytes of the group go."""
     firsts = np.flatnonzero(s.new)
-    masks = np.full((len(s.place), OFFSETS), True)
-    for k in np.unique(s.to[firsts]):
+    masks, again = np.full((len(s.place), OFFSETS), True), ~s.strings.new
+    for k in np.union1d(s.to[firsts], s.strings.to):
         own = firsts[s.to[firsts] == k]
-        masks[own] = np.unpackbits(unpack(answers["suffix", k]).reshape(-1, MASK), axis=1)[:, :OFFSETS]
+        mask, earlier = split_blobs(answers["suffix", k])
+        masks[own] = np.unpackbits(unpack(mask).reshape(-1, MASK), axis=1)[:, :OFFSETS]
+        again[s.strings.sent(k)] = unpack_bits(earlier)
     begin, end = g.first[s.doc], g.first[s.doc + 1]
     full = masks.all(axis=1)
     lo, hi = np.maximum(s.place - LEFT, begin)[full], np.minimum(s.place, end - LENGTH)[full]
     i, o = np.nonzero(masks & ~full[:, None])
     n = len(g.flat) + LENGTH + 1
-    up = np.concatenate([lo[hi >= lo], s.place[i] - o])
-    down = np.concatenate([hi[hi >= lo], s.place[i] - o]) + LENGTH
+    up = np.concatenate([lo[hi >= lo], s.place[i] - o, s.strings.start[again]])
+    down = np.concatenate([hi[hi >= lo], s.place[i] - o, s.strings.start[again]]) + LENGTH
     return np.cumsum(np.bincount(up, minlength=n) - np.bincount(down, minlength=n))[: len(g.flat)] > 0
 
 
@@ -323,18 +418,19 @@ def _finish(bits: int, parts: int):
     return run
 
 
-def dedup_bytes(docs: DataFrame, *, text: str = "text") -> DataFrame:
+def dedup_bytes(docs: DataFrame, *, text: str = "text", hot_from: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans (maximal removed runs) and `kept` (the bytes left) for each row of `docs`.
 
     A byte goes if a LENGTH-byte string around it starts earlier elsewhere too: in a document of smaller id, or earlier in
     the same. Null ids come last; rows of equal id are ordered by a hash of their text, and of fully equal rows one, no
     matter which, counts as the first. Null texts count as empty; shorter texts keep all bytes; other columns are not read.
+    `hot_from` decides by which way strings are compared, and nothing else.
     """
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     n, parts = sizing(size)
     bits = min(48, max(20, int(np.ceil(np.log2(1 + SPREAD * size / (OFFSETS / 2))))))
     groups = dealt(docs, n, text).groupBy("_group")
-    hot = groups.applyInPandas(_sketch(bits, parts), MESSAGE).groupBy("to").applyInPandas(_merged_sketch, ANSWER)
+    hot = groups.applyInPandas(_sketch(bits, parts), MESSAGE).groupBy("to").applyInPandas(_merged_sketch(hot_from), ANSWER)
     runs = groups.cogroup(hot.groupBy("_group")).applyInPandas(_runs(bits, parts), MESSAGE)
     answers = hot.unionByName(runs.groupBy("to").applyInPandas(_merged_runs, ANSWER))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
