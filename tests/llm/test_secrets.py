@@ -41,6 +41,40 @@ def test_lexer_propagates_constants():
     assert len([x for x in S.find_secrets(inside) if x["kind"] == "lexed"]) == 2
 
 
+def literals(text):
+    return [text[x["start"] : x["end"]] for x in S.find_secrets(text) if x["kind"] == "lexed"]
+
+
+SECRET = "Tr0ub4dor9xyzQ"
+
+
+@pytest.mark.parametrize("kind", [": str", ": String", ": string", ":str", ": Optional[str]", ": str | None", ": dict[str, list[str]]", "?: string", ": String?", ": &'static str", " : std::string", " string"])
+def test_typed_declarations(kind):
+    assert SECRET in literals(f'let db_password{kind} = "{SECRET}"\n')
+    assert literals(f'part{kind} = "{SECRET}"\ndb_pwd = part\n') == [SECRET]
+
+
+def test_labels_hide_no_names():
+    assert literals(f'note: signing_key = "{SECRET}"') == [SECRET]
+    assert literals(f'colour: str = "{SECRET}"\nnext: string = "{SECRET}"') == []
+
+
+@pytest.mark.parametrize("blanks", [1, 8, 9, 40, 300])
+def test_aligned_columns(blanks):
+    assert literals(f'signing_key{" " * blanks}= "{SECRET}"\nsigning_key{chr(9) * blanks}:{" " * blanks}str{" " * blanks}= "{SECRET}"') == [SECRET] * 2
+
+
+@pytest.mark.parametrize("expression", ['"{}" + suffix', 'prefix + "{}"', 'f(g(1))[0] + "{}" + suffix', '"{}" + f(1)', '"{}" + 1', 'a.b() + c + "{}"', "'{}' .. suffix", 'a + part'])
+def test_partly_constant_expressions(expression):
+    text = f'part = "{SECRET}"\n' * ("part" in expression) + f"signing_key = {expression.format(SECRET)}\n"
+    assert literals(text) == [SECRET]
+
+
+def test_assignments_within_unknown_parts_and_bare_values():
+    assert literals(f'x = "abc" + connect(signing_key="{SECRET}") + "d"') == [SECRET]
+    assert literals("signing_key = Tr0ub4dor9+xyzQ/ab+cd\n") == ["Tr0ub4dor9+xyzQ/ab+cd"]
+
+
 def test_query_rows_edges_and_clashing_columns(spark, sf):
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("secrets", T.StringType())])
     rows = [(i, t, "x") for i, t in enumerate(CASES)] + [(None, CASES[3], None), (3, CASES[3], None)]

@@ -1,8 +1,8 @@
 """Secret scans by assignment-aware lexing.
 
 Three fixed patterns find keyed assignments, access keys and long hexadecimal runs. Besides, each text is read as source
-or configuration: every assignment operator gives a name and an expression of literals, names and concatenations;
-constants are carried from assignment to assignment; a literal is reported if the name that it reaches is sensitive and
+or configuration: every assignment operator gives a name, with or without a type, and an expression of literals, names and
+concatenations, in which parts of unknown value are passed over; constants are carried from assignment to assignment; a literal is reported if the name that it reaches is sensitive and
 the value looks like a credential.
 """
 
@@ -37,11 +37,13 @@ PLACEHOLDER = re.compile(r"(?i)^(?:change_?me|example|placeholder|none|null|true
 REPORT_AT = 0.5
 
 _OPERATOR = re.compile(r"[=:]")
-_NAME_BEFORE = re.compile(r"""["']?([A-Za-z_][A-Za-z0-9_.-]{0,63})["']?\]?[ \t]{0,8}$""")
+_NAME_BEFORE = re.compile(r"""["']?([A-Za-z_][A-Za-z0-9_.-]{0,63})["']?\]?$""")
+_TYPE_BEFORE = re.compile(r"""(?::[ \t]*&?(?:'[a-z_]+[ \t]+)?(?:mut[ \t]+)?[A-Za-z_][A-Za-z0-9_.:]*(?:[\[<][A-Za-z0-9_.,|?"'\[\]<> \t]*[\]>])?(?:\[\])?[?!]?(?:[ \t]*\|[ \t]*[A-Za-z_][A-Za-z0-9_.]*)*|[ \t]string)$""")
 _ASSIGNS = re.compile(r"(?::=|=>|=(?![=~])|:(?![:/]))[ \t]*")
 _STRING = re.compile(r"""[rbfuRBFU]{0,2}(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`)""")
 _BARE = re.compile(r"[A-Za-z0-9+/_.=@!#%^&*~?-]+")
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*")
+_OPERAND = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*(?:\((?:[^()\n]|\([^()\n]*\))*\)|\[[^\[\]\n]*\])*")  # a name, call or element of unknown value
 _PLUS = re.compile(r"[ \t]*(?:\+|\.\.)[ \t]*")
 _INSERT = re.compile(r"\$?\{([A-Za-z_][A-Za-z0-9_.]*)\}")
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
@@ -66,9 +68,41 @@ def literal_score(value: str) -> float:
     return min(1.0, entropy / 3.0) * min(1.0, n / 12) * (0.8 if classes == 2 else 1.0)
 
 
+def _names_before(text: str, at: int) -> list[str]:
+    """Names that may be what an operator at `at` assigns to: the one before it, and the one of which that is the type."""
+    at = _blanks_before(text, at)
+    names = _NAME_BEFORE.findall(text, max(0, at - 80), at)
+    begin = at
+    for _ in range(4):  # 160 characters, and runs of blanks whole
+        begin = _blanks_before(text, max(0, begin - 40))
+    if kind := _TYPE_BEFORE.search(text, begin, at):
+        at = _blanks_before(text, kind.start())
+        at -= text[at - 1 : at] == "?"
+        names += _NAME_BEFORE.findall(text, max(0, at - 80), at)
+    return names
+
+
+def _blanks_before(text: str, at: int) -> int:
+    while at and text[at - 1] in " \t":
+        at -= 1
+    return at
+
+
+def _constant_later(text: str, at: int, known: dict) -> bool:
+    """Whether a concatenation that begins with a part of unknown value has a string or a known constant further on."""
+    while (m := _OPERAND.match(text, at)) and (plus := _PLUS.match(text, m.end())):
+        at = plus.end()
+        if _STRING.match(text, at) or ((m := _NAME.match(text, at)) and m[0] in known):
+            return True
+    return False
+
+
 def _expression(text: str, at: int, known: dict) -> tuple[str | None, list[tuple[int, int]], int]:
-    """Value, the literals it is made of, and the end of the expression at `at`. Value None: not constant."""
-    value, literals, quoted = "", [], False
+    """Value, the literals it is made of, and the end of the expression at `at`. Value None: nothing constant in it.
+
+    Parts of unknown value add nothing; an expression that has some ends where it begins, as they may hold assignments.
+    """
+    value, literals, quoted, begin, whole = "", [], False, at, True
     while True:
         if m := _STRING.match(text, at):
             g = next(k for k in (1, 2, 3) if m[k] is not None)
@@ -82,12 +116,14 @@ def _expression(text: str, at: int, known: dict) -> tuple[str | None, list[tuple
             value += known[m[0]][0]
             literals += known[m[0]][1]
             at = m.end()
-        elif not quoted and not value and (m := _BARE.match(text, at)):
+        elif not literals and whole and not _constant_later(text, at, known) and (m := _BARE.match(text, at)):
             return m[0], [(m.start(), m.end())], m.end()
+        elif m := _OPERAND.match(text, at):
+            at, whole = m.end(), False
         else:
-            return None, [], at
+            return value if literals else None, literals, begin
         if not (m := _PLUS.match(text, at)):
-            return value, literals, at
+            return value if literals else None, literals, at if whole else begin
         at = m.end()
 
 
@@ -99,16 +135,16 @@ def lexed(text: str) -> list[tuple[int, int, str, float]]:
     for op in _OPERATOR.finditer(text):
         if op.start() < done:
             continue
-        before = _NAME_BEFORE.search(text, max(0, op.start() - 80), op.start())
         m = _ASSIGNS.match(text, op.start())
-        if not before or not m:
+        names = _names_before(text, op.start()) if m else []
+        if not names:
             continue
         value, literals, end = _expression(text, m.end(), known)
         if value is None or not literals:
             continue
-        name, quoted = before[1], text[literals[-1][0] - 1 : literals[-1][0]] in ('"', "'", "`")
+        name, quoted = max(names, key=name_weight), text[literals[-1][0] - 1 : literals[-1][0]] in ('"', "'", "`")
         if quoted or len(literals) > 1:
-            known[name] = (value, literals)
+            known |= dict.fromkeys(names, (value, literals))
             done = end
         score = name_weight(name) * literal_score(value)
         if score >= REPORT_AT:
