@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidings.operators import backfill, catalog, changes, enrich, merge, quality
-from tidings.plans import flows
+from tidings.plans import flows, queries
 from tidings.schemas import ATTACHMENTS, CATEGORY, NOTICE, SOURCE
 from tidings.session import load_config
 from tidings.sources.fetching import fetch_from_table
@@ -79,6 +79,19 @@ def test_update_check_branches(spark):
     assert kept.where("isDeleted").count() == 0 and kept.where("consecutiveFailures = 2").count() == 1
 
 
+def test_update_check_query_covers_notices_without_a_hash(spark, sf):
+    duckdb = pytest.importorskip("duckdb")
+    got = {r.doc_id: tuple(r) for r in queries.QUERIES["q47b_update_check_unhashed"](spark, sf).collect()}
+    with duckdb.connect() as c:
+        c.execute(f"CREATE VIEW documents AS FROM '{sf}/documents.parquet'")
+        want = {r[0]: r for r in c.execute(queries.ORACLE_SQL["q47b_update_check_unhashed"]).fetchall()}
+    assert got == want
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id % 10 <> 0 AND doc_id % 13 = 0").collect()
+    missing = {r.doc_id for r in docs if r.doc_id % 17 == 0 or r.source == "src3" or r.doc_id % 19 == 0}
+    assert docs and missing < {r.doc_id for r in docs} <= set(got)
+    assert {r.doc_id for r in docs if got[r.doc_id][1] is None} == missing
+
+
 def test_store_versions(spark, tmp_path):
     store = merge.Store(spark, str(tmp_path / "notices"))
     assert store.version() == 0 and store.read().count() == 0
