@@ -97,3 +97,20 @@ def test_components(spark, monkeypatch, small):
     edges = [(i, i + 1) for i in range(60)] + [(100, 101), (100, 102), (7, 7), (200, 199)]
     got = dict(map(tuple, graph.components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 102: 100, 199: 199, 200: 199}
+
+
+def test_sets_of_members_pass_no_driver(spark, monkeypatch):
+    texts = [" ".join(f"{k}w{i}" for i in range(30)) for k in range(6)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, texts[0], None])], "doc_id long, text string")
+    sets = {J.node_name(s): s.tobytes() for s in J.shingle_sets([t.encode() for t in texts])}
+    some = sorted(sets)[:3]
+    members = spark.createDataFrame([(n,) for n in some], "node long")
+
+    def refuse(*_, **__):
+        raise AssertionError("names were sent to the driver")
+
+    with monkeypatch.context() as m:
+        for name in ("toLocalIterator", "collect", "toPandas"):
+            m.setattr(type(docs), name, refuse)
+        found = J._sets_of(docs, members, "text")
+    assert sorted((r["_sn"], bytes(r["set"])) for r in found.collect()) == sorted((n, sets[n]) for n in some)

@@ -29,7 +29,7 @@ HASHES = BANDS * BAND
 STEP = 16  # values compared at a time
 TOLERANCE = 1e-7
 BLOCK = 512  # nodes
-MEMBERS = 2_000_000  # node names, counted, that may be broadcast (8 bytes each); beyond, the texts' sets are joined
+MEMBERS = 0  # node names that may be broadcast: none, the texts' sets are always joined
 DENSE = 4096  # pairs left in a pair of blocks from which they are verified by a matrix product
 MIX_A = (mix64(np.arange(1, HASHES + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 MIX_B = (mix64(np.arange(1001, HASHES + 1001, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
@@ -216,11 +216,8 @@ def _task(rows: list[tuple], least: list[int]) -> np.ndarray:
 
 
 def _sets_of(docs: DataFrame, members: DataFrame, text: str) -> DataFrame:
-    """(node, set) of the members, each once. Their names are broadcast if few enough; else the sets are joined to them."""
+    """(node, set) of the members, each once; nothing passes through the driver."""
     raw = docs.select(F.coalesce(text, F.lit("")).cast("binary").alias("t"))
-    names = None
-    if members.count() <= MEMBERS:
-        names = docs.sparkSession.sparkContext.broadcast(np.sort(np.array([r["node"] for r in members.select("node").toLocalIterator()], dtype=np.int64)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sent: set[int] = set()
@@ -230,15 +227,13 @@ def _sets_of(docs: DataFrame, members: DataFrame, text: str) -> DataFrame:
                 for s in shingle_sets([bytes(t) for t in b["t"].iloc[at : at + 128]]):
                     if len(s):
                         node = node_name(s)
-                        wanted = names is None or ((i := int(np.searchsorted(names.value, node))) < len(names.value) and names.value[i] == node)
-                        if wanted and node not in sent:
+                        if node not in sent:
                             sent.add(node)
                             out.append((node, s.tobytes()))
                 yield pd.DataFrame(out, columns=["_sn", "set"])
 
     sets = raw.mapInPandas(run, "_sn long, set binary")
-    if names is None:
-        sets = sets.join(members.select(F.col("node").alias("_m")), F.col("_sn") == F.col("_m"), "left_semi")
+    sets = sets.join(members.select(F.col("node").alias("_m")), F.col("_sn") == F.col("_m"), "left_semi")
     return sets.groupBy("_sn").agg(F.first("set").alias("set"))
 
 
