@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 import pytest
 from pyspark.sql import types as T
@@ -90,3 +92,88 @@ def test_query_rows_edges_and_clashing_columns(spark, sf):
     texts = {r.doc_id: r.text for r in docs.collect()}
     for r in S.digest(docs).collect():
         assert (r.n_assign, r.n_access, r.n_hex, r.base_sha256) == brute(texts[r.doc_id])[:4]
+
+
+CASES_OF_SYNTAX = {
+    "a comment's constants stay in it": (f'# base = "{SECRET}"\ndb_pwd = base\n', []),
+    "a comment is read": (f'# db_pwd = "{SECRET}"\n', [SECRET]),
+    "comments between": (f'/* x */ db_pwd = ( /* old */ "{SECRET}");', [SECRET]),
+    "function scope": (f'def f():\n    k = "{SECRET}"\n    return k\n\ndb_pwd = k\n', []),
+    "within a function": (f'def f():\n    k = "{SECRET}"\n    db_pwd = k\n', [SECRET]),
+    "block scope": (f'function f() {{ const k = "{SECRET}"; }}\nconst db_pwd = k;\n', []),
+    "outer constant": (f'let k = "{SECRET}";\nfunction f() {{ const db_pwd = k; }}\n', [SECRET]),
+    "changed in a block": (f'let k = "";\nif (x) {{ k = "{SECRET}"; }}\nconst db_pwd = k;\n', [SECRET]),
+    "nested JSON": (f'{{"aws": {{"secret": {{"value": "{SECRET}"}}}}}}', [SECRET]),
+    "JSON": (f'{{"signing_key": "{SECRET}", "other": "Zz9-qqqqqqqq"}}', [SECRET]),
+    "nested YAML": (f"signing_key:\n  value: {SECRET}\nother:\n  value: Abcdef123456z\n", [SECRET]),
+    "YAML block": (f"signing_key: |\n  {SECRET}\nx: y\n", [SECRET]),
+    "multi-line string": (f'db_pwd = """\n{SECRET}\n"""\n', [SECRET]),
+    "shell": (f"BASE={SECRET}\nexport DB_PWD=$BASE\n", [SECRET]),
+    "shell braces": (f'BASE={SECRET}\nexport DB_PWD="${{BASE}}"\n', [SECRET, "${BASE}"]),
+    "section": (f"[credentials]\nmain = {SECRET}\n", [SECRET]),
+    "properties": (f"app.signing.key={SECRET}\n", [SECRET]),
+    "adjacent strings": ('db_pwd = ("Tr0ub4"\n   # c\n   "dor9xyzQ")\n', ["Tr0ub4", "dor9xyzQ"]),
+    "continued line": ('db_pwd = "Tr0ub4" \\\n   + "dor9xyzQ"\n', ["Tr0ub4", "dor9xyzQ"]),
+    "two names": (f'a = db_pwd = "{SECRET}"\n', [SECRET]),
+    "inside a string": (f'conn = "host=h;pwd={SECRET};x=1"\n', [SECRET]),
+    "escaped JSON": (f'x = "{{\\"signing_key\\": \\"{SECRET}\\"}}"', [SECRET]),
+    "apostrophes": (f"don't use signing_key = {SECRET} here, it's bad\n", [SECRET]),
+    "fallback": (f'db_pwd = os.environ or "{SECRET}"\n', [SECRET]),
+    "element": (f'config["db_pwd"] = "{SECRET}"\n', [SECRET]),
+    "argument": (f'connect(host="h", pwd="{SECRET}")\n', [SECRET]),
+    "an address is none": ("token:\n  endpoint: https://auth.example.com/v1x\n", []),
+    "a long name": ("n" * 100 + f'_signing_key = "{SECRET}"\n', [SECRET]),
+    "no assignment": (f'if db_pwd != "{SECRET}": pass\n', []),
+}
+
+
+@pytest.mark.parametrize("case", CASES_OF_SYNTAX)
+def test_syntax(case):
+    text, want = CASES_OF_SYNTAX[case]
+    assert literals(text) == want
+
+
+def test_constants_that_grow_stay_cheap():
+    doubled = 'a0 = "Zx9!kQ7v"\n' + "".join(f"a{i + 1} = a{i} + a{i}\n" for i in range(60)) + "db_pwd = a60\n"
+    appended = 's = "Zx9!kQ7v"\n' + 's = s + "bB1-"\n' * 20_000 + "db_pwd = s\n"
+    long = ["a=" * 100_000, "a=b/c" * 50_000, "a: {" * 50_000, '="' * 50_000, "# " * 50_000, "x = f(" * 20_000, "a" + " " * 100_000 + "=1", "x = " + "b + " * 50_000]
+    began = time.process_time()
+    assert literals(doubled) == ["Zx9!kQ7v"]
+    assert time.process_time() - began < 2
+    began = time.process_time()
+    assert len(literals(appended)) == 20_001
+    assert time.process_time() - began < 4
+    for text in long:
+        began = time.process_time()
+        S.find_secrets(text)
+        assert time.process_time() - began < 4
+
+
+def test_propagation_equals_an_interpreter():
+    """Random programs: what an interpreter carries to sensitive names is what is reported."""
+    rng = random.Random(6)
+    for _ in range(150):
+        names = ["v0", "v1", "v2", "db_pwd", "api_token_x", "colour"]
+        values, text, best = {}, "", {}
+        for _ in range(rng.randint(3, 25)):
+            target, parts, value = rng.choice(names), [], ("", frozenset())
+            at = len(text) + len(target) + 3
+            for k in range(rng.randint(1, 3)):
+                at += 3 * bool(k)
+                known = [n for n in values if n in names]
+                if known and rng.random() < 0.5:
+                    n = rng.choice(known)
+                    parts.append(n)
+                    value = (value[0] + values[n][0], value[1] | values[n][1])
+                else:
+                    word = "".join(rng.choice("aB3-xY7q") for _ in range(rng.randint(1, 9)))
+                    parts.append(f'"{word}"')
+                    value = (value[0] + word, value[1] | {(at + 1, at + 1 + len(word))})
+                at += len(parts[-1])
+            text += f"{target} = {' + '.join(parts)}\n"
+            values[target] = value
+            score = S.name_weight(target) * S.literal_score(value[0])
+            for span in value[1]:
+                best[span] = max(best.get(span, 0), score)
+        want = {span: round(s, 4) for span, s in best.items() if s >= S.REPORT_AT}
+        assert {(s, e): v for s, e, _, v in S.lexed(text)} == want

@@ -69,6 +69,14 @@ def join_small(left: DataFrame, right: DataFrame, on: Column, how: str = "left",
     return left.join(right, on, how)
 
 
+def free_name(name: str, *frames: DataFrame) -> str:
+    """A column name that none of the tables has, in any case of letters."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective mixer of 64-bit integers (the finaliser of SplitMix64)."""
     x = x.astype(np.uint64, copy=True)

@@ -1,22 +1,25 @@
 """Secret scans by assignment-aware lexing.
 
-Three fixed patterns find keyed assignments, access keys and long hexadecimal runs. Besides, each text is read as source
-or configuration: every assignment operator gives a name, with or without a type, and an expression of literals, names and
-concatenations, in which parts of unknown value are passed over; constants are carried from assignment to assignment; a literal is reported if the name that it reaches is sensitive and
-the value looks like a credential.
+Three fixed patterns find keyed assignments, access keys and long hexadecimal runs. Besides, `lexing` reads each text as
+source or configuration into pairs of names and literals, through comments, multi-line strings, nested keys and sections,
+and carries constants from assignment to assignment; a literal is reported if a name that it reaches is sensitive and the
+value looks like a credential.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidings.llm.common import free_name
+from tidings.llm.lexing import Lexer, Value, literal_value
+
 # The base patterns and their least lengths.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -35,20 +38,13 @@ SENSITIVE = {
 #: Values that stand for a secret without being one.
 PLACEHOLDER = re.compile(r"(?i)^(?:change_?me|example|placeholder|none|null|true|false|todo|your[-_ ].*|x{4,}|\*{3,}|<.*>|\$\{.*\}|%\(.*\)s)$")
 REPORT_AT = 0.5
+INHERITED = 0.75  # weight of a section, key or object around a name
 
-_OPERATOR = re.compile(r"[=:]")
-_NAME_BEFORE = re.compile(r"""["']?([A-Za-z_][A-Za-z0-9_.-]{0,63})["']?\]?$""")
-_TYPE_BEFORE = re.compile(r"""(?::[ \t]*&?(?:'[a-z_]+[ \t]+)?(?:mut[ \t]+)?[A-Za-z_][A-Za-z0-9_.:]*(?:[\[<][A-Za-z0-9_.,|?"'\[\]<> \t]*[\]>])?(?:\[\])?[?!]?(?:[ \t]*\|[ \t]*[A-Za-z_][A-Za-z0-9_.]*)*|[ \t]string)$""")
-_ASSIGNS = re.compile(r"(?::=|=>|=(?![=~])|:(?![:/]))[ \t]*")
-_STRING = re.compile(r"""[rbfuRBFU]{0,2}(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`)""")
-_BARE = re.compile(r"[A-Za-z0-9+/_.=@!#%^&*~?-]+")
-_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*")
-_OPERAND = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*(?:\((?:[^()\n]|\([^()\n]*\))*\)|\[[^\[\]\n]*\])*")  # a name, call or element of unknown value
-_PLUS = re.compile(r"[ \t]*(?:\+|\.\.)[ \t]*")
-_INSERT = re.compile(r"\$?\{([A-Za-z_][A-Za-z0-9_.]*)\}")
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
+_ADDRESS = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://[^@\s]*$")
 
 
+@lru_cache(maxsize=10_000)
 def name_weight(name: str) -> float:
     """How sensitive a target name is, 0 to 1: the best of its parts and of neighbouring parts joined."""
     parts = [p for p in re.split(r"[^a-z0-9]+", _CAMEL.sub("_", name).lower()) if p]
@@ -56,102 +52,55 @@ def name_weight(name: str) -> float:
     return max((SENSITIVE.get(p, 0.0) for p in parts + joined), default=0.0)
 
 
-def literal_score(value: str) -> float:
+def value_score(value: Value) -> float:
     """How much a value looks like a credential, 0 to 1, by length, mixture of characters and entropy."""
-    n = len(value)
-    if n < 8 or PLACEHOLDER.match(value):
+    n = value.n
+    if n < 8 or PLACEHOLDER.match(value.edges) or any(c.isspace() for c in value.counts):
         return 0.0
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
-    classes = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", r"[^A-Za-z0-9\s]"))
-    if classes < 2 or re.search(r"\s", value):
+    entropy = math.log2(n) - sum(c * math.log2(c) for c in value.counts.values()) / n
+    kinds = {("a" if "a" <= c <= "z" else "A" if "A" <= c <= "Z" else "0" if "0" <= c <= "9" else "-") for c in value.counts}
+    if len(kinds) < 2:
         return 0.0
-    return min(1.0, entropy / 3.0) * min(1.0, n / 12) * (0.8 if classes == 2 else 1.0)
-
-
-def _names_before(text: str, at: int) -> list[str]:
-    """Names that may be what an operator at `at` assigns to: the one before it, and the one of which that is the type."""
-    at = _blanks_before(text, at)
-    names = _NAME_BEFORE.findall(text, max(0, at - 80), at)
-    begin = at
-    for _ in range(4):  # 160 characters, and runs of blanks whole
-        begin = _blanks_before(text, max(0, begin - 40))
-    if kind := _TYPE_BEFORE.search(text, begin, at):
-        at = _blanks_before(text, kind.start())
-        at -= text[at - 1 : at] == "?"
-        names += _NAME_BEFORE.findall(text, max(0, at - 80), at)
-    return names
-
-
-def _blanks_before(text: str, at: int) -> int:
-    while at and text[at - 1] in " \t":
-        at -= 1
-    return at
-
+    return min(1.0, entropy / 3.0) * min(1.0, n / 12) * (0.8 if len(kinds) == 2 else 1.0)
 
-def _constant_later(text: str, at: int, known: dict) -> bool:
-    """Whether a concatenation that begins with a part of unknown value has a string or a known constant further on."""
-    while (m := _OPERAND.match(text, at)) and (plus := _PLUS.match(text, m.end())):
-        at = plus.end()
-        if _STRING.match(text, at) or ((m := _NAME.match(text, at)) and m[0] in known):
-            return True
-    return False
 
+def literal_score(text: str) -> float:
+    return value_score(literal_value(text, 0, len(text)))
 
-def _expression(text: str, at: int, known: dict) -> tuple[str | None, list[tuple[int, int]], int]:
-    """Value, the literals it is made of, and the end of the expression at `at`. Value None: nothing constant in it.
 
-    Parts of unknown value add nothing; an expression that has some ends where it begins, as they may hold assignments.
-    """
-    value, literals, quoted, begin, whole = "", [], False, at, True
-    while True:
-        if m := _STRING.match(text, at):
-            g = next(k for k in (1, 2, 3) if m[k] is not None)
-            inner = m[g]
-            for x in _INSERT.finditer(inner):
-                literals += known.get(x[1], ("", []))[1]
-            value += _INSERT.sub(lambda x: known.get(x[1], (x[0], []))[0], inner)
-            literals.append((m.start(g), m.end(g)))
-            at, quoted = m.end(), True
-        elif (m := _NAME.match(text, at)) and m[0] in known:
-            value += known[m[0]][0]
-            literals += known[m[0]][1]
-            at = m.end()
-        elif not literals and whole and not _constant_later(text, at, known) and (m := _BARE.match(text, at)):
-            return m[0], [(m.start(), m.end())], m.end()
-        elif m := _OPERAND.match(text, at):
-            at, whole = m.end(), False
-        else:
-            return value if literals else None, literals, begin
-        if not (m := _PLUS.match(text, at)):
-            return value if literals else None, literals, at if whole else begin
-        at = m.end()
+def _told(value: Value, names: list[str], around: tuple[str, ...]) -> None:
+    """Note on a value the most sensitive name that it reaches. A name further out counts less, and not for plain addresses."""
+    name = max(names, key=name_weight)
+    weight = name_weight(name)
+    outer = max(around, key=name_weight, default="")
+    inherited = INHERITED * name_weight(outer) if outer else 0.0
+    if inherited > weight and not _ADDRESS.match(value.edges):
+        name, weight = f"{outer}.{name}", inherited
+    if not weight:
+        return
+    for v in value.parts if value.separate else (value,):
+        score = weight * value_score(v)
+        if score > v.best:
+            v.best, v.name = score, name
 
 
 def lexed(text: str) -> list[tuple[int, int, str, float]]:
     """Literals that reach a sensitive name: start, end, name, score."""
-    known: dict[str, tuple[str, list]] = {}
-    out: dict[tuple[int, int], tuple[str, float]] = {}
-    done = 0
-    for op in _OPERATOR.finditer(text):
-        if op.start() < done:
-            continue
-        m = _ASSIGNS.match(text, op.start())
-        names = _names_before(text, op.start()) if m else []
-        if not names:
-            continue
-        value, literals, end = _expression(text, m.end(), known)
-        if value is None or not literals:
+    if "=" not in text and ":" not in text:
+        return []
+    lexer = Lexer(text)
+    for names, around, value in lexer.pairs:
+        _told(value, names, around)
+    out: dict[tuple[int, int], tuple[float, str]] = {}
+    for v in reversed(lexer.values):  # what a value is made of was made before it
+        if v.best < REPORT_AT:
             continue
-        name, quoted = max(names, key=name_weight), text[literals[-1][0] - 1 : literals[-1][0]] in ('"', "'", "`")
-        if quoted or len(literals) > 1:
-            known |= dict.fromkeys(names, (value, literals))
-            done = end
-        score = name_weight(name) * literal_score(value)
-        if score >= REPORT_AT:
-            for span in literals:
-                if span[0] < span[1] and out.get(span, ("", 0.0))[1] < score:
-                    out[span] = (name, score)
-    return [(s, e, n, round(v, 4)) for (s, e), (n, v) in sorted(out.items())]
+        for part in v.parts:
+            if v.best > part.best:
+                part.best, part.name = v.best, v.name
+        if v.span and v.span[0] < v.span[1] and out.get(v.span, (0.0, ""))[0] < v.best:
+            out[v.span] = (v.best, v.name)
+    return [(s, e, n, round(score, 4)) for (s, e), (score, n) in sorted(out.items())]
 
 
 def find_secrets(text: str | None) -> list[dict]:
@@ -213,9 +162,14 @@ def _redacted(texts: pd.Series, spans: pd.Series) -> pd.Series:
 
 
 def redact_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` with each secret span of `text` replaced by a mark; overlapping spans count as one. Null stays null."""
-    scanned = docs.withColumn("_secrets", _secrets(F.col(text)))
-    return scanned.withColumn(text, _redacted(F.col(text), F.col("_secrets"))).drop("_secrets")
+    """`docs` with each secret span of `text` replaced by a mark; overlapping spans count as one.
+
+    Whole texts are read, however long. Null stays null, and empty texts and those without a secret stay as they are; equal
+    rows stay equal; an empty table stays empty; all other columns, whatever their names, are kept.
+    """
+    found = free_name("_secrets", docs)
+    scanned = docs.withColumn(found, _secrets(F.col(text)))
+    return scanned.withColumn(text, _redacted(F.col(text), F.col(found))).drop(found)
 
 
 def _joined(spans: Column) -> Column:
