@@ -52,12 +52,11 @@ def test_brute_force(spark, sf, monkeypatch):
     chain = " ".join(f"c{i}" for i in range(200)).split()
     texts += [" ".join(chain[i * 8 : i * 8 + 120]) for i in range(8)] + ["a b", "a b", "a b c d", "x", "one two three four five", "z " * 20_000, "z " * 19_000]
     rows = [*enumerate(texts), (900, None), (901, ""), (902, " \n"), (903, texts[0])]
-    df = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, n_links string")
+    df = spark.createDataFrame([(*r, "clash", 1) for r in rows], "doc_id long, text string, n_links string, _key int")
     want = brute(rows)
     assert sorted(map(tuple, J.digest(df).collect())) == want
     monkeypatch.setattr(J, "BLOCK", 4)
-    monkeypatch.setattr(J, "DENSE", 3)
-    monkeypatch.setattr(J, "MEMBERS", 0)
+    monkeypatch.setattr(J, "BUCKET", 3)
     assert sorted(map(tuple, J.digest(df).collect())) == want
     kept = J.keep_one(df)
     assert kept.columns == df.columns
@@ -86,11 +85,27 @@ def test_pruning_keeps_what_reaches_the_threshold():
         a = rng.integers(0, 2**63, 180).astype(np.uint64)
         b = np.concatenate([a[:160], rng.integers(0, 2**63, 20).astype(np.uint64)])  # 160 of 200
         s = J.signatures([np.unique(a), np.unique(b)])
-        x, _ = J.survivors(s, s, True, least)
-        lost += len(x) != 1
+        lost += len(J.survivors(s[0], s[1:], least)) != 1
     assert lost == 0
 
 
+def test_overlaps_equal_intersections():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 60).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base[rng.random(60) < 0.9], rng.integers(0, 40, rng.integers(0, 9)).astype(np.uint64)])) for _ in range(30)]
+    overlap = J.Overlap(sets)
+    for i, a in enumerate(sets):
+        got, want = overlap.common(i), [len(np.intersect1d(a, b)) for b in sets]
+        assert [x for j, x in enumerate(got.tolist()) if j != i] == [x for j, x in enumerate(want) if j != i]
+
+
+def test_hot_classes_are_looked_up_alike(spark, monkeypatch):
+    monkeypatch.setattr(J, "max", lambda *_: 2, raising=False)  # every key with over two rows counts as hot
+    t = " ".join(f"w{i}" for i in range(30))
+    df = spark.createDataFrame([(i, t + f" x{i % 7}") for i in range(40)] + [(99, None), (98, "")], "doc_id long, text string")
+    assert sorted(map(tuple, J.digest(df).collect())) == brute([tuple(r) for r in df.collect()])
+
+
 @pytest.mark.parametrize("small", [0, 10, 1_000_000])
 def test_components(spark, monkeypatch, small):
     monkeypatch.setattr(graph, "SMALL", small)

@@ -1,10 +1,14 @@
 """N-gram Jaccard join with Bayesian candidate pruning.
 
 A text is the set of its five-word shingles. Texts with equal sets are one node. Nodes that share a band of MinHash values
-are candidates; the candidates' connected families are cut into blocks by set size, and blocks of like size are paired.
-Within a pair of blocks MinHash values are compared a few at a time, and a pair of nodes is dropped as soon as the posterior
-probability (uniform prior, binomial evidence) that its similarity reaches the threshold falls below the tolerance; what
-is left is verified exactly on the shingles. Only links a node has, counted, and a spanning forest leave a task.
+are candidates: they meet in that band's bucket with their signatures alone, and MinHash values are compared a few at a
+time; a pair is dropped as soon as the posterior probability (uniform prior, binomial evidence) that its similarity reaches
+the threshold falls below the tolerance. What survives connects nodes to families; only their members' shingles are
+fetched, and within a family all pairs of like size that survive are verified exactly, in blocks. Only links a node has,
+counted, and spanning forests leave a task.
+
+A bucket with very many nodes is cut into blocks that share one leading node. Blocks of nodes that are then not yet of the
+bucket's largest family are compared with all blocks, so no pair is lost and none within one family is compared again.
 """
 
 from __future__ import annotations
@@ -14,12 +18,12 @@ from math import comb
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidings.llm.blobs import hashed_words, window_hashes
-from tidings.llm.common import arrow_batches, cut, mix64, partitions_of
+from tidings.llm.common import arrow_batches, cut, free_name, mix64, partitions_of
 from tidings.llm.graph import components
 
 SHINGLE = 5
@@ -28,9 +32,9 @@ BANDS, BAND = 32, 4  # a pair of similarity 0.8 shares no band with probability
 HASHES = BANDS * BAND
 STEP = 16  # values compared at a time
 TOLERANCE = 1e-7
-BLOCK = 512  # nodes
-MEMBERS = 0  # node names that may be broadcast: none, the texts' sets are always joined
-DENSE = 4096  # pairs left in a pair of blocks from which they are verified by a matrix product
+BUCKET = 4096  # nodes of a bucket that are compared in one task
+BLOCK, BLOCK_BYTES = 16_384, 32e6  # nodes of a family that are verified together, and bytes of their sets
+HOT_KEYS = 50_000  # classes or nodes that may be broadcast, each with over that part of all rows
 MIX_A = (mix64(np.arange(1, HASHES + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 MIX_B = (mix64(np.arange(1001, HASHES + 1001, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 
@@ -55,12 +59,12 @@ def node_name(s: np.ndarray) -> int:
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """A row of MinHash values (32 bits) for each set; none of the sets is empty."""
+    """A row of MinHash values (16 bits of each) for each set; none of the sets is empty."""
     flat, starts = np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
     high = (mix64(flat) >> np.uint64(32)).astype(np.uint32)
-    out = np.empty((HASHES, len(sets)), dtype=np.uint32)
+    out = np.empty((HASHES, len(sets)), dtype=np.uint16)
     for k in range(HASHES):  # odd factors permute the 32-bit numbers
-        out[k] = np.minimum.reduceat(high * MIX_A[k] + MIX_B[k], starts)
+        out[k] = np.minimum.reduceat(high * MIX_A[k] + MIX_B[k], starts) & np.uint32(0xFFFF)
     return np.ascontiguousarray(out.T)
 
 
@@ -80,73 +84,66 @@ def least_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) ->
     return out
 
 
-def survivors(a: np.ndarray, b: np.ndarray, same: bool, least: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows of two blocks of signatures that the evidence doesn't rule out. `same`: one block, each pair once."""
-    left, right, n = [], [], 0
-    for i in range(0, len(a), 64):  # 64 rows at a time bound the memory
-        part = a[i : i + 64]
-        match = np.zeros((len(part), len(b)), dtype=np.uint8)
-        for k in range(STEP):
-            match += part[:, k, None] == b[None, :, k]
-        ok = match >= least[0]
-        if same:
-            ok &= np.arange(i, i + len(part))[:, None] < np.arange(len(b))[None, :]
-        x, y = np.nonzero(ok)
-        n = match[x, y].astype(np.int64)
-        for step in range(1, len(least)):
-            if not len(x):
-                break
-            s = slice(step * STEP, (step + 1) * STEP)
-            n = n + (part[x, s] == b[y, s]).sum(axis=1)
-            keep = n >= least[step]
-            x, y, n = x[keep], y[keep], n[keep]
-        left.append(x + i)
-        right.append(y)
-    return np.concatenate(left or [np.zeros(0, dtype=np.int64)]), np.concatenate(right or [np.zeros(0, dtype=np.int64)])
-
-
-def verified(x: np.ndarray, y: np.ndarray, sets_a: list[np.ndarray], sets_b: list[np.ndarray], threshold: float = THRESHOLD) -> np.ndarray:
-    """Which of the pairs reach the threshold, exactly. Many pairs are counted at once, as products of 0/1 matrices."""
-    size_a, size_b = np.array([len(s) for s in sets_a]), np.array([len(s) for s in sets_b])
-    if len(x) < DENSE:
-        common = np.array([_common(sets_a[i], sets_b[j]) for i, j in zip(x, y)], dtype=np.int64)
-    else:
-        shared = np.intersect1d(np.concatenate(sets_a), np.concatenate(sets_b))
-        product = np.zeros((len(sets_a), len(sets_b)), dtype=np.float32)
-        for at in range(0, len(shared), 4096):
-            columns = shared[at : at + 4096]
-            product += _indicator(sets_a, columns) @ _indicator(sets_b, columns).T
-        common = product[x, y].astype(np.int64)
-    return common >= threshold * (size_a[x] + size_b[y] - common) - 1e-9
+def survivors(row: np.ndarray, others: np.ndarray, least: list[int]) -> np.ndarray:
+    """Which of the other signatures the evidence doesn't rule out for this one."""
+    at, n = np.arange(len(others)), 0
+    for step, enough in enumerate(least):
+        s = slice(step * STEP, (step + 1) * STEP)
+        n = n + (others[at, s] == row[s]).sum(axis=1)
+        keep = n >= enough
+        at, n = at[keep], n[keep]
+        if not len(at):
+            break
+    return at
 
 
-def _common(a: np.ndarray, b: np.ndarray) -> int:
-    return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+class Families:
+    """Nodes by family: `label`, and the pairs that joined two of them."""
 
+    def __init__(self, label: np.ndarray):
+        self.label, self.edges = label, []
 
-def _indicator(sets: list[np.ndarray], columns: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(sets), len(columns)), dtype=np.float32)
-    for i, s in enumerate(sets):
-        at = np.minimum(np.searchsorted(columns, s), len(columns) - 1)
-        out[i, at[columns[at] == s]] = 1
-    return out
+    def join(self, i: int, others: np.ndarray) -> None:
+        for other in np.unique(self.label[others]).tolist():
+            if other != self.label[i]:
+                self.edges.append((i, int(others[np.argmax(self.label[others] == other)])))
+                self.label[self.label == other] = self.label[i]
 
 
-def _forest(x: np.ndarray, y: np.ndarray, n: int) -> list[int]:
-    """Indexes of pairs that connect what all pairs connect."""
-    parent, out = list(range(n)), []
+class Overlap:
+    """Sizes of the intersections of sets with each other.
 
-    def find(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = i = parent[parent[i]]
-        return i
+    Shingles that more than half of the sets have are counted where they are missing instead: near copies differ in few,
+    and |A and B| = F - missing(A) - missing(B) + (shingles told of both), F being how many are counted this way.
+    """
 
-    for k, (i, j) in enumerate(zip(x.tolist(), y.tolist())):
-        i, j = find(i), find(j)
-        if i != j:
-            parent[i] = j
-            out.append(k)
-    return out
+    def __init__(self, sets: list[np.ndarray]):
+        self.n = len(sets)
+        flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        keys, column = np.unique(flat, return_inverse=True)
+        count = np.bincount(column)
+        often = count * 2 > len(sets)
+        self.often = int(often.sum())
+        usual = (count[column] > 1) & ~often[column]
+        has = np.zeros((len(sets), self.often), dtype=bool)
+        place = np.cumsum(often) - 1
+        has[owner[often[column]], place[column[often[column]]]] = True
+        miss_owner, miss = np.nonzero(~has)
+        self.missing = np.bincount(miss_owner, minlength=len(sets))
+        owner, column = np.concatenate([owner[usual], miss_owner]), np.concatenate([column[usual], len(keys) + miss])
+        order = np.lexsort((owner, column))
+        self.by_column, columns = owner[order], column[order]
+        self.ends = np.searchsorted(columns, np.arange(len(keys) + self.often + 1))
+        order = np.lexsort((column, owner))
+        self.of_row, self.row_ends = column[order], np.searchsorted(owner[order], np.arange(len(sets) + 1))
+
+    def common(self, row: int) -> np.ndarray:
+        """How many shingles a set shares with each other set."""
+        told = self.of_row[self.row_ends[row] : self.row_ends[row + 1]]
+        begin, length = self.ends[told], self.ends[told + 1] - self.ends[told]
+        at = np.repeat(begin - (np.cumsum(length) - length), length) + np.arange(length.sum())
+        both = np.bincount(self.by_column[at], minlength=self.n)
+        return self.often - self.missing[row] - self.missing + both
 
 
 def _documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -163,19 +160,17 @@ def _documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"_id": part["i"].astype("Int64").to_numpy(), "_row": part["r"].to_numpy(), "node": pd.array(node, dtype="Int64"), "size": [len(s) for s in sets], "sign": sign})
 
 
-def _compare(batches: Iterator[pd.DataFrame], least: list[int]) -> Iterator[pd.DataFrame]:
+def _by_task(batches: Iterator[pd.DataFrame], columns: list[str], work) -> Iterator[pd.DataFrame]:
     """Works on the tasks of a partition, whose members come one task after another; a batch's last task waits for the next batch."""
     rest: list[tuple] = []
 
     def done(rows: list[tuple]) -> Iterator[pd.DataFrame]:
-        found = []
-        for s, e in _stretches([r[0] for r in rows]):
-            found.append(_task(rows[s:e], least))
+        found = [x for s, e in _stretches([r[0] for r in rows]) if len(x := work(rows[s:e]))]
         if found:
             yield pd.DataFrame(np.concatenate(found), columns=["a", "b", "n"])
 
     for b in batches:
-        rest += list(zip(b["task"].tolist(), b["side"].tolist(), b["node"].tolist(), b["copies"].tolist(), b["sign"], b["set"]))
+        rest += list(zip(*(b[c].tolist() if b[c].dtype != object else b[c] for c in columns)))
         last = len(rest)
         while last and rest[last - 1][0] == rest[-1][0]:
             last -= 1
@@ -184,6 +179,31 @@ def _compare(batches: Iterator[pd.DataFrame], least: list[int]) -> Iterator[pd.D
     yield from done(rest)
 
 
+NOTHING = np.zeros((0, 3), dtype=np.int64)
+
+
+def _signs(rows: list[tuple], at: int) -> np.ndarray:
+    return np.frombuffer(b"".join(bytes(r[at]) for r in rows), dtype=np.uint16).reshape(-1, HASHES)
+
+
+def _connect(rows: list[tuple], least: list[int]) -> np.ndarray:
+    """A block of a bucket with itself, or with another: (a, b, number of pairs compared) for pairs that join two families."""
+    rows = sorted(rows, key=lambda r: (r[1], r[2]))
+    first = sum(r[1] == 0 for r in rows)
+    same = first == len(rows)
+    if first == 0 or len(rows) < 2:
+        return NOTHING
+    node, sign = np.array([r[2] for r in rows], dtype=np.int64), _signs(rows, 4)
+    _, label = np.unique(np.array([r[3] for r in rows], dtype=np.int64), return_inverse=True)
+    families, compared = Families(label), 0
+    for i in range(first):
+        others = np.flatnonzero(families.label[i + 1 :] != families.label[i]) + i + 1 if same else np.flatnonzero(families.label[first:] != families.label[i]) + first
+        if len(others):
+            compared += len(others)
+            families.join(i, others[survivors(sign[i], sign[others], least)])
+    return np.array([(node[i], node[j], compared * (k == 0)) for k, (i, j) in enumerate(families.edges)] or NOTHING, dtype=np.int64)
+
+
 def _stretches(keys: list) -> Iterator[tuple[int, int]]:
     start = 0
     for i in range(1, len(keys) + 1):
@@ -192,29 +212,40 @@ def _stretches(keys: list) -> Iterator[tuple[int, int]]:
             start = i
 
 
-def _task(rows: list[tuple], least: list[int]) -> np.ndarray:
-    """Compares a block with another or with itself. Rows of (a, b, n): n > 0 links of node a, by copies; n = 0 an edge of a spanning forest."""
+def _verify(rows: list[tuple], least: list[int], threshold: float = THRESHOLD) -> np.ndarray:
+    """A block of a family with itself or another, exactly. Rows of (a, b, n): n > 0 links of node a, by copies; n = 0 a pair of a spanning forest."""
     rows = sorted(rows, key=lambda r: (r[1], r[2]))
-    cut_at = sum(r[1] == 0 for r in rows)
-    same = cut_at == len(rows)
-    if cut_at == 0 or len(rows) < 2:
-        return np.zeros((0, 3), dtype=np.int64)
+    first = sum(r[1] == 0 for r in rows)
+    same = first == len(rows)
+    if first == 0 or len(rows) < 2:
+        return NOTHING
     node, copies = np.array([r[2] for r in rows], dtype=np.int64), np.array([r[3] for r in rows], dtype=np.int64)
-    sign = np.frombuffer(b"".join(bytes(r[4]) for r in rows), dtype=np.uint32).reshape(-1, HASHES)
-    x, y = survivors(sign[:cut_at], sign if same else sign[cut_at:], same, least)
-    if not len(x):
-        return np.zeros((0, 3), dtype=np.int64)
-    sets = [np.frombuffer(bytes(r[5]), dtype=np.uint64) for r in rows]
-    ok = verified(x, y, sets[:cut_at], sets if same else sets[cut_at:])
-    x, y_at = x[ok], (y if same else y + cut_at)[ok]
-    n = np.bincount(x, weights=copies[y_at], minlength=len(rows)) + np.bincount(y_at, weights=copies[x], minlength=len(rows))
+    sign, sets = _signs(rows, 4), [np.frombuffer(bytes(r[5]), dtype=np.uint64) for r in rows]
+    size, families, n, overlap = np.array([len(s) for s in sets]), Families(np.arange(len(rows))), np.zeros(len(rows), dtype=np.int64), None
+    for i in range(first):
+        begin = i + 1 if same else first
+        others = survivors(sign[i], sign[begin:], least) + begin
+        if not len(others):
+            continue
+        if len(others) < 8 and overlap is None:
+            common = np.array([_common(sets[i], sets[j]) for j in others])
+        else:
+            overlap = overlap or Overlap(sets)
+            common = overlap.common(i)[others]
+        others = others[common >= threshold * (size[i] + size[others] - common) - 1e-9]
+        n[i] += copies[others].sum()
+        n[others] += copies[i]
+        families.join(i, others)
     linked = np.flatnonzero(n)
-    forest = _forest(x, y_at, len(rows))
-    links = np.stack([node[linked], np.zeros(len(linked), dtype=np.int64), n[linked].astype(np.int64)], axis=1)
-    edges = np.stack([node[x[forest]], node[y_at[forest]], np.zeros(len(forest), dtype=np.int64)], axis=1)
+    links = np.stack([node[linked], np.zeros(len(linked), dtype=np.int64), n[linked]], axis=1)
+    edges = np.array([(node[i], node[j], 0) for i, j in families.edges] or NOTHING, dtype=np.int64)
     return np.concatenate([links, edges])
 
 
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+
+
 def _sets_of(docs: DataFrame, members: DataFrame, text: str) -> DataFrame:
     """(node, set) of the members, each once; nothing passes through the driver."""
     raw = docs.select(F.coalesce(text, F.lit("")).cast("binary").alias("t"))
@@ -237,24 +268,66 @@ def _sets_of(docs: DataFrame, members: DataFrame, text: str) -> DataFrame:
     return sets.groupBy("_sn").agg(F.first("set").alias("set"))
 
 
+def _tasks(rows: DataFrame, parts: int, columns: list[str], work) -> DataFrame:
+    """(a, b, n) from all tasks of `rows`."""
+    least = least_matches()
+    dealt = rows.select(*columns).repartition(parts, "task").sortWithinPartitions("task")
+    return cut(dealt.mapInPandas(lambda it: _by_task(it, columns, lambda x: work(x, least)), "a long, b long, n long"))
+
+
+def candidates(nodes: DataFrame, parts: int) -> DataFrame:
+    """(a, b, n) that connect all nodes (node, sign) that share a band and survive; the sum of `n` is how many pairs were compared."""
+    band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(k, F.substring("sign", k * BAND * 2 + 1, BAND * 2)))
+    bands = nodes.select("node", F.explode(band).alias("band"))
+    shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("lead")).where("n > 1")
+    shared = cut(shared.select(F.col("band").alias("_b"), F.ceil(F.col("n") / BUCKET).cast("int").alias("blocks"), "lead"))
+    met = cut(bands.join(shared, F.col("band") == F.col("_b")).select("node", "band", "blocks", "lead"))
+    signs = nodes.select(F.col("node").alias("_n"), "sign")
+    block = F.pmod(F.xxhash64(F.lit(3), "node"), F.col("blocks")).cast("int")
+    own = F.when((F.col("node") == F.col("lead")) & (F.col("blocks") > 1), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(block))
+    rows = met.select("node", F.explode(F.transform(own, lambda k: F.xxhash64("band", k))).alias("task"))
+    columns = ["task", "side", "node", "family", "sign"]
+    rows = rows.join(signs, F.col("node") == F.col("_n")).withColumns({"side": F.lit(0), "family": F.col("node")})
+    found = _tasks(rows, parts, columns, _connect)
+    wide = met.where("blocks > 1")
+    if not wide.limit(1).count():
+        return found
+    family = components(found.select("a", "b").distinct()).select(F.col("node").alias("_f"), "component")
+    wide = cut(wide.join(family, F.col("node") == F.col("_f"), "left").select("node", "band", "blocks", F.coalesce("component", "node").alias("family")))
+    most = wide.groupBy("band", "family").count().groupBy(F.col("band").alias("_b")).agg(F.max_by("family", "count").alias("most"), F.sum("count").alias("all"), F.max("count").alias("own"))
+    most = most.where(F.col("own") < F.col("all")).withColumn("strays", F.ceil((F.col("all") - F.col("own")) / BUCKET).cast("int"))
+    j = wide.join(most, F.col("band") == F.col("_b")).withColumn("block", block)
+    stray = F.pmod(F.xxhash64(F.lit(4), "node"), F.col("strays")).cast("int")
+    at = lambda i, k, side: F.struct(F.xxhash64("band", i, F.lit(-1), k).alias("task"), F.lit(side).alias("side"))
+    to_all = F.transform(F.sequence(F.lit(0), F.col("strays") - 1), lambda i: at(i, F.col("block"), 1))
+    to_strays = F.when(F.col("family") != F.col("most"), F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: at(stray, k, 0)))
+    again = j.select("node", "family", F.explode(F.concat(to_all, F.coalesce(to_strays, F.array().cast("array<struct<task:bigint,side:int>>")))).alias("x"))
+    again = again.select("node", "family", "x.task", "x.side").join(signs, F.col("node") == F.col("_n"))
+    return found.unionByName(_tasks(again, parts, columns, _connect))
+
+
 def classes(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
     """The documents (_id, _row, node), written, and the nodes (node, copies, n_links, class): see `link`."""
     parts = partitions_of(docs)
     raw = docs.select(F.col("doc_id").cast("long").alias("i"), F.xxhash64("doc_id", text).alias("r"), F.coalesce(text, F.lit("")).cast("binary").alias("t"))
     with arrow_batches(docs.sparkSession, 1000):
         rows = cut(raw.mapInPandas(_documents, "_id long, _row long, node long, size int, sign binary"))
-    known = rows.where(F.col("node").isNotNull())
-    nodes = cut(known.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("sign").alias("sign")))
-    band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(k, F.substring("sign", k * BAND * 4 + 1, BAND * 4)))
-    bands = nodes.select("node", F.explode(band).alias("band"))
-    least = bands.groupBy("band").agg(F.min("node").alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("band").alias("_b"), "lead")
-    stars = bands.join(least, F.col("band") == F.col("_b")).where("node != lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
-    family = components(stars)
-
-    size_class = F.floor(F.log(F.col("size").cast("double")) / F.lit(float(np.log(1 / THRESHOLD)))).cast("int")
-    members = nodes.join(family.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n")).withColumn("cls", size_class).drop("_n")
-    members = cut(members)
-    counts = members.groupBy("component", "cls").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+        known = rows.where(F.col("node").isNotNull())
+        nodes = cut(known.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("sign").alias("sign")))
+        family = components(candidates(nodes, parts).select("a", "b").distinct())
+        size_class = F.floor(F.log(F.col("size").cast("double")) / F.lit(float(np.log(1 / THRESHOLD)))).cast("int")
+        members = nodes.join(family.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n")).withColumn("cls", size_class).drop("_n")
+        members = cut(members)
+        found = _tasks(_verification(docs, members, text), parts, ["task", "side", "node", "copies", "sign", "set"], _verify)
+    links = found.where("n > 0").groupBy(F.col("a").alias("_ln")).agg(F.sum("n").alias("links"))
+    named = components(found.where("n = 0").select("a", "b")).withColumnsRenamed({"node": "_cn", "component": "_class"})
+    out = nodes.select("node", "copies").join(links, F.col("node") == F.col("_ln"), "left").join(named, F.col("node") == F.col("_cn"), "left")
+    return rows, cut(out.select("node", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("_class", "node").alias("class")))
+
+
+def _verification(docs: DataFrame, members: DataFrame, text: str) -> DataFrame:
+    """Members with their sets, once for each pair of blocks of their family in which they are compared."""
+    counts = members.groupBy("component", "cls").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") * 8 / BLOCK_BYTES)).cast("int").alias("blocks"))
     blocks = counts.select(F.col("component").alias("_f"), F.col("cls").alias("_c"), "blocks")
     placed = members.join(blocks, (F.col("component") == F.col("_f")) & (F.col("cls") == F.col("_c"))).withColumn("block", F.pmod(F.xxhash64(F.lit(3), "node"), F.col("blocks")).cast("int"))
     upper = blocks.select(F.col("_f").alias("_uf"), (F.col("_c") - 1).alias("_uc"), F.col("blocks").alias("above"))
@@ -269,15 +342,25 @@ def classes(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
     up = F.when(F.col("above").isNotNull(), F.transform(one(F.col("above")), lambda j: at(pair(F.col("cls"), F.col("block"), F.col("cls") + 1, j), 0))).otherwise(F.array().cast("array<struct<task:bigint,side:int>>"))
     down = F.when(F.col("under").isNotNull(), F.transform(one(F.col("under")), lambda j: at(pair(F.col("cls") - 1, j, F.col("cls"), F.col("block")), 1))).otherwise(F.array().cast("array<struct<task:bigint,side:int>>"))
     with_sets = placed.select("node", "copies", "sign", F.concat(own, up, down).alias("tasks")).join(_sets_of(docs, members, text), F.col("node") == F.col("_sn"))
-    tasks = with_sets.select(F.explode("tasks").alias("x"), "node", "copies", "sign", "set").select("x.task", "x.side", "node", "copies", "sign", "set")
-    least_counts = least_matches()
-    with arrow_batches(docs.sparkSession, 1000):
-        found = cut(tasks.repartition(parts, "task").sortWithinPartitions("task").mapInPandas(lambda it: _compare(it, least_counts), "a long, b long, n long"))
+    return with_sets.select(F.explode("tasks").alias("x"), "node", "copies", "sign", "set").select("x.task", "x.side", "node", "copies", "sign", "set")
 
-    links = found.where("n > 0").groupBy(F.col("a").alias("_ln")).agg(F.sum("n").alias("links"))
-    named = components(found.where("n = 0").select("a", "b")).withColumnsRenamed({"node": "_cn", "component": "_class"})
-    out = nodes.select("node", "copies").join(links, F.col("node") == F.col("_ln"), "left").join(named, F.col("node") == F.col("_cn"), "left")
-    return rows, out.select("node", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("_class", "node").alias("class"))
+
+def _looked_up(rows: DataFrame, key: str, table: DataFrame, table_key: str, weight: str, spread: Column, total: int) -> DataFrame:
+    """`rows` left joined to `table` (one row a key, `weight`: how many of the rows have it).
+
+    Keys with over 1 / HOT_KEYS of the rows, which are fewer than HOT_KEYS, are broadcast and their rows dealt by `spread`,
+    so that no task gets all rows of one key.
+    """
+    most = max(1000, total // HOT_KEYS)
+    values = [c for c in table.columns if c != table_key]
+    hot = F.broadcast(table.where(F.col(weight) > most).select(F.col(table_key).alias("_hk"), F.struct(*values).alias("_hv")))
+    rest = table.where(F.col(weight) <= most).select(F.col(table_key).alias("_rk"), F.struct(*values).alias("_rv"))
+    j = rows.join(hot, F.col(key) == F.col("_hk"), "left")
+    found = F.col("_hk").isNotNull()
+    j = j.withColumn("_dealt", F.when(found | F.col(key).isNull(), spread).otherwise(F.col(key)))
+    j = j.join(rest, (F.col("_dealt") == F.col("_rk")) & ~found & F.col(key).isNotNull(), "left")
+    value = F.coalesce("_hv", "_rv")
+    return j.select(*rows.columns, *(value[c].alias(c) for c in values))
 
 
 def link(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -286,31 +369,42 @@ def link(docs: DataFrame, text: str = "text") -> DataFrame:
     `n_links` counts the other rows whose shingle sets have a Jaccard similarity of at least THRESHOLD, copies included;
     `class_id` is the least id of the rows that links connect (null only if all of them are null). A text of one to four
     words is one shingle; null texts and texts without a word link to nothing and are a class of their own, named by their
-    own id. Repeated rows are copies of each other. Other columns are not read; an empty table gives an empty one.
+    own id. Texts are read whole, however long. Repeated rows are copies of each other. Other columns are not read; an
+    empty table gives an empty one.
     """
     rows, nodes = classes(docs, text)
-    of = rows.select("_id", "_row", "node").join(nodes.withColumnRenamed("node", "_nn"), F.col("node") == F.col("_nn"), "left")
-    first = of.where(F.col("class").isNotNull()).groupBy(F.col("class").alias("_k")).agg(F.min("_id").alias("_first"))
-    named = of.join(first, F.col("class") == F.col("_k"), "left")
-    class_id = F.when(F.col("node").isNull(), F.col("_id")).otherwise(F.col("_first"))
-    return named.select(F.col("_id").alias("doc_id"), class_id.alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    total = rows.count()
+    # The least id goes from rows to nodes to classes by partial minima, and back to nodes.
+    own = rows.where(F.col("node").isNotNull()).groupBy(F.col("node").alias("_on")).agg(F.min("_id").alias("_least"))
+    nodes = nodes.join(own, F.col("node") == F.col("_on"), "left")
+    first = nodes.groupBy(F.col("class").alias("_k")).agg(F.min("_least").alias("first"), F.count(F.lit(1)).alias("in_class"))
+    named = _looked_up(nodes.select("node", "copies", "n_links", "class"), "class", cut(first), "_k", "in_class", F.col("node"), total)
+    named = cut(named.select(F.col("node").alias("_nn"), "copies", "n_links", "first"))
+    of = _looked_up(rows.select("_id", "_row", "node"), "node", named, "_nn", "copies", F.xxhash64("_id", "_row", F.lit(7)), total)
+    class_id = F.when(F.col("node").isNull(), F.col("_id")).otherwise(F.col("first"))
+    return of.select(F.col("_id").alias("doc_id"), class_id.alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def keep_one(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` without all but one row of each class: of least id (null last), then of least hash; of fully equal rows one."""
+    """`docs` without all but one row of each class: of least id (null last), then of least hash; of fully equal rows one.
+
+    Classes are those of `link`. Null texts and texts without a word are all kept, whatever repeats; texts are read whole; an
+    empty table stays empty; all columns, whatever their names, are kept.
+    """
     rows, nodes = classes(docs, text)
-    of = rows.where(F.col("node").isNotNull()).join(nodes.select(F.col("node").alias("_nn"), "class"), F.col("node") == F.col("_nn"))
     order = F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col("_row").alias("r"))
-    best = of.groupBy("class").agg(F.min(order).alias("b")).select(
-        F.coalesce("b.i", F.lit(0)).alias("_b1"), F.col("b.n").alias("_b2"), F.col("b.r").alias("_b3"))
-    words = F.length(F.translate(F.coalesce(F.col(text), F.lit("")), " \t\n\x0b\f\r", "")) > 0
+    own = rows.where(F.col("node").isNotNull()).groupBy(F.col("node").alias("_on")).agg(F.min(order).alias("b"))
+    best = own.join(nodes.select("node", "class"), F.col("_on") == F.col("node")).groupBy("class").agg(F.min("b").alias("b"))
+    key, kept, nth = (free_name(n, docs) for n in ("_key", "_kept", "_nth"))
+    best = best.select(F.struct(F.coalesce("b.i", F.lit(0)).alias("i"), F.col("b.n").alias("n"), F.col("b.r").alias("r")).alias(kept))
     at = F.col("doc_id").cast("long")
-    keyed = docs.withColumns({"_k1": F.coalesce(at, F.lit(0)), "_k2": at.isNull(), "_k3": F.xxhash64("doc_id", text), "_words": words})
+    words = F.length(F.translate(F.coalesce(F.col(text), F.lit("")), " \t\n\x0b\f\r", "")) > 0
+    keyed = docs.withColumn(key, F.struct(F.coalesce(at, F.lit(0)).alias("i"), at.isNull().alias("n"), F.xxhash64("doc_id", text).alias("r"), words.alias("w")))
     # The texts are shuffled once, by these keys; equal rows meet in the same place.
-    kept = keyed.join(best, (F.col("_k1") == F.col("_b1")) & (F.col("_k2") == F.col("_b2")) & (F.col("_k3") == F.col("_b3")), "left")
-    nth = F.row_number().over(Window.partitionBy("_k1", "_k2", "_k3").orderBy("_words"))
-    kept = kept.where(~F.col("_words") | F.col("_b3").isNotNull()).withColumn("_nth", nth).where(~F.col("_words") | (F.col("_nth") == 1))
-    return kept.select(*docs.columns)
+    same = (F.col(f"{key}.i") == F.col(f"{kept}.i")) & (F.col(f"{key}.n") == F.col(f"{kept}.n")) & (F.col(f"{key}.r") == F.col(f"{kept}.r"))
+    joined = keyed.join(best, same, "left")
+    ranked = joined.withColumn(nth, F.row_number().over(Window.partitionBy(f"{key}.i", f"{key}.n", f"{key}.r").orderBy(f"{key}.w")))
+    return ranked.where(~F.col(f"{key}.w") | (F.col(kept).isNotNull() & (F.col(nth) == 1))).select(*docs.columns)
 
 
 def digest(docs: DataFrame) -> DataFrame:
