@@ -1,4 +1,7 @@
+import random
+
 import numpy as np
+import pytest
 
 from tidings.llm import decontam as D
 
@@ -41,11 +44,16 @@ def test_every_contained_item_is_found(spark, sf):
     assert want <= {(r.doc_id, r.item_id) for r in D.digest(docs, bench).collect()}
 
 
-def test_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("live", [1, 2, 4])
+def test_blocks(spark, monkeypatch, live):
     monkeypatch.setattr(D, "BLOCK_WORDS", 10)
+    monkeypatch.setattr(D, "LIVE", live)
     bench = spark.createDataFrame([(i, f"{ITEM} tail{i}") for i in range(3)], "item_id long, text string")
     docs = spark.createDataFrame([(7, f"{ITEM} tail1")], "doc_id long, text string")
     assert sorted(r.item_id for r in D.digest(docs, bench).collect()) == [0, 1, 2]
+    more = docs.selectExpr("doc_id", "text", "5 AS _key", "6 AS _found").unionByName(spark.createDataFrame([(None, None, 1, 1), (8, "", 1, 1), (7, f"{ITEM} tail1", 1, 1)], "doc_id long, text string, _key int, _found int"))
+    got = D.find_leaks(more, bench)
+    assert got.columns == [*more.columns, "leaks"] and sorted(len(r.leaks) for r in got.collect()) == [0, 0, 3, 3]
 
 
 def test_frequent_passages_are_found_like_rare_ones(spark, monkeypatch):
@@ -63,3 +71,29 @@ def test_frequent_passages_are_found_like_rare_ones(spark, monkeypatch):
     monkeypatch.setattr(D, "POSTINGS", 5)  # every text alone, and its items in turns
     index.mark_rare(np.full(len(index.keys), 1000))
     assert index.leaks(texts) == whole and len(whole[-2]) == 1
+
+
+def test_recall_of_edited_copies_against_plain_alignment(spark):
+    """Copies with words changed, dropped and added, found against Smith-Waterman over the whole text."""
+    rng = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(400)]
+    items = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(12, 40))) for _ in range(25)]
+    texts = []
+    for k in range(200):
+        out = []
+        rate = rng.choice([0.05, 0.1, 0.15, 0.2, 0.25])
+        for w in rng.choice(items).split():
+            x = rng.random()
+            out += [rng.choice(vocabulary)] if x < rate / 2 else [] if x < rate * 0.75 else [w, rng.choice(vocabulary)] if x < rate else [w]
+        around = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 60))) for _ in range(2)]
+        texts.append(f"{around[0]} {' '.join(out)} {around[1]}")
+    index = D.Index(list(enumerate(items)))
+    numbers, starts = index.numbers(texts)
+    want = set()
+    for d in range(len(texts)):
+        window = numbers[starts[d] : starts[d + 1] - D.N]
+        score, _, _ = D.align(index.items, [window] * len(items))
+        want |= {(d, i) for i, s in enumerate(score) if s / len(index.items[i]) >= D.REPORT_AT}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in D.digest(docs, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()}
+    assert found <= want and len(want) > 150 and len(found) >= 0.97 * len(want)

@@ -1,15 +1,16 @@
 """Benchmark decontamination: rare word n-grams seed, Smith-Waterman alignment decides.
 
-A test item's word trigrams are looked up in every text; where enough of them fall close together, the stretch around them
-is aligned to the item, so edited and paraphrased copies score as well as exact ones. Trigrams that are rare in the corpus,
-measured over all documents, are seeds that lead to an alignment at once. A stretch that only frequent ones mark is aligned
-unless too few of the item's words occur in it for a reported score; so how often a trigram occurs decides on work alone,
-and never on the verdict. The item set is taken in blocks of bounded size; each block is one
-broadcast index, and all blocks are applied in the same scan.
+A test item's word trigrams are looked up in every text; the stretch around those that fall close together is aligned to the
+item, so edited and paraphrased copies score as well as exact ones. Trigrams that are rare in the corpus, measured over
+all documents, are seeds that lead to an alignment at once. A stretch that only frequent ones mark is aligned unless too
+few of the item's words occur in it for a reported score; so how often a trigram occurs decides on work alone, and never
+on the verdict. The items are taken in blocks of bounded size; LIVE blocks are broadcast together, counted in one scan and
+searched in another. A larger benchmark takes several rounds, of which each frees its broadcasts and leaves only what it found.
 """
 
 from collections.abc import Iterator
-from itertools import repeat
+from functools import reduce
+from itertools import islice, repeat
 
 import numpy as np
 import pandas as pd
@@ -17,8 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidings.llm.common import cut, free_name
+
 N = 3  # words of a seed
 BLOCK_WORDS = 1_000_000  # of benchmark text in one broadcast index
+LIVE = 4  # blocks that are broadcast at the same time
 RARE = 50  # documents; seeds up to this, or up to the median of their item, are rare
 POSTINGS = 2_000_000  # of trigrams met in texts that are clustered together
 MATCH, MISMATCH, GAP = 1.0, -0.6, -0.6
@@ -55,7 +59,6 @@ class Index:
         self.owner, self.offset = owner[order], offset[order]
         self.by_gram = np.repeat(np.arange(len(self.keys)), self.end - self.first) * len(items) + self.owner  # ascending
         self.rare = np.ones(len(flat), dtype=bool)
-        self.n_seeds = np.array([len(np.unique(g)) for g in grams], dtype=np.int64)
 
     def grams(self, ids: np.ndarray) -> np.ndarray:
         """Trigram keys by position; -1 where a word is in no item. Blocks are small enough for keys to be exact."""
@@ -147,12 +150,10 @@ class Index:
         pad = length[first] // 4 + 2
         lo, hi = np.maximum(lo - pad, starts[doc[first]]), np.minimum(hi + pad, starts[doc[first] + 1] - N)
         cluster = np.repeat(np.arange(len(first)), last - first)
-        distinct = lambda x: np.bincount(np.unique(np.stack([cluster[x], offset[x]]), axis=1)[0], minlength=len(first))
-        need = np.where(self.n_seeds[item[first]] >= 8, 2, 1)
-        sure, enough = distinct(rare) >= need, distinct(slice(None)) >= need
+        sure = np.bincount(cluster[rare], minlength=len(first)) > 0
         return sorted(
             (int(hi[k] - lo[k]), int(doc[first[k]]), int(item[first[k]]), int(lo[k]))
-            for k in np.flatnonzero(enough & (hi > lo)) if sure[k] or self.possible(item[first[k]], numbers[lo[k] : hi[k]])
+            for k in np.flatnonzero(hi > lo) if sure[k] or self.possible(item[first[k]], numbers[lo[k] : hi[k]])
         )
 
     def possible(self, item: int, window: np.ndarray) -> bool:
@@ -216,32 +217,35 @@ def align(items: list[np.ndarray], windows: list[np.ndarray]) -> tuple[np.ndarra
     return best, end_i, end_w
 
 
-def _frequencies(docs: DataFrame, held, n_keys: int, text: str) -> np.ndarray:
-    """Documents that hold each trigram of the index, counted over all of them; each task sends one row for each it met."""
+def _frequencies(docs: DataFrame, held: list, text: str) -> list[np.ndarray]:
+    """For each block, the documents that hold each of its trigrams, counted over all of them in one scan; each task sends one row for each it met."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index, total = held.value, None
+        totals: list = [None] * len(held)
         for batch in batches:
-            numbers, starts = index.numbers(batch["t"])
-            at, gram = index.hits(numbers)
-            pairs = np.unique((np.searchsorted(starts, at, side="right") - 1) * max(1, len(index.keys)) + gram)
-            found = np.bincount(pairs % max(1, len(index.keys)), minlength=len(index.keys))
-            total = found if total is None else total + found
-        if total is not None:
-            some = np.flatnonzero(total)
-            yield pd.DataFrame({"gram": some, "df": total[some]})
-
-    out = np.zeros(n_keys, dtype=np.int64)
-    rows = docs.select(F.col(text).alias("t")).mapInPandas(count, "gram long, df long").groupBy("gram").agg(F.sum("df").alias("df"))
-    for r in rows.toLocalIterator():  # at most one row for each trigram of the block
-        out[r["gram"]] = r["df"]
+            for k, h in enumerate(held):
+                index = h.value
+                numbers, starts = index.numbers(batch["t"])
+                at, gram = index.hits(numbers)
+                n = max(1, len(index.keys))
+                found = np.bincount(np.unique((np.searchsorted(starts, at, side="right") - 1) * n + gram) % n, minlength=len(index.keys))
+                totals[k] = found if totals[k] is None else totals[k] + found
+        for k, total in enumerate(totals):
+            if total is not None:
+                some = np.flatnonzero(total)
+                yield pd.DataFrame({"block": k, "gram": some, "df": total[some]})
+
+    out = [np.zeros(len(h.value.keys), dtype=np.int64) for h in held]
+    rows = docs.select(F.col(text).alias("t")).mapInPandas(count, "block int, gram long, df long").groupBy("block", "gram").agg(F.sum("df").alias("df"))
+    for r in rows.toLocalIterator():  # at most one row for each trigram of the blocks
+        out[r["block"]][r["gram"]] = r["df"]
     return out
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[Index]:
     """The items, each once, in blocks of at most BLOCK_WORDS words or one item. The driver holds one block at a time."""
     some, size = [], 0
-    for r in benchmark.select(F.col("item_id").cast("long"), "text").distinct().orderBy("item_id", "text").toLocalIterator():
+    for r in benchmark.select(F.col("item_id").cast("long"), "text").distinct().toLocalIterator():
         n = len(words_of(r["text"]))
         if some and size + n > BLOCK_WORDS:
             yield Index(some)
@@ -265,18 +269,37 @@ def _search(held):
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """`docs` with `leaks`: item_id, score (alignment score for each word of the item, 1 for an exact copy) and the passage's words.
 
-    A column of that name is replaced, all others kept; the documents are never shuffled. Null, empty and short texts and
-    items of fewer than three words match nothing; an empty benchmark gives empty arrays; repeated rows are judged each
-    by itself; items with equal id and text count once; every item that a document holds is reported with its best passage.
+    A column of that name is replaced, all others, whatever their names, are kept. Null, empty and short texts and items of
+    fewer than three words match nothing; texts are read whole; an empty benchmark gives empty arrays and an empty table
+    stays empty; repeated rows get equal results; items with equal id and text count once; every item that a document
+    holds is reported with its best passage, by item.
     """
-    sc = docs.sparkSession.sparkContext
-    found = F.array().cast(LEAKS)
-    for index in _blocks(benchmark):
-        held = sc.broadcast(index)
-        index.mark_rare(_frequencies(docs, held, len(index.keys), text))
-        held = sc.broadcast(index)
-        found = F.concat(found, _search(held)(F.col(text)))
-    return docs.withColumn("leaks", found)
+    sc, blocks = docs.sparkSession.sparkContext, _blocks(benchmark)
+    order = lambda x: F.array_sort(F.filter(x, lambda y: y.isNotNull()))
+    rounds: list[DataFrame] = []
+    key = F.struct(F.col("doc_id"), F.xxhash64(text), F.xxhash64(F.lit(1), text)) if "doc_id" in docs.columns else F.struct(F.xxhash64(text), F.xxhash64(F.lit(1), text))
+    some = list(islice(blocks, LIVE))
+    while some:
+        held = [sc.broadcast(x) for x in some]
+        for index, df in zip(some, _frequencies(docs, held, text)):
+            index.mark_rare(df)
+        for h in held:
+            h.destroy()
+        held = [sc.broadcast(x) for x in some]
+        found = order(F.concat(*(_search(h)(F.col(text)) for h in held)))
+        some = list(islice(blocks, LIVE))
+        if not some and not rounds:
+            return docs.withColumn("leaks", found)
+        part = docs.select(key.alias("k"), found.alias("x")).where(F.size("x") > 0).groupBy("k").agg(F.first("x").alias("x"))
+        rounds.append(cut(part))
+        for h in held:
+            h.destroy()
+    if not rounds:
+        return docs.withColumn("leaks", F.array().cast(LEAKS))
+    told = reduce(DataFrame.unionByName, rounds).groupBy("k").agg(F.flatten(F.collect_list("x")).alias("x"))
+    a, b = free_name("_key", docs), free_name("_found", docs)
+    joined = docs.withColumn(a, key).join(told.withColumnsRenamed({"k": b, "x": f"{b}_x"}), F.col(a).eqNullSafe(F.col(b)), "left")
+    return joined.withColumn("leaks", F.coalesce(order(F.col(f"{b}_x")), F.array().cast(LEAKS))).drop(a, b, f"{b}_x")
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
