@@ -27,6 +27,10 @@ BOLD = ("strong", "b")
 EMPHASIS = ("strong", "b", "em", "i")
 
 
+SCHEME = re.compile(r"\s*([A-Za-z][A-Za-z0-9+.-]*):")
+UNSEEN = re.compile(r"[\x00-\x1f\x7f-\x9f\u200b-\u200f\u2028-\u202e\u2060\ufeff]+")  # what browsers pass over in an address, and more
+
+
 def style_of(e: Element) -> dict[str, str]:
     """The declarations of a style attribute, names lower-case, in order."""
     out = {}
@@ -138,7 +142,7 @@ def sanitise(root: Element) -> None:
                 continue
             if name in ALLOWED_ATTRS.get(e.tag, ()):
                 if name in ("href", "src"):
-                    scheme = re.match(r"\s*([A-Za-z][A-Za-z0-9+.-]*):", value)
+                    scheme = SCHEME.match(UNSEEN.sub("", value))
                     if scheme and scheme[1].lower() not in ALLOWED_SCHEMES:
                         continue
                 kept[name] = value

@@ -13,6 +13,7 @@ BOLD = ("strong", "b")
 _BULLET = re.compile(rf"^[{BULLETS}]\s*")
 _DASH = re.compile(r"^-\s+")
 CELLS = ("td", "th")
+MOST_COLUMNS = 1000  # as browsers read a cell's span
 
 
 def _blank(n: Node) -> bool:
@@ -106,16 +107,9 @@ def unwrap_single_columns(root: Element) -> None:
             t.replace(*[Element("div", children=list(c.children)) for r in rows for c in _cells(r)])
 
 
-def _bold_row(row: Element) -> bool:
-    cells = [c for c in _cells(row) if c.text().strip()]
-    return bool(cells) and all(all(_blank(n) or (isinstance(n, Element) and (n.tag in BOLD or (n.tag == "p" and all(_blank(x) or (isinstance(x, Element) and x.tag in BOLD) for x in n.children)))) for n in c.children) for c in cells)
-
-
 def _make_header(table: Element, row: Element) -> None:
     for c in _cells(row):
         c.tag = "th"
-        for b in c.find_all(*BOLD):
-            b.unwrap()
     row.remove()
     head = Element("thead", children=[row])
     table.children.insert(0, head)
@@ -123,10 +117,10 @@ def _make_header(table: Element, row: Element) -> None:
 
 
 def header_rows(root: Element) -> None:
-    """Tables without a header row: an all-bold first row above another kind of row, else the first of several rows."""
+    """The first of several rows of a table without header cells becomes its header, as it is."""
     for t in root.find_all("table"):
         rows = _rows(t)
-        if any(c.tag == "th" for r in rows for c in _cells(r)):
+        if any(c.tag == "th" for r in rows for c in _cells(r)) or t.find_all("thead"):
             continue
         if len(rows) >= 2:
             _make_header(t, rows[0])
@@ -228,7 +222,8 @@ def _list(e: Element) -> str:
 def _table(e: Element) -> str:
     rows = [[re.sub(r"\s*\n\s*", " ", _inline(c).strip()).replace("|", "\\|") for c in _cells(r) for _ in range(1)] for r in _rows(e)]
     spans = [[int(c.attr("colspan")) if c.attr("colspan").isdigit() else 1 for c in _cells(r)] for r in _rows(e)]
-    full = [[x for t, n in zip(r, s) for x in [t] + [""] * (min(n, 50) - 1)] for r, s in zip(rows, spans)]
+    most = max([MOST_COLUMNS, *map(len, rows)])
+    full = [[x for t, n in zip(r, s) for x in [t] + [""] * (min(n, most) - 1)][:most] for r, s in zip(rows, spans)]
     if not full:
         return ""
     width = max(map(len, full))

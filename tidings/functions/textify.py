@@ -71,13 +71,12 @@ def absolute_image_urls(html: str | None) -> list[str]:
 
 
 def representations(content: str | None, base: str | None) -> dict:
-    """Raw content with absolute URLs, clean HTML, its text, Markdown and hash. Pages beyond the limit keep text only."""
+    """Raw content with absolute URLs, clean HTML, its text, Markdown and hash; all null for pages beyond the limit."""
     clean = clean_html(content, base)
-    text, md = text_from_html(clean), html_to_markdown(clean)
-    raw = normalize_content_urls(content, base)
     if clean is not None and len(clean.encode()) > LIMIT:
-        clean = raw = None
-    return {"content": raw, "cleanHtml": clean, "contentText": text, "cleanMarkdown": md, "contentHash": content_hash(clean)}
+        return dict.fromkeys(REPRESENTATIONS.names)
+    text = text_from_html(clean) if clean else None
+    return {"content": normalize_content_urls(content, base), "cleanHtml": clean, "contentText": text, "cleanMarkdown": html_to_markdown(clean), "contentHash": content_hash(clean)}
 
 
 REPRESENTATIONS = T.StructType([T.StructField(n, T.StringType()) for n in ("content", "cleanHtml", "contentText", "cleanMarkdown", "contentHash")])

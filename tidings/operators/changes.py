@@ -47,18 +47,33 @@ def scanned_pages(items: DataFrame, state: DataFrame, planned: DataFrame, *, inc
     """Of the planned pages (sourceId, page) those that a scan reads.
 
     A scan ends before its first empty page and before its first page of nothing but old notices; an incremental one also
-    before the first page, other than page 0, whose notices are all known.
+    before the first page whose notices are all known, except that page 0 is read even then, and nothing after it.
     """
     known = state.select("sourceId", "articleNo").withColumn("_known", F.lit(True))
     facts = items.join(known, ["sourceId", "articleNo"], "left").groupBy("sourceId", "page").agg(
         F.every(too_old(F.col("date"), floor)).alias("_old"), F.every(F.col("_known").isNotNull()).alias("_all_known"))
     stop = F.col("_old").isNull() | F.col("_old")
+    last = F.lit(False)
     if incremental:
         stop = stop | (F.col("_all_known") & (F.col("page") > 0))
+        last = F.coalesce("_all_known", F.lit(False)) & (F.col("page") == 0)
     limit = max_pages or (MAX_PAGES if incremental else MAX_PAGES_FULL)
-    pages = planned.where(F.col("page") < limit).join(facts, ["sourceId", "page"], "left").withColumn("_stop", stop)
-    ended = F.max(F.when(F.col("_stop"), 1).otherwise(0)).over(Window.partitionBy("sourceId").orderBy("page"))
-    return pages.withColumn("_ended", ended).where("_ended = 0").select("sourceId", "page")
+    pages = planned.where(F.col("page") < limit).join(facts, ["sourceId", "page"], "left").withColumns({"_stop": stop, "_last": last})
+    up_to = Window.partitionBy("sourceId").orderBy("page")
+    ended = F.max(F.when(F.col("_stop"), 1).otherwise(0)).over(up_to)
+    after = F.max(F.when(F.col("_last"), 1).otherwise(0)).over(up_to.rowsBetween(Window.unboundedPreceding, -1))
+    return pages.withColumns({"_ended": ended, "_after": F.coalesce(after, F.lit(0))}).where("_ended = 0 AND _after = 0").select("sourceId", "page")
+
+
+def latest_by(rows: DataFrame, key: str, order: list[Column | str], k: int) -> DataFrame:
+    """The first `k` rows of each key in the given order, numbered by `rn`."""
+    return rows.withColumn("rn", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("rn") <= k)
+
+
+def first_seen(items: DataFrame, key: list[str], by: str) -> DataFrame:
+    """Of rows with an equal key the first by `by`, whole."""
+    rest = [c for c in items.columns if c not in key]
+    return items.groupBy(*key).agg(F.min_by(F.struct(*rest), by).alias("x")).select(*key, "x.*")
 
 
 def null_content(state: DataFrame) -> DataFrame:

@@ -6,6 +6,9 @@ merge gives the whole new state, which `Store` writes as a version and then name
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -134,6 +137,11 @@ def check_window(state: DataFrame, as_of: Column, days: int, floor: str) -> Data
     return state.where((F.col("date") >= since) & ~F.coalesce("isDeleted", F.lit(False)))
 
 
+def summarised(state: DataFrame, names: list[str] = tuple(SUMMARY_FIELDS)) -> DataFrame:
+    """Notices in which any of the summary's fields is set."""
+    return state.where(F.coalesce(*(F.col(n).cast("string") if not isinstance(state.schema[n].dataType, (T.ArrayType, T.MapType)) else F.to_json(n) for n in names if n in state.columns)).isNotNull())
+
+
 def unset_fields(state: DataFrame, names: list[str] = tuple(SUMMARY_FIELDS)) -> DataFrame:
     """State with the fields emptied."""
     return state.withColumns({n: F.lit(None).cast(state.schema[n].dataType) for n in names if n in state.columns})
@@ -144,30 +152,44 @@ def duplicate_keys(state: DataFrame) -> DataFrame:
     return state.groupBy(*KEY).count().where("count > 1")
 
 
+def last_change(state: DataFrame) -> DataFrame:
+    """Key and latest history entry of each notice that has one."""
+    return state.where(F.size("editHistory") > 0).select(*KEY, F.element_at("editHistory", -1).alias("entry"))
+
+
 class Store:
-    """A notice table in versions: `<path>/v=<n>` and a pointer file, written last, that names the current one.
+    """A notice table in versions: a folder of Parquet for each, and a mark for each that is complete, written last.
 
-    Readers see the old state until the pointer moves; a writer that dies leaves the pointer where it was.
+    The current version is the greatest marked one. What a writer that died left behind has no mark, is never read and never
+    written over. Of two writers that make the same version the later one fails.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType = NOTICE):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
 
-    def version(self) -> int:
-        rows = self.spark.read.schema("v int").json(f"{self.path}/current").collect() if self._exists("current") else []
-        return rows[0]["v"] if rows else 0
+    def _current(self) -> tuple[int, str | None]:
+        try:
+            marks = self.spark.read.schema("n int, folder string").option("recursiveFileLookup", "true").parquet(f"{self.path}/complete")
+            row = marks.agg(F.max(F.struct("n", "folder")).alias("x")).select("x.*").first()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return 0, None
+        return row["n"] or 0, row["folder"]
 
-    def _exists(self, name: str) -> bool:
-        jvm, p = self.spark._jvm, self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p) if jvm else False
+    def version(self) -> int:
+        return self._current()[0]
 
     def read(self) -> DataFrame:
-        v = self.version()
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v={v}") if v else self.spark.createDataFrame([], self.schema)
+        n, folder = self._current()
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{folder}") if n else self.spark.createDataFrame([], self.schema)
 
     def write(self, state: DataFrame) -> int:
-        """Write a version, hashed and sorted by source so that scans of one source read little, and make it current."""
-        v = self.version() + 1
-        state.select(*(F.col(f.name).cast(f.dataType) for f in self.schema)).sortWithinPartitions("sourceId", F.desc("date")).write.mode("overwrite").parquet(f"{self.path}/v={v}")
-        self.spark.range(1).select(F.lit(v).alias("v")).coalesce(1).write.mode("overwrite").json(f"{self.path}/current")
-        return v
+        """Write the next version, ranged and sorted by source and date so that scans of one source read few files, and mark it."""
+        n = self.version() + 1
+        folder = f"v{n}-{uuid.uuid4().hex}"
+        rows = state.select(*(F.col(f.name).cast(f.dataType) for f in self.schema))
+        rows.repartitionByRange("sourceId", F.desc("date"), "articleNo").sortWithinPartitions("sourceId", F.desc("date")).write.parquet(f"{self.path}/{folder}")
+        mark = self.spark.range(1).select(F.lit(n).alias("n"), F.lit(folder).alias("folder")).coalesce(1)
+        mark.write.mode("error").parquet(f"{self.path}/complete/v={n}")
+        return n

@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidings.functions.textify import representations_udf
+from tidings.functions.textify import html_to_markdown_udf, inject_dimensions_udf, representations_udf
 from tidings.functions.urls import source_url_expr
 
 
 def build_notices(joined: DataFrame, sources: DataFrame) -> DataFrame:
     """Notices of classified items with their `detail` (may be null) and `crawledAt`.
 
-    The detail's title, if it has one, wins. Pages beyond the size limit keep their text but neither content nor clean HTML.
-    The hash is that of the clean HTML before image sizes are filled in, here and in the update check alike. Text falls back
-    to what the page reader found, then to nothing.
+    The detail's title, if it has one, wins. Links resolve against the board's address. Pages beyond the size limit have
+    neither content nor clean HTML nor Markdown. Text is that of the clean HTML; without clean HTML it falls back to what the
+    page reader found, then to null. `imageSizes` (url, w, h), if there, fills in what images lack; the hash is that of the
+    clean HTML before, here and in the update check alike.
     """
     known = sources.select(F.col("id").alias("_id"), F.col("name").alias("_name"), F.col("baseUrl").alias("_base"))
     if known.limit(10_001).count() <= 10_000:
@@ -22,12 +23,18 @@ def build_notices(joined: DataFrame, sources: DataFrame) -> DataFrame:
     d = F.col("detail")
     base = joined.join(known, F.col("sourceId") == F.col("_id"), "left").withColumn(
         "sourceUrl", source_url_expr(F.coalesce("_base", F.lit("")), F.coalesce("detailPath", F.lit(""))))
-    made = base.withColumn("_r", representations_udf(d["content"], F.col("sourceUrl")))
+    made = base.withColumn("_r", representations_udf(F.when(d["content"] != "", d["content"]), F.col("_base")))
     r = F.col("_r")
-    text = F.when(F.coalesce(r["contentText"], F.lit("")) != "", r["contentText"]).otherwise(F.coalesce(d["contentText"], F.lit("")))
+    text = F.when(r["cleanHtml"].isNotNull(), r["contentText"]).otherwise(F.nullif(d["contentText"], F.lit("")))
+    clean, md = r["cleanHtml"], r["cleanMarkdown"]
+    if "imageSizes" in joined.columns:
+        sized = F.size(F.coalesce("imageSizes", F.array().cast("array<struct<url:string,w:int,h:int>>"))) > 0
+        made = made.withColumn("_sized", F.when(sized & clean.isNotNull(), inject_dimensions_udf(clean, F.col("imageSizes"))))
+        clean = F.coalesce("_sized", clean)
+        md = F.when(F.col("_sized").isNotNull(), html_to_markdown_udf(F.col("_sized"))).otherwise(md)
     return made.select(
         "articleNo", "sourceId", F.coalesce(F.when(d["title"] != "", d["title"]), F.col("title")).alias("title"), "category", "author",
         F.coalesce("_name", F.lit("")).alias("department"), "date", F.coalesce("views", F.lit(0)).alias("views"), r["content"].alias("content"),
-        text.alias("contentText"), r["cleanHtml"].alias("cleanHtml"), r["cleanMarkdown"].alias("cleanMarkdown"),
+        text.alias("contentText"), clean.alias("cleanHtml"), md.alias("cleanMarkdown"),
         F.coalesce(d["attachments"], F.array().cast("array<struct<name:string,url:string,referer:string>>")).alias("attachments"),
         "sourceUrl", "detailPath", "crawledAt", F.lit(None).cast("string").alias("lastModified"), r["contentHash"].alias("contentHash"))

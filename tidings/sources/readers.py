@@ -26,31 +26,33 @@ def config_of(row) -> dict:
     return plain(row) if not isinstance(row, dict) else {k: plain(v) for k, v in row.items() if v is not None}
 
 
-def page_plan(sources: DataFrame, pages: int) -> DataFrame:
-    """(sourceId, page, url) of the list pages 0 .. pages - 1 of each source; one row for each request, dealt across tasks."""
-    plan = sources.where(F.col("strategy").isin(*BOARDS)).select("id", F.struct("*").alias("config"), F.explode(F.sequence(F.lit(0), F.lit(pages - 1))).alias("page"))
+def page_plan(sources: DataFrame, pages: int, first: int = 0) -> DataFrame:
+    """(sourceId, page, url) of the list pages first .. pages - 1 of each source; one row for each request, dealt across tasks."""
+    plan = sources.where(F.col("strategy").isin(*BOARDS)).select("id", F.explode(F.sequence(F.lit(first), F.lit(pages - 1))).alias("page"))
 
-    @F.udf(T.StringType())
-    def url(config, page):
-        c = config_of(config)
-        return BOARDS[c["strategy"]].list_url(c, page)
+    configs = sources.sparkSession.sparkContext.broadcast(_parsers(sources))
 
-    return plan.select(F.col("id").alias("sourceId"), "page", url("config", "page").alias("url"))
+    @F.pandas_udf(T.StringType())
+    def url(ids: pd.Series, pages: pd.Series) -> pd.Series:
+        each = ((configs.value[i], int(p)) for i, p in zip(ids, pages))
+        return pd.Series([BOARDS[c["strategy"]].list_url(c, p) for c, p in each], dtype=object)
+
+    return plan.select(F.col("id").alias("sourceId"), "page", url("id", "page").alias("url"))
 
 
 def detail_plan(refs: DataFrame, sources: DataFrame) -> DataFrame:
     """`refs` (sourceId, articleNo, detailPath, ...) with the address of each detail page; unknown sources get none."""
 
-    @F.udf(T.StringType())
-    def url(config, path, no):
-        if config is None or config["strategy"] not in BOARDS:
-            return None
-        c = config_of(config)
-        return BOARDS[c["strategy"]].detail_url(c, path or "", no)
+    configs = refs.sparkSession.sparkContext.broadcast(_parsers(sources))
+
+    @F.pandas_udf(T.StringType())
+    def url(ids: pd.Series, paths: pd.Series, numbers: pd.Series) -> pd.Series:
+        def one(c, path, no):
+            return BOARDS[c["strategy"]].detail_url(c, path, int(no)) if c is not None and c["strategy"] in BOARDS else None
+
+        return pd.Series([one(configs.value.get(i), p, n) for i, p, n in zip(ids, paths, numbers)], dtype=object)
 
-    known = sources.select(F.col("id").alias("_id"), F.struct("*").alias("_config"))
-    joined = refs.join(F.broadcast(known) if known.limit(10_001).count() <= 10_000 else known, F.col("sourceId") == F.col("_id"), "left")
-    return joined.withColumn("url", url("_config", F.coalesce("detailPath", F.lit("")), "articleNo")).drop("_id", "_config")
+    return refs.withColumn("url", url("sourceId", F.coalesce("detailPath", F.lit("")), "articleNo"))
 
 
 def _parsers(sources: DataFrame) -> dict[str, dict]:
@@ -73,7 +75,11 @@ def read_lists(fetched: DataFrame, sources: DataFrame, as_of: str) -> DataFrame:
                 if c is None or r.status != 200 or r.body is None:
                     continue
                 board = BOARDS[c["strategy"]]
-                for x in board.items(bytes(r.body).decode(board.encoding, "replace"), c, r.page, as_of):
+                try:
+                    found = board.items(bytes(r.body).decode(board.encoding, "replace"), c, r.page, as_of)
+                except (ValueError, KeyError, TypeError, AttributeError):
+                    continue  # a page that can't be read has no items
+                for x in found:
                     rows.append((r.sourceId, r.page, *(x[k] for k in LIST_ITEM.names), x.get("detail"), x.get("attachments")))
             yield pd.DataFrame(rows, columns=schema.names)
 
@@ -94,8 +100,8 @@ def read_details(fetched: DataFrame, sources: DataFrame) -> DataFrame:
                     board = BOARDS[c["strategy"]]
                     try:
                         found = board.detail(bytes(r.body).decode(board.encoding, "replace"), c, r.detailPath or "", r.articleNo)
-                    except (ValueError, KeyError):
-                        found = None
+                    except (ValueError, KeyError, TypeError, AttributeError):
+                        found = None  # a page that can't be read counts as one without content
                 rows.append((r.sourceId, r.articleNo, r.status, found))
             yield pd.DataFrame(rows, columns=schema.names)
 
