@@ -97,6 +97,9 @@ def test_store_versions(spark, tmp_path):
     assert store.version() == 0 and store.read().count() == 0
     assert store.write(notices(spark, base(1))) == 1 and store.write(store.read().unionByName(notices(spark, base(2)))) == 2
     assert store.read().count() == 2 and store.read().schema == NOTICE
+    # What a writer that died left behind, with or without files, is passed over and never written over.
+    notices(spark, base(9)).write.parquet(str(tmp_path / "notices" / "v3-dead"))
+    assert store.version() == 2 and store.read().count() == 2 and store.write(store.read()) == 3 and store.read().count() == 2
 
 
 def att(*rows):
@@ -238,7 +241,17 @@ def test_crawl_and_update_check_end_to_end(spark):
     state2, counts = flows.crawl(state, sources, second, now(), "2026-04-10", pages=4)
     rows = {r.articleNo: r for r in state2.collect()}
     assert rows[2].title == "two, edited" and rows[2].editCount == 1 and sorted(rows) == [1, 2]
-    assert counts.first().asDict() == {"sourceId": "s", "inserted": 0, "updated": 1, "skipped": 1, "errors": 1}
+    # two errors: the page of notice 3 and the second list page, both of which the site lacks
+    assert counts.first().asDict() == {"sourceId": "s", "inserted": 0, "updated": 1, "skipped": 1, "errors": 2}
+    asked = []
+    quiet = site([[row(2, "two"), row(1, "one")]], {})
+
+    def watched(requests):
+        asked.extend(r.url for r in requests.collect())
+        return quiet(requests)
+
+    _, counts = flows.crawl(state, sources, watched, now(), "2026-04-10")
+    assert asked == ["http://h/b?t=n&page=1"] and counts.first().asDict() == {"sourceId": "s", "inserted": 0, "updated": 0, "skipped": 2, "errors": 0}
     checked, c = flows.update_check(state, sources, site([], {1: "first", 2: "changed silently"}), now(), F.lit("2026-04-10").cast("date"))
     rows = {r.articleNo: r for r in checked.collect()}
     assert rows[2].contentText == "changed silently" and rows[2].editCount == 1 and rows[1].editCount == 0 and (c.first().checked, c.first().changed) == (2, 1)

@@ -1,22 +1,144 @@
-"""Command line: `python -m tidings QUERY SF_DIR` shows a query's result; without arguments it lists the queries."""
+"""Command line: `python -m tidings COMMAND ...`.
+
+Commands: query, crawl, update-check, summarize, validate-attachments, validate-markdown, backfill-content, backfill-referer,
+backfill-attachments, backfill-downloads, artifacts. A backfill without --apply only counts.
+"""
 
 from __future__ import annotations
 
+import argparse
+import logging
+import os
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidings.operators import backfill, catalog, changes, merge, quality
+from tidings.plans import flows
 from tidings.plans.queries import QUERIES
-from tidings.session import configure
+from tidings.session import configure, load_config, log_counters
+from tidings.sources import boards, fetching
+
+BACKFILLS = ("backfill-content", "backfill-referer", "backfill-attachments", "backfill-downloads")
+
+
+def parser() -> argparse.ArgumentParser:
+    p = argparse.ArgumentParser(prog="tidings", description=__doc__)
+    sub = p.add_subparsers(dest="command", required=True)
+    q = sub.add_parser("query")
+    q.add_argument("name", nargs="?")
+    q.add_argument("sf_dir", nargs="?")
+    for name in ("crawl", "update-check", "summarize", "validate-attachments", "validate-markdown", *BACKFILLS):
+        c = sub.add_parser(name)
+        c.add_argument("--store", required=True)
+        c.add_argument("--catalog", required=name not in ("summarize", "validate-markdown"))
+        c.add_argument("--source", action="append")
+        c.add_argument("--limit", type=int)
+        c.add_argument("--apply", action="store_true")
+        c.add_argument("--json", action="store_true")
+        c.add_argument("--days", type=int, default=14)
+        c.add_argument("--full", action="store_true")
+        c.add_argument("--no-http", action="store_true")
+        c.add_argument("--hosts", default="")
+        c.add_argument("--min-severity", default="warning", choices=("warning", "error"))
+    a = sub.add_parser("artifacts")
+    a.add_argument("--catalog", required=True)
+    a.add_argument("--categories", required=True)
+    a.add_argument("--out", required=True)
+    return p
+
+
+def network(make=fetching.PAGES):
+    return lambda requests: fetching.fetch(requests, make)
 
 
-def main(args: list[str]) -> int:
-    if len(args) != 2 or args[0] not in QUERIES:
-        print("\n".join(QUERIES))
-        return int(bool(args))
-    QUERIES[args[0]](configure(SparkSession.builder.appName("tidings").getOrCreate()), args[1]).show(50, truncate=80)
+def report(checked: DataFrame, as_json: bool) -> int:
+    """Print the report; the exit code is 1 if there are issues."""
+    total = quality.report(checked).first()
+    if as_json:
+        for r in quality.json_report(checked).toLocalIterator():
+            print(r["text"])
+    else:
+        print(total.asDict())
+        quality.issue_counts(checked).show(50, truncate=80)
+    return int(total["issues"] > 0)
+
+
+def backfilled(spark: SparkSession, args, store: merge.Store, state: DataFrame, sources: DataFrame) -> int:
+    own = state.where(F.col("sourceId").isin(args.source)) if args.source else state
+    own = own.orderBy("sourceId", "articleNo").limit(args.limit) if args.limit else own
+    pick = {
+        "backfill-content": backfill.content_candidates, "backfill-referer": backfill.referer_candidates,
+        "backfill-attachments": lambda x: backfill.on_boards(backfill.empty_attachment_candidates(x), sources, "standard"),
+        "backfill-downloads": lambda x: backfill.on_boards(backfill.download_manager_candidates(x), sources, "wordpress-api"),
+    }[args.command]
+    n, go = backfill.gate(pick(own), args.apply)
+    print(f"{n} notices concerned" + ("" if go else "; nothing written"))
+    if not go:
+        return 0
+    if args.command == "backfill-content":
+        rows, counts = backfill.backfill_content(own, sources, F.current_timestamp())
+        store.write(backfill.replace_rows(state, rows))
+    elif args.command == "backfill-referer":
+        store.write(backfill.replace_attachments(state, backfill.backfill_referer(own, sources)))
+        return 0
+    else:
+        after, counts = flows.refetch_attachments(state, sources, network(), pick(own))
+        store.write(after)
+    log_counters(args.command, counts)
+    return int(counts.first().asDict().get("exitCode", 0))
+
+
+def run(spark: SparkSession, args) -> int:
+    if args.command == "query":
+        if args.name not in QUERIES or not args.sf_dir:
+            print("\n".join(QUERIES))
+            return int(bool(args.name))
+        QUERIES[args.name](spark, args.sf_dir).show(50, truncate=80)
+        return 0
+    config = load_config()
+    boards.rename(dict(config.board_names))
+    if args.command == "artifacts":
+        sources, categories = catalog.read_sources(spark, args.catalog), catalog.read_categories(spark, args.categories)
+        made = {
+            "enum": catalog.source_enum(sources), "sources": catalog.server_sources(sources), "categories": catalog.server_categories(categories, sources),
+            "env": catalog.filter_line(sources).withColumn("pos", F.lit(0)), "coverage": catalog.coverage_report(sources),
+            "by-college": catalog.college_report(sources), "by-category": catalog.category_report(sources, categories),
+        }
+        for name, lines in made.items():
+            catalog.write_text(lines, f"{args.out}/{name}")
+        return 0
+    store = merge.Store(spark, args.store)
+    state, now = store.read(), F.current_timestamp()
+    sources = catalog.load_and_validate(spark, args.catalog) if args.catalog else None
+    wanted = args.source or (list(config.source_filter) if config.source_filter else None)
+    if args.command == "crawl":
+        today = spark.range(1).select(F.date_format(F.current_date(), "yyyy-MM-dd").alias("d")).first()["d"]
+        after, counts = flows.crawl(state, sources, network(), now, today, wanted=wanted, incremental=not args.full, images=network(fetching.IMAGES))
+    elif args.command == "update-check":
+        after, counts = flows.update_check(state, changes.select_sources(sources, wanted), network(), now, F.current_date(), days=args.days)
+    elif args.command == "summarize":
+        store.write(flows.summaries(state, now, limit=args.limit or 50))
+        return 0
+    elif args.command == "validate-attachments":
+        checked = quality.check_attachments(state, sources, [h for h in args.hosts.split(",") if h], wanted=args.source, limit=args.limit)
+        return report(checked if args.no_http else flows.reachability(checked, network(fetching.HEADS)), args.json)
+    elif args.command == "validate-markdown":
+        rows = state.where(F.col("sourceId").isin(args.source)) if args.source else state
+        return report(quality.check_markdown(rows.limit(args.limit) if args.limit else rows, min_severity=args.min_severity), args.json)
+    else:
+        return backfilled(spark, args, store, state, sources)
+    store.write(after)
+    log_counters(args.command, counts)
     return 0
 
 
+def main(argv: list[str]) -> int:
+    logging.basicConfig(level=logging.INFO, format="%(message)s")
+    args = parser().parse_args(argv)
+    return run(configure(SparkSession.builder.appName(os.environ.get("APP_NAME", "tidings")).getOrCreate()), args)
+
+
 if __name__ == "__main__":
     sys.exit(main(sys.argv[1:]))

@@ -52,9 +52,11 @@ def backfill_content(state: DataFrame, sources: DataFrame, now: Column) -> tuple
     usable = F.coalesce(F.col("_base"), F.lit("")) != ""
     counts = j.agg(F.count(F.lit(1)).alias("matched"), F.count_if(~usable).alias("skipped"))
     url = F.when(F.col("detailPath").isNotNull(), source_url_expr(F.col("_base"), F.col("detailPath"))).otherwise(F.col("sourceUrl"))
-    made = j.where(usable).withColumn("_url", url).withColumn("_r", representations_udf(F.col("content"), F.col("_url")))
-    r, has = F.col("_r"), F.col("content").isNotNull()
-    fresh = {c: F.when(has, r[c]).otherwise(F.col(c)) for c in ("cleanHtml", "contentText", "cleanMarkdown", "contentHash")}
+    has = F.coalesce(F.col("content") != "", F.lit(False))
+    made = j.where(usable).withColumn("_url", url).withColumn("_r", representations_udf(F.when(has, F.col("content")), F.col("_base")))
+    r = F.col("_r")
+    fresh = {c: F.when(has, r[c]).otherwise(F.col(c)) for c in ("cleanHtml", "cleanMarkdown", "contentHash")}
+    fresh["contentText"] = F.when(has & r["cleanHtml"].isNotNull(), r["contentText"]).otherwise(F.col("contentText"))
     out = made.withColumns(fresh | {"sourceUrl": F.col("_url"), "backfilledAt": now}).select(*state.columns)
     return out, counts
 
@@ -79,6 +81,30 @@ def replace_rows(state: DataFrame, rows: DataFrame) -> DataFrame:
     return state.join(rows.select(*KEY), list(KEY), "left_anti").select(*state.columns).unionByName(rows.select(*state.columns))
 
 
+def on_boards(candidates: DataFrame, sources: DataFrame, strategy: str, without_base: str | None = None) -> DataFrame:
+    """Candidates on one kind of board, less those whose address contains `without_base`."""
+    known = sources.where(F.col("strategy") == strategy)
+    known = known.where(~F.col("baseUrl").contains(without_base)) if without_base else known
+    return candidates.join(known.select(F.col("id").alias("sourceId")), "sourceId", "left_semi")
+
+
+def refetched(candidates: DataFrame, details: DataFrame) -> DataFrame:
+    """Key, `outcome` and new `attachments` of re-fetched notices: updated, unchanged (none found), failed, skipped (no address)."""
+    d = details.select(F.col("sourceId").alias("_s"), F.col("articleNo").alias("_a"), "status", F.col("detail.attachments").alias("_found"), F.col("detail").isNotNull().alias("_read"))
+    j = candidates.select(*KEY, "detailPath").join(d, (F.col("sourceId") == F.col("_s")) & (F.col("articleNo") == F.col("_a")), "left")
+    outcome = (
+        F.when(F.coalesce("detailPath", F.lit("")) == "", "skipped").when(~F.coalesce("_read", F.lit(False)) & (F.coalesce("status", F.lit(0)) != 200), "failed")
+        .when(F.coalesce(F.size("_found"), F.lit(0)) < 1, "unchanged").otherwise("updated")
+    )
+    return j.select(*KEY, outcome.alias("outcome"), F.col("_found").cast(ATTACHMENTS).alias("attachments"))
+
+
+def backfill_counters(outcomes: DataFrame) -> DataFrame:
+    """How many notices had each outcome, and the exit code of the run: 2 if any failed, else 0."""
+    n = lambda x: F.count_if(F.col("outcome") == x)
+    return outcomes.agg(n("updated").alias("updated"), n("unchanged").alias("unchanged"), n("skipped").alias("skipped"), n("failed").alias("failed"), F.when(n("failed") > 0, 2).otherwise(0).alias("exitCode"))
+
+
 def gate(candidates: DataFrame, apply: bool) -> tuple[int, bool]:
     """How many notices a backfill concerns, and whether it may go on."""
     n = candidates.count()

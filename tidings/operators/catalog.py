@@ -84,6 +84,11 @@ def source_errors(sources: DataFrame, categories: DataFrame) -> DataFrame:
     ])
 
 
+def seed_size(common: Column, campus: Column) -> Column:
+    """How many different sources two lists of defaults select together."""
+    return F.size(F.array_union(common, campus))
+
+
 def category_errors(categories: DataFrame, sources: DataFrame) -> DataFrame:
     """The catalogue's rules on categories."""
     e, n = F.col("id"), F.col("maxSelection")
@@ -95,7 +100,7 @@ def category_errors(categories: DataFrame, sources: DataFrame) -> DataFrame:
     campus = picker.select("id", "maxSelection", "defaultIds", "_enabled", F.explode("campusDefaultIds").alias("k", "ids"))
     good_key = F.col("k").isin(*CAMPUS_KEYS)
     per_campus = campus.where(good_key).select("id", "k", F.explode(F.array_except("ids", "_enabled")).alias("d"))
-    seed = F.size(F.array_union("defaultIds", "ids"))
+    seed = seed_size(F.col("defaultIds"), F.col("ids"))
     labels = categories.select("id", F.explode(F.array(*(F.when(F.col(f"label.{x}").isNull(), F.lit(x)) for x in ("ko", "en")))).alias("l"))
     orphans = sources.where(F.col("appCategory").isNotNull()).join(categories.select(F.col("id").alias("_c")), F.col("appCategory") == F.col("_c"), "left_anti").select("appCategory").distinct()
     return _union([
@@ -158,8 +163,9 @@ def server_categories(categories: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def strategy_histogram(sources: DataFrame) -> DataFrame:
-    """Sources of each kind of board, most first; of equal counts the kind seen first."""
-    return sources.groupBy("strategy").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first")).orderBy(F.desc("n"), "first").drop("first")
+    """Sources of each kind of board, numbered by `place`: most first, of equal counts the kind seen first."""
+    kinds = sources.groupBy("strategy").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
+    return kinds.select("strategy", "n", F.row_number().over(Window.orderBy(F.desc("n"), "first")).alias("place")).orderBy("place")  # one row a kind
 
 
 def grouped(sources: DataFrame, *by: str) -> DataFrame:
@@ -189,6 +195,56 @@ def markdown_table(rows: DataFrame, order: list[Column]) -> DataFrame:
     return head.unionByName(body)
 
 
+def _report(rows: DataFrame, title: str, head: list[str], cells: list[Column], tail: list[str] | None = None) -> DataFrame:
+    """Lines of a report: a heading and a table for each section. `rows`: `_order` and `_section` of each source, and `pos`."""
+    spark = rows.sparkSession
+    line = lambda n, text: F.struct(F.lit(n).cast("long").alias("n"), text.alias("text"))
+    width = "| " + " | ".join(["---"] * len(head)) + " |"
+    section = rows.select("_order", "_section").distinct()
+    opening = section.select("_order", F.explode(F.array(
+        line(-5, F.concat(F.lit("## "), F.col("_section"))), line(-4, F.lit("")), line(-3, F.lit("| " + " | ".join(head) + " |")), line(-2, F.lit(width)), line(2**40, F.lit("")))).alias("x"))
+    body = rows.select("_order", line(0, F.concat(F.lit("| "), F.concat_ws(" | ", *(F.coalesce(c, F.lit("")) for c in cells)), F.lit(" |"))).withField("n", F.col("pos").cast("long")).alias("x"))
+    lines = opening.unionByName(body).select("_order", "x.n", "x.text")
+    before = [("0", i, t) for i, t in enumerate([f"# {title}", "", ""])]
+    after = [("9", i, t) for i, t in enumerate(tail or [])]
+    ends = spark.createDataFrame(before + after, "_order string, n long, text string")
+    order = F.row_number().over(Window.orderBy("_order", "n"))  # as many rows as the catalogue
+    return lines.unionByName(ends).select(order.alias("pos"), "text")
+
+
+def _cells(sources: DataFrame) -> dict[str, Column]:
+    code = lambda c: F.concat(F.lit("`"), F.col(c), F.lit("`"))
+    on = F.when(F.coalesce(F.col("crawlAvailable") & F.col("crawlEnabled"), F.lit(False)), F.lit("O"))
+    return {"id": code("id"), "name": F.col("name"), "campus": F.col("campus"), "strategy": F.when(F.col("strategy") != "standard", F.col("strategy")), "enabled": on}
+
+
+def college_report(sources: DataFrame) -> DataFrame:
+    """Sources under their colleges by name, those without one last, as lines of a Markdown document (`pos`, `text`)."""
+    rows = sources.withColumns({"_order": F.concat(F.when(F.col("college").isNull(), "2").otherwise("1"), F.coalesce("college", F.lit(""))), "_section": F.coalesce("college", F.lit("without a college"))})
+    return _report(rows, "Sources by college", ["id", "name", "campus", "strategy", "enabled"], list(_cells(sources).values()))
+
+
+def category_report(sources: DataFrame, categories: DataFrame) -> DataFrame:
+    """Sources under the categories in these' order, those without one last; sources of unknown categories are left out."""
+    place = categories.select(F.col("id").alias("_c"), F.col("pos").alias("_p"), F.concat(F.coalesce("label.en", F.lit("")), F.lit(" ("), F.col("id"), F.lit(")")).alias("_label"))
+    j = sources.join(place, F.col("appCategory") == F.col("_c"), "left").where(F.col("appCategory").isNull() | F.col("_c").isNotNull())
+    rows = j.withColumns({"_order": F.when(F.col("_c").isNull(), "2").otherwise(F.concat(F.lit("1"), F.lpad(F.col("_p").cast("string"), 9, "0"))), "_section": F.coalesce("_label", F.lit("without a category"))})
+    return _report(rows, "Sources by category", ["id", "name", "campus", "strategy", "enabled"], list(_cells(sources).values()))
+
+
+def coverage_report(sources: DataFrame) -> DataFrame:
+    """Sources under campus and college (or category, where both campuses share them), with totals at the end."""
+    c = coverage(sources).first()  # one row
+    within = F.when(F.col("campus") == "both", F.coalesce("appCategory", F.lit("-"))).otherwise(F.coalesce("college", F.lit("-")))
+    first = F.min("pos").over(Window.partitionBy("campus", "_within"))
+    rows = sources.withColumn("_within", within).withColumn("_first", first)
+    place = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for p in (("hssc", "1"), ("nsc", "2"), ("both", "3")) for x in p)), F.col("campus")), F.lit("4"))
+    rows = rows.withColumns({"_order": F.concat(place, F.lpad(F.col("_first").cast("string"), 9, "0")), "_section": F.concat_ws(" / ", F.coalesce("campus", F.lit("no campus")), "_within")})
+    cells = _cells(sources)
+    tail = [f"- entries: {c['total']}", f"- enabled: {c['enabled']}", f"- kinds of boards: {c['strategies']}"]
+    return _report(rows, "Coverage", ["id", "name", "strategy", "enabled"], [cells[k] for k in ("id", "name", "strategy", "enabled")], tail)
+
+
 def write_text(lines: DataFrame, path: str) -> None:
     """An artifact as one text file; artifacts are as long as the catalogue."""
     lines.coalesce(1).sortWithinPartitions("pos").select("text").write.mode("overwrite").text(path)

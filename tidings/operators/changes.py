@@ -44,7 +44,7 @@ def classify(items: DataFrame, state: DataFrame, floor: str = FLOOR_DATE) -> Dat
 
 
 def scanned_pages(items: DataFrame, state: DataFrame, planned: DataFrame, *, incremental: bool = True, floor: str = FLOOR_DATE, max_pages: int | None = None) -> DataFrame:
-    """Of the planned pages (sourceId, page) those that a scan reads.
+    """Of the planned pages (sourceId, page) those that a scan reads, and whether it may go on behind them (`more`).
 
     A scan ends before its first empty page and before its first page of nothing but old notices; an incremental one also
     before the first page whose notices are all known, except that page 0 is read even then, and nothing after it.
@@ -62,7 +62,8 @@ def scanned_pages(items: DataFrame, state: DataFrame, planned: DataFrame, *, inc
     up_to = Window.partitionBy("sourceId").orderBy("page")
     ended = F.max(F.when(F.col("_stop"), 1).otherwise(0)).over(up_to)
     after = F.max(F.when(F.col("_last"), 1).otherwise(0)).over(up_to.rowsBetween(Window.unboundedPreceding, -1))
-    return pages.withColumns({"_ended": ended, "_after": F.coalesce(after, F.lit(0))}).where("_ended = 0 AND _after = 0").select("sourceId", "page")
+    read = pages.withColumns({"_ended": ended, "_after": F.coalesce(after, F.lit(0))}).where("_ended = 0 AND _after = 0")
+    return read.select("sourceId", "page", (~F.col("_last")).alias("more"))
 
 
 def latest_by(rows: DataFrame, key: str, order: list[Column | str], k: int) -> DataFrame:
@@ -87,12 +88,27 @@ def select_sources(sources: DataFrame, wanted: list[str] | None = None) -> DataF
     if wanted is None:
         return sources.where(F.coalesce("crawlAvailable", F.lit(False)) & F.coalesce("crawlEnabled", F.lit(False)))
     asked = sources.sparkSession.createDataFrame([(w,) for w in wanted], "id string").distinct()
-    unknown = [r["id"] for r in asked.join(sources, "id", "left_anti").orderBy("id").collect()]
+    unknown = [r["id"] for r in unknown_ids(asked, sources, "id").orderBy("id").collect()]
     if unknown:
         raise ValueError(f"unknown sources: {', '.join(unknown)}")
     return sources.join(asked, "id", "left_semi")
 
 
+def unknown_ids(asked: DataFrame, known: DataFrame, on: str) -> DataFrame:
+    """The different values of `on` that are asked for and not known."""
+    return asked.select(on).distinct().join(known.select(on), on, "left_anti")
+
+
+def difference(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows, with repeats, that only one of two tables of equal columns has: `side` says which."""
+    return a.exceptAll(b).withColumn("side", F.lit("left")).unionByName(b.exceptAll(a).withColumn("side", F.lit("right")))
+
+
+def repeated(rows: DataFrame, key: str, by: str) -> DataFrame:
+    """Keys that occur more than once, with the first by `by` and how many there are."""
+    return rows.groupBy(key).agg(F.min(by).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
 def outcome_counters(actions: DataFrame) -> DataFrame:
     """Per source: inserted, updated, skipped, errors."""
     count = lambda *xs: F.count_if(F.col("action").isin(*xs))

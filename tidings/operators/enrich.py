@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -45,6 +46,22 @@ def stub_summary(title: str, category: str, text: str, date: str) -> dict:
     return {"oneLiner": first, "summary": text.strip()[:200], "type": kind, "periods": [], "locations": [], "details": None, "model": "stub"}
 
 
+def patient(client: Callable, tries: int = 3, sleep: Callable[[float], None] = time.sleep) -> Callable:
+    """A client that tries a failed call again, after 1, 2, ... seconds; the last failure is raised."""
+
+    def call(*args):
+        for k in range(tries):
+            try:
+                return client(*args)
+            except Exception:
+                if k + 1 == tries:
+                    raise
+                sleep(2.0**k)
+        raise AssertionError("unreachable")
+
+    return call
+
+
 def summarise(work: DataFrame, make_client: Callable[[], Callable[[str, str, str, str], dict]] = lambda: stub_summary) -> DataFrame:
     """`work` with `response`, null where the call failed. Each task makes its own client."""
 

@@ -9,6 +9,14 @@ from tidings.functions.textify import html_to_markdown_udf, inject_dimensions_ud
 from tidings.functions.urls import source_url_expr
 
 
+def with_source(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """Rows with the name (`_name`) and address (`_base`) of their source; a small catalogue is broadcast, once counted."""
+    known = sources.select(F.col("id").alias("_id"), F.col("name").alias("_name"), F.col("baseUrl").alias("_base"))
+    if known.limit(10_001).count() <= 10_000:
+        known = F.broadcast(known)
+    return rows.join(known, F.col("sourceId") == F.col("_id"), "left").drop("_id")
+
+
 def build_notices(joined: DataFrame, sources: DataFrame) -> DataFrame:
     """Notices of classified items with their `detail` (may be null) and `crawledAt`.
 
@@ -17,11 +25,8 @@ def build_notices(joined: DataFrame, sources: DataFrame) -> DataFrame:
     page reader found, then to null. `imageSizes` (url, w, h), if there, fills in what images lack; the hash is that of the
     clean HTML before, here and in the update check alike.
     """
-    known = sources.select(F.col("id").alias("_id"), F.col("name").alias("_name"), F.col("baseUrl").alias("_base"))
-    if known.limit(10_001).count() <= 10_000:
-        known = F.broadcast(known)
     d = F.col("detail")
-    base = joined.join(known, F.col("sourceId") == F.col("_id"), "left").withColumn(
+    base = with_source(joined, sources).withColumn(
         "sourceUrl", source_url_expr(F.coalesce("_base", F.lit("")), F.coalesce("detailPath", F.lit(""))))
     made = base.withColumn("_r", representations_udf(F.when(d["content"] != "", d["content"]), F.col("_base")))
     r = F.col("_r")

@@ -53,11 +53,12 @@ def attachment_issues(attachments: Column, strategy: Column, suffixes: list[str]
     return F.concat(each, again).cast(T.ArrayType(ATTACHMENT_ISSUE))
 
 
-def check_attachments(notices: DataFrame, sources: DataFrame, suffixes: list[str], *, wanted: list[str] | None = None, strict_hosts: bool = False) -> DataFrame:
-    """Notices with attachments and their `issues`; the strategy comes from the catalogue and may be unknown."""
+def check_attachments(notices: DataFrame, sources: DataFrame, suffixes: list[str], *, wanted: list[str] | None = None, strict_hosts: bool = False, limit: int | None = None) -> DataFrame:
+    """Notices with attachments and their `issues`; the strategy comes from the catalogue and may be unknown. `limit`: so many notices at most, by key."""
     known = sources.select(F.col("id").alias("_id"), F.col("strategy").alias("strategy"))
     some = notices.where(F.col("attachments").isNotNull() & (F.size("attachments") > 0))
     some = some.where(F.col("sourceId").isin(wanted)) if wanted else some
+    some = some.orderBy("sourceId", "articleNo").limit(limit) if limit else some
     joined = some.join(known, F.col("sourceId") == F.col("_id"), "left").drop("_id")
     return joined.withColumn("issues", attachment_issues(F.col("attachments"), F.col("strategy"), suffixes, strict_hosts))
 
@@ -81,13 +82,27 @@ def issue_counts(checked: DataFrame) -> DataFrame:
 
 
 def report(checked: DataFrame) -> DataFrame:
-    """Notices, attachments if there are any, notices with issues, and issues."""
+    """Notices, attachments if there are any, notices with issues, and issues, as one row."""
     attachments = F.coalesce(F.sum(F.size("attachments")), F.lit(0)) if "attachments" in checked.columns else F.lit(0)
     return checked.agg(F.count(F.lit(1)).alias("notices"), attachments.alias("attachments"), F.count_if(F.size("issues") > 0).alias("withIssues"), F.coalesce(F.sum(F.size("issues")), F.lit(0)).alias("issues"))
 
 
+def json_report(checked: DataFrame, key: tuple[str, ...] = ("sourceId", "articleNo")) -> DataFrame:
+    """One JSON object for each notice with issues (`text`), by key."""
+    bad = checked.where(F.size("issues") > 0)
+    return bad.select(*key, F.to_json(F.struct(*key, "issues"), {"ignoreNullFields": "false"}).alias("text"))
+
+
+def addresses(checked: DataFrame) -> DataFrame:
+    """The different web addresses of attachments whose boards ask for no referer: what a reachability check requests."""
+    asked = checked.where(~F.coalesce(F.col("strategy").isin(*NEEDS_REFERER), F.lit(False)))
+    return asked.select(F.explode("attachments").alias("a")).select(F.col("a.url").alias("url")).where(F.col("url").rlike("^https?://")).distinct()
+
+
 # Markdown
 
+# The texts of the issues, here and above, which reports show.
+
 # The patterns of the checks.
 CROSS_LINE = re.compile(r"\*\*(\S(?:[^*\n]|\*(?!\*))*?)\n((?:[^*]|\*(?!\*))*?\S)\*\*")
 SPACE_BEFORE_CLOSE = re.compile(r"\*\*\S[^*\n]*[ \t]\*\*")

@@ -7,39 +7,72 @@ and a table of pages serve alike, and gives the new state with its counters. Not
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidings.functions.textify import image_urls_udf, representations_udf
-from tidings.operators import changes, enrich, merge, notices, quality
+from tidings.functions.textify import image_urls_udf, normalize_urls_udf, representations_udf
+from tidings.operators import backfill, changes, enrich, merge, notices, quality
 from tidings.schemas import KEY
-from tidings.session import Config
+from tidings.session import Config, written
 from tidings.sources import readers
+from tidings.sources.readers import image_size_udf
 
 Fetch = Callable[[DataFrame], DataFrame]
 
 
-def crawl(state: DataFrame, sources: DataFrame, fetch: Fetch, now: Column, as_of: str, *, wanted: list[str] | None = None, pages: int = 10, incremental: bool = True, floor: str = changes.FLOOR_DATE) -> tuple[DataFrame, DataFrame]:
+def scan(state: DataFrame, sources: DataFrame, fetch: Fetch, as_of: str, *, incremental: bool = True, floor: str = changes.FLOOR_DATE, pages: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Items of the list pages that a scan reads, and the pages that could not be fetched where it stopped (sourceId, page).
+
+    Page 0 of every source is fetched first; sources that may go on have 2, 4, 8, ... pages more fetched in the next rounds, up
+    to `pages` (100, or 2500 in a full scan). So a cycle without news asks each source once.
+    """
+    most = pages or (changes.MAX_PAGES if incremental else changes.MAX_PAGES_FULL)
+    first, size, left = 0, 1, sources
+    items: list[DataFrame] = []
+    failed: list[DataFrame] = []
+    while first < most:
+        plan = readers.page_plan(left, min(most, first + size), first)
+        answers = written(fetch(plan).select("sourceId", "page", "status", "body"))
+        found = written(readers.read_lists(answers, left, as_of))
+        read = written(changes.scanned_pages(found, state, plan.select("sourceId", "page"), incremental=incremental, floor=floor, max_pages=most))
+        items.append(found.join(read, ["sourceId", "page"], "left_semi"))
+        done = read.groupBy("sourceId").agg(F.count(F.lit(1)).alias("n"), F.every("more").alias("more"))
+        at = F.when(F.coalesce("more", F.lit(True)), F.coalesce("n", F.lit(0)) + first)
+        lost = answers.where("status <> 200").select("sourceId", "page").join(done, "sourceId", "left").where(F.col("page") == at)
+        failed.append(lost.select("sourceId", "page"))
+        first, size = first + size, 2 * size
+        going = done.where(F.col("more") & (F.col("n") == F.lit(min(most, first) - (first - size // 2))))
+        left = written(left.join(going.select(F.col("sourceId").alias("id")), "id", "left_semi").select(*left.columns))
+        if not left.limit(1).count():
+            break
+    return reduce(DataFrame.unionByName, items), reduce(DataFrame.unionByName, failed)
+
+
+def crawl(
+    state: DataFrame, sources: DataFrame, fetch: Fetch, now: Column, as_of: str, *, wanted: list[str] | None = None, pages: int | None = None,
+    incremental: bool = True, floor: str = changes.FLOOR_DATE, images: Fetch | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """New state and per-source counters of a crawl.
 
-    List pages up to `pages` are fetched and cut where an incremental scan would stop; new and changed notices are fetched,
-    built and merged, unchanged ones touched; notices whose content was never had are tried again. In a full crawl known
-    notices of any title count as new and are overwritten.
+    List pages are read as `scan` says; new and changed notices are fetched, built and merged, unchanged ones touched; notices
+    whose content was never had are tried again. In a full crawl known notices of any title count as new and are
+    overwritten. With `images`, a fetch of images, their sizes are filled in. A list page that can't be fetched is an error.
     """
     chosen = changes.select_sources(sources, wanted)
-    plan = readers.page_plan(chosen, pages)
-    items = readers.read_lists(fetch(plan), chosen, as_of)
-    read = changes.scanned_pages(items, state, plan.select("sourceId", "page"), incremental=incremental, floor=floor, max_pages=pages)
-    seen = items.join(read, ["sourceId", "page"], "left_semi")
-    first = seen.groupBy(*KEY).agg(F.min_by(F.struct(*(c for c in seen.columns if c not in KEY)), "page").alias("x")).select(*KEY, "x.*")
+    seen, failed = scan(state, chosen, fetch, as_of, incremental=incremental, floor=floor, pages=pages)
+    first = written(changes.first_seen(seen, list(KEY), "page"))
     classed = changes.classify(first, state, floor)
     if not incremental:
         classed = classed.withColumn("action", F.when(F.col("action").isin("changed", "same"), "new").otherwise(F.col("action")))
     repairs = changes.null_content(state).join(chosen.select(F.col("id").alias("sourceId")), "sourceId", "left_semi").join(first.select(*KEY), list(KEY), "left_anti")
     wanted_details = classed.where(F.col("action").isin("new", "changed")).select(*KEY, "detailPath").unionByName(repairs)
     details = readers.read_details(fetch(readers.detail_plan(wanted_details, chosen)), chosen)
-    details = readers.details_with_list(details, first).select(*KEY, "detail")
+    details = written(readers.details_with_list(details, first).select(*KEY, "detail"))
+    if images:
+        sizes = image_checks(details, chosen, images).select(*KEY, "imageSizes")
+        details = details.join(sizes, list(KEY), "left")
     work = classed.join(details, list(KEY), "left").withColumn("crawledAt", now)
     built = notices.build_notices(work, chosen).join(work.select(*KEY, "action", F.col("detail").isNull().alias("_lost")), list(KEY))
     built = built.withColumn("action", F.when(F.col("_lost") & F.col("action").isin("new", "changed"), "error").otherwise(F.col("action"))).drop("_lost")
@@ -47,23 +80,50 @@ def crawl(state: DataFrame, sources: DataFrame, fetch: Fetch, now: Column, as_of
     mended = notices.build_notices(mended.join(details, list(KEY)).where(F.col("detail").isNotNull()).withColumn("crawledAt", now), chosen).withColumn("action", F.lit("repaired"))
     incoming = built.unionByName(mended)
     merged = merge.merge_notices(state, incoming.where(~F.col("action").isin("old", "error")))
-    return merged, changes.outcome_counters(incoming)
+    return merged, changes.outcome_counters(incoming.select("sourceId", "action").unionByName(failed.select("sourceId", F.lit("error").alias("action"))))
+
+
+def image_checks(details: DataFrame, sources: DataFrame, fetch: Fetch) -> DataFrame:
+    """Per notice with images at web addresses: how many were checked, which are broken, and the sizes of the others.
+
+    Each address is fetched once, however many notices show it.
+    """
+    based = notices.with_source(details.select(*KEY, F.col("detail.content").alias("content")).where("content <> ''"), sources)
+    each = written(based.select(*KEY, F.posexplode(image_urls_udf(normalize_urls_udf("content", "_base"))).alias("pos", "url")))
+    answers = fetch(each.select("url").distinct()).select(F.col("url").alias("_u"), "status", image_size_udf("body").alias("size"))
+    j = each.join(answers, F.col("url") == F.col("_u"), "left")
+    ok = F.coalesce(F.col("status"), F.lit(0)) == 200
+    known = F.when(ok & F.col("size.w").isNotNull(), F.struct("url", F.col("size.w").alias("w"), F.col("size.h").alias("h")))
+    broken = F.transform(F.array_sort(F.collect_list(F.when(~ok, F.struct("pos", "url")))), lambda x: x["url"])
+    return j.groupBy(*KEY).agg(F.count(F.lit(1)).alias("checked"), broken.alias("broken"), F.array_sort(F.collect_set(known)).alias("imageSizes"))
 
 
 def update_check(state: DataFrame, sources: DataFrame, fetch: Fetch, now: Column, as_of: Column, *, days: int = 14, floor: str = changes.FLOOR_DATE) -> tuple[DataFrame, DataFrame]:
     """New state and per-source counters after looking again at recent notices with a page address."""
     window = merge.check_window(state, as_of, days, floor).where(F.coalesce("detailPath", F.lit("")) != "")
     answers = readers.read_details(fetch(readers.detail_plan(window.select(*KEY, "detailPath"), sources)), sources)
-    urls = window.select(*KEY, "sourceUrl")
-    fresh = answers.join(urls, list(KEY)).withColumn("_r", representations_udf(F.col("detail.content"), F.col("sourceUrl")))
+    fresh = notices.with_source(answers, sources).withColumn("_r", representations_udf(F.col("detail.content"), F.col("_base")))
     r = F.col("_r")
-    fetched = fresh.select(
+    fetched = written(fresh.select(
         *KEY, "status", r["contentHash"].alias("newHash"), r["content"].alias("content"), r["contentText"].alias("contentText"), r["cleanHtml"].alias("cleanHtml"),
-        r["cleanMarkdown"].alias("cleanMarkdown"), F.col("detail.attachments").alias("attachments"))
+        r["cleanMarkdown"].alias("cleanMarkdown"), F.col("detail.attachments").alias("attachments")))
     outcomes = merge.check_outcomes(state, fetched)
     return merge.apply_check(state, outcomes, now), merge.check_counters(outcomes)
 
 
+def reachability(checked: DataFrame, fetch: Fetch) -> DataFrame:
+    """Checked attachments with an issue more for each address that answers with an error, or not at all; each is asked once."""
+    return quality.with_reachability(checked, fetch(quality.addresses(checked)).select("url", "status"))
+
+
+def refetch_attachments(state: DataFrame, sources: DataFrame, fetch: Fetch, candidates: DataFrame, *, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """New state and counters after reading the pages of the candidates again for their attachments; `limit`: so many of them, by key."""
+    some = candidates.orderBy(*KEY).limit(limit) if limit else candidates
+    details = readers.read_details(fetch(readers.detail_plan(some.select(*KEY, "detailPath").where(F.coalesce("detailPath", F.lit("")) != ""), sources)), sources)
+    outcomes = written(backfill.refetched(some, details))
+    return backfill.replace_attachments(state, outcomes.where("outcome = 'updated'").select(*KEY, "attachments")), backfill.backfill_counters(outcomes)
+
+
 def summaries(state: DataFrame, now: Column, *, limit: int = 50, make_client=lambda: enrich.stub_summary) -> DataFrame:
     """New state after one batch of unsummarised notices and one of notices changed since; the second sees the first's writes."""
     state = enrich.write_summaries(state, enrich.summarise(enrich.pending(state, limit), make_client), now)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidings.functions import textify, urls
-from tidings.operators import backfill, changes, enrich, merge, quality
+from tidings.operators import backfill, catalog, changes, enrich, merge, notices, quality
 from tidings.plans import views
 from tidings.plans.views import stamp, table
 from tidings.streaming import machine
@@ -28,10 +28,6 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def _latest(rows: DataFrame, key: str, order: list, k: int) -> DataFrame:
-    return rows.withColumn("rn", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("rn") <= k)
-
-
 @query("q01_pending_topk", """
 SELECT source, doc_id, sha256(text) AS content_hash, rn FROM (
   SELECT d.*, row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) AS rn FROM documents d
@@ -39,7 +35,7 @@ SELECT source, doc_id, sha256(text) AS content_hash, rn FROM (
 def q01(spark, d):
     docs = table(spark, d, "documents").where(F.col("text").isNotNull() & (F.col("text") != ""))
     open_ = docs.join(table(spark, d, "labels").select("doc_id"), "doc_id", "left_anti")
-    top = _latest(open_.select("source", "doc_id", "text"), "source", [F.desc("doc_id")], 3)
+    top = changes.latest_by(open_.select("source", "doc_id", "text"), "source", [F.desc("doc_id")], 3)
     return top.select("source", "doc_id", textify.content_hash_expr(F.col("text")).alias("content_hash"), "rn")
 
 
@@ -50,18 +46,19 @@ def q02(spark, d):
 
 @query("q03_dup_hash_groups", "SELECT sha256(text) AS content_hash, min(doc_id) AS min_id, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
 def q03(spark, d):
-    return table(spark, d, "documents").groupBy(F.sha2("text", 256).alias("content_hash")).agg(F.min("doc_id").alias("min_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    hashed = table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("content_hash"))
+    return changes.repeated(hashed, "content_hash", "doc_id").withColumnRenamed("first", "min_id")
 
 
 @query("q04_first_wins_dedup", "SELECT min(doc_id) AS doc_id FROM documents GROUP BY sha256(text)")
 def q04(spark, d):
-    return table(spark, d, "documents").groupBy(F.sha2("text", 256).alias("h")).agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    return changes.first_seen(table(spark, d, "documents").select(F.sha2("text", 256).alias("h"), "doc_id"), ["h"], "doc_id").select("doc_id")
 
 
 @query("q05_per_source_latest", """
 SELECT o_custkey, o_orderkey, rn FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS rn FROM orders) WHERE rn <= 3""")
 def q05(spark, d):
-    return _latest(table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate"), "o_custkey", [F.desc("o_orderdate"), "o_orderkey"], 3).select("o_custkey", "o_orderkey", "rn")
+    return changes.latest_by(table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate"), "o_custkey", [F.desc("o_orderdate"), "o_orderkey"], 3).select("o_custkey", "o_orderkey", "rn")
 
 
 @query("q06_floor_filter", "SELECT o_orderstatus, count(*) AS n FROM orders WHERE strftime(o_orderdate, '%Y-%m-%d') >= '1997-03-09' GROUP BY 1")
@@ -81,10 +78,12 @@ def q07(spark, d):
 SELECT a.o_orderkey, b.price AS old_price, b.price IS NULL AS is_new, coalesce(b.price <> a.o_totalprice, false) AS price_changed
 FROM orders a LEFT JOIN (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS price FROM orders WHERE o_orderkey % 5 <> 0) b USING (o_orderkey)""")
 def q08(spark, d):
-    a = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    b = a.where(F.col("o_orderkey") % 5 != 0).select("o_orderkey", F.when(F.col("o_orderkey") % 7 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).alias("old_price"))
-    j = a.join(b, "o_orderkey", "left")
-    return j.select("o_orderkey", "old_price", F.col("old_price").isNull().alias("is_new"), F.coalesce(F.col("old_price") != F.col("o_totalprice"), F.lit(False)).alias("price_changed"))
+    orders = table(spark, d, "orders").select(F.lit("s").alias("sourceId"), F.col("o_orderkey").alias("articleNo"), "o_totalprice", F.lit("").alias("date"), F.lit("h").alias("contentHash"))
+    price = F.when(F.col("articleNo") % 7 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    state = orders.where(F.col("articleNo") % 5 != 0).withColumn("title", price.cast("string"))
+    found = changes.classify(orders.withColumn("title", F.col("o_totalprice").cast("string")), state)
+    return found.select(
+        F.col("articleNo").alias("o_orderkey"), F.col("oldTitle").cast("double").alias("old_price"), (F.col("action") == "new").alias("is_new"), (F.col("action") == "changed").alias("price_changed"))
 
 
 _CLASSIFIED = """
@@ -112,7 +111,9 @@ _PAGES = """
 WITH o AS (SELECT o_custkey, o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS date, ((row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) - 1) // 4)::INT AS page FROM orders),
 f AS (SELECT o_custkey, page, bool_and(date < '1996-06-01') AS old, bool_and(o_orderkey % 4 <> 0) AS known FROM o GROUP BY 1, 2),
 p AS (SELECT o_custkey, page FROM (SELECT DISTINCT o_custkey FROM orders), range(6) t(page)),
-s AS (SELECT p.o_custkey, p.page, max(CASE WHEN f.old IS NULL OR f.old OR (f.known AND p.page > 0) THEN 1 ELSE 0 END) OVER (PARTITION BY p.o_custkey ORDER BY p.page) AS ended
+s AS (SELECT p.o_custkey, p.page, max(CASE WHEN f.old IS NULL OR f.old OR (f.known AND p.page > 0) THEN 1 ELSE 0 END) OVER (PARTITION BY p.o_custkey ORDER BY p.page) AS stopped,
+  coalesce(max(CASE WHEN f.known AND p.page = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY p.o_custkey ORDER BY p.page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS quiet,
+  greatest(stopped, quiet) AS ended
   FROM p LEFT JOIN f ON f.o_custkey = p.o_custkey AND f.page = p.page)
 SELECT o_custkey, count(*) AS pages FROM s WHERE ended = 0 GROUP BY 1"""
 
@@ -157,8 +158,9 @@ def q12(spark, d):
 SELECT user_id, count(*) AS n, min(event_id) AS first_id, max(event_id) AS last_id FROM (
   SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn <= 20 GROUP BY 1""")
 def q13(spark, d):
-    last = _latest(table(spark, d, "events").select("user_id", "event_id", "ts"), "user_id", [F.desc("ts"), F.desc("event_id")], merge.HISTORY)
-    return last.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
+    each = table(spark, d, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("ts", "event_id"))).alias("all"))
+    ids = F.transform(merge.tail(F.col("all"), merge.HISTORY), lambda x: x["event_id"])
+    return each.select("user_id", F.size(ids).cast("long").alias("n"), F.array_min(ids).alias("first_id"), F.array_max(ids).alias("last_id"))
 
 
 @query("q14_touch_update", """
@@ -178,10 +180,8 @@ WHERE event_type = 'error' GROUP BY 1, 2"""
 
 @query("q15_failure_runs", f"SELECT user_id, run_length, first_id FROM ({_RUNS}) WHERE run_length >= 3")
 def q15(spark, d):
-    e = views.event_outcomes(table(spark, d, "events"))
-    island = F.sum(F.when(F.col("failed"), 0).otherwise(1)).over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    runs = e.withColumn("island", island).where("failed").groupBy("user_id", "island").agg(F.count(F.lit(1)).alias("run_length"), F.min("event_id").alias("first_id"))
-    return runs.where(F.col("run_length") >= merge.DELETED_AFTER).select("user_id", "run_length", "first_id")
+    runs = machine.failure_runs(views.event_outcomes(table(spark, d, "events")))
+    return runs.where(F.col("n") >= merge.DELETED_AFTER).select("user_id", F.col("n").alias("run_length"), "first_id")
 
 
 _STATE = f"""
@@ -224,8 +224,9 @@ def q18(spark, d):
 SELECT r_name, n_name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2""")
 def q19(spark, d):
     places = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    per = table(spark, d, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))  # summed before the join: as many rows as nations
-    return per.join(places, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("r_name", "n_name").agg(F.sum("n").alias("n"))
+    sources = places.select(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("name"), F.col("r_name").alias("baseUrl"))
+    named = notices.with_source(table(spark, d, "customer").select(F.col("c_nationkey").cast("string").alias("sourceId")), sources)
+    return named.groupBy(F.col("_base").alias("r_name"), F.col("_name").alias("n_name")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("q20_unknown_ids", """
@@ -235,32 +236,33 @@ UNION ALL SELECT DISTINCT 'order', o_custkey FROM orders WHERE NOT EXISTS (SELEC
 def q20(spark, d):
     part, cust = table(spark, d, "part"), table(spark, d, "customer")
     items, orders = table(spark, d, "lineitem"), table(spark, d, "orders")
-    a = part.join(items.select(F.col("l_partkey").alias("p_partkey")), "p_partkey", "left_anti").select(F.lit("part").alias("side"), F.col("p_partkey").alias("id"))
-    b = cust.join(orders.select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select(F.lit("customer").alias("side"), F.col("c_custkey").alias("id"))
-    known = cust.where(F.col("c_custkey") % 10 != 0).select(F.col("c_custkey").alias("o_custkey"))
-    c = orders.select("o_custkey").distinct().join(known, "o_custkey", "left_anti").select(F.lit("order").alias("side"), F.col("o_custkey").alias("id"))
+    ids = lambda df, c: df.select(F.col(c).alias("id"))
+    sides = {
+        "part": (ids(part, "p_partkey"), ids(items, "l_partkey")), "customer": (ids(cust, "c_custkey"), ids(orders, "o_custkey")),
+        "order": (ids(orders, "o_custkey"), ids(cust.where(F.col("c_custkey") % 10 != 0), "c_custkey")),
+    }
+    a, b, c = (changes.unknown_ids(asked, known, "id").select(F.lit(side).alias("side"), "id") for side, (asked, known) in sides.items())
     return a.unionByName(b).unionByName(c)
 
 
 @query("q21_strategy_histogram", "SELECT c_mktsegment AS segment, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, min(c_custkey)) AS place FROM customer GROUP BY 1")
 def q21(spark, d):
-    h = table(spark, d, "customer").groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count(F.lit(1)).alias("n"), F.min("c_custkey").alias("first"))
-    return h.select("segment", "n", F.row_number().over(Window.orderBy(F.desc("n"), "first")).alias("place"))  # as many rows as kinds
+    return catalog.strategy_histogram(table(spark, d, "customer").select(F.col("c_mktsegment").alias("strategy"), F.col("c_custkey").alias("pos"))).withColumnRenamed("strategy", "segment")
 
 
 @query("q22_two_level_group", """
 SELECT r_name, count(*) AS n, string_agg(n_name, ',' ORDER BY n_nationkey) AS names FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1""")
 def q22(spark, d):
     j = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    names = F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))), lambda x: x["n_name"])
-    return j.groupBy("r_name").agg(F.count(F.lit(1)).alias("n"), F.array_join(names, ",").alias("names"))
+    lists = catalog.grouped(j.select("r_name", F.col("n_nationkey").alias("pos"), F.col("n_name").alias("name")), "r_name")
+    return lists.withColumn("names", F.array_join("names", ","))
 
 
 @query("q23_listagg_env", "SELECT 'CRAWL_SOURCE_FILTER=' || string_agg(n_name, ',' ORDER BY n_nationkey) AS line FROM nation WHERE n_regionkey <> 3 AND n_nationkey % 2 = 0")
 def q23(spark, d):
-    n = table(spark, d, "nation").where((F.col("n_regionkey") != 3) & (F.col("n_nationkey") % 2 == 0))
-    names = F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))), lambda x: x["n_name"])
-    return n.agg(F.concat(F.lit("CRAWL_SOURCE_FILTER="), F.array_join(names, ",")).alias("line"))
+    even = (F.col("n_nationkey") % 2 == 0).alias("crawlEnabled")
+    sources = table(spark, d, "nation").select(F.col("n_nationkey").alias("pos"), F.col("n_name").alias("id"), (F.col("n_regionkey") != 3).alias("crawlAvailable"), even)
+    return catalog.filter_line(sources).withColumnRenamed("text", "line")
 
 
 @query("q24_seed_cap", """
@@ -269,7 +271,7 @@ WHERE n_nationkey % 2 = 0 OR n_nationkey % 3 = 0 GROUP BY 1""")
 def q24(spark, d):
     i = F.col("n_nationkey")
     lists = table(spark, d, "nation").groupBy("n_regionkey").agg(F.collect_list(F.when(i % 2 == 0, i)).alias("a"), F.collect_list(F.when(i % 3 == 0, i)).alias("b"))
-    seeds = F.size(F.array_union("a", "b"))
+    seeds = catalog.seed_size(F.col("a"), F.col("b"))
     return lists.join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).where(seeds > 0).select("r_name", seeds.cast("long").alias("seeds"), (seeds <= 3).alias("within"))
 
 

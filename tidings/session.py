@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import logging
 import os
+import tempfile
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -22,12 +26,35 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """A fresh folder below the one that all machines share, named by spark.checkpoint.dir. Only a local session may go without."""
+    conf = spark.sparkContext.getConf()
+    shared = conf.get("spark.checkpoint.dir")
+    if shared is None and not (conf.get("spark.master") or "local").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+    return f"{(shared or tempfile.mkdtemp(prefix='tidings-')).rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """`df` as a table in the shared folder, read again: computed once, and safe from lost executors."""
+    at = shared_dir(df.sparkSession)
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
+def log_counters(event: str, counters: DataFrame, logger: logging.Logger | None = None) -> None:
+    """One JSON line for each row of a table of counters, which has a row for each source at most."""
+    for r in counters.toLocalIterator():
+        (logger or logging.getLogger("tidings")).info(json.dumps({"event": event, **r.asDict(recursive=True)}, default=str, ensure_ascii=False))
+
+
 @dataclass(frozen=True)
 class Config:
     database: str
     ai_url: str | None
     source_filter: tuple[str, ...] | None
     window_days: int = 14
+    board_names: tuple[tuple[str, str], ...] = ()  # other names for kinds of boards
 
 
 def load_config(env: Mapping[str, str] | None = None) -> Config:
@@ -38,4 +65,4 @@ def load_config(env: Mapping[str, str] | None = None) -> Config:
     wanted = tuple(x.strip() for x in env.get("CRAWL_SOURCE_FILTER", "").split(",") if x.strip())
     return Config(
         database=env.get("DB_NAME", "notices") + suffix, ai_url=env.get("AI_URL") or None, source_filter=wanted or None,
-        window_days=int(env.get("WINDOW_DAYS", "14")))
+        window_days=int(env.get("WINDOW_DAYS", "14")), board_names=tuple(tuple(x.strip().split("=", 1)) for x in env.get("BOARD_NAMES", "").split(",") if "=" in x))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from html import unescape
 
 from tidings.functions.dom import Element, node_attr, node_text, parse
@@ -457,6 +457,12 @@ FEATURES: dict[str, tuple[bool, bool]] = {
 }
 
 
+def rename(names: Mapping[str, str]) -> None:
+    """Other names for kinds of boards, as a catalogue uses them: name -> kind."""
+    for name, kind in names.items():
+        register(name, BOARDS[kind], REQUIRED_SELECTORS[kind], FEATURES[kind])
+
+
 def register(name: str, board: Board, required: list[str] = (), features: tuple[bool, bool] = (False, False)) -> None:
     """Add a kind of board, or another name for one."""
     BOARDS[name], REQUIRED_SELECTORS[name], FEATURES[name] = board, list(required), features

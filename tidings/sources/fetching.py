@@ -7,6 +7,8 @@ A transport answers requests; `Retrying` adds the wait between requests and the
 from __future__ import annotations
 
 import time
+import urllib.error
+import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -15,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidings.functions.urls import host
+
 TRIES = 3
 GAP = 0.5  # seconds between requests of one task
 
@@ -56,8 +60,40 @@ class Retrying:
         raise AssertionError("unreachable")
 
 
+class Http:
+    """A transport over HTTP: `method` and headers as given, redirects followed, at most `most` bytes of the body read."""
+
+    def __init__(self, method: str = "GET", headers: dict[str, str] | None = None, timeout: float = 30.0, most: int = 50_000_000):
+        self.method, self.headers, self.timeout, self.most = method, {"User-Agent": "Mozilla/5.0 (compatible; tidings)"} | (headers or {}), timeout, most
+
+    def __call__(self, url: str) -> Answer:
+        try:
+            request = urllib.request.Request(url, method=self.method, headers=self.headers)
+            with urllib.request.urlopen(request, timeout=self.timeout) as r:
+                return Answer(200 if r.status == 206 else r.status, r.read(self.most) if self.method != "HEAD" else b"")
+        except urllib.error.HTTPError as e:
+            return Answer(e.code)
+        except TimeoutError as e:
+            raise TimedOut from e
+        except urllib.error.URLError as e:
+            if isinstance(e.reason, TimeoutError):
+                raise TimedOut from e
+            return Answer(0)
+        except (OSError, ValueError):
+            return Answer(0)
+
+
+#: Pages; heads of files, for the check that they are there; the first bytes of images, which hold their size.
+PAGES: Callable[[], Callable] = lambda: Retrying(Http())
+HEADS: Callable[[], Callable] = lambda: Retrying(Http("HEAD", timeout=10.0))
+IMAGES: Callable[[], Callable] = lambda: Retrying(Http(headers={"Range": "bytes=0-32767"}, timeout=5.0, most=5_242_880), gap=0.0)
+
+
 def fetch(requests: DataFrame, make_transport: Callable[[], Callable[[str], Answer]], url: str = "url") -> DataFrame:
-    """`requests` with `status` (0: no answer) and `body` (binary) for each row's address; null addresses are not asked for."""
+    """`requests` with `status` (0: no answer) and `body` (binary) for each row's address; null addresses are not asked for.
+
+    All requests to a host are made by one task, so the gap between them holds for the host.
+    """
     names = [c for c in requests.columns if c not in ("status", "body")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -66,7 +102,7 @@ def fetch(requests: DataFrame, make_transport: Callable[[], Callable[[str], Answ
             answers = [transport(u) if isinstance(u, str) else Answer(0) for u in b[url]]
             yield b[names].assign(status=[a.status for a in answers], body=[a.body for a in answers])
 
-    kept = requests.select(*names)
+    kept = requests.select(*names).repartition(host(F.col(url)))
     schema = T.StructType([*kept.schema.fields, T.StructField("status", T.IntegerType()), T.StructField("body", T.BinaryType())])
     return kept.mapInPandas(run, schema)
 

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,15 +12,17 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.window import Window
 
 from tidings.operators.merge import DELETED_AFTER, Store
+from tidings.session import shared_dir
 
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 STATE = "user_id long, failures int, is_deleted boolean"
 
 
-def work_dir(spark: SparkSession) -> str:
-    """A fresh folder below the shared one that the cluster names; a local one only where none is set."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tidings-stream-")
-    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
+def failure_runs(outcomes: DataFrame) -> DataFrame:
+    """Runs between successes, by number (`_run`): how many failures each has (`n`), and the first of them."""
+    run = F.sum(F.when(F.col("failed"), 0).otherwise(1)).over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    runs = outcomes.withColumn("_run", run).groupBy("user_id", "_run")
+    return runs.agg(F.count_if("failed").alias("n"), F.min(F.when(F.col("failed"), F.col("event_id"))).alias("first_id"))
 
 
 def final_states(outcomes: DataFrame) -> DataFrame:
@@ -30,9 +31,7 @@ def final_states(outcomes: DataFrame) -> DataFrame:
     A notice is deleted at its third failure in a row and not looked at again, so its count stays at three; otherwise the
     count is the length of the run that is still open.
     """
-    run = F.sum(F.when(F.col("failed"), 0).otherwise(1)).over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    per_run = outcomes.withColumn("_run", run).groupBy("user_id", "_run").agg(F.count_if("failed").alias("n"))
-    last = per_run.groupBy("user_id").agg(F.max("n").alias("most"), F.max_by("n", "_run").alias("open"))
+    last = failure_runs(outcomes).groupBy("user_id").agg(F.max("n").alias("most"), F.max_by("n", "_run").alias("open"))
     deleted = F.col("most") >= DELETED_AFTER
     return last.select("user_id", F.when(deleted, DELETED_AFTER).otherwise(F.col("open")).cast("int").alias("failures"), deleted.alias("is_deleted"))
 
@@ -46,11 +45,22 @@ def step(state: tuple[int, bool], failed: bool) -> tuple[int, bool]:
     return n, n >= DELETED_AFTER
 
 
+def advanced(state: tuple[int, bool], failed: np.ndarray) -> tuple[int, bool]:
+    """`step` over ordered outcomes at once, by the runs of failures between successes."""
+    n, deleted = state
+    good = np.flatnonzero(~failed)
+    runs = np.diff(np.concatenate([[-1], good, [len(failed)]])) - 1
+    runs[0] += n
+    if deleted or runs.max() >= DELETED_AFTER:
+        return (n if deleted else DELETED_AFTER), True
+    return int(runs[-1]), False
+
+
 def _advance(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     now = state.get if state.exists else (0, False)
-    rows = pd.concat(list(batches)).sort_values(["ts", "event_id"])
-    for failed in rows["failed"]:
-        now = step(now, bool(failed))
+    parts = [b[["ts", "event_id", "failed"]] for b in batches]
+    rows = pd.concat(parts).sort_values(["ts", "event_id"])["failed"].to_numpy(dtype=bool)
+    now = advanced(now, rows)
     state.update(now)
     yield pd.DataFrame({"user_id": [key[0]], "failures": [now[0]], "is_deleted": [now[1]]})
 
@@ -72,7 +82,7 @@ def drain(stream: DataFrame, mode: str, sink: Callable[[DataFrame, int], None],
 
 def streamed_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The machine run over the events as a stream; each batch's states are written, the latest of each notice read back."""
-    at = work_dir(spark)
+    at = shared_dir(spark)
     outcomes = read_events(spark, sf_dir).select("user_id", "event_id", F.col("ts").cast("timestamp").alias("ts"), (F.col("event_type") == "error").alias("failed"))
     drain(failure_machine(outcomes), "update", lambda df, n: df.withColumn("batch", F.lit(n)).write.mode("overwrite").parquet(f"{at}/states/b={n}"), f"{at}/checkpoint")
     states = spark.read.schema(STATE + ", batch long").option("recursiveFileLookup", "true").parquet(f"{at}/states")
@@ -81,7 +91,7 @@ def streamed_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def streamed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily counts and sums by kind, over a stream with a watermark; complete output withholds no window."""
-    at = work_dir(spark)
+    at = shared_dir(spark)
     events = read_events(spark, sf_dir).withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", "1 day")
     daily = events.groupBy(F.window("at", "1 day"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
     out = daily.select(F.date_format(F.col("window.start"), "yyyy-MM-dd").alias("day"), "event_type", "n", F.round("total", 2).alias("total"))
@@ -102,6 +112,14 @@ def merge_stream(observations: DataFrame, store: Store, apply: Callable[[DataFra
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
 
 
+def stop_after(query, seconds: float) -> bool:
+    """Wait for a stream, and stop it at the deadline: was it done before? What its last batch left undone is done by the next start."""
+    done = query.awaitTermination(seconds)
+    if not done:
+        query.stop()
+    return bool(done)
+
+
 def latest_by_key(observations: DataFrame, delay: str = "1 day") -> DataFrame:
     """A stream without repeats of a key within the delay."""
     return observations.withWatermark("observedAt", delay).dropDuplicatesWithinWatermark(["sourceId", "articleNo"])
