@@ -176,7 +176,7 @@ def grouped(sources: DataFrame, *by: str) -> DataFrame:
 
 def by_category(sources: DataFrame, categories: DataFrame) -> DataFrame:
     """The same under the categories, in their own order, sources without one last."""
-    place = categories.select(F.col("id").alias("_c"), F.col("pos").alias("_p"))
+    place = categories.groupBy(F.col("id").alias("_c")).agg(F.min("pos").alias("_p"))
     lists = grouped(sources, "appCategory").join(place, F.col("appCategory") == F.col("_c"), "left")
     return lists.orderBy(F.asc_nulls_last("_p")).select("appCategory", "n", "names")
 
