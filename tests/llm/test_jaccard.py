@@ -55,7 +55,7 @@ def test_brute_force(spark, sf, monkeypatch):
     df = spark.createDataFrame([(*r, "clash", 1) for r in rows], "doc_id long, text string, n_links string, _key int")
     want = brute(rows)
     assert sorted(map(tuple, J.digest(df).collect())) == want
-    monkeypatch.setattr(J, "BLOCK", 4)
+    monkeypatch.setattr(J, "BLOCK", 1)
     monkeypatch.setattr(J, "BUCKET", 3)
     assert sorted(map(tuple, J.digest(df).collect())) == want
     kept = J.keep_one(df)

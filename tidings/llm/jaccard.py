@@ -33,7 +33,7 @@ HASHES = BANDS * BAND
 STEP = 16  # values compared at a time
 TOLERANCE = 1e-7
 BUCKET = 4096  # nodes of a bucket that are compared in one task
-BLOCK, BLOCK_BYTES = 16_384, 32e6  # nodes of a family that are verified together, and bytes of their sets
+BLOCK, BLOCK_BYTES = 128, 32e6  # a family of n nodes is cut into the root of n / BLOCK blocks, or by bytes of its sets if these are more
 HOT_KEYS = 50_000  # classes or nodes that may be broadcast, each with over that part of all rows
 MIX_A = (mix64(np.arange(1, HASHES + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 MIX_B = (mix64(np.arange(1001, HASHES + 1001, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
@@ -327,7 +327,7 @@ def classes(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
 
 def _verification(docs: DataFrame, members: DataFrame, text: str) -> DataFrame:
     """Members with their sets, once for each pair of blocks of their family in which they are compared."""
-    counts = members.groupBy("component", "cls").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") * 8 / BLOCK_BYTES)).cast("int").alias("blocks"))
+    counts = members.groupBy("component", "cls").agg(F.ceil(F.greatest(F.sqrt(F.count(F.lit(1)) / BLOCK), F.sum("size") * 8 / BLOCK_BYTES)).cast("int").alias("blocks"))
     blocks = counts.select(F.col("component").alias("_f"), F.col("cls").alias("_c"), "blocks")
     placed = members.join(blocks, (F.col("component") == F.col("_f")) & (F.col("cls") == F.col("_c"))).withColumn("block", F.pmod(F.xxhash64(F.lit(3), "node"), F.col("blocks")).cast("int"))
     upper = blocks.select(F.col("_f").alias("_uf"), (F.col("_c") - 1).alias("_uc"), F.col("blocks").alias("above"))
