@@ -88,3 +88,44 @@ def test_seatings_follow_the_restaurant(monkeypatch):
     assert all((t >= 1).all() and (t <= n).all() for t in tables)
     big = next(iter(lm.seatings(np.array([10**6]), np.array([1e-3]), np.array([0]), np.array([0]), np.array([1]), 0.5, 1.0, rng)))
     assert 1 <= big[0] < 10**5
+
+
+def test_dishes_of_a_context_are_seated_jointly(monkeypatch):
+    """Two dishes of one context share its tables: their sampled numbers against the exact joint distribution."""
+    monkeypatch.setattr(lm, "BURN_IN", 12)
+    rng = np.random.default_rng(2)
+    d, theta, counts, parents, many = 0.6, 0.5, (9, 5), (0.3, 0.05), 4000
+    context = np.repeat(np.arange(many), 2)
+    drawn = lm.seatings(np.tile(counts, many), np.tile(parents, many), context, np.zeros(many), np.ones(many, dtype=int), d, theta, rng)
+    got = np.mean([t.reshape(-1, 2) for t in drawn], axis=(0, 1))
+    ways = []
+    for n in counts:
+        w = {1: 1.0}
+        for i in range(1, n):
+            w = {t: w.get(t - 1, 0.0) + (i - t * d) * w.get(t, 0.0) for t in range(1, i + 2)}
+        ways.append(w)
+    weight = {(a, b): x * y * parents[0] ** a * parents[1] ** b * math.prod(theta + d * k for k in range(a + b)) for a, x in ways[0].items() for b, y in ways[1].items()}
+    exact = [sum(t[k] * w for t, w in weight.items()) / sum(weight.values()) for k in range(2)]
+    assert np.abs(got - exact).max() < 0.03
+
+
+def exact_tables(n, d, theta, p, others):
+    """The mean number of tables of n customers, from its exact distribution."""
+    t = np.arange(n + 1)
+    ways = np.full(n + 1, -np.inf)
+    ways[1] = 0.0
+    for i in range(1, n):
+        with np.errstate(divide="ignore"):
+            ways = np.logaddexp(np.append(-np.inf, ways[:-1]), ways + np.log(np.maximum(i - t * d, 0)))
+    weight = ways[1:] + t[1:] * math.log(p) + np.cumsum(np.log(theta + d * (others + t[:-1])))
+    weight = np.exp(weight - weight.max())
+    return (weight * t[1:]).sum() / weight.sum()
+
+
+def test_many_customers_sit_as_the_exact_distribution_says():
+    rng = np.random.default_rng(1)
+    for n, d, p, others, most in ((25, 0.7, 0.02, 3, 0.02), (25, 0.8, 0.1, 20, 0.09), (120, 0.7, 0.2, 3, 0.04), (512, 0.7, 0.01, 10_000, 0.01), (1000, 0.8, 0.01, 3000, 0.01)):
+        many = 3000
+        drawn = lm.seatings(np.full(many, n), np.full(many, p), np.arange(many), np.full(many, others), np.ones(many, dtype=int), d, 0.5, rng)
+        exact = exact_tables(n, d, 0.5, p, others)
+        assert abs(np.mean([t.mean() for t in drawn]) - exact) < most * exact + 0.01, (n, d, p, others)

@@ -225,11 +225,11 @@ def merged(runs: list[tuple[list[int], list[bytes]]]) -> tuple[np.ndarray, np.nd
         if x < 0:
             return a, b
         s, t = current[a], current[b]
-        if s == t:
+        while x < WHOLE and s[x : x + 16] == t[x : x + 16]:
+            x += 16
+        if x >= WHOLE:
             known[b] = WHOLE
             return a, b
-        while s[x : x + 16] == t[x : x + 16]:
-            x += 16
         while s[x] == t[x]:
             x += 1
         if s[x] < t[x]:
