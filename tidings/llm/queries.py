@@ -34,4 +34,43 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_suffix": lambda spark, d: suffix.digest(_documents(spark, d)),
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = r"coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), [])"
+
+#: The language model, the classifiers, alignments, lexing and hashed choices can't be said in SQL; tests compare with brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op4_jaccard": rf"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+g AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 5 THEN list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i : i + 4], ' ')) WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS x FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
+links AS (SELECT p.a, p.b FROM (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2) p JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b WHERE c >= 0.8 * (na.n + nb.n - c) - 1e-9),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+SELECT doc_id, least(doc_id, coalesce((SELECT min(b) FROM reach WHERE a = doc_id), doc_id)) AS class_id, (SELECT count(*) FROM links WHERE a = doc_id)::BIGINT AS n_links FROM w""",
+    "op6_rules": rf"""
+WITH w AS (SELECT doc_id, source, coalesce(text, '') AS text, {_WORDS} AS words, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+grams AS (SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS g FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
+repeated AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS k FROM grams) WHERE k > 1) GROUP BY 1),
+lines AS (SELECT doc_id, source, regexp_replace(regexp_replace(lower(trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), '[ \t\x0b\f\r]+', ' ', 'g'), '[0-9]+', '0', 'g') AS line FROM (SELECT doc_id, source, unnest(lines) AS x FROM w)),
+frequent AS (SELECT source, line FROM lines WHERE line <> '' GROUP BY 1, 2 HAVING count(DISTINCT doc_id) > 50),
+lost AS (SELECT doc_id, sum(len(string_split(line, ' '))) AS n FROM lines JOIN frequent USING (source, line) GROUP BY 1),
+m AS (SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars, (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+  (SELECT coalesce(count(*) - count(DISTINCT x), 0) FROM (SELECT unnest(lines) AS x) WHERE regexp_matches(x, '[^\x20\x09-\x0D]'))::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words, coalesce(l.n, 0)::BIGINT AS n_removed_words
+  FROM w LEFT JOIN repeated r USING (doc_id) LEFT JOIN lost l USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * (n_words - n_removed_words) >= 30 * n_words AS kept FROM m""",
+    "op9_substr": rf"""
+WITH w AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+s AS (SELECT doc_id, i, array_to_string(words[i : i + 19], ' ') AS win FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM w)),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS r FROM s) WHERE r > 1),
+gone AS (SELECT doc_id, list(DISTINCT p) AS ps FROM (SELECT doc_id, unnest(range(i, i + 20)) AS p FROM later) GROUP BY 1),
+kept AS (SELECT doc_id, list(words[p] ORDER BY p) AS ws FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS p FROM w) x WHERE NOT EXISTS (SELECT 1 FROM (SELECT doc_id, unnest(ps) AS p FROM gone) g WHERE g.doc_id = x.doc_id AND g.p = x.p) GROUP BY 1)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_removed, sha256(coalesce(array_to_string(ws, ' '), '')) AS kept_sha256 FROM w LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "op10_suffix": """
+WITH w AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+s AS (SELECT doc_id, i, md5(substr(h, 2 * i - 1, 200)) AS win FROM (SELECT doc_id, h, unnest(range(1, n - 98)) AS i FROM w)),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS r FROM s) WHERE r > 1),
+marked AS (SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 100, true) AS opens FROM later),
+runs AS (SELECT doc_id, min(i) AS a, max(i) + 99 AS b FROM (SELECT doc_id, i, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM marked) GROUP BY doc_id, k),
+pieces AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) + 1 AS a, a - 1 AS b FROM runs UNION ALL SELECT doc_id, max(b) + 1, max(n) FROM runs JOIN w USING (doc_id) GROUP BY 1),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * a - 1, 2 * (b - a + 1)), '' ORDER BY a) AS k FROM pieces JOIN w USING (doc_id) GROUP BY 1),
+told AS (SELECT doc_id, sum(b - a + 1) AS n_removed, count(*) AS n_spans FROM runs GROUP BY 1)
+SELECT w.doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256 FROM w LEFT JOIN told USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+}
