@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidings.session import shared_dir
+
 #: A word: a run of characters other than space and the controls from tab to carriage return.
 #: ``bytes.split()`` without arguments splits at exactly these.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Keys of which each has over that part of all rows; so they are fewer than this, and may be broadcast.
+HOT_KEYS = 50_000
+
 #: Broadcast a table only if it was counted and is no larger than this.
 BROADCAST_ROWS = 50_000
 
@@ -21,7 +25,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder that the cluster names in spark.checkpoint.dir; set an own one only where it is unset."""
     sc = spark.sparkContext
     if sc.getConf().get("spark.checkpoint.dir") is None and sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidings-checkpoint-"))
+        sc.setCheckpointDir(shared_dir(spark))  # an error on a cluster, whose machines share no folder of their own
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidings.llm.blobs import hashed_words, window_hashes
-from tidings.llm.common import arrow_batches, cut, free_name, mix64, partitions_of
+from tidings.llm.common import HOT_KEYS, arrow_batches, cut, free_name, mix64, partitions_of
 from tidings.llm.graph import components
 
 SHINGLE = 5
@@ -34,7 +34,6 @@ STEP = 16  # values compared at a time
 TOLERANCE = 1e-7
 BUCKET = 4096  # nodes of a bucket that are compared in one task
 BLOCK, BLOCK_BYTES = 128, 32e6  # a family of n nodes is cut into the root of n / BLOCK blocks, or by bytes of its sets if these are more
-HOT_KEYS = 50_000  # classes or nodes that may be broadcast, each with over that part of all rows
 MIX_A = (mix64(np.arange(1, HASHES + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 MIX_B = (mix64(np.arange(1001, HASHES + 1001, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidings.llm.common import cut, join_small, n_words
+from tidings.llm.common import cut, free_name, join_small, n_words
 
 DIGIT = 10  # bits a level
 LEVELS = 6  # of a 63-bit hash
@@ -107,18 +107,18 @@ def mix_sources(docs: DataFrame, *, cycle: tuple[float, ...] = (5, 2, 1), repeat
     columns of those names in the input are replaced, all others stay. A null text has no words; sources without words
     have target 0; equal rows get equal copies; an empty table gives an empty one.
     """
-    plan = mix_plan(docs, cycle=cycle, repeat_limit=repeat_limit).select(
-        F.col("source").alias("_mix_s"), F.col("source_size").alias("_mix_all"), F.col("target").alias("_mix_target"),
-        F.col("copies").alias("_mix_copies"), F.col("prefix").alias("_mix_p"), F.col("shift").alias("_mix_shift"), F.col("with_bound").alias("_mix_with"))
-    rows = docs.withColumns({"mix_size": n_words(F.col("text")), "_mix_at": place(F.col("doc_id"), F.col("text"))})
-    joined = join_small(rows, plan, F.col("source").eqNullSafe(F.col("_mix_s")), "inner")
-    digits = F.expr("shiftright(_mix_at, _mix_shift)")
-    once_more = (digits < F.col("_mix_p")) | ((digits == F.col("_mix_p")) & F.col("_mix_with"))
+    x, at = free_name("_mix", docs), free_name("_place", docs)
+    plan = mix_plan(docs, cycle=cycle, repeat_limit=repeat_limit)
+    plan = plan.select(F.struct(*plan.columns).alias(x))
+    rows = docs.withColumns({"mix_size": n_words(F.col("text")), at: place(F.col("doc_id"), F.col("text"))})
+    joined = join_small(rows, plan, F.col("source").eqNullSafe(F.col(f"{x}.source")), "inner")
+    digits, prefix, copies = F.expr(f"shiftright(`{at}`, `{x}`.shift)"), F.col(f"{x}.prefix"), F.col(f"{x}.copies")
+    once_more = (digits < prefix) | ((digits == prefix) & F.col(f"{x}.with_bound"))
     out = joined.withColumns({
-        "mix_source_size": F.col("_mix_all"), "mix_target": F.col("_mix_target"),
-        "mix_copies": (F.col("_mix_copies") + F.when(once_more & (F.col("_mix_copies") < repeat_limit), 1).otherwise(0)).cast("int"),
+        "mix_source_size": F.col(f"{x}.source_size"), "mix_target": F.col(f"{x}.target"),
+        "mix_copies": (copies + F.when(once_more & (copies < repeat_limit), 1).otherwise(0)).cast("int"),
     })
-    return out.drop("_mix_s", "_mix_all", "_mix_target", "_mix_copies", "_mix_p", "_mix_shift", "_mix_with", "_mix_at")
+    return out.drop(x, at)
 
 
 def digest(docs: DataFrame) -> DataFrame:

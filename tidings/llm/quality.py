@@ -100,7 +100,7 @@ def score_quality(docs: DataFrame, model: Model, text: str = "text") -> DataFram
     """`docs` with `quality_score`, the calibrated probability that a text is good, replacing a column of that name.
 
     The whole of every text is compressed. Null and empty texts have difference 0 and so the score of no evidence; equal
-    texts get equal scores; other columns are kept; no shuffle.
+    texts get equal scores; an empty table stays empty; other columns are kept; no shuffle.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
 

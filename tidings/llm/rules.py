@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidings.llm.common import WORD, cut, join_small, let
+from tidings.llm.common import BROADCAST_ROWS, HOT_KEYS, WORD, cut, free_name, let
 
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -18,7 +18,6 @@ LINE_DOCS = 50  # documents of one host that may share a line
 LEAST_LEFT = 30  # percent of its words that a document must keep
 LEAST_WORDS = 50
 MOST_REPEATED = 50  # percent of the words that may lie in repeated windows
-SALTS = 16
 
 
 def _words(text: Column) -> Column:
@@ -82,8 +81,8 @@ def _line_keys(text: Column, host: Column) -> Column:
 def judge(docs: DataFrame, *, text: str = "text", host: str = "source", line_docs: int = LINE_DOCS) -> DataFrame:
     """One row for each different (doc_id, host, text), by `_key`: base measures, words in too frequent lines, their keys.
 
-    Texts are read once; what follows works on the written narrow table. A hot line is counted by map-side sums and
-    looked up salted, so no task gets all its documents.
+    Texts are read once; what follows works on the written narrow table. A hot line is counted by map-side sums and looked
+    up by broadcast, so no task gets all its documents.
     """
     key = F.xxhash64("doc_id", host, text)
     read = docs.select("doc_id", host, text, _words(F.coalesce(F.col(text), F.lit(""))).alias("_words"))
@@ -92,24 +91,33 @@ def judge(docs: DataFrame, *, text: str = "text", host: str = "source", line_doc
     narrow = cut(narrow)
     each = narrow.select("doc_id", "_key", F.explode("_lines").alias("x")).select("doc_id", "_key", "x.k", "x.w")
     counted = narrow.select(F.explode(F.array_distinct(F.transform("_lines", lambda x: x["k"]))).alias("k")).groupBy("k").count()
-    frequent = cut(counted.where(F.col("count") > line_docs).select("k"))
-    salted = frequent.select(F.col("k").alias("_f"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_s"))
-    hit = join_small(each.withColumn("_salt", F.pmod("_key", F.lit(SALTS)).cast("int")), salted, (F.col("k") == F.col("_f")) & (F.col("_salt") == F.col("_s")), "inner")
+    hit = _hit(each, cut(counted.where(F.col("count") > line_docs).select(F.col("k").alias("_f"), "count")))
     lost = hit.groupBy(F.col("_key").alias("_lk"), F.col("doc_id").alias("_ld")).agg(F.sum("w").alias("n_removed_words"), F.collect_set("k").alias("_bad"))
     joined = narrow.drop("_lines").join(lost, (F.col("_key") == F.col("_lk")) & F.col("doc_id").eqNullSafe(F.col("_ld")), "left").drop("_lk", "_ld")
     return joined.withColumns({"n_removed_words": F.coalesce("n_removed_words", F.lit(0)).cast("long"), "_bad": F.coalesce("_bad", F.array().cast("array<bigint>"))})
 
 
+def _hit(each: DataFrame, frequent: DataFrame) -> DataFrame:
+    """Lines that are frequent. Few frequent lines are broadcast; of many those that have a great part of all, which are few, and the others meet by shuffle."""
+    if frequent.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return each.join(F.broadcast(frequent), F.col("k") == F.col("_f")).drop("_f", "count")
+    most = max(1000, (frequent.agg(F.sum("count")).first()[0] or 0) // HOT_KEYS)
+    hot, rest = F.broadcast(frequent.where(F.col("count") > most)), frequent.where(F.col("count") <= most)
+    on = F.col("k") == F.col("_f")
+    return each.join(hot, on).drop("_f", "count").unionByName(each.join(hot, on, "left_anti").join(rest, on).drop("_f", "count"))
+
+
 def _verdicts(docs: DataFrame, text: str, host: str, line_docs: int, least_left: int) -> tuple[DataFrame, dict[str, Column]]:
     """`docs` joined to what `judge` says of each row, and the columns of the verdict."""
-    v = judge(docs, text=text, host=host, line_docs=line_docs)
-    v = v.select(*(F.col(c).alias(f"_v_{c}") for c in v.columns))
-    joined = docs.withColumn("_key", F.xxhash64("doc_id", host, text)).join(v, (F.col("_key") == F.col("_v__key")) & F.col("doc_id").eqNullSafe(F.col("_v_doc_id")))
-    m = {n: F.col(f"_v_{n}") for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed_words")}
+    key, told = free_name("_key", docs), free_name("_told", docs)
+    v = judge(docs.select("doc_id", host, text), text=text, host=host, line_docs=line_docs)
+    v = v.select(F.struct(*v.columns).alias(told))
+    joined = docs.withColumn(key, F.xxhash64("doc_id", host, text)).join(v, (F.col(key) == F.col(f"{told}._key")) & F.col("doc_id").eqNullSafe(F.col(f"{told}.doc_id")))
+    m = {n: F.col(f"{told}.{n}") for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed_words")}
     failed = (m["n_words"] < LEAST_WORDS) | (100 * m["n_repeat_words"] > MOST_REPEATED * m["n_words"])
     kept = ~failed & (100 * (m["n_words"] - m["n_removed_words"]) >= least_left * m["n_words"])
     removed = m.pop("n_removed_words")
-    return joined, m | {"base_failed": failed, "kept": kept, "n_removed_words": removed}
+    return joined, m | {"base_failed": failed, "kept": kept, "n_removed_words": removed, "_bad": F.col(f"{told}._bad")}
 
 
 def apply_rules(docs: DataFrame, *, text: str = "text", host: str = "source", line_docs: int = LINE_DOCS, least_left: int = LEAST_LEFT) -> DataFrame:
@@ -123,11 +131,13 @@ def apply_rules(docs: DataFrame, *, text: str = "text", host: str = "source", li
     """
     kept_columns = [c for c in docs.columns if c != "rules"]
     joined, m = _verdicts(docs.select(*kept_columns), text, host, line_docs, least_left)
-    left = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1), lambda x: ~(_has_word(x) & F.array_contains(F.col("_v__bad"), F.xxhash64(F.col(host), normalised(x)))))
+    bad = m.pop("_bad")
+    left = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1), lambda x: ~(_has_word(x) & F.array_contains(bad, F.xxhash64(F.col(host), normalised(x)))))
     return joined.select(*kept_columns, F.struct(*(c.alias(n) for n, c in m.items()), F.array_join(left, "\n").alias("text")).alias("rules"))
 
 
 def digest(docs: DataFrame) -> DataFrame:
     """The columns of query op6; texts stay where they are read."""
     joined, m = _verdicts(docs.select("doc_id", "source", "text"), "text", "source", LINE_DOCS, LEAST_LEFT)
+    m.pop("_bad")
     return joined.select("doc_id", *(c.alias(n) for n, c in m.items()))
