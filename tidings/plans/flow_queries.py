@@ -15,7 +15,7 @@ from tidings.plans import flows, views
 from tidings.plans.queries import query
 from tidings.plans.views import stamp, table
 from tidings.schemas import ATTACHMENTS, KEY, NOTICE, SOURCE
-from tidings.session import shared_dir
+from tidings.session import shared_dir, written
 from tidings.sources.fetching import fetch_from_table
 from tidings.streaming import machine
 
@@ -59,7 +59,7 @@ def site(spark, d):
     lists = lists.unionByName(ends).select(at.alias("url"), F.lit(200).alias("status"), F.encode(F.concat(F.lit("<table>"), F.col("rows"), F.lit("</table>")), "UTF-8").alias("body"))
     body = F.concat(F.lit("<div id='c'><p>Text of "), no, F.lit("</p></div><a class='f' href='/f/"), no, F.lit("'>a.pdf</a>"))
     details = a.select(F.concat("base", F.lit("?t=n&wr_id="), no).alias("url"), F.when(F.col("articleNo") % 11 == 0, 404).otherwise(200).alias("status"), F.encode(body, "UTF-8").alias("body"))
-    pages = lists.unionByName(details)
+    pages = written(lists.unionByName(details))
     return lambda requests: fetch_from_table(requests, pages)
 
 

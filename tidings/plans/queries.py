@@ -478,26 +478,19 @@ def q46(spark, d):
     return machine.streamed_windows(spark, d)
 
 
-@query("q47_update_check", """
-SELECT doc_id, CASE WHEN outcome IN ('changed', 'backfilled') THEN sha256(text || '!') ELSE sha256(text) END AS hash,
-  CASE WHEN outcome = 'notFound' AND NOT mass THEN f + 1 WHEN outcome IN ('same', 'changed', 'backfilled') THEN 0 ELSE f END::INT AS failures,
-  CASE WHEN outcome = 'notFound' AND NOT mass THEN f + 1 >= 3 ELSE false END AS is_deleted, CASE WHEN outcome = 'changed' THEN 1 ELSE 0 END AS edits
-FROM (SELECT *, count(*) FILTER (outcome = 'notFound') OVER (PARTITION BY source) * 1.0 / count(*) OVER (PARTITION BY source) > 0.5 AND count(*) OVER (PARTITION BY source) >= 5 AS mass FROM (
-  SELECT doc_id, source, text, doc_id % 4 AS f, CASE WHEN doc_id % 17 = 0 OR source = 'src3' THEN 'notFound' WHEN doc_id % 19 = 0 THEN 'error' WHEN doc_id % 3 = 0 THEN 'changed' ELSE 'same' END AS outcome
-  FROM documents WHERE doc_id % 10 <> 0 AND doc_id % 13 <> 0))""")
-def q47(spark, d):
-    return _update_check(views.document_state(table(spark, d, "documents")).where(F.col("articleNo") % 13 != 0))
-
-
-@query("q47b_update_check_unhashed", """
+_UPDATE_CHECK = """
 SELECT doc_id, CASE WHEN outcome IN ('changed', 'backfilled') THEN sha256(fetched) WHEN hashed THEN sha256(text) END AS hash,
   CASE WHEN outcome = 'notFound' AND NOT mass THEN f + 1 WHEN outcome IN ('same', 'changed', 'backfilled') THEN 0 ELSE f END::INT AS failures,
   CASE WHEN outcome = 'notFound' AND NOT mass THEN f + 1 >= 3 ELSE false END AS is_deleted, CASE WHEN outcome = 'changed' THEN 1 ELSE 0 END AS edits
 FROM (SELECT *, count(*) FILTER (outcome = 'notFound') OVER (PARTITION BY source) * 1.0 / count(*) OVER (PARTITION BY source) > 0.5 AND count(*) OVER (PARTITION BY source) >= 5 AS mass FROM (
   SELECT doc_id, source, text, doc_id % 4 AS f, doc_id % 13 <> 0 AS hashed, CASE WHEN doc_id % 3 = 0 THEN text || '!' ELSE text END AS fetched,
     CASE WHEN doc_id % 17 = 0 OR source = 'src3' THEN 'notFound' WHEN doc_id % 19 = 0 THEN 'error' WHEN doc_id % 13 = 0 THEN 'backfilled' WHEN doc_id % 3 = 0 THEN 'changed' ELSE 'same' END AS outcome
-  FROM documents WHERE doc_id % 10 <> 0))""")
-def q47b(spark, d):
+  FROM documents WHERE doc_id % 10 <> 0))"""
+
+
+@query("q47_update_check", _UPDATE_CHECK)
+@query("q47b_update_check_unhashed", _UPDATE_CHECK)
+def q47(spark, d):
     return _update_check(views.document_state(table(spark, d, "documents")))
 
 
