@@ -158,7 +158,8 @@ def sizing(size: int) -> tuple[int, int]:
     """Numbers of groups and of receivers for so many bytes of text.
 
     Every group may write to every receiver. Both numbers grow with the root of the input until a task's share reaches
-    LARGEST, so that messages grow only with the input; neither depends on how many partitions Spark shuffles into.
+    LARGEST, so that messages grow only with the input; beyond 256 GB they grow with its square, and get smaller. Neither
+    number depends on how many partitions Spark shuffles into.
     """
     scale = max(1.0, (size / 1e9) ** 0.5)
     return max(24, int(np.ceil(size / min(LARGEST, GROUP * scale)))), max(12, int(np.ceil(size / min(LARGEST, RECEIVER * scale))))
