@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -13,6 +15,7 @@ from tidings.session import shared_dir
 #: A word: a run of characters other than space and the controls from tab to carriage return.
 #: ``bytes.split()`` without arguments splits at exactly these.
 WORD = r"[^\x20\x09-\x0D]+"
+GAP = re.compile(rb"[\x20\x09-\x0D]")
 
 #: Keys of which each has over that part of all rows; so they are fewer than this, and may be broadcast.
 HOT_KEYS = 50_000
@@ -90,3 +93,14 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
+
+
+def word_pieces(text: bytes, overlap: int, size: int = 1 << 20) -> Iterator[tuple[list[bytes], int]]:
+    """The words of a text, some `size` bytes at a time, after up to `overlap` words of before; and how many those are."""
+    carry, at = [], 0
+    while at < len(text):
+        gap = GAP.search(text, at + size) if at + size < len(text) else None
+        end = gap.start() if gap else len(text)
+        words = carry + text[at:end].split()
+        yield words, len(carry)
+        carry, at = words[max(0, len(words) - overlap) :], end

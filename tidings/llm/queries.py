@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidings.llm import decontam, jaccard, lm, mixing, quality, rules, secrets, substr, suffix, toxicity
+from tidings.llm import decontam, importance, jaccard, lm, mixing, periodic, quality, rules, secrets, simhash, substr, suffix, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +32,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": lambda spark, d: secrets.digest(_documents(spark, d)),
     "op9_substr": lambda spark, d: substr.digest(_documents(spark, d)),
     "op10_suffix": lambda spark, d: suffix.digest(_documents(spark, d)),
+    "op11_importance": lambda spark, d: importance.digest(_documents(spark, d), _benchmark(spark, d)),
+    "op12_simhash": lambda spark, d: simhash.digest(_documents(spark, d)),
+    "op13_periodic": lambda spark, d: periodic.digest(_documents(spark, d)),
 }
 
 _WORDS = r"coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), [])"
