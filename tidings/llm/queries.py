@@ -39,7 +39,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _WORDS = r"coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), [])"
 
-#: The language model, the classifiers, alignments, lexing and hashed choices can't be said in SQL; tests compare with brute force.
+#: The language model, the classifiers, alignments, lexing, hashed choices and fingerprints can't be said in SQL; tests compare with brute force.
 ORACLE_SQL: dict[str, str] = {
     "op4_jaccard": rf"""
 WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS words FROM documents),
@@ -76,4 +76,30 @@ pieces AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a),
 kept AS (SELECT doc_id, string_agg(substr(h, 2 * a - 1, 2 * (b - a + 1)), '' ORDER BY a) AS k FROM pieces JOIN w USING (doc_id) GROUP BY 1),
 told AS (SELECT doc_id, sum(b - a + 1) AS n_removed, count(*) AS n_spans FROM runs GROUP BY 1)
 SELECT w.doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256 FROM w LEFT JOIN told USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "op11_importance": r"""
+WITH crc AS (SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS t),
+w AS (SELECT doc_id, true AS own, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents UNION ALL SELECT NULL, false, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+f AS (SELECT doc_id, own, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]), list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS x FROM w),
+c AS (SELECT doc_id, own, x, count(*) AS n FROM f GROUP BY ALL),
+b AS (SELECT x, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(regexp_replace(hex(encode(x)), '(..)', '\1 ', 'g'), ' ')[:-2], lambda y: ('0x' || y)::BIGINT)), lambda c, y: xor(t[1 + (xor(c, y) & 255)], c >> 8)), 4294967295) % 10000 AS b FROM (SELECT DISTINCT x FROM c), crc),
+s AS (SELECT b, sum(n) FILTER (own) AS s, sum(n) FILTER (NOT own) AS t FROM c JOIN b USING (x) GROUP BY 1),
+g AS (SELECT b, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s)::DOUBLE + 10000) / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM s)::DOUBLE + 10000))))::BIGINT AS gain FROM s),
+m AS (SELECT doc_id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight FROM c JOIN b USING (x) JOIN g USING (b) WHERE own GROUP BY 1),
+o AS (SELECT d.doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, len(coalesce(w, [])) AS n, ('0x' || substr(sha256('42:' || d.doc_id), 1, 8))::BIGINT AS h FROM documents d JOIN w USING (doc_id) LEFT JOIN m USING (doc_id)),
+r AS (SELECT doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score, n >= 20 AS long FROM o),
+k AS (SELECT *, row_number() OVER (PARTITION BY long ORDER BY score DESC, doc_id) AS k FROM r)
+SELECT doc_id, n_features, weight, score, CASE WHEN long AND k <= 5 * (SELECT count(*) FROM r WHERE long) // 100 THEN k END AS rank FROM k""",
+    "op13_periodic": r"""
+WITH crc AS (SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS t),
+d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)), lambda x, y: xor(t[1 + (xor(x, y) & 255)], x >> 8)), 4294967295) AS h FROM documents, crc),
+a AS (SELECT doc_id, w, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a, h // 10 AS g FROM d),
+o AS (SELECT doc_id, CASE WHEN a IS NULL THEN w ELSE list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) END AS w FROM a),
+p AS (SELECT doc_id, unnest(w) AS x, unnest(range(len(w))) AS i, len(w) AS n FROM o),
+same AS (SELECT k.doc_id, k.i, l.i - k.i AS q FROM p k JOIN p l ON k.doc_id = l.doc_id AND k.x = l.x AND l.i > k.i AND 4 * (l.i - k.i) <= k.n),
+stretches AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS n FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM same) GROUP BY doc_id, q, k HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT doc_id, s, n, min(q) AS q FROM stretches GROUP BY 1, 2, 3),
+told AS (SELECT doc_id, count(*) AS n_runs, min({'n': -n, 's': s, 'q': q}) AS b, string_agg(s || ',' || n || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM runs GROUP BY 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + n)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS k FROM p ANTI JOIN gone USING (doc_id, i) GROUP BY 1)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, b.s AS start, -b.n AS length, b.q AS period, (-1000 * b.n) // b.q AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(k, '')) AS collapsed_sha256 FROM documents LEFT JOIN told USING (doc_id) LEFT JOIN kept USING (doc_id)""",
 }
