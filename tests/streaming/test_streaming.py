@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from tidings.operators import merge
+from tidings.operators.store import Buckets
 from tidings.plans import views
 from tidings.schemas import NOTICE
 from tidings.streaming import machine
@@ -29,7 +30,7 @@ def test_merging_a_stream_is_idempotent(spark, sf, tmp_path):
     src = str(tmp_path / "obs")
     rows = views.as_notices(views.document_items(docs)).withColumn("action", F.lit("new"))
     rows.repartition(2).write.parquet(src)
-    store = merge.Store(spark, str(tmp_path / "state"))
+    store = Buckets(spark, str(tmp_path / "state"))
     for n in (1, 2):  # the second query sees all rows again
         stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(src)
         machine.merge_stream(stream, store, merge.merge_notices, str(tmp_path / f"cp{n}")).awaitTermination()

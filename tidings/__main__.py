@@ -1,7 +1,8 @@
 """Command line: `python -m tidings COMMAND ...`.
 
 Commands: query, crawl, update-check, summarize, validate-attachments, validate-markdown, backfill-content, backfill-referer,
-backfill-attachments, backfill-downloads, artifacts. A backfill without --apply only counts.
+backfill-attachments, backfill-downloads, artifacts. A backfill without --apply only counts; with it, it asks first unless --yes
+is given. Exit codes: 0 done, 1 issues found or not confirmed, 2 done in part.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.operators import backfill, catalog, changes, merge, quality
+from tidings.operators import backfill, catalog, changes, enrich, merge, quality
+from tidings.operators.store import Buckets
 from tidings.plans import flows
 from tidings.plans.queries import QUERIES
 from tidings.session import configure, load_config, log_counters
@@ -35,7 +37,9 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("--catalog", required=name not in ("summarize", "validate-markdown"))
         c.add_argument("--source", action="append")
         c.add_argument("--limit", type=int)
+        c.add_argument("--successes", type=int)
         c.add_argument("--apply", action="store_true")
+        c.add_argument("--yes", action="store_true")
         c.add_argument("--json", action="store_true")
         c.add_argument("--days", type=int, default=14)
         c.add_argument("--full", action="store_true")
@@ -65,29 +69,52 @@ def report(checked: DataFrame, as_json: bool) -> int:
     return int(total["issues"] > 0)
 
 
-def backfilled(spark: SparkSession, args, store: merge.Store, state: DataFrame, sources: DataFrame) -> int:
+def told(event: str, counts: DataFrame) -> int:
+    """Log the counters, which are small, and give the exit code that they hold."""
+    rows = counts.collect()
+    log_counters(event, rows)
+    return int(rows[0].asDict().get("exitCode", 0)) if rows else 0
+
+
+def backfilled(args, store: Buckets, state: DataFrame, sources: DataFrame) -> int:
     own = state.where(F.col("sourceId").isin(args.source)) if args.source else state
-    own = own.orderBy("sourceId", "articleNo").limit(args.limit) if args.limit else own
     pick = {
         "backfill-content": backfill.content_candidates, "backfill-referer": backfill.referer_candidates,
         "backfill-attachments": lambda x: backfill.on_boards(backfill.empty_attachment_candidates(x), sources, "standard"),
         "backfill-downloads": lambda x: backfill.on_boards(backfill.download_manager_candidates(x), sources, "wordpress-api"),
     }[args.command]
+    if args.limit:
+        own = pick(own).orderBy("sourceId", "articleNo").limit(args.limit)
     n, go = backfill.gate(pick(own), args.apply)
     print(f"{n} notices concerned" + ("" if go else "; nothing written"))
     if not go:
         return 0
+    if not args.yes and ask(f"write to {store.path}? [yes/N] ") != "yes":
+        return 1
     if args.command == "backfill-content":
         rows, counts = backfill.backfill_content(own, sources, F.current_timestamp())
-        store.write(backfill.replace_rows(state, rows))
-    elif args.command == "backfill-referer":
-        store.write(backfill.replace_attachments(state, backfill.backfill_referer(own, sources)))
+        store.write(rows)
+        return told(args.command, counts)
+    if args.command == "backfill-referer":
+        store.merge(backfill.backfill_referer(own, sources), backfill.replace_attachments)
         return 0
-    else:
-        after, counts = flows.refetch_attachments(state, sources, network(), pick(own))
-        store.write(after)
-    log_counters(args.command, counts)
-    return int(counts.first().asDict().get("exitCode", 0))
+    outcomes = flows.refetch_changes(sources, network(), pick(own), successes=args.successes)
+    store.merge(outcomes.where("outcome = 'updated'").select("sourceId", "articleNo", "attachments"), backfill.replace_attachments)
+    return told(args.command, backfill.backfill_counters(outcomes))
+
+
+def ask(question: str) -> str:
+    """What the user types, in lower case; nothing where there is no terminal."""
+    try:
+        return input(question).strip().lower()
+    except EOFError:
+        return ""
+
+
+def summarised(store: Buckets, now, limit: int) -> None:
+    """One batch of unsummarised notices, then one of notices changed since; the second sees the first's writes."""
+    for choose in (enrich.pending, enrich.stale):
+        store.merge(enrich.summarise(choose(store.read(), limit)), lambda state, done: enrich.write_summaries(state, done, now))
 
 
 def run(spark: SparkSession, args) -> int:
@@ -109,29 +136,33 @@ def run(spark: SparkSession, args) -> int:
         for name, lines in made.items():
             catalog.write_text(lines, f"{args.out}/{name}")
         return 0
-    store = merge.Store(spark, args.store)
-    state, now = store.read(), F.current_timestamp()
+    store = Buckets(spark, args.store)
+    store.recover()
+    now = F.current_timestamp()
     sources = catalog.load_and_validate(spark, args.catalog) if args.catalog else None
     wanted = args.source or (list(config.source_filter) if config.source_filter else None)
     if args.command == "crawl":
         today = spark.range(1).select(F.date_format(F.current_date(), "yyyy-MM-dd").alias("d")).first()["d"]
-        after, counts = flows.crawl(state, sources, network(), now, today, wanted=wanted, incremental=not args.full, images=network(fetching.IMAGES))
-    elif args.command == "update-check":
-        after, counts = flows.update_check(state, changes.select_sources(sources, wanted), network(), now, F.current_date(), days=args.days)
-    elif args.command == "summarize":
-        store.write(flows.summaries(state, now, limit=args.limit or 50))
+        state = store.of_sources(changes.select_sources(sources, wanted))
+        incoming, counts = flows.crawl_changes(state, sources, network(), now, today, wanted=wanted, incremental=not args.full, images=network(fetching.IMAGES))
+        store.merge(incoming, merge.merge_notices)
+        return told(args.command, counts)
+    if args.command == "update-check":
+        chosen = changes.select_sources(sources, wanted)
+        outcomes, counts = flows.check_changes(store.of_sources(chosen), chosen, network(), F.current_date(), days=args.days)
+        store.merge(outcomes, lambda state, found: merge.apply_check(state, found, now))
+        return told(args.command, counts)
+    if args.command == "summarize":
+        summarised(store, now, args.limit or 50)
         return 0
-    elif args.command == "validate-attachments":
+    state = store.read()
+    if args.command == "validate-attachments":
         checked = quality.check_attachments(state, sources, [h for h in args.hosts.split(",") if h], wanted=args.source, limit=args.limit)
         return report(checked if args.no_http else flows.reachability(checked, network(fetching.HEADS)), args.json)
-    elif args.command == "validate-markdown":
+    if args.command == "validate-markdown":
         rows = state.where(F.col("sourceId").isin(args.source)) if args.source else state
         return report(quality.check_markdown(rows.limit(args.limit) if args.limit else rows, min_severity=args.min_severity), args.json)
-    else:
-        return backfilled(spark, args, store, state, sources)
-    store.write(after)
-    log_counters(args.command, counts)
-    return 0
+    return backfilled(args, store, state, sources)
 
 
 def main(argv: list[str]) -> int:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidings.schemas import HISTORY_ENTRY, KEY, NOTICE, SUMMARY_FIELDS
+from tidings.session import small
 
 HISTORY = 20  # entries kept
 DELETED_AFTER = 3  # failures in a row
@@ -99,10 +100,11 @@ def apply_check(state: DataFrame, outcomes: DataFrame, now: Column) -> DataFrame
     Missing notices of a source in doubt are left alone. A third failure in a row marks the notice deleted; an unchanged
     page takes the count back to zero; nothing undeletes.
     """
-    gate = mass_not_found(outcomes).withColumnRenamed("sourceId", "_gs")
+    gate = small(mass_not_found(outcomes).withColumnRenamed("sourceId", "_gs"))
     fresh = ["content", "contentText", "cleanHtml", "cleanMarkdown", "attachments"]
-    o = outcomes.select(F.col("sourceId").alias("_s"), F.col("articleNo").alias("_a"), F.col("outcome").alias("_o"), F.col("_newHash"), *(F.col(f"_{c}") for c in fresh if f"_{c}" in outcomes.columns))
-    j = state.join(o, (F.col("sourceId") == F.col("_s")) & (F.col("articleNo") == F.col("_a")), "left").join(gate, F.col("sourceId") == F.col("_gs"), "left")
+    gated = outcomes.join(gate, F.col("sourceId") == F.col("_gs"), "left")  # outcomes, not the state, meet the few sources
+    o = gated.select(F.col("sourceId").alias("_s"), F.col("articleNo").alias("_a"), F.col("outcome").alias("_o"), "massNotFound", F.col("_newHash"), *(F.col(f"_{c}") for c in fresh if f"_{c}" in outcomes.columns))
+    j = state.join(o, (F.col("sourceId") == F.col("_s")) & (F.col("articleNo") == F.col("_a")), "left")
     is_ = lambda *x: F.col("_o").isin(*x)
     failed = is_("notFound") & ~F.coalesce("massNotFound", F.lit(False))
     failures = F.coalesce("consecutiveFailures", F.lit(0)) + 1

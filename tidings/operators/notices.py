@@ -7,14 +7,13 @@ from pyspark.sql import functions as F
 
 from tidings.functions.textify import html_to_markdown_udf, inject_dimensions_udf, representations_udf
 from tidings.functions.urls import source_url_expr
+from tidings.session import small
 
 
 def with_source(rows: DataFrame, sources: DataFrame) -> DataFrame:
     """Rows with the name (`_name`) and address (`_base`) of their source; a small catalogue is broadcast, once counted."""
     known = sources.select(F.col("id").alias("_id"), F.col("name").alias("_name"), F.col("baseUrl").alias("_base"))
-    if known.limit(10_001).count() <= 10_000:
-        known = F.broadcast(known)
-    return rows.join(known, F.col("sourceId") == F.col("_id"), "left").drop("_id")
+    return rows.join(small(known), F.col("sourceId") == F.col("_id"), "left").drop("_id")
 
 
 def build_notices(joined: DataFrame, sources: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from tidings.functions import urls
 from tidings.operators import backfill, changes, enrich, merge, notices, quality
+from tidings.operators.store import Buckets
 from tidings.plans import flows, views
 from tidings.plans.queries import query
 from tidings.plans.views import stamp, table
@@ -383,17 +384,18 @@ SELECT user_id, max(event_id) AS views, count(*) > 0 AS there FROM events GROUP
 def q89(spark, d):
     """Events as observations, merged by micro-batch into a store; a second run over the same events changes nothing."""
     at = shared_dir(spark)
-    store = merge.Store(spark, f"{at}/store", NOTICE)
+    store = Buckets(spark, f"{at}/store", NOTICE, (1, 16))
 
     def apply(state: DataFrame, batch: DataFrame) -> DataFrame:
-        seen = batch.groupBy("user_id").agg(F.max("event_id").alias("views"))
-        rows = views.as_notices(seen.select(F.lit("s").alias("sourceId"), F.col("user_id").alias("articleNo"), "views", F.lit("t").alias("title"), F.lit("2026-04-01").alias("date"), stamp(NOW).alias("crawledAt")))
+        seen = batch.groupBy(*KEY).agg(F.max("event_id").alias("views"))
+        rows = views.as_notices(seen.select(*KEY, "views", F.lit("t").alias("title"), F.lit("2026-04-01").alias("date"), stamp(NOW).alias("crawledAt")))
         known = changes.existing_meta(state).select(*KEY, F.lit(True).alias("known"))
         acted = rows.join(known, list(KEY), "left").withColumn("action", F.when(F.col("known"), "same").otherwise("new"))
         return merge.merge_notices(state, acted)
 
+    events = machine.read_events(spark, d).select(F.lit("s").alias("sourceId"), F.col("user_id").alias("articleNo"), "event_id")
     for k in range(2):
-        machine.stop_after(machine.merge_stream(machine.read_events(spark, d), store, apply, f"{at}/checkpoint{k}"), 600)
+        machine.stop_after(machine.merge_stream(events, store, apply, f"{at}/checkpoint{k}"), 600)
     return store.read().select(F.col("articleNo").alias("user_id"), "views", F.lit(True).alias("there"))
 
 

