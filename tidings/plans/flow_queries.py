@@ -404,6 +404,48 @@ def q89b(spark, d):
     """Observations of a user and kind, each once, however often the stream repeats them within the delay."""
     at = shared_dir(spark)
     observed = machine.read_events(spark, d).select(F.col("event_type").alias("sourceId"), F.col("user_id").alias("articleNo"), F.col("ts").cast("timestamp").alias("observedAt"))
-    machine.drain(machine.latest_by_key(observed, "3650 days"), "append", lambda df, n: df.write.mode("overwrite").parquet(f"{at}/rows/b={n}"), f"{at}/checkpoint")
+    machine.drain(machine.without_repeats(observed, "3650 days"), "append", lambda df, n: df.write.mode("overwrite").parquet(f"{at}/rows/b={n}"), f"{at}/checkpoint")
     rows = spark.read.schema("sourceId string, articleNo long, observedAt timestamp").option("recursiveFileLookup", "true").parquet(f"{at}/rows")
     return rows.select(F.col("articleNo").alias("user_id"), F.col("sourceId").alias("event_type"))
+
+
+_CLOSED = "TIMESTAMP '2100-01-01 00:00:00'"
+
+
+def _closed(spark, rows: DataFrame, at: str, time: str) -> DataFrame:
+    """Rows as a stream that a row of the far future ends, so that the watermark passes all others."""
+    end = spark.range(1).select(*(F.lit(None).cast(f.dataType).alias(f.name) if f.name not in (*KEY, time) else (F.expr(_CLOSED) if f.name == time else F.lit("end") if f.name == "sourceId" else F.lit(0).cast("long")).alias(f.name) for f in rows.schema))
+    rows.write.parquet(f"{at}/rows")
+    end.write.parquet(f"{at}/end")
+    return spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").parquet(at)
+
+
+@query("q89c_stream_newest", "SELECT user_id, event_type, max(event_id) AS last_id, max(ts)::VARCHAR AS at FROM events GROUP BY 1, 2")
+def q89c(spark, d):
+    """The newest event of a user and kind, from a stream in which they come in any order."""
+    at = shared_dir(spark)
+    e = table(spark, d, "events").select(F.col("event_type").alias("sourceId"), F.col("user_id").alias("articleNo"), F.col("ts").cast("timestamp").alias("observedAt"), "event_id")
+    e.repartition(7, F.xxhash64("event_id")).write.parquet(f"{at}/in")
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 3).parquet(f"{at}/in")
+    reduced = machine.landed(stream, machine.newest_of, f"{at}/landed", f"{at}/checkpoint0").drop("part")
+    with machine.state_store(spark):
+        machine.drain(machine.latest_by_key(reduced, "3650 days"), "update", lambda df, n: df.write.mode("overwrite").parquet(f"{at}/rows/b={n}"), f"{at}/checkpoint1")
+    rows = spark.read.schema(e.schema).option("recursiveFileLookup", "true").parquet(f"{at}/rows")
+    last = machine.newest_of(rows)  # a row for each time that a newer one came
+    shown = F.regexp_replace(F.date_format("observedAt", "yyyy-MM-dd HH:mm:ss.SSSSSS"), "\\.?0*$", "")
+    return last.select(F.col("articleNo").alias("user_id"), F.col("sourceId").alias("event_type"), F.col("event_id").alias("last_id"), shown.alias("at"))
+
+
+@query("q89d_stream_details", """
+SELECT v.event_id, CASE WHEN v.event_id % 5 = 0 THEN v.props ELSE p.props END AS detail, CASE WHEN v.event_id % 5 <> 0 THEN p.event_id END AS detail_id FROM events v LEFT JOIN events p
+ON p.event_type = 'purchase' AND p.user_id = v.user_id AND p.ts BETWEEN v.ts AND v.ts + INTERVAL 36 HOUR AND v.event_id % 5 <> 0 WHERE v.event_type = 'view'""")
+def q89d(spark, d):
+    """Views as list items, of which every fifth holds its detail, and purchases as details, joined as two streams."""
+    at = shared_dir(spark)
+    e = table(spark, d, "events").select(F.lit("s").alias("sourceId"), F.col("user_id").alias("articleNo"), F.col("ts").cast("timestamp").alias("ts"), "event_id", "props", "event_type")
+    lists = e.where("event_type = 'view'").select(*KEY, F.col("ts").alias("listedAt"), "event_id", F.when(F.col("event_id") % 5 == 0, F.struct(F.lit(None).cast("long").alias("id"), F.col("props").alias("text"))).alias("listDetail"))
+    details = e.where("event_type = 'purchase'").select(*KEY, F.col("ts").alias("detailAt"), F.struct(F.col("event_id").alias("id"), F.col("props").alias("text")).alias("detail"))
+    joined = machine.lists_with_details(_closed(spark, lists, f"{at}/lists", "listedAt"), _closed(spark, details, f"{at}/details", "detailAt"), "36 hours")
+    machine.drain(joined, "append", lambda df, n: df.write.mode("overwrite").parquet(f"{at}/rows/b={n}"), f"{at}/checkpoint")
+    rows = spark.read.schema(joined.schema).option("recursiveFileLookup", "true").parquet(f"{at}/rows").where("sourceId = 's'")
+    return rows.select("event_id", F.col("detail.text").alias("detail"), F.col("detail.id").alias("detail_id"))
