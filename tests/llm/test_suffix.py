@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -116,3 +117,17 @@ def test_the_merge_never_compares_known_bytes(monkeypatch):
     assert all(n == next((i for i in range(S.WHOLE) if a[i] != b[i]), S.WHOLE) for n, a, b in zip(shared[1:], out, out[1:]))
     # the common head is read when the tree is built and once where two runs meet, not for each of the 400 outputs
     assert looked[0] < 2 * (8 * 96 + 3 * 16 * len(rows))
+
+
+def test_memory_stays_small_where_all_text_repeats():
+    """Every anchor occurs again: rows of suffixes take some five bytes a byte of text, and little comes on top."""
+    rng = np.random.default_rng(1)
+    text = rng.integers(97, 123, 2_000_000, dtype=np.uint8).tobytes()
+    g = S.Group(pd.DataFrame([(1, 1, text), (2, 2, text)], columns=["_id", "_tie", "_text"]))
+    answers = {("sketch", k): S.join_blobs([S.pack_bits(np.ones(n, dtype=bool)), S.pack_bits(np.zeros(n, dtype=bool))]) for k, n in enumerate(np.diff(S._cuts(np.unique(g.hash >> np.uint64(40)), 24, 12)))}
+    tracemalloc.start()
+    s = S.Suffixes(g, answers, 24, 12)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(s.place) == len(g.at) > 100_000 and int(s.new.sum()) * 2 == len(s.place)
+    assert peak < 8 * 2 * len(text)

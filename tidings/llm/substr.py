@@ -192,8 +192,9 @@ def dedup_windows(docs: DataFrame, *, size: int = WINDOW, text: str = "text") ->
 
     A word goes if a window of `size` words around it starts earlier elsewhere too: in a document of smaller id, or
     earlier in the same. Null ids come last; rows of equal id are ordered by a hash of their text, and of fully equal rows
-    one, no matter which, counts as the first. Null texts count as empty; texts shorter than a window keep all words;
-    other columns are not read.
+    one, no matter which, counts as the first. Null texts count as empty; texts shorter than a window keep all words; an
+    empty table stays empty; texts are read whole, and a very long one makes its group, which one task holds, so much
+    larger; other columns are not read.
     """
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     n, parts = sizing(total)

@@ -32,6 +32,7 @@ WHOLE = LENGTH + LEFT
 PAD = 0xFF  # in no UTF-8 text
 SPREAD = 16  # counters for each anchor, about
 CHUNK = 1 << 17
+FILLED = 1 << 11  # suffixes whose rows are made or compared at a time
 HOT = 20_000  # anchors with the same GRAM bytes from which their strings travel by themselves
 BYTES = mix64(np.arange(1, 257, dtype=np.uint64))
 BYTES_TOO = mix64(np.arange(1001, 1257, dtype=np.uint64))
@@ -128,13 +129,19 @@ class Suffixes:
         self.strings = Strings(g, np.flatnonzero(hot[inverse]), parts)
         place = g.at[some]
         doc = np.searchsorted(g.first, place, side="right") - 1
-        text = _suffixes(g.flat, place, g.first[doc], g.first[doc + 1])
-        order = np.argsort(text.view(f"S{WHOLE}").reshape(-1), kind="stable")
-        self.place, self.doc, self.text = place[order], doc[order], text[order]
+        self._text = _suffixes(g.flat, place, g.first[doc], g.first[doc + 1])
+        self._order = order = np.argsort(self._text.view(f"S{WHOLE}").reshape(-1), kind="stable")
+        self.place, self.doc = place[order], doc[order]
         self.new = np.ones(len(order), dtype=bool)
-        self.new[1:] = (self.text[1:] != self.text[:-1]).any(axis=1)
+        for at in range(1, len(order), FILLED):  # the rows stay where they are; only some at a time are copied in order
+            rows = self.text(np.arange(at - 1, min(at + FILLED, len(order))))
+            self.new[at : at + FILLED] = (rows[1:] != rows[:-1]).any(axis=1)
         self.to = _receiver(g.hash[some][order], parts)
 
+    def text(self, which: np.ndarray) -> np.ndarray:
+        """The rows of some suffixes, by their numbers in the order."""
+        return self._text[self._order[which]]
+
 
 class Strings:
     """The strings whose anchors are hot, each by the hashes of its bytes (96 bits), sorted; of equal ones the first comes first."""
@@ -175,10 +182,15 @@ def _receiver(hashes: np.ndarray, parts: int) -> np.ndarray:
 
 def _suffixes(flat: np.ndarray, place: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A row for each anchor: LENGTH bytes from it, then LEFT bytes before it backwards; PAD outside the document."""
-    at = np.concatenate([place[:, None] + np.arange(LENGTH), place[:, None] - 1 - np.arange(LEFT)], axis=1)
-    out = flat[np.clip(at, 0, max(0, len(flat) - 1))] if len(flat) else np.zeros(at.shape, dtype=np.uint8)
-    out[(at < begin[:, None]) | (at >= end[:, None])] = PAD
-    return np.ascontiguousarray(out)
+    out = np.empty((len(place), WHOLE), dtype=np.uint8)
+    offsets = np.concatenate([np.arange(LENGTH), -1 - np.arange(LEFT)])
+    for s in range(0, len(place), FILLED):  # places take eight times the memory of bytes
+        some = slice(s, s + FILLED)
+        at = place[some, None] + offsets
+        rows = flat[np.clip(at, 0, len(flat) - 1)]
+        rows[(at < begin[some, None]) | (at >= end[some, None])] = PAD
+        out[some] = rows
+    return out
 
 
 def front_coded(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -281,7 +293,7 @@ def _runs(bits: int, parts: int):
             firsts = np.flatnonzero(s.new)
             for k in np.union1d(s.to[firsts], s.strings.to):
                 own = firsts[s.to[firsts] == k]
-                shared, rest = front_coded(s.text[own])
+                shared, rest = front_coded(s.text(own))
                 used, local = np.unique(s.doc[own], return_inverse=True)
                 place = (s.place[own] - g.first[s.doc[own]]).astype(np.uint32)
                 blobs = [pack(shared), pack(rest), pack(local.astype(np.uint32)), pack(place), pack(g.ids[used]), pack(g.ties[used])]
@@ -423,7 +435,8 @@ def dedup_bytes(docs: DataFrame, *, text: str = "text", hot_from: int = HOT) ->
 
     A byte goes if a LENGTH-byte string around it starts earlier elsewhere too: in a document of smaller id, or earlier in
     the same. Null ids come last; rows of equal id are ordered by a hash of their text, and of fully equal rows one, no
-    matter which, counts as the first. Null texts count as empty; shorter texts keep all bytes; other columns are not read.
+    matter which, counts as the first. Null texts count as empty; shorter texts keep all bytes; an empty table stays empty;
+    texts are read whole, and a very long one makes its group, which one task holds, so much larger; other columns are not read.
     `hot_from` decides by which way strings are compared, and nothing else.
     """
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
