@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from tidings.plans import catalog_queries, flow_queries, page_queries, queries  # noqa: F401  they register their queries
+from tidings.plans import catalog_queries, flow_queries, page_queries, queries, reader_queries  # noqa: F401  they register their queries
 
 
 @pytest.fixture(scope="module")

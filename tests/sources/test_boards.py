@@ -128,3 +128,45 @@ def test_reading_in_spark(spark):
     assert readers.image_size(png) == (640, 480) and readers.image_size(b"junk") is None
     sized = spark.createDataFrame([(bytearray(png),), (None,)], "b binary").select(readers.image_size_udf("b").alias("s")).collect()
     assert (sized[0].s.w, sized[0].s.h, sized[1].s.w) == (640, 480, None)
+
+
+NOW = [1000.0]
+
+
+def now():
+    return NOW[0]
+
+
+def test_polls_as_a_stream(spark, tmp_path):
+    """A poll is made once, by a task a host; the next start goes on with the next one."""
+    spark.dataSource.register(BoardDataSource)
+    configs = [STANDARD | {"id": f"s{k}", "baseUrl": f"http://h{k % 2}/board.do"} for k in range(3)]
+    options = {"config": json.dumps(configs), "pages": "2", "transport": "tests.sources.test_boards.transport", "every": "100", "clock": "tests.sources.test_boards.now"}
+    reader = BoardDataSource(options).streamReader(None)
+    parts = reader.partitions({"poll": 9}, {"poll": 10})
+    assert sorted(sorted((c["id"], p) for c, p in x.pages) for x in parts) == [[("s0", 0), ("s0", 1), ("s2", 0), ("s2", 1)], [("s1", 0), ("s1", 1)]]
+    assert reader.partitions({"poll": 10}, {"poll": 10}) == []
+    few = BoardDataSource(options | {"hosts": "1"}).streamReader(None)
+    assert {few.partitions({"poll": k - 1}, {"poll": k})[0].pages[0][0]["baseUrl"] for k in (10, 11)} == {"http://h0/board.do", "http://h1/board.do"}
+    assert NOW == [1000.0] and reader.latestOffset() == {"poll": 10} and reader.initialOffset() == {"poll": 9}
+    got = []
+
+    def start():
+        stream = spark.readStream.format("board").options(**{k: v for k, v in options.items() if k != "clock"}).option("every", "1000000000").load()
+        query = stream.writeStream.foreachBatch(lambda df, n: got.extend((r.sourceId, r.page, r.poll) for r in df.collect())).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        assert query.awaitTermination(90)
+
+    start()
+    assert sorted((s, p) for s, p, _ in got) == [(f"s{k}", p) for k in range(3) for p in range(2)]
+    start()  # the same poll is not read twice
+    assert len(got) == 6
+
+
+def test_pages_that_cannot_be_read_leave_the_source_standing(spark):
+    spark.dataSource.register(BoardDataSource)
+    rows = spark.read.format("board").option("config", json.dumps([STANDARD, {"id": "w", "strategy": "wordpress-api", "baseUrl": "http://h", "pagination": {"limit": 5}}])).option("transport", "tests.sources.test_boards.broken").load()
+    assert rows.count() == 0
+
+
+def broken(url):
+    return Answer(200, b"[{\xff\xfe]")

@@ -2,7 +2,7 @@
 
 Commands: query, crawl, update-check, summarize, validate-attachments, validate-markdown, backfill-content, backfill-referer,
 backfill-attachments, backfill-downloads, artifacts. A backfill without --apply only counts; with it, it asks first unless --yes
-is given. Exit codes: 0 done, 1 issues found or not confirmed, 2 done in part.
+is given. `--progress DIR` does a content backfill in units and goes on where it was stopped. Exit codes: 0 done, 1 issues found or not confirmed, 2 done in part.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidings.operators import backfill, catalog, changes, enrich, merge, quality
 from tidings.operators.store import Buckets
-from tidings.plans import flows
+from tidings.plans import flows, resume
 from tidings.plans.queries import QUERIES
 from tidings.session import configure, load_config, log_counters
 from tidings.sources import boards, fetching
@@ -40,6 +40,7 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("--successes", type=int)
         c.add_argument("--apply", action="store_true")
         c.add_argument("--yes", action="store_true")
+        c.add_argument("--progress")
         c.add_argument("--json", action="store_true")
         c.add_argument("--days", type=int, default=14)
         c.add_argument("--full", action="store_true")
@@ -77,14 +78,17 @@ def told(event: str, counts: DataFrame) -> int:
 
 
 def backfilled(args, store: Buckets, state: DataFrame, sources: DataFrame) -> int:
-    own = state.where(F.col("sourceId").isin(args.source)) if args.source else state
     pick = {
         "backfill-content": backfill.content_candidates, "backfill-referer": backfill.referer_candidates,
         "backfill-attachments": lambda x: backfill.on_boards(backfill.empty_attachment_candidates(x), sources, "standard"),
         "backfill-downloads": lambda x: backfill.on_boards(backfill.download_manager_candidates(x), sources, "wordpress-api"),
     }[args.command]
-    if args.limit:
-        own = pick(own).orderBy("sourceId", "articleNo").limit(args.limit)
+
+    def chosen(rows: DataFrame) -> DataFrame:
+        rows = rows.where(F.col("sourceId").isin(args.source)) if args.source else rows
+        return pick(rows).orderBy("sourceId", "articleNo").limit(args.limit) if args.limit else rows
+
+    own = chosen(state)
     n, go = backfill.gate(pick(own), args.apply)
     print(f"{n} notices concerned" + ("" if go else "; nothing written"))
     if not go:
@@ -92,9 +96,17 @@ def backfilled(args, store: Buckets, state: DataFrame, sources: DataFrame) -> in
     if not args.yes and ask(f"write to {store.path}? [yes/N] ") != "yes":
         return 1
     if args.command == "backfill-content":
-        rows, counts = backfill.backfill_content(own, sources, F.current_timestamp())
-        store.write(rows)
-        return told(args.command, counts)
+        _, counts = backfill.backfill_content(own, sources, F.current_timestamp())
+        code = told(args.command, counts)  # from the table as it is, before its buckets are written anew
+
+        def renew(part: DataFrame) -> None:
+            store.write(backfill.backfill_content(part, sources, F.current_timestamp())[0])
+
+        if args.progress:
+            print(f"{resume.Units(store.spark, args.progress).run(lambda: chosen(store.read()), renew)} units done")
+        else:
+            renew(own)
+        return code
     if args.command == "backfill-referer":
         store.merge(backfill.backfill_referer(own, sources), backfill.replace_attachments)
         return 0

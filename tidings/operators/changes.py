@@ -109,11 +109,15 @@ def repeated(rows: DataFrame, key: str, by: str) -> DataFrame:
     return rows.groupBy(key).agg(F.min(by).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+def counts_of(action: str) -> dict[str, Column]:
+    """What a crawl counts of its notices' actions."""
+    count = lambda *xs: F.count_if(F.col(action).isin(*xs))
+    return {"inserted": count("new"), "updated": count("changed", "repaired"), "skipped": count("same", "old"), "errors": count("error")}
+
+
 def outcome_counters(actions: DataFrame) -> DataFrame:
     """Per source: inserted, updated, skipped, errors."""
-    count = lambda *xs: F.count_if(F.col("action").isin(*xs))
-    return actions.groupBy("sourceId").agg(
-        count("new").alias("inserted"), count("changed", "repaired").alias("updated"), count("same", "old").alias("skipped"), count("error").alias("errors"))
+    return actions.groupBy("sourceId").agg(*(v.alias(k) for k, v in counts_of("action").items()))
 
 
 def total_counters(counters: DataFrame) -> DataFrame:

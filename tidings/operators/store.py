@@ -6,8 +6,8 @@ prunes the scan while it runs (dynamic partition pruning).
 
 A merge first writes the touched buckets, whole, beside the table, marks that copy as ready, and then overwrites these buckets
 of the table from it, which can be done again with the same result. Whatever died half-way is therefore finished by the
-next writer, and a merge that is repeated under the same tag isn't applied twice. One writer a table at a time; a reader
-meanwhile sees whole rows, of each bucket either before or after the merge.
+next writer, and a merge that is repeated under the same tag isn't applied twice. One writer a table at a time. A plan made
+before a merge and run after it may find files gone, and fails rather than mixes: read the table again.
 """
 
 from __future__ import annotations

@@ -86,6 +86,10 @@ acts AS (SELECT source, no, CASE WHEN action IN ('new', 'changed') AND no % 11 =
   UNION ALL SELECT source, no, 'repaired' FROM a WHERE no % 4 <> 0 AND no % 13 = 0 AND no % 11 <> 0 AND no NOT IN (SELECT no FROM read))"""
 
 
+TOTALS = f"""WITH {_ARTICLES}
+SELECT count(*) FILTER (action = 'new') AS inserted, count(*) FILTER (action IN ('changed', 'repaired')) AS updated, count(*) FILTER (action IN ('same', 'old')) AS skipped, count(*) FILTER (action = 'error') AS errors FROM acts"""
+
+
 def _crawled(spark, d):
     return flows.crawl(stored(spark, d), boards(spark), site(spark, d), stamp(NOW), "2026-04-15", floor=FLOOR)
 
@@ -125,7 +129,7 @@ def q72(spark, d):
 _KEPT = "(c_custkey % 3 <> 0 OR c_custkey % 4 <> 0) AND c_custkey % 25 <> 7"
 
 
-def _customers(spark, d) -> DataFrame:
+def customer_notices(spark, d) -> DataFrame:
     i, k = F.col("c_custkey"), F.col("c_custkey").cast("string")
     att = lambda url, referer: F.struct(F.lit("n").alias("name"), url.alias("url"), referer.alias("referer"))
     none = F.lit(None).cast("string")
@@ -146,23 +150,23 @@ def _sources(spark) -> DataFrame:
 SELECT c_custkey AS no, CASE WHEN c_custkey % 3 <> 0 THEN '<p>' || c_name || '</p>' END AS html, CASE WHEN c_custkey % 3 <> 0 THEN c_name ELSE 't' END AS text, CASE WHEN c_custkey % 3 <> 0 THEN sha256('<p>' || c_name || '</p>') END AS hash,
   CASE WHEN c_custkey % 4 <> 0 THEN 'https://h' || (c_custkey % 25) || '.example/b?wr_id=' || c_custkey ELSE 'old' END AS url FROM customer WHERE {_KEPT}""")
 def q73(spark, d):
-    rows, _ = backfill.backfill_content(_customers(spark, d), _sources(spark), stamp(NOW))
+    rows, _ = backfill.backfill_content(customer_notices(spark, d), _sources(spark), stamp(NOW))
     return rows.select(F.col("articleNo").alias("no"), F.col("cleanHtml").alias("html"), F.col("contentText").alias("text"), F.col("contentHash").alias("hash"), F.col("sourceUrl").alias("url"))
 
 
 @query("q73b_content_backfill_counts", "SELECT count(*) AS matched, count(*) FILTER (c_custkey % 25 = 7) AS skipped FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 4 <> 0")
 def q73b(spark, d):
-    return backfill.backfill_content(_customers(spark, d), _sources(spark), stamp(NOW))[1]
+    return backfill.backfill_content(customer_notices(spark, d), _sources(spark), stamp(NOW))[1]
 
 
 @query("q74_referer_backfill", """
 SELECT c_custkey AS no, 'https://h' || (c_custkey % 25) || '.example/b?' || CASE WHEN c_custkey % 4 <> 0 THEN 'wr_id=' ELSE 't=n&wr_id=' END || c_custkey AS referer, CASE WHEN c_custkey % 5 = 3 THEN 2 ELSE 1 END AS files FROM customer WHERE c_custkey % 5 IN (1, 3)""")
 def q74(spark, d):
-    patched = backfill.backfill_referer(_customers(spark, d), boards(spark))
+    patched = backfill.backfill_referer(customer_notices(spark, d), boards(spark))
     return patched.select(F.col("articleNo").alias("no"), F.array_join(F.array_distinct(F.transform("attachments", lambda a: a["referer"])), ",").alias("referer"), F.size("attachments").alias("files"))
 
 
-def _files(spark, d):
+def refetch_site(spark, d):
     """Pages of customers: every eleventh is gone, every seventh shows no file."""
     i, k = F.col("c_custkey"), F.col("c_custkey").cast("string")
     body = F.concat(F.lit("<div id='c'>x</div>"), F.when(i % 7 != 0, F.concat(F.lit("<a class='f' href='/new/"), k, F.lit("'>n.pdf</a>"))).otherwise(""))
@@ -172,9 +176,9 @@ def _files(spark, d):
 
 
 def _refetched(spark, d, pick, limit=None):
-    state = _customers(spark, d)
+    state = customer_notices(spark, d)
     chosen = backfill.on_boards(pick(state), boards(spark), "gnuboard", without_base="h3.example")
-    return flows.refetch_attachments(state, boards(spark), _files(spark, d), chosen, limit=limit)
+    return flows.refetch_attachments(state, boards(spark), refetch_site(spark, d), chosen, limit=limit)
 
 
 _REFETCH = """
@@ -341,7 +345,7 @@ def q84(spark, d):
 @query("q85_candidates", """
 SELECT count(*) FILTER (c_custkey % 3 <> 0 OR c_custkey % 4 <> 0) AS content, count(*) FILTER (c_custkey % 5 IN (1, 3)) AS referer, count(*) FILTER (c_custkey % 5 = 0) AS empty, count(*) FILTER (c_custkey % 5 = 1) AS download, count(*) FILTER (c_custkey % 3 = 0) AS no_content FROM customer""")
 def q85(spark, d):
-    state = _customers(spark, d)
+    state = customer_notices(spark, d)
     picks = {"content": backfill.content_candidates, "referer": backfill.referer_candidates, "empty": backfill.empty_attachment_candidates, "download": backfill.download_manager_candidates, "no_content": changes.null_content}
     counts = [f(state).agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.lit(k)) for k, f in picks.items()]
     rows = counts[0]

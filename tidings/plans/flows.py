@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidings.functions.textify import image_urls_udf, normalize_urls_udf, representations_udf
 from tidings.operators import backfill, changes, enrich, merge, notices, quality, store
 from tidings.schemas import KEY
-from tidings.session import Config, small, written
+from tidings.session import Config, Watch, small, written
 from tidings.sources import readers
 from tidings.sources.readers import image_size_udf
 
@@ -56,10 +56,12 @@ def scan(state: DataFrame, sources: DataFrame, fetch: Fetch, as_of: str, *, incr
 
 def crawl_changes(
     state: DataFrame, sources: DataFrame, fetch: Fetch, now: Column, as_of: str, *, wanted: list[str] | None = None, pages: int | None = None,
-    incremental: bool = True, floor: str = changes.FLOOR_DATE, images: Fetch | None = None,
+    incremental: bool = True, floor: str = changes.FLOOR_DATE, images: Fetch | None = None, observed: dict | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """What a crawl found, written: the rows to merge, with their `action`, and per-source counters.
 
+    `observed` gets the totals over all notices, which are counted while the rows are written.
+
     List pages are read as `scan` says; new and changed notices are fetched and built, unchanged ones touched; notices whose
     content was never had are tried again. In a full crawl known notices of any title count as new and are overwritten.
     With `images`, a fetch of images, their sizes are filled in. A list page that can't be fetched is an error. Of `state`
@@ -87,7 +89,10 @@ def crawl_changes(
     built = built.withColumn("action", F.when(F.col("_lost") & F.col("action").isin("new", "changed"), "error").otherwise(F.col("action"))).drop("_lost")
     mended = state.join(repairs.select(*KEY), list(KEY), "left_semi").select(*KEY, "title", "category", "author", "date", "views", "detailPath")
     mended = notices.build_notices(mended.join(details, list(KEY)).where(F.col("detail").isNotNull()).withColumn("crawledAt", now), chosen).withColumn("action", F.lit("repaired"))
-    incoming = written(built.unionByName(mended))
+    watch = Watch(**changes.counts_of("action"))
+    incoming = written(watch(built.unionByName(mended)))
+    if observed is not None:
+        observed |= watch.counts()
     counters = changes.outcome_counters(incoming.select("sourceId", "action").unionByName(failed.select("sourceId", F.lit("error").alias("action"))))
     return incoming.where(~F.col("action").isin("old", "error")), counters
 

@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 SETTINGS = {
@@ -43,6 +43,20 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
+class Watch:
+    """Counts over a table's rows, taken while its next job computes them, so that counting takes no job of its own."""
+
+    def __init__(self, **counts: Column):
+        self.columns, self.seen = counts, Observation(f"watch-{uuid.uuid4().hex}")
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return df.observe(self.seen, *(c.alias(name) for name, c in self.columns.items()))
+
+    def counts(self) -> dict[str, int]:
+        """The counts, once that job has run; zeros of a plan that Spark found to be empty."""
+        return dict.fromkeys(self.columns, 0) | self.seen.get
+
+
 def small(df: DataFrame, limit: int = 10_000) -> DataFrame:
     """`df`, marked for broadcast if it was counted and is no larger than that."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

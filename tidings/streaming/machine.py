@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import logging
 from collections.abc import Callable
 from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
@@ -216,6 +218,29 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
+class RunLog(StreamingQueryListener):
+    """Logs each micro-batch of the streams it listens to as a JSON line: rows in, what was observed, time, and state rows."""
+
+    def __init__(self, logger: logging.Logger | None = None):
+        self.logger = logger or logging.getLogger("tidings")
+
+    def _say(self, event: str, **what) -> None:
+        self.logger.info(json.dumps({"event": event, **what}, default=str, ensure_ascii=False))
+
+    def onQueryStarted(self, event) -> None:
+        self._say("stream_started", id=event.id, name=event.name)
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self._say("stream_batch", id=p.id, batch=p.batchId, rows=p.numInputRows, ms=p.batchDuration, state_rows=sum(s.numRowsTotal for s in p.stateOperators), **{k: v.asDict() for k, v in p.observedMetrics.items()})
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._say("stream_ended", id=event.id, error=event.exception)
+
+
 def drain(stream: DataFrame, mode: str, sink: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     """Run a stream over all that is there, and stop."""
     query = stream.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
