@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidings.schemas import ATTACHMENTS, DETAIL, LIST_ITEM
-from tidings.sources.boards import BOARDS
+from tidings.session import small
+from tidings.sources import cells, json_boards
+from tidings.sources.boards import BOARDS, WordPress
 
 
 def config_of(row) -> dict:
@@ -77,10 +79,57 @@ def _parsers(sources: DataFrame) -> dict[str, dict]:
     return {r["id"]: config_of(r) for r in sources.collect()}
 
 
+ITEM = T.StructType([*LIST_ITEM.fields, T.StructField("listDetail", DETAIL), T.StructField("listAttachments", ATTACHMENTS)])
+
+
 def read_lists(fetched: DataFrame, sources: DataFrame | Catalogue, as_of: str) -> DataFrame:
-    """List items of fetched pages (sourceId, page, status, body): pages without a good answer have none."""
+    """List items of fetched pages (sourceId, page, status, body): pages without a good answer have none.
+
+    Of HTML boards that are told in columns (`cells.item_columns`) Python only finds the cells; JSON boards are decoded
+    without it. Kinds that were registered from outside read their items themselves.
+    """
     configs = _configs(sources)
-    schema = T.StructType([T.StructField("sourceId", T.StringType()), T.StructField("page", T.IntegerType()), *LIST_ITEM.fields, T.StructField("listDetail", DETAIL), T.StructField("listAttachments", ATTACHMENTS)])
+    found = _page_items(fetched, configs, as_of)
+    for kind, read in JSON_KINDS.items():
+        if own := [c for c in configs.value.values() if type(BOARDS.get(c["strategy"])).__name__ == kind]:
+            found = found.unionByName(read(_bodies(fetched, own)))
+    return found
+
+
+def _bodies(fetched: DataFrame, configs: list[dict]) -> DataFrame:
+    """Good answers of some sources, with what their addresses are made of."""
+    names = ("baseUrl", "frontendBase", "attachmentBase", "imageBase")
+    rows = [(c["id"], *(c.get(n) or None for n in names), (c.get("pagination") or {}).get("limit")) for c in configs]
+    known = fetched.sparkSession.createDataFrame(rows, ", ".join(f"{n} string" for n in ("sourceId", *names)) + ", pageSize int")
+    good = fetched.where((F.col("status") == 200) & F.col("body").isNotNull()).select("sourceId", "page", F.col("body").cast("string").alias("body"))
+    return good.join(small(known), "sourceId")
+
+
+def _bulletin_items(pages: DataFrame) -> DataFrame:
+    total = F.coalesce(F.try_variant_get(F.try_parse_json("body"), "$.data.totalCount", "long"), F.lit(0))
+    found = json_boards.bulletins(pages.where(F.col("page") * F.col("pageSize") < total))
+    files = F.when(F.size("attachments") > 0, F.col("attachments"))
+    return found.select("sourceId", "page", *LIST_ITEM.names, F.lit(None).cast(DETAIL).alias("listDetail"), files.alias("listAttachments")).where(F.col("articleNo") >= 0)
+
+
+def _post_items(pages: DataFrame) -> DataFrame:
+    @F.pandas_udf(DETAIL)
+    def held(html: pd.Series, base: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([WordPress()._detail(h, {"baseUrl": b}) for h, b in zip(html, base)], columns=DETAIL.names)
+
+    found = json_boards.posts(pages)
+    own = F.when(F.col("content").isNotNull(), held(F.coalesce("content", F.lit("")), "baseUrl"))
+    none = {"category": F.lit(""), "author": F.lit(""), "views": F.lit(0).cast("long")}
+    return found.withColumns(none).select("sourceId", "page", *LIST_ITEM.names, own.alias("listDetail"), F.lit(None).cast(ATTACHMENTS).alias("listAttachments")).where(F.col("articleNo") >= 0)
+
+
+JSON_KINDS = {"Pyxis": _bulletin_items, "WordPress": _post_items}
+
+
+def _page_items(fetched: DataFrame, configs, as_of: str) -> DataFrame:
+    """The items of all boards but the JSON ones."""
+    kinds = cells.item_columns(as_of, F.col("page"))
+    names = tuple(kinds)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -90,15 +139,37 @@ def read_lists(fetched: DataFrame, sources: DataFrame | Catalogue, as_of: str) -
                 if c is None or r.status != 200 or r.body is None:
                     continue
                 board = BOARDS[c["strategy"]]
+                if type(board).__name__ in JSON_KINDS:
+                    continue
+                source = (c.get("skinType"), c.get("infoParser"))
                 try:
-                    found = board.items(bytes(r.body).decode(board.encoding, "replace"), c, r.page, as_of)
+                    text = bytes(r.body).decode(board.encoding, "replace")
+                    if type(board).__name__ in names and type(board).read.__qualname__.split(".")[0] in names:
+                        rows += [(r.sourceId, r.page, type(board).__name__, source, row, None) for row in cells.rows_of(text, c["selectors"], board.row)]
+                    else:
+                        found = board.items(text, c, r.page, as_of)
+                        rows += [(r.sourceId, r.page, "own", source, None, (*(x[k] for k in LIST_ITEM.names), x.get("detail"), x.get("attachments"))) for x in found]
                 except (ValueError, KeyError, TypeError, AttributeError):
                     continue  # a page that can't be read has no items
-                for x in found:
-                    rows.append((r.sourceId, r.page, *(x[k] for k in LIST_ITEM.names), x.get("detail"), x.get("attachments")))
-            yield pd.DataFrame(rows, columns=schema.names)
-
-    return spread(fetched.select("sourceId", "page", "status", "body"), "sourceId", "page").mapInPandas(run, schema)
+            yield pd.DataFrame(rows, columns=["sourceId", "page", "kind", "source", "cells", "item"])
+
+    schema = T.StructType([
+        T.StructField("sourceId", T.StringType()), T.StructField("page", T.IntegerType()), T.StructField("kind", T.StringType()), T.StructField("source", T.StructType([T.StructField("skinType", T.StringType()), T.StructField("infoParser", T.StringType())])),
+        T.StructField("cells", T._parse_datatype_string(cells.CELLS)), T.StructField("item", ITEM)])
+    rows = spread(fetched.select("sourceId", "page", "status", "body"), "sourceId", "page").mapInPandas(run, schema)
+
+    def told(field: T.StructField) -> Column:
+        value = F.lit(None).cast(field.dataType)
+        own = F.when(F.col("kind") == "own", F.col("item")[field.name])
+        for kind, columns in kinds.items():
+            if field.name in columns:
+                own = own.when(F.col("kind") == kind, columns[field.name].cast(field.dataType))
+        return own.otherwise(value)
+
+    keep = F.when(F.col("kind") == "own", F.lit(True))
+    for kind, columns in kinds.items():
+        keep = keep.when(F.col("kind") == kind, columns["keep"])
+    return rows.where(keep).select("sourceId", "page", *(told(f).alias(f.name) for f in ITEM)).where(F.col("articleNo") >= 0)
 
 
 def read_details(fetched: DataFrame, sources: DataFrame | Catalogue) -> DataFrame:
