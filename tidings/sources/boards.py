@@ -104,6 +104,9 @@ class Board:
         content, text = self.content(root, c)
         return detail(content, text, self.attachments(root, c, self.detail_url(c, path, no)))
 
+    def title(self, root: Element, c: dict) -> str | None:
+        return None
+
     def content(self, root: Element, c: dict) -> tuple[str, str]:
         e = _first(root, c["selectors"].get("detailContent"))
         return (e.inner_html().strip(), node_text(e)) if e else ("", "")
@@ -301,9 +304,11 @@ class CustomPhp(Board):
                 out.setdefault(url, {"name": name, "url": url})
         return list(out.values())
 
+    def title(self, root, c):
+        return node_text(_first(root, c["selectors"].get("detailTitle"))) or None
+
     def detail(self, body, c, path, no):
-        title = node_text(_first(parse(body), c["selectors"].get("detailTitle"))) or None
-        return super().detail(body, c, path, no) | {"title": title}
+        return super().detail(body, c, path, no) | {"title": self.title(parse(body), c)}
 
 
 class JspDorm(Board):

@@ -97,3 +97,57 @@ def item_columns(as_of: str, page: Column) -> dict[str, dict[str, Column]]:
             "articleNo": _number(cell_link, r"article_no=(\d+)"), "title": _cell("td", "inner_text", 2), "category": _cell("td", k=1), "author": F.lit(""), "date": _cell("td", k=4),
             "views": F.when(hits.rlike(r"^\d+$"), first_number(hits)).otherwise(F.lit(0)), "detailPath": cell_link, "keep": (columns >= 6) & ((page == 0) | ~pinned)},
     }
+
+
+#: The selector of the links to files, by kind of board, and what it is where a source has none.
+FILES = {
+    "Standard": ("attachmentList", ""), "AspBoard": ("attachmentList", ""), "Gnuboard": ("detailAttachment", ""), "GnuboardCustom": ("detailAttachment", ""),
+    "CustomPhp": ("detailAttachment", "div.attachment a[href]"), "JspDorm": ("attachmentLink", ""),
+}
+LINKS = "array<struct<text:string,href:string,onclick:string>>"
+
+
+def links_of(root: Element, kind: str, selectors: dict[str, str]) -> list[tuple]:
+    """Text, address and script of what a page's selector for files finds."""
+    name, default = FILES[kind]
+    return [(node_text(a), node_attr(a, "href"), a.attr("onclick")) for a in root.select(selectors.get(name) or default)]
+
+
+def origin_url_expr(base: Column, path: Column) -> Column:
+    """Addresses of files: paths count from the host, queries from the board."""
+    origin = F.regexp_extract(base, r"^([^/?#]*//[^/?#]*)", 1)
+    rooted = F.when(path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path))
+    return F.when(path.startswith("http"), path).when(path.startswith("?"), F.concat(base, path)).otherwise(F.concat(origin, rooted))
+
+
+def _file(name: Column, url: Column, referer: Column | None = None) -> Column:
+    return F.struct(name.alias("name"), url.alias("url"), (F.lit(None).cast("string") if referer is None else referer).alias("referer"))
+
+
+def file_columns() -> dict[str, Column]:
+    """By kind of board, the files of a page. Rows have `links`, `base`, `onclick` (do scripts hold the addresses?) and `pageUrl`."""
+    base, links = F.col("base"), F.col("links")
+    text = lambda x: F.coalesce(x["text"], F.lit(""))
+    href = lambda x: F.coalesce(x["href"], F.lit(""))
+    named = F.filter(links, lambda x: (text(x) != "") & (href(x) != ""))
+    from_host = lambda h: F.when(h.startswith("http"), h).otherwise(origin_url_expr(base, F.concat(F.lit("/"), F.regexp_replace(h, "^/+", ""))))
+
+    def shown(x: Column) -> Column:
+        script = F.replace(F.regexp_extract(F.coalesce(x["onclick"], F.lit("")), r"location\.href='([^']+)'", 1), F.lit("&amp;"), F.lit("&"))
+        return F.when(F.col("onclick"), script).otherwise(href(x))
+
+    standard = F.filter(F.transform(links, lambda x: _file(text(x), shown(x))), lambda x: (x["name"] != "") & (x["url"] != "") & (x["url"] != "#"))
+    whole = lambda h: F.when(h.startswith("//"), F.concat(F.lit("https:"), h)).when(h.startswith("?"), F.concat(F.lit("/"), h)).otherwise(h)
+    with_referer = F.transform(named, lambda x: _file(text(x), origin_url_expr(base, whole(href(x))), F.col("pageUrl")))
+    folder = F.regexp_replace(base, "/[^/]*$", "")
+    placed = lambda h: F.when(h.startswith("http"), h).when(h.startswith("/"), origin_url_expr(base, h)).otherwise(F.concat(folder, F.lit("/"), F.regexp_replace(h, r"^\./", "")))
+    some = F.filter(links, lambda x: (href(x) != "") & (href(x) != "#"))
+    asked = lambda u: F.nullif(F.try_url_decode(F.regexp_extract(u, r"[?&]name=([^&#]+)", 1)), F.lit(""))
+    located = F.transform(F.transform(some, lambda x: _file(text(x), placed(href(x)))), lambda x: x.withField("name", F.coalesce(asked(x["url"]), F.nullif(x["name"], F.lit("")), F.substring_index(x["url"], "/", -1))))
+    located = F.filter(located, lambda x: x["name"] != "")
+    first = F.filter(located, lambda x, i: F.array_position(F.transform(located, lambda y: y["url"]), x["url"]) == i + 1)
+    return {
+        "Standard": F.transform(standard, lambda x: x.withField("url", origin_url_expr(base, x["url"]))),
+        "AspBoard": F.transform(F.filter(named, lambda x: href(x) != "#"), lambda x: _file(text(x), from_host(href(x)))),
+        "Gnuboard": with_referer, "GnuboardCustom": with_referer, "CustomPhp": first, "JspDorm": F.transform(named, lambda x: _file(text(x), from_host(href(x)))),
+    }

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidings.functions.dom import parse
 from tidings.schemas import ATTACHMENTS, DETAIL, LIST_ITEM
 from tidings.session import small
 from tidings.sources import cells, json_boards
@@ -173,25 +174,44 @@ def _page_items(fetched: DataFrame, configs, as_of: str) -> DataFrame:
 
 
 def read_details(fetched: DataFrame, sources: DataFrame | Catalogue) -> DataFrame:
-    """(sourceId, articleNo, status, detail) of fetched detail pages; detail is null without a good answer."""
-    configs = _configs(sources)
-    schema = T.StructType([T.StructField("sourceId", T.StringType()), T.StructField("articleNo", T.LongType()), T.StructField("status", T.IntegerType()), T.StructField("detail", DETAIL)])
+    """(sourceId, articleNo, status, detail) of fetched detail pages; detail is null without a good answer.
+
+    Python finds a page's content, title and links; which links are files, and their names and addresses, is said in columns.
+    """
+    configs, files, names = _configs(sources), cells.file_columns(), tuple(cells.FILES)
+    schema = T._parse_datatype_string(f"sourceId string, articleNo long, status int, kind string, base string, onclick boolean, pageUrl string, content string, text string, title string, links {cells.LINKS}")
+    schema = T.StructType([*schema.fields, T.StructField("own", DETAIL)])
+    empty = (None,) * 8
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for r in b.itertuples(index=False):
-                c, found = configs.value.get(r.sourceId), None
+                c, found = configs.value.get(r.sourceId), empty
                 if c is not None and r.status == 200 and r.body is not None:
                     board = BOARDS[c["strategy"]]
+                    kind, path = type(board).__name__, r.detailPath or ""
                     try:
-                        found = board.detail(bytes(r.body).decode(board.encoding, "replace"), c, r.detailPath or "", r.articleNo)
+                        text = bytes(r.body).decode(board.encoding, "replace")
+                        if kind in names:
+                            root = parse(text)
+                            links = cells.links_of(root, kind, c["selectors"])
+                            title = board.title(root, c)
+                            found = (kind, c["baseUrl"], c.get("attachmentParser") == "onclick", board.detail_url(c, path, r.articleNo), *board.content(root, c), title, links, None)
+                        else:
+                            own = board.detail(text, c, path, r.articleNo)
+                            found = ("own", None, None, None, None, None, None, None, own)
                     except (ValueError, KeyError, TypeError, AttributeError):
-                        found = None  # a page that can't be read counts as one without content
-                rows.append((r.sourceId, r.articleNo, r.status, found))
+                        found = empty  # a page that can't be read counts as one without content
+                rows.append((r.sourceId, r.articleNo, r.status, *found, *([None] if found is empty else [])))
             yield pd.DataFrame(rows, columns=schema.names)
 
-    return spread(fetched.select("sourceId", "articleNo", "detailPath", "status", "body"), "sourceId", "articleNo").mapInPandas(run, schema)
+    rows = spread(fetched.select("sourceId", "articleNo", "detailPath", "status", "body"), "sourceId", "articleNo").mapInPandas(run, schema)
+    detail = F.when(F.col("kind") == "own", F.col("own"))
+    for kind, found in files.items():
+        whole = F.struct("content", F.col("text").alias("contentText"), found.cast(ATTACHMENTS).alias("attachments"), "title")
+        detail = detail.when(F.col("kind") == kind, whole.cast(DETAIL))
+    return rows.select("sourceId", "articleNo", "status", detail.alias("detail"))
 
 
 def spread(fetched: DataFrame, *key: str) -> DataFrame:
