@@ -251,9 +251,9 @@ def q78(spark, d):
 
 
 @query("q79_summary_run", """
-SELECT doc_id, CASE WHEN toxic = 1 THEN 3 WHEN quality = 1 THEN NULL ELSE 0 END::INT AS failures, NOT coalesce(toxic = 1, false) AND NOT coalesce(quality = 1, false) AS fresh FROM documents d LEFT JOIN labels l USING (doc_id) WHERE text <> ''""")
+SELECT doc_id, CASE WHEN toxic = 1 THEN 3 WHEN quality = 1 OR coalesce(text, '') = '' THEN NULL ELSE 0 END::INT AS failures, NOT coalesce(toxic = 1, false) AND NOT coalesce(quality = 1, false) AND coalesce(text, '') <> '' AS fresh FROM documents d LEFT JOIN labels l USING (doc_id)""")
 def q79(spark, d):
-    docs, labels = table(spark, d, "documents").where("text <> ''"), table(spark, d, "labels").select("doc_id", "quality", "toxic")
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels").select("doc_id", "quality", "toxic")
     j, known = docs.join(labels, "doc_id", "left"), F.col("quality").isNotNull()
     state = views.as_notices(j.select(
         F.col("source").alias("sourceId"), F.col("doc_id").alias("articleNo"), F.lit("t").alias("title"), F.col("text").alias("contentText"), F.sha2("text", 256).alias("contentHash"), F.lit("2026-04-01").alias("date"), stamp(NOW).alias("crawledAt"),
