@@ -129,3 +129,23 @@ def test_sets_of_members_pass_no_driver(spark, monkeypatch):
             m.setattr(type(docs), name, refuse)
         found = J._sets_of(docs, members, "text")
     assert sorted((r["_sn"], bytes(r["set"])) for r in found.collect()) == sorted((n, sets[n]) for n in some)
+
+
+def test_unlike_nodes_in_one_bucket_are_parted_by_size(spark, monkeypatch):
+    """Nodes that share one band and nothing else, as a template makes them: few of all their pairs are compared, and none is lost."""
+    monkeypatch.setattr(J, "BUCKET", 200)
+    rng = np.random.default_rng(3)
+    n = 4000
+    sign = rng.integers(0, 1 << 16, (n, J.HASHES), dtype=np.uint16)
+    sign[:, : J.BAND] = 7
+    size = np.exp(rng.uniform(np.log(5), np.log(5000), n)).astype(int)
+    near = rng.choice(n // 2, 40, replace=False)  # some pairs are alike, with sizes to match
+    sign[near + n // 2] = sign[near]
+    size[near + n // 2] = np.maximum(1, (size[near] * rng.uniform(0.82, 1.2, len(near))).astype(int))
+    rows = [(int(i), int(s), bytearray(x.tobytes())) for i, (s, x) in enumerate(zip(size, sign))]
+    nodes = spark.createDataFrame(rows, "node long, size int, sign binary").repartition(8)
+    found = J.candidates(nodes, 8).collect()
+    assert sum(r.n for r in found) < n * n / 10
+    family = {r.node: r.component for r in graph.components(spark.createDataFrame([(r.a, r.b) for r in found], "a long, b long")).collect()}
+    assert all(family[int(i)] == family[int(i) + n // 2] for i in near)
+    assert len(family) == 2 * len(near)

@@ -7,7 +7,7 @@ the threshold falls below the tolerance. What survives connects nodes to familie
 fetched, and within a family all pairs of like size that survive are verified exactly, in blocks. Only links a node has,
 counted, and spanning forests leave a task.
 
-A bucket with very many nodes is cut into blocks that share one leading node. Blocks of nodes that are then not yet of the
+A bucket with very many nodes is parted by size, then cut into blocks that share one leading node. Blocks of nodes that are then not yet of the
 bucket's largest family are compared with all blocks, so no pair is lost and none within one family is compared again.
 """
 
@@ -274,13 +274,27 @@ def _tasks(rows: DataFrame, parts: int, columns: list[str], work) -> DataFrame:
     return cut(dealt.mapInPandas(lambda it: _by_task(it, columns, lambda x: work(x, least)), "a long, b long, n long"))
 
 
-def candidates(nodes: DataFrame, parts: int) -> DataFrame:
-    """(a, b, n) that connect all nodes (node, sign) that share a band and survive; the sum of `n` is how many pairs were compared."""
-    band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(k, F.substring("sign", k * BAND * 2 + 1, BAND * 2)))
-    bands = nodes.select("node", F.explode(band).alias("band"))
+def size_class(size: Column) -> Column:
+    return F.floor(F.log(size.cast("double")) / F.lit(float(np.log(1 / THRESHOLD)))).cast("int")
+
+
+def _met(bands: DataFrame) -> DataFrame:
+    """The rows (node, size, band) of buckets that two nodes or more share, with the bucket's number of blocks and its leading node."""
     shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("lead")).where("n > 1")
     shared = cut(shared.select(F.col("band").alias("_b"), F.ceil(F.col("n") / BUCKET).cast("int").alias("blocks"), "lead"))
-    met = cut(bands.join(shared, F.col("band") == F.col("_b")).select("node", "band", "blocks", "lead"))
+    return bands.join(shared, F.col("band") == F.col("_b")).select("node", "size", "band", "blocks", "lead")
+
+
+def candidates(nodes: DataFrame, parts: int) -> DataFrame:
+    """(a, b, n) that connect all nodes (node, size, sign) that share a band and survive; the sum of `n` is how many pairs were compared."""
+    band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(k, F.substring("sign", k * BAND * 2 + 1, BAND * 2)))
+    met = cut(_met(nodes.select("node", "size", F.explode(band).alias("band"))))
+    large = met.where("blocks > 1")
+    if large.limit(1).count():
+        # Sets of similarity THRESHOLD are of the same or the next size class, so a large bucket is one for each two neighbouring ones.
+        own = size_class(F.col("size"))
+        halves = large.select("node", "size", F.explode(F.array(F.xxhash64("band", own), F.xxhash64("band", own + 1))).alias("band"))
+        met = cut(met.where("blocks = 1").unionByName(_met(halves)))
     signs = nodes.select(F.col("node").alias("_n"), "sign")
     block = F.pmod(F.xxhash64(F.lit(3), "node"), F.col("blocks")).cast("int")
     own = F.when((F.col("node") == F.col("lead")) & (F.col("blocks") > 1), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(block))
@@ -314,8 +328,7 @@ def classes(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
         known = rows.where(F.col("node").isNotNull())
         nodes = cut(known.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("sign").alias("sign")))
         family = components(candidates(nodes, parts).select("a", "b").distinct())
-        size_class = F.floor(F.log(F.col("size").cast("double")) / F.lit(float(np.log(1 / THRESHOLD)))).cast("int")
-        members = nodes.join(family.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n")).withColumn("cls", size_class).drop("_n")
+        members = nodes.join(family.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n")).withColumn("cls", size_class(F.col("size"))).drop("_n")
         members = cut(members)
         found = _tasks(_verification(docs, members, text), parts, ["task", "side", "node", "copies", "sign", "set"], _verify)
     links = found.where("n > 0").groupBy(F.col("a").alias("_ln")).agg(F.sum("n").alias("links"))
