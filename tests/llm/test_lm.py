@@ -129,3 +129,119 @@ def test_many_customers_sit_as_the_exact_distribution_says():
         drawn = lm.seatings(np.full(many, n), np.full(many, p), np.arange(many), np.full(many, others), np.ones(many, dtype=int), d, 0.5, rng)
         exact = exact_tables(n, d, 0.5, p, others)
         assert abs(np.mean([t.mean() for t in drawn]) - exact) < most * exact + 0.01, (n, d, p, others)
+
+
+def plainly_sampled(pairs, d, d_word, known, sweeps, burn_in, rng):
+    """Mean predictive probabilities by plain Gibbs: every customer of every context, and of the parent, leaves and sits down
+    again by the seating of all others, the parent's included. `pairs`: counts by (context, word)."""
+    seats = {k: [1] * n for k, n in pairs.items()}  # table sizes
+    up = Counter()
+    for (_, w), s in seats.items():
+        up[w] += len(s)
+    parent = {w: [1] * n for w, n in up.items()}
+    share, total = 0.5 / known, sum(up.values())
+    n_parent_tables = sum(map(len, parent.values()))
+    in_context = Counter()
+    for (c, _), s in seats.items():
+        in_context[c] += len(s)
+    sums, samples = Counter(), 0
+
+    def choose(weights):
+        x = rng.random() * sum(weights)
+        for k, v in enumerate(weights):
+            x -= v
+            if x < 0:
+                return k
+        return len(weights) - 1
+
+    def leave(tables):
+        k = choose(tables)
+        tables[k] -= 1
+        if not tables[k]:
+            del tables[k]
+            return True
+        return False
+
+    def parent_joins(w):
+        nonlocal total, n_parent_tables
+        s = parent[w]
+        k = choose([x - d_word for x in s] + [(lm.THETA_WORD + d_word * n_parent_tables) * share])
+        if k == len(s):
+            s.append(1)
+            n_parent_tables += 1
+        else:
+            s[k] += 1
+        total += 1
+
+    def parent_leaves(w):
+        nonlocal total, n_parent_tables
+        n_parent_tables -= leave(parent[w])
+        total -= 1
+
+    for sweep in range(sweeps):
+        for (c, w), s in seats.items():
+            for _ in range(sum(s)):
+                if leave(s):
+                    in_context[c] -= 1
+                    parent_leaves(w)
+                t = parent[w]
+                p = (sum(t) - d_word * len(t) + (lm.THETA_WORD + d_word * n_parent_tables) * share) / (lm.THETA_WORD + total)
+                k = choose([x - d for x in s] + [(lm.THETA_PAIR + d * in_context[c]) * p])
+                if k == len(s):
+                    s.append(1)
+                    in_context[c] += 1
+                    parent_joins(w)
+                else:
+                    s[k] += 1
+        for w, s in parent.items():
+            for _ in range(sum(s)):
+                parent_leaves(w)
+                parent_joins(w)
+        if sweep < burn_in:
+            continue
+        samples += 1
+        unseen = min(0.95, max(0.05, known / n_parent_tables))
+        of = lambda w: (max(0.0, sum(parent[w]) - d_word * len(parent[w])) + (lm.THETA_WORD + d_word * n_parent_tables) * (1 - unseen) / known) / (lm.THETA_WORD + total)
+        sat = Counter()
+        for (c, _), n in pairs.items():
+            sat[c] += n
+        for c in sat:
+            for w in parent:
+                s = seats.get((c, w), [])
+                own = sum(s) - d * len(s)
+                sums[c, w] += (own + (lm.THETA_PAIR + d * in_context[c]) * of(w)) / (lm.THETA_PAIR + sat[c])
+    return {k: v / samples for k, v in sums.items()}
+
+
+def test_scores_against_a_plain_sampler(monkeypatch):
+    """A small corpus of few contexts, seated by plain Gibbs with the parent sampled along, against the operator's steps."""
+    import pandas as pd
+
+    monkeypatch.setattr(lm, "BURN_IN", 20)
+    monkeypatch.setattr(lm, "SAMPLES", 60)
+    rng = np.random.default_rng(5)
+    p = np.array([0.3, 0.2, 0.12, 0.1, 0.08, 0.08, 0.06, 0.06])
+    learned = ["a " + " ".join("ab"[rng.integers(2)] + " w" + str(rng.choice(8, p=p)) for _ in range(rng.integers(1, 5))) for _ in range(40)]
+    asked = [f"{c} w{k}" for c in "ab" for k in range(8)]
+    pdf = pd.DataFrame([(0, i, i, t.encode(), i < len(learned)) for i, t in enumerate(learned + asked)], columns=["_group", "_id", "_tie", "_text", "_flag"])
+    none = np.zeros(0, dtype=np.uint64)
+    to = lambda m, k: m[m["to"] == k]
+    counted = lm._count(1, 1, none)((0,), pdf)
+    tables = lm._first_tables(1, 1)((2,), to(counted, 2))
+    parents = lm._parents(1, 1)((1,), to(counted, 1), to(tables, 1))
+    seated = lm._seat(1, 1, none)((2,), to(counted, 2), to(parents, 2))
+    words = lm._seat_words(1, 1)((1,), to(counted, 1), to(pd.concat([tables, seated]), 1))
+    got = lm._score(1, none)((0,), pdf, to(pd.concat([seated, words]), 0)).set_index("doc_id")["score"]
+    pairs = Counter()
+    for t in learned:
+        tokens = ["<s>", *t.split(), "</s>"]
+        pairs.update(zip(tokens, tokens[1:]))
+    first, once, twice = Counter(w for _, w in pairs), sum(n == 1 for n in pairs.values()), sum(n == 2 for n in pairs.values())
+    d_word = lm.discount(sum(n == 1 for n in first.values()), sum(n == 2 for n in first.values()))
+    want = plainly_sampled(pairs, lm.discount(once, twice), d_word, len(first), 220, 20, rng)
+    off = []
+    for i, t in enumerate(asked):
+        tokens = ["<s>", *t.split(), "</s>"]
+        exact = sum(math.log10(want[x]) for x in zip(tokens, tokens[1:]))
+        off.append(got[len(learned) + i] - exact)
+    assert max(map(abs, off)) < 0.1 and abs(np.mean(off)) < 0.04
