@@ -6,7 +6,7 @@ from tidings.schemas import SOURCE
 from tidings.sources import readers
 from tidings.sources.boards import BOARDS, linked_files, normalize_date, without_word_processor_data
 from tidings.sources.datasource import BoardDataSource
-from tidings.sources.fetching import Answer, Retrying, TimedOut, fetch, fetch_from_table
+from tidings.sources.fetching import Answer, Once, Retrying, TimedOut, fetch, fetch_from_table, fetch_rounds
 
 STANDARD = {
     "id": "s", "strategy": "standard", "baseUrl": "http://h/board.do", "pagination": {"limit": 10, "param": "offset"},
@@ -168,5 +168,47 @@ def test_pages_that_cannot_be_read_leave_the_source_standing(spark):
     assert rows.count() == 0
 
 
+def test_a_dead_host_delays_no_other(spark, tmp_path):
+    """Of a host that never answers each task asks a few pages a round; nobody sleeps but the driver, and live hosts are asked once."""
+    log = str(tmp_path / "asked")
+
+    def transport(url):
+        with open(log, "a") as f:
+            f.write(url + "\n")
+        if url.startswith("http://dead"):
+            raise TimedOut
+        return Answer(503 if url.endswith("busy") else 200)
+
+    def no_sleep(seconds):
+        raise AssertionError("a task slept")
+
+    waits, now = [], [0.0]
+
+    def wait(seconds):
+        waits.append(seconds)
+        now[0] += seconds
+
+    urls = [f"http://dead/{k}" for k in range(200)] + [f"http://h{k}/x" for k in range(20)] + ["http://h/busy", None]
+    asked = spark.createDataFrame([(u,) for u in urls], "url string")
+    got = {r.url: (r.status, r.tries) for r in fetch_rounds(asked, lambda: Once(transport, gap=0.0, sleep=no_sleep), clock=lambda: now[0], wait=wait).collect()}
+    assert len(got) == 222 and got["http://h3/x"] == (200, 1) and got["http://h/busy"] == (503, 3) and got["http://dead/7"] == (0, 3) and got[None] == (0, 1)
+    lines = open(log).read().split()
+    assert sum(u.startswith("http://dead") for u in lines) == 3 * 3 and lines.count("http://h/busy") == 3 and lines.count("http://h3/x") == 1
+    assert waits == [1.0, 2.0]
+
+
+def test_gaps_hold_by_host():
+    now, waits = [0.0], []
+
+    def sleep(seconds):
+        waits.append(seconds)
+        now[0] += seconds
+
+    ask = Once(lambda url: Answer(200), gap=0.5, sleep=sleep, clock=lambda: now[0])
+    for u in ("http://a/1", "http://b/1", "http://a/2", "http://a/3", "http://b/2"):
+        ask(u)
+    assert waits == [0.5, 0.5]
+
+
 def broken(url):
     return Answer(200, b"[{\xff\xfe]")

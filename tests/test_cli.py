@@ -58,6 +58,26 @@ def test_crawl_and_update_check(place, caplog):
     assert rows(store)[2].contentText == "Other" and rows(store)[2].editCount == 1 and rows(store)[3].consecutiveFailures == 1
 
 
+def test_a_schedule_runs_in_turn_and_survives_failures(place, spark, monkeypatch):
+    run, store = place
+    ran, now = [], [0.0]
+
+    def one(spark, args):
+        ran.append((args.command, now[0]))
+        now[0] += 70
+        if len(ran) == 2:
+            raise RuntimeError("no network")
+        return 0
+
+    args = cli.parser().parse_args(["start", "--store", store.path, "--catalog", "c", "--every", "100", "--runs", "3"])
+    with monkeypatch.context() as m:
+        m.setattr(cli, "run", one)
+        slept = []
+        assert cli.scheduled(spark, args, slept.append, lambda: now[0]) == 2
+    assert [c for c, _ in ran] == ["crawl", "update-check"] * 3 and slept == []  # turns of 140 seconds leave no pause
+    assert run("start", "--runs", "1") == 0 and rows(store)[1].contentText == "Text"
+
+
 def test_summaries_and_checks(place, capsys):
     run, store = place
     assert run("crawl") == 0 and run("summarize", "--limit", "5") == 0

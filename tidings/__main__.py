@@ -1,6 +1,6 @@
 """Command line: `python -m tidings COMMAND ...`.
 
-Commands: query, crawl, update-check, summarize, validate-attachments, validate-markdown, backfill-content, backfill-referer,
+Commands: query, start (crawl and update check in turn), crawl, update-check, summarize, validate-attachments, validate-markdown, backfill-content, backfill-referer,
 backfill-attachments, backfill-downloads, artifacts. A backfill without --apply only counts; with it, it asks first unless --yes
 is given. `--progress DIR` does a content backfill in units and goes on where it was stopped. Exit codes: 0 done, 1 issues found or not confirmed, 2 done in part.
 """
@@ -11,6 +11,7 @@ import argparse
 import logging
 import os
 import sys
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ def parser() -> argparse.ArgumentParser:
     q = sub.add_parser("query")
     q.add_argument("name", nargs="?")
     q.add_argument("sf_dir", nargs="?")
-    for name in ("crawl", "update-check", "summarize", "validate-attachments", "validate-markdown", *BACKFILLS):
+    for name in ("start", "crawl", "update-check", "summarize", "validate-attachments", "validate-markdown", *BACKFILLS):
         c = sub.add_parser(name)
         c.add_argument("--store", required=True)
         c.add_argument("--catalog", required=name not in ("summarize", "validate-markdown"))
@@ -41,6 +42,8 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("--apply", action="store_true")
         c.add_argument("--yes", action="store_true")
         c.add_argument("--progress")
+        c.add_argument("--every", type=float, default=900.0)
+        c.add_argument("--runs", type=int)
         c.add_argument("--json", action="store_true")
         c.add_argument("--days", type=int, default=14)
         c.add_argument("--full", action="store_true")
@@ -55,7 +58,7 @@ def parser() -> argparse.ArgumentParser:
 
 
 def network(make=fetching.PAGES):
-    return lambda requests: fetching.fetch(requests, make)
+    return lambda requests: fetching.fetch_rounds(requests, make)
 
 
 def report(checked: DataFrame, as_json: bool) -> int:
@@ -129,7 +132,29 @@ def summarised(store: Buckets, now, limit: int) -> None:
         store.merge(enrich.summarise(choose(store.read(), limit)), lambda state, done: enrich.write_summaries(state, done, now))
 
 
+def scheduled(spark: SparkSession, args, sleep=time.sleep, clock=time.monotonic) -> int:
+    """Crawl and update check in turn, every so many seconds, without overlap: a run that takes longer delays the next.
+
+    A run that fails is logged and tried again at the next turn. Ends after `--runs`, with 2 if any of them failed.
+    """
+    done = failed = 0
+    while args.runs is None or done < args.runs:
+        began = clock()
+        for command in ("crawl", "update-check"):
+            try:
+                run(spark, argparse.Namespace(**vars(args) | {"command": command}))
+            except Exception:  # whatever it was, the schedule goes on
+                failed += 1
+                logging.getLogger("tidings").exception(command)
+        done += 1
+        if (args.runs is None or done < args.runs) and (pause := args.every - (clock() - began)) > 0:
+            sleep(pause)
+    return 2 * (failed > 0)
+
+
 def run(spark: SparkSession, args) -> int:
+    if args.command == "start":
+        return scheduled(spark, args)
     if args.command == "query":
         if args.name not in QUERIES or not args.sf_dir:
             print("\n".join(QUERIES))

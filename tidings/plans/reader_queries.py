@@ -10,7 +10,7 @@ from tidings.operators import backfill
 from tidings.plans import flow_queries, flows
 from tidings.plans.queries import query
 from tidings.plans.views import stamp, table
-from tidings.sources import json_boards
+from tidings.sources import fetching, json_boards
 
 
 def _bodies(spark, d, entry, of_rows) -> DataFrame:
@@ -70,6 +70,37 @@ def q59d(spark, d):
     return spark.sql("SELECT host, href, page_id, n FROM first_of_each(TABLE({links}), 'host', 'href', 'page_id')", links=links)
 
 
+def _flaky(url: str) -> fetching.Answer:
+    """A site of which some pages are gone, some always fail, and one host is dead."""
+    k = int(url.rpartition("/")[2])
+    if url.startswith("https://dead"):
+        raise fetching.TimedOut
+    return fetching.Answer(404 if k % 11 == 0 else 503 if k % 7 == 0 else 200, url.encode())
+
+
+class _Time:
+    """A clock that goes only when someone waits."""
+
+    def __init__(self):
+        self.now = 0.0
+
+    def __call__(self) -> float:
+        return self.now
+
+    def wait(self, seconds: float) -> None:
+        self.now += seconds
+
+
+@query("q59e_fetch_rounds", """
+SELECT c_custkey AS no, CASE WHEN c_nationkey = 3 THEN 0 WHEN c_custkey % 11 = 0 THEN 404 WHEN c_custkey % 7 = 0 THEN 503 ELSE 200 END AS status, CASE WHEN c_nationkey <> 3 AND (c_custkey % 11 = 0 OR c_custkey % 7 <> 0) THEN 1 ELSE 3 END AS tries FROM customer""")
+def q59e(spark, d):
+    k, time = F.col("c_custkey"), _Time()
+    host = F.when(F.col("c_nationkey") == 3, F.lit("https://dead/")).otherwise(F.concat(F.lit("https://h"), k.cast("string"), F.lit("/")))
+    asked = table(spark, d, "customer").select(k.alias("no"), F.concat(host, k.cast("string")).alias("url"))
+    answers = fetching.fetch_rounds(asked, lambda: fetching.Once(_flaky, gap=0.0), clock=time, wait=time.wait)
+    return answers.select("no", "status", "tries")
+
+
 _CANDIDATES = "c AS (SELECT c_custkey AS no, 's' || (c_custkey % 25) AS source, CASE WHEN c_custkey % 4 = 0 THEN 'skipped' WHEN c_custkey % 11 = 0 THEN 'failed' WHEN c_custkey % 7 = 0 THEN 'unchanged' ELSE 'updated' END AS outcome FROM customer WHERE c_custkey % 5 = 0)"
 
 

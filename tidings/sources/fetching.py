@@ -11,6 +11,8 @@ import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
+from urllib.parse import urlsplit
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidings.functions.urls import host
+from tidings.session import written
 
 TRIES = 3
 GAP = 0.5  # seconds between requests of one task
@@ -83,10 +86,43 @@ class Http:
             return Answer(0)
 
 
+DEFERRED = -1  # not asked this time: the host gives no answers
+DEAD = 3  # failures of a host in a row after which a task asks it no more
+
+
+class Once:
+    """A transport that asks once, with a least gap between requests to a host, and lets a host alone that fails DEAD times in a row.
+
+    What it doesn't get is for a later round (`fetch_rounds`), so no task waits for a retry, nor long for a dead host.
+    """
+
+    def __init__(self, transport: Callable[[str], Answer], gap: float = GAP, sleep: Callable[[float], None] = time.sleep, clock: Callable[[], float] = time.monotonic):
+        self.transport, self.gap, self.sleep, self.clock = transport, gap, sleep, clock
+        self.last: dict[str, float] = {}
+        self.failed: dict[str, int] = {}
+
+    def __call__(self, url: str) -> Answer:
+        name = urlsplit(url).netloc.lower() if "//" in url else ""
+        if self.failed.get(name, 0) >= DEAD:
+            return Answer(DEFERRED)
+        if name in self.last and (wait := self.gap - (self.clock() - self.last[name])) > 0:
+            self.sleep(wait)
+        self.last[name] = self.clock()
+        try:
+            answer = self.transport(url)
+        except TimedOut:
+            answer = Answer(TIMED_OUT)
+        self.failed[name] = self.failed.get(name, 0) + 1 if answer.status in (0, TIMED_OUT) or worth_retrying(answer.status) else 0
+        return answer
+
+
+TIMED_OUT = -2  # within rounds; an answer that never came counts as 0 in the end
+
+
 #: Pages; heads of files, for the check that they are there; the first bytes of images, which hold their size.
-PAGES: Callable[[], Callable] = lambda: Retrying(Http())
-HEADS: Callable[[], Callable] = lambda: Retrying(Http("HEAD", timeout=10.0))
-IMAGES: Callable[[], Callable] = lambda: Retrying(Http(headers={"Range": "bytes=0-32767"}, timeout=5.0, most=5_242_880), gap=0.0)
+PAGES: Callable[[], Callable] = lambda: Once(Http())
+HEADS: Callable[[], Callable] = lambda: Once(Http("HEAD", timeout=10.0))
+IMAGES: Callable[[], Callable] = lambda: Once(Http(headers={"Range": "bytes=0-32767"}, timeout=5.0, most=5_242_880), gap=0.0)
 
 
 def fetch(requests: DataFrame, make_transport: Callable[[], Callable[[str], Answer]], url: str = "url") -> DataFrame:
@@ -107,6 +143,35 @@ def fetch(requests: DataFrame, make_transport: Callable[[], Callable[[str], Answ
     return kept.mapInPandas(run, schema)
 
 
+def fetch_rounds(
+    requests: DataFrame, make_transport: Callable[[], Callable[[str], Answer]], url: str = "url", *, tries: int = TRIES,
+    clock: Callable[[], float] = time.time, wait: Callable[[float], None] = time.sleep,
+) -> DataFrame:
+    """Like `fetch`, but a failed request is a row with a due time, taken up by a later round; also `tries`, how often it was up.
+
+    Every round asks what is due, once each, and writes the answers, so a lost task repeats its own round only. Time-outs and
+    server errors are due again 1, 2, 4, ... seconds later, up to `tries` rounds; so are requests to hosts that a task gave
+    up on. Between rounds the driver waits, no task does.
+    """
+    names = [c for c in requests.columns if c not in ("status", "body", "tries")]
+    waiting = written(requests.select(*names).withColumns({"tries": F.lit(0), "_due": F.lit(0.0)}))
+    done: list[DataFrame] = []
+    while True:
+        now = clock()
+        due = waiting.where(F.col("_due") <= now)
+        answers = written(fetch(due.drop("_due"), make_transport, url).withColumn("tries", F.col("tries") + 1))
+        again = F.col(url).isNotNull() & (F.col("status").isin(DEFERRED, TIMED_OUT) | (F.col("status") >= 500)) & (F.col("tries") < tries)
+        done.append(answers.where(~again).withColumn("status", F.greatest("status", F.lit(0))))
+        later = answers.where(again).select(*names, "tries", (F.lit(now) + F.pow(F.lit(2.0), F.col("tries") - 1)).alias("_due"))
+        waiting = written(waiting.where(F.col("_due") > now).unionByName(later))
+        next_due = waiting.agg(F.min("_due").alias("t")).first()["t"]
+        if next_due is None:
+            break
+        if (pause := next_due - clock()) > 0:
+            wait(pause)
+    return reduce(DataFrame.unionByName, done)
+
+
 def fetch_from_table(requests: DataFrame, pages: DataFrame, url: str = "url") -> DataFrame:
     """The same from a table of (url, status, body): an address that it lacks answers 404."""
     known = pages.select(F.col("url").alias("_u"), F.col("status").alias("_status"), F.col("body").alias("_body")).dropDuplicates(["_u"])
