@@ -61,3 +61,9 @@ def test_no_python_in_the_plan(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     plan = mixing.digest(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_a_very_long_text(spark):
+    df = spark.createDataFrame([(1, "word " * 400_000, "a"), *((i, "few words here", "b") for i in range(2, 40))], "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in mixing.digest(df).collect()}
+    assert got[1]["size"] == 400_000 and got[1].taken in (0, 400_000, 800_000, 1_200_000) and len(got) == 39

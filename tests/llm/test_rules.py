@@ -44,3 +44,17 @@ def test_brute_force(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "source")
     want = brute([tuple(r) for r in docs.collect()], rules.LINE_DOCS)
     assert sorted(map(tuple, rules.digest(docs).collect()), key=str) == want
+
+
+def test_no_python_in_the_plan(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for made in (rules.digest(docs), rules.apply_rules(docs)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_a_very_long_text(spark):
+    text = "\n".join(f"line {i} of a long text with words {i * 7919 % 1000}" for i in range(60_000))
+    row = spark.createDataFrame([(1, text, "s")], "doc_id long, text string, source string")
+    got = rules.digest(row).first()
+    assert got.n_words == 60_000 * 9 and got.kept == (not got.base_failed)

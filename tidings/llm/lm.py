@@ -408,7 +408,9 @@ def _score(parts: int, hot: np.ndarray):
 
 
 def _frequent(docs: DataFrame, text: str) -> np.ndarray:
-    """Contexts that a sample of documents shows to have more than HOT_SHARE of all followers. Only balance depends on them."""
+    """Contexts that a sample of documents shows to have more than HOT_SHARE of all followers.
+
+    They decide how work is dealt, and, since shards estimate each other's tables, move scores a little (see the README)."""
 
     def top(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, counts = 0, {}
@@ -436,7 +438,8 @@ def score_texts(docs: DataFrame, learn: Column, *, text: str = "text") -> DataFr
 
     Words are taken without case (ASCII); each text ends with an end token. The model learns from the rows for which
     `learn` holds, and scores all. Null texts count as empty: one end token. Without a row to learn from every token has
-    probability 1. Equal rows score equally; an empty table stays empty; other columns are not read.
+    probability 1. Equal rows score equally; texts are read whole, and a very long one makes its group, which one task holds,
+    so much larger; an empty table stays empty; other columns are not read.
     """
     n, parts = sizing(docs.agg(F.sum(F.octet_length(text))).first()[0] or 0)
     n = max(24, n // 2)  # the larger the group, the fewer times a pair is sent

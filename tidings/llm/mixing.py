@@ -105,7 +105,8 @@ def mix_sources(docs: DataFrame, *, cycle: tuple[float, ...] = (5, 2, 1), repeat
     `repeat_limit` times its source's words. A source takes every document `copies` times, and one time more those whose
     hash lies below its threshold. Columns added: `mix_size` (words), `mix_source_size`, `mix_target`, `mix_copies`;
     columns of those names in the input are replaced, all others stay. A null text has no words; sources without words
-    have target 0; equal rows get equal copies; an empty table gives an empty one.
+    have target 0; equal rows get equal copies; a very long text counts whole, and is taken or not as one; an empty table
+    gives an empty one.
     """
     x, at = free_name("_mix", docs), free_name("_place", docs)
     plan = mix_plan(docs, cycle=cycle, repeat_limit=repeat_limit)

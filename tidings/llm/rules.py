@@ -126,8 +126,8 @@ def apply_rules(docs: DataFrame, *, text: str = "text", host: str = "source", li
     Base: fails below 50 words, or if over half of the words lie in repeated 3-word windows. Method: lines found in more
     than `line_docs` documents of a host are removed (hosts and lines compared by a 64-bit hash; equal rows count as one
     document; a null host is a host); a document left with under `least_left` percent of its words is not kept. A null
-    text counts as empty; equal rows get equal verdicts; an empty table stays empty; a column called `rules` is replaced
-    and all others are kept.
+    text counts as empty; texts are measured whole, however long, each by one task; equal rows get equal verdicts; an empty
+    table stays empty; a column called `rules` is replaced and all others are kept.
     """
     kept_columns = [c for c in docs.columns if c != "rules"]
     joined, m = _verdicts(docs.select(*kept_columns), text, host, line_docs, least_left)
