@@ -1,275 +1,169 @@
-"""Sanitised HTML from raw notice pages: a fixed sequence of passes over the tree."""
+"""Sanitised HTML from raw notice pages: a fixed sequence of rules over a column of numbered markup."""
 
 from __future__ import annotations
 
-import re
 import string
+from functools import reduce
 
-from tidings.functions.dom import Element, Node, Text, body_of, parse
-from tidings.functions.urls import resolve_url
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from tidings.functions import marks
+from tidings.functions.marks import ANY, BLANK, DECLARED, DIGITS, END, GT, LT, NOTED, NUMBER, OF, TEXT_QUOTE, VOIDS, attribute, declared, drop, noted, tag, whole, word_of
 
 # Fixed values.
-REMOVED = (
-    "script, style, iframe, form, input, button, tfoot, title, meta, link, head, .board-view-title-wrap, .board-view-file-wrap, "
-    '.board-view-nav, a[href*="mode=list"], div.w3eden'
-)
-INLINE = frozenset("span a font b i em strong mark".split())
-ALLOWED_TAGS = frozenset("p br div span h1 h2 h3 h4 strong b em i mark ul ol li table thead tbody tr th td img a hr".split())
-ALLOWED_ATTRS = {"a": {"href"}, "img": {"src", "alt", "width", "height"}, "td": {"colspan", "rowspan"}, "th": {"colspan", "rowspan"}}
-ALLOWED_STYLES = frozenset("color background-color text-align text-decoration font-weight font-style".split())
-ALLOWED_SCHEMES = frozenset("http https mailto tel data".split())
-REMOVABLE = frozenset("p span div strong b em i mark h1 h2 h3 h4 a li td th tr thead tbody table ul ol".split())
+REMOVED = "script style iframe form button tfoot title head".split()
+REMOVED_VOID = "input meta link".split()
+REMOVED_CLASSES = "board-view-title-wrap board-view-file-wrap board-view-nav".split()
+REMOVED_DIV, REMOVED_LINK = "w3eden", "mode=list"
+INLINE = "span a font b i em strong mark".split()
+ALLOWED_TAGS = "p br div span h1 h2 h3 h4 strong b em i mark ul ol li table thead tbody tr th td img a hr".split()
+ALLOWED_ATTRS = {"a": ["href"], "img": ["src", "alt", "width", "height"], "td": ["colspan", "rowspan"], "th": ["colspan", "rowspan"]}
+ALLOWED_STYLES = "color background-color text-align text-decoration font-weight font-style".split()
+ALLOWED_SCHEMES = "http https mailto tel data".split()
+REMOVABLE = "p span div strong b em i mark h1 h2 h3 h4 a li td th tr thead tbody table ul ol".split()
 LAYOUT_TABLE = "__se_tbl_ext"
 DATA_IMAGE_LEAST = 1024  # bytes
 CJK_PUNCTUATION = "（）［］【】「」『』〈〉《》〔〕、，。：；！？·～—–"
-PUNCTUATION = frozenset(string.whitespace + string.punctuation + string.digits + CJK_PUNCTUATION)
-BOLD = ("strong", "b")
-EMPHASIS = ("strong", "b", "em", "i")
 
+_ONE_OF = "|".join
+_PUNCTUATION = "".join(f"\\u{ord(c):04x}" for c in string.whitespace + string.punctuation + string.digits + CJK_PUNCTUATION + LT + GT + TEXT_QUOTE)
+_EMPHASIS = "strong|b|em|i"
+_CODED = -(-DATA_IMAGE_LEAST * 4 // 3) - 1  # the most letters of base64 that give fewer bytes
+_BOLD, _BREAK, _FROM, _TO = "﷞﷜﷚﷛"
 
-SCHEME = re.compile(r"\s*([A-Za-z][A-Za-z0-9+.-]*):")
-UNSEEN = re.compile(r"[\x00-\x1f\x7f-\x9f\u200b-\u200f\u2028-\u202e\u2060\ufeff]+")  # what browsers pass over in an address, and more
 
+def let(value: Column, body) -> Column:
+    """`body(value)` with `value` computed once a row."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
-def style_of(e: Element) -> dict[str, str]:
-    """The declarations of a style attribute, names lower-case, in order."""
-    out = {}
-    for part in e.attr("style").split(";"):
-        name, colon, value = part.partition(":")
-        if colon and name.strip():
-            out[name.strip().lower()] = value.strip()
-    return out
 
+def numbers_of(names: str, numbers: Column, end: str = "/?") -> Column:
+    """A pattern for the tags of these elements with one of the numbers."""
+    return F.concat(F.lit(f"<{end}(?:{names}){NUMBER}(?:"), F.array_join(numbers, "|"), F.lit(f")(?![{DIGITS}])[^>]*>"))
 
-def set_style(e: Element, style: dict[str, str]) -> None:
-    if style:
-        e.attrs["style"] = "; ".join(f"{k}: {v}" for k, v in style.items())
-    else:
-        e.attrs.pop("style", None)
 
+def drop_subtrees(x: Column) -> Column:
+    classes = word_of("class", _ONE_OF(REMOVED_CLASSES))
+    x = drop(x, tag(_ONE_OF(REMOVED_VOID)), whole(_ONE_OF(REMOVED)), tag(VOIDS, classes), whole(ANY, classes))
+    return drop(x, whole("a", attribute("href", f'[^"]*{REMOVED_LINK}[^"]*')), whole("div", word_of("class", REMOVED_DIV)))
 
-def _blank(text: str) -> bool:
-    return not text.replace("\xa0", " ").strip()
 
+def drop_small_data_images(x: Column) -> Column:
+    """Inline images without data or of fewer decoded bytes than a real picture has."""
+    return drop(x, tag("img", attribute("src", f'[{BLANK}]*data:(?:[^",]*|[^",]*,[^"]{{0,{_CODED}}}?[{BLANK}]*)')))
 
-def drop_subtrees(root: Element) -> None:
-    for e in root.select(REMOVED):
-        e.remove()
 
+def unwrap_layout_tables(x: Column) -> Column:
+    """What the cells hold, without the table and what stands between its cells."""
+    layout = f'(?:[^"]*[{BLANK}])?{LAYOUT_TABLE}(?:[{BLANK}][^"]*)?'
+    held = f"{NUMBER}(?=[^>]*{noted('in', layout)})[^>]*>"
+    return drop(x, whole("table", noted("outside", layout)), f"<(?!/table{NUMBER}|t[dh]{NUMBER})/?+{ANY}{held}[^<]*", f"<(?:/table|t[dh]){held}")
 
-def drop_small_data_images(root: Element) -> None:
-    """Inline images without data or of fewer decoded bytes than a real picture has."""
-    for img in root.find_all("img"):
-        src = img.attr("src").strip()
-        if src.startswith("data:"):
-            _, comma, data = src.partition(",")
-            if not comma or len(data) * 3 // 4 < DATA_IMAGE_LEAST:
-                img.remove()
 
+def split_pre(x: Column) -> Column:
+    """A preformatted block as paragraphs: one for each stretch between blank lines, breaks inside. Childless elements stay."""
+    childless = f"<(?!(?:br|pre){NUMBER})(?:(?:{VOIDS}){NUMBER}[^>]*>|({ANY}){NUMBER}([{DIGITS}]++)[^>]*></\\1{NUMBER}\\2(?![{DIGITS}])[^>]*>)"
 
-def unwrap_layout_tables(root: Element) -> None:
-    for t in root.find_all("table"):
-        if LAYOUT_TABLE in t.classes() and t.parent is not None:
-            cells = [c for c in t.find_all("td", "th") if _nearest(c, "table") is t]
-            t.replace(*[n for c in cells for n in list(c.children)])
-
+    def paragraphs(pre: Column) -> Column:
+        number = F.regexp_extract(pre, f"^<pre{NUMBER}([{DIGITS}]+)", 1)
+        text = drop(F.replace(drop(pre, "<[^>]*>"), F.lit("\r\n"), F.lit("\n")), "^\n+|\n+$")
+        blocks = F.filter(F.split(text, f"\n[{BLANK}]*\n"), lambda b: b.rlike(f"[^{BLANK}]"))
+        lines = lambda b: F.replace(b, F.lit("\n"), F.concat(F.lit(f"<br{NUMBER}"), number, F.lit(">")))
+        made = F.transform(blocks, lambda b: F.concat(F.lit(f"<p{NUMBER}"), number, F.lit(">"), lines(b), F.lit(f"</p{NUMBER}"), number, F.lit(">")))
+        return F.array_join(F.concat(made, F.regexp_extract_all(pre, F.lit(childless), F.lit(0))), "")
 
-def _nearest(e: Element, tag: str) -> Element | None:
-    up = e.parent
-    while up is not None and up.tag != tag:
-        up = up.parent
-    return up
+    parted = F.regexp_replace(x, whole("pre"), f"{_FROM}$0{_FROM}")
+    return F.array_join(F.transform(F.split(parted, _FROM), lambda p: F.when(p.startswith(f"<pre{NUMBER}"), paragraphs(p)).otherwise(p)), "")
 
 
-def split_pre(root: Element) -> None:
-    """A preformatted block as paragraphs: one for each stretch between blank lines, breaks inside. Childless elements stay."""
-    for pre in root.find_all("pre"):
-        out: list[Node] = []
-        for block in re.split(r"\n\s*\n", pre.text().replace("\r\n", "\n").strip("\n")):
-            if not block.strip():
-                continue
-            p = Element("p")
-            for i, line in enumerate(block.split("\n")):
-                if i:
-                    p.append(Element("br"))
-                p.append(Text(line))
-            out.append(p)
-        keep = [e for e in pre.walk() if not e.children and e.tag != "br"]
-        pre.replace(*out, *keep)
-
-
-def styles_to_tags(root: Element) -> None:
+def styles_to_tags(x: Column) -> Column:
     """Bold and italic given by the style of inline elements become elements inside them."""
-    for e in list(root.walk()):
-        if e.tag not in INLINE or "style" not in e.attrs:
-            continue
-        style = style_of(e)
-        weight, slant = style.get("font-weight", "").lower(), style.get("font-style", "").lower()
-        bold = weight in ("bold", "bolder") or (weight.isdigit() and int(weight) >= 600)
-        for on, prop, tag, same in ((bold, "font-weight", "strong", BOLD), (slant == "italic", "font-style", "em", ("em", "i"))):
-            if on:
-                style.pop(prop)
-                if e.tag not in same:
-                    inner = Element(tag)
-                    for c in list(e.children):
-                        inner.append(c)
-                    e.append(inner)
-        set_style(e, style)
-
-
-def unwrap_underlined_emphasis(root: Element) -> None:
-    for e in root.find_all("em", "i"):
-        if "underline" in style_of(e).get("text-decoration", "").lower():
-            e.unwrap()
-
-
-def absolute_urls(root: Element, base: str | None) -> None:
-    for e in root.find_all("img", "a"):
-        name = "src" if e.tag == "img" else "href"
-        if e.attrs.get(name):
-            e.attrs[name] = resolve_url(e.attrs[name], base)
-
-
-def sanitise(root: Element) -> None:
+    for name, value, made, same in (("font-weight", r"(?:bold|bolder|0*[6-9]\d\d|0*[1-9]\d{3,})", "strong", ("strong", "b")), ("font-style", "italic", "em", ("em", "i"))):
+        held = f"(?i:{declared(name, value)})"
+        for end, put in (("", f"$1<{made}{NUMBER}$2>"), ("/", f"</{made}{NUMBER}$2>$1")):
+            x = F.regexp_replace(x, f"(<{end}(?:{_ONE_OF(t for t in INLINE if t not in same)}){NUMBER}([{DIGITS}]++)(?=[^>]*{held})[^>]*>)", put)
+        x = drop(x, f"(?i){DECLARED}(?:{_ONE_OF(INLINE)}){OF}{name}:{value}{END}")
+    return x
+
+
+def unwrap_underlined_emphasis(x: Column) -> Column:
+    return drop(x, tag("em|i", f"(?i:{declared('text-decoration', f'[^>{END}]*underline[^>{END}]*')})", "/?"))
+
+
+def sanitise(x: Column) -> Column:
     """Only allowed elements, attributes, style properties and URL schemes are left; other elements give way to their content."""
-    for e in list(root.walk()):
-        if e.tag not in ALLOWED_TAGS:
-            e.unwrap()
-            continue
-        kept = {}
-        for name, value in e.attrs.items():
-            if name == "style":
-                continue
-            if name in ALLOWED_ATTRS.get(e.tag, ()):
-                if name in ("href", "src"):
-                    scheme = SCHEME.match(UNSEEN.sub("", value))
-                    if scheme and scheme[1].lower() not in ALLOWED_SCHEMES:
-                        continue
-                kept[name] = value
-        style = {k: v for k, v in style_of(e).items() if k in ALLOWED_STYLES}
-        if style:
-            kept["style"] = ";".join(f"{k}:{v}" for k, v in style.items())
-        e.attrs = kept
-
-
-def drop_empty(root: Element, passes: int = 10) -> None:
+    kept = _ONE_OF(f"{t}{OF}{a}" for t, names in ALLOWED_ATTRS.items() for a in names)
+    x = drop(x, f"</?+(?!(?:{_ONE_OF(ALLOWED_TAGS)}){NUMBER})[^>]*>", f' (?!(?:{kept})=)[^\\s{OF}"]*{OF}[^\\s"]+="[^"]*"')
+    x = drop(x, f' (?:a{OF}href|img{OF}src)="[^"]*"(?=[^>]*{noted("scheme", f"(?!(?:{_ONE_OF(ALLOWED_SCHEMES)}){chr(34)})[^{chr(34)}]*")})')
+    return drop(x, f"{DECLARED}[^{OF}]*{OF}(?!(?:{_ONE_OF(ALLOWED_STYLES)}):)[^{END}]*{END}", f' {NOTED}[^"]*="[^"]*"')
+
+
+def drop_empty(x: Column, passes: int = 10) -> Column:
     """Elements with neither text nor an element in them go, and then those that this empties."""
-    for _ in range(passes):
-        empty = [e for e in root.walk() if e.tag in REMOVABLE and not e.elements() and _blank(e.text())]
-        if not empty:
-            return
-        for e in empty:
-            e.remove()
-
-
-def unwrap_bare_spans(root: Element) -> None:
-    for e in root.find_all("span"):
-        if not e.attrs:
-            e.unwrap()
-
-
-def collapse_divs(root: Element, passes: int = 5) -> None:
-    """A div that holds nothing but another div becomes that div."""
-    for _ in range(passes):
-        outer = [
-            e for e in root.find_all("div")
-            if len(e.elements()) == 1 and e.elements()[0].tag == "div" and all(_blank(c.value) for c in e.children if isinstance(c, Text))
-        ]
-        if not outer:
-            return
-        for e in outer:
-            if e.parent is not None and e.elements():
-                e.replace(e.elements()[0])
-
-
-def unwrap_punctuation(root: Element) -> None:
-    for e in root.find_all(*EMPHASIS):
-        text = e.text()
-        if not e.elements() and text and all(ch in PUNCTUATION for ch in text) and not text.strip().isdigit():
-            e.unwrap()
-
-
-def _all_bold(e: Node) -> bool:
-    if not isinstance(e, Element) or e.tag not in ("p", "div"):
-        return False
-    parts = [c for c in e.children if not (isinstance(c, Text) and _blank(c.value)) and not (isinstance(c, Element) and c.tag == "br")]
-    return bool(parts) and all(isinstance(c, Element) and c.tag in BOLD for c in parts)
-
-
-def unwrap_bold_runs(root: Element, least: int = 3) -> None:
-    """Where whole blocks in a row are bold, bold says nothing: it goes."""
-    for parent in [root, *root.walk()]:
-        run: list[Element] = []
-        for c in [*parent.children, None]:
-            if isinstance(c, Text) and _blank(c.value):
-                continue
-            if c is not None and _all_bold(c):
-                run.append(c)
-                continue
-            if len(run) >= least:
-                for block in run:
-                    for b in [x for x in block.elements() if x.tag in BOLD]:
-                        b.unwrap()
-            run = []
-
-
-def merge_emphasis(root: Element, passes: int = 10) -> None:
+    return drop(x, *[f"<({_ONE_OF(REMOVABLE)}){NUMBER}[^>]*>[{BLANK}]*</\\1{NUMBER}[^>]*>"] * passes)
+
+
+def unwrap_bare_spans(x: Column) -> Column:
+    return drop(x, f"</?span{NUMBER}[{DIGITS}]*>")
+
+
+def collapse_divs(x: Column) -> Column:
+    """A div that holds nothing but another div becomes that div: their opening tags stand side by side, and their closing ones."""
+    opened, closed = (f"<{end}div{NUMBER}([{DIGITS}]++)[^>]*>[{BLANK}]*(?=<{end}div{NUMBER}([{DIGITS}]++))" for end in ("", "/"))
+
+    def collapsed(s: Column) -> Column:
+        all_ = lambda p, k: F.regexp_extract_all(s, F.lit(p), F.lit(k))
+        outer_first = F.zip_with(all_(opened, 1), all_(opened, 2), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        inner_first = F.zip_with(all_(closed, 1), all_(closed, 2), lambda b, a: F.struct(a.alias("a"), b.alias("b")))
+        return let(F.array_intersect(outer_first, inner_first)["a"], lambda outer: F.when(F.size(outer) == 0, s).otherwise(without(s, outer)))
+
+    def without(s: Column, outer: Column) -> Column:
+        s = F.regexp_replace(s, F.concat(numbers_of("div", outer, ""), F.lit(f"[{BLANK}]*")), F.lit(""))
+        return F.regexp_replace(s, F.concat(F.lit(f"[{BLANK}]*"), numbers_of("div", outer, "/")), F.lit(""))
+
+    return let(x, collapsed)
+
+
+def unwrap_punctuation(x: Column) -> Column:
+    return F.regexp_replace(x, f"<({_EMPHASIS}){NUMBER}[^>]*>(?![{BLANK}]*[0-9]+[{BLANK}]*<)([{_PUNCTUATION}]+)</\\1{NUMBER}[^>]*>", "$2")
+
+
+def unwrap_bold_runs(x: Column, least: int = 3) -> Column:
+    """Where whole blocks in a row are bold, bold says nothing: it goes. Blocks inside bold don't count."""
+
+    def unwrapped(s: Column) -> Column:
+        # Bold elements by their numbers alone, then blocks of nothing else by what they hold, then blocks side by side as one.
+        t = F.regexp_replace(F.regexp_replace(s, whole("strong|b"), f"{_BOLD}$2"), tag("br"), _BREAK)
+        inside = f"[{_BREAK}{BLANK}]*{_BOLD}[{_BOLD}{_BREAK}{DIGITS}{BLANK}]*"
+        t = F.regexp_replace(t, f"<(p|div){NUMBER}([{DIGITS}]++)[^>]*>({inside})</\\1{NUMBER}\\2(?![{DIGITS}])[^>]*>", f"{_FROM}$3{_TO}")
+        runs = F.regexp_extract_all(F.regexp_replace(t, f"{_TO}[{BLANK}]*{_FROM}", ","), F.lit(f"{_FROM}([^{_TO}]*){_TO}"), F.lit(1))
+        long = F.filter(runs, lambda r: F.size(F.split(r, ",")) >= least)
+        bold = F.regexp_extract_all(F.array_join(long, ""), F.lit(f"{_BOLD}([{DIGITS}]+)"), F.lit(1))
+        return let(bold, lambda b: F.when(F.size(b) == 0, s).otherwise(F.regexp_replace(s, numbers_of("strong|b", b), F.lit(""))))
+
+    return let(x, unwrapped)
+
+
+def merge_emphasis(x: Column, passes: int = 10) -> Column:
     """Neighbours of the same emphasis, with at most one blank text between, become one."""
-    for _ in range(passes):
-        changed = False
-        for e in root.find_all(*EMPHASIS):
-            if e.parent is None:
-                continue
-            after = e.siblings_after()
-            gap = after[0] if after and isinstance(after[0], Text) and _blank(after[0].value) else None
-            other = after[1] if gap is not None and len(after) > 1 else after[0] if after and gap is None else None
-            if isinstance(other, Element) and other.tag == e.tag:
-                if gap is not None:
-                    e.append(gap)
-                for c in list(other.children):
-                    e.append(c)
-                other.remove()
-                changed = True
-        if not changed:
-            return
-
-
-def clean_html(raw: str | None, base_url: str | None = None) -> str | None:
+    one = lambda s, _: F.regexp_replace(s, f"</({_EMPHASIS}){NUMBER}[^>]*>([{BLANK}]*)<\\1{NUMBER}[^>]*>", "$2")
+    return reduce(one, range(passes), x)
+
+
+RULES = (
+    drop_subtrees, drop_small_data_images, unwrap_layout_tables, split_pre, styles_to_tags, unwrap_underlined_emphasis, marks.absolute, sanitise,
+    drop_empty, unwrap_bare_spans, collapse_divs, drop_small_data_images, unwrap_punctuation, unwrap_bold_runs, merge_emphasis,
+)
+
+
+def clean_html(raw: Column, base: Column) -> Column:
     """Sanitised HTML of a page or fragment; null for null, blank or emptied input, and for input that can't be handled."""
-    if raw is None or not raw.strip():
-        return None
-    try:
-        root = body_of(parse(raw))
-        root.tag = "#root"
-        root.parent = None
-        drop_subtrees(root)
-        drop_small_data_images(root)
-        unwrap_layout_tables(root)
-        split_pre(root)
-        styles_to_tags(root)
-        unwrap_underlined_emphasis(root)
-        absolute_urls(root, base_url)
-        sanitise(root)
-        drop_empty(root)
-        unwrap_bare_spans(root)
-        collapse_divs(root)
-        drop_small_data_images(root)
-        unwrap_punctuation(root)
-        unwrap_bold_runs(root)
-        merge_emphasis(root)
-        out = root.inner_html().strip()
-        return out or None
-    except (ValueError, RecursionError):
-        return None
-
-
-def normalize_content_urls(raw: str | None, base_url: str | None) -> str | None:
+    x = drop(marks.numbered_body_udf(raw, base), attribute("style", '[^"]*'))
+    out = marks.to_html(reduce(lambda s, rule: rule(s), RULES, x))
+    return let(drop(out, f"^[{BLANK}]+|[{BLANK}]+$"), lambda html: F.when(html != "", html))
+
+
+def normalize_content_urls(raw: Column, base: Column) -> Column:
     """Only image and link addresses made absolute; null and '' stay; input that can't be handled stays as it is."""
-    if not raw:
-        return raw
-    try:
-        root = parse(raw)
-        absolute_urls(root, base_url)
-        return root.inner_html()
-    except (ValueError, RecursionError):
-        return raw
+    return F.when(raw == "", raw).otherwise(F.coalesce(marks.as_written(marks.absolute(marks.numbered_udf(raw, base))), raw))

@@ -1,121 +1,59 @@
-"""Plain text, hashes and all representations of a notice, in Python and as Spark functions."""
+"""Plain text, hashes and all representations of a notice, as columns; Python repairs markup and renders Markdown."""
 
 from __future__ import annotations
 
-import hashlib
-import re
-
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidings.functions import marks
 from tidings.functions.clean import clean_html, normalize_content_urls
-from tidings.functions.dom import Element, Text, parse
 from tidings.functions.markdown import html_to_markdown
 
 LIMIT = 5 * 1024 * 1024  # bytes of clean HTML
-_LINES = frozenset("tr p div h1 h2 h3 h4 li".split())
-
-
-def squeeze(text: str) -> str:
-    """Runs of blanks as one, blanks after a newline gone, at most one empty line, stripped."""
-    text = re.sub(r"[^\S\n]+", " ", text)
-    text = re.sub(r"\n[^\S\n]+", "\n", text)
-    return re.sub(r"\n{3,}", "\n\n", text).strip()
-
-
-def text_from_html(html: str | None) -> str:
-    """Text with a newline after each block and break, a space after each cell and for breaks inside cells."""
-    if not html:
-        return ""
-    out: list[str] = []
-
-    def visit(e: Element, in_cell: bool) -> None:
-        for c in e.children:
-            if isinstance(c, Text):
-                out.append(c.value)
-                continue
-            cell = in_cell or c.tag in ("td", "th")
-            visit(c, cell)
-            if c.tag == "br":
-                out.append(" " if cell else "\n")
-            elif c.tag in ("td", "th"):
-                out.append(" ")
-            elif c.tag in _LINES:
-                out.append("\n")
-
-    visit(parse(html), False)
-    return squeeze("".join(out))
-
-
-def content_hash(html: str | None) -> str | None:
-    return hashlib.sha256(html.encode()).hexdigest() if html else None
-
-
-def inject_dimensions(html: str | None, sizes: dict | None) -> str | None:
-    """Width and height for images that have neither and whose size is known."""
-    if not html or not sizes:
-        return html
-    root = parse(html)
-    for img in root.find_all("img"):
-        size = sizes.get(img.attr("src"))
-        if size and not img.attr("width") and not img.attr("height"):
-            img.attrs["width"], img.attrs["height"] = str(size[0]), str(size[1])
-    return root.inner_html()
-
-
-def absolute_image_urls(html: str | None) -> list[str]:
-    """Addresses of the images that have an absolute web address, in order, repeats included."""
-    return [s for s in (i.attr("src") for i in parse(html or "").find_all("img")) if s.startswith(("http://", "https://"))]
 
 
-def representations(content: str | None, base: str | None) -> dict:
-    """Raw content with absolute URLs, clean HTML, its text, Markdown and hash; all null for pages beyond the limit."""
-    clean = clean_html(content, base)
-    if clean is not None and len(clean.encode()) > LIMIT:
-        return dict.fromkeys(REPRESENTATIONS.names)
-    text = text_from_html(clean) if clean else None
-    return {"content": normalize_content_urls(content, base), "cleanHtml": clean, "contentText": text, "cleanMarkdown": html_to_markdown(clean), "contentHash": content_hash(clean)}
+@F.pandas_udf(T.StringType())
+def html_to_markdown_udf(html: pd.Series) -> pd.Series:
+    return pd.Series([html_to_markdown(h) for h in html], dtype=object)
 
 
-REPRESENTATIONS = T.StructType([T.StructField(n, T.StringType()) for n in ("content", "cleanHtml", "contentText", "cleanMarkdown", "contentHash")])
+def _numbered(html: Column) -> Column:
+    return marks.numbered_udf(html, F.lit(None).cast("string"))
 
 
-@F.pandas_udf(REPRESENTATIONS)
-def representations_udf(content: pd.Series, base: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([representations(c, b) for c, b in zip(content, base)], columns=REPRESENTATIONS.names)
+def text_from_html(html: Column) -> Column:
+    """Text with a newline after each block and break, a space after each cell and for breaks inside cells; '' for null."""
+    return F.coalesce(squeeze_expr(marks.text_of(_numbered(html))), F.lit(""))
 
 
-@F.pandas_udf(T.StringType())
-def clean_html_udf(raw: pd.Series, base: pd.Series) -> pd.Series:
-    return pd.Series([clean_html(r, b) for r, b in zip(raw, base)], dtype=object)
+def inject_dimensions(html: Column, sizes: Column) -> Column:
+    """Width and height for images that have neither and whose size is known. `sizes`: an array of (url, w, h)."""
+    changed = marks.as_written(marks.with_sizes(_numbered(html), sizes))
+    return F.when((html != "") & (F.coalesce(F.size(sizes), F.lit(0)) > 0), F.coalesce(changed, html)).otherwise(html)
 
 
-@F.pandas_udf(T.StringType())
-def text_from_html_udf(html: pd.Series) -> pd.Series:
-    return pd.Series([text_from_html(h) for h in html], dtype=object)
+def absolute_image_urls(html: Column) -> Column:
+    """Addresses of the images that have an absolute web address, in order, repeats included; none for null."""
+    return F.coalesce(marks.image_addresses(_numbered(html)), F.array().cast("array<string>"))
 
 
-@F.pandas_udf(T.StringType())
-def html_to_markdown_udf(html: pd.Series) -> pd.Series:
-    return pd.Series([html_to_markdown(h) for h in html], dtype=object)
-
-
-@F.pandas_udf(T.StringType())
-def normalize_urls_udf(raw: pd.Series, base: pd.Series) -> pd.Series:
-    return pd.Series([normalize_content_urls(r, b) for r, b in zip(raw, base)], dtype=object)
-
+def set_apart(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """`rows` with a column that is worked out before what uses it.
 
-@F.pandas_udf(T.StringType())
-def inject_dimensions_udf(html: pd.Series, sizes: pd.Series) -> pd.Series:
-    """`sizes`: an array of (url, w, h)."""
-    return pd.Series([inject_dimensions(h, {x["url"]: (x["w"], x["h"]) for x in s} if s is not None else None) for h, s in zip(html, sizes)], dtype=object)
+    A later Python function would else be planned over the rules themselves, which are then worked out for each use, and
+    which Spark can't take apart where a rule holds one lambda in another.
+    """
+    return rows.withColumn(name, F.explode(F.array(value)))
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def image_urls_udf(html: pd.Series) -> pd.Series:
-    return pd.Series([absolute_image_urls(h) for h in html], dtype=object)
+def with_representations(rows: DataFrame, content: Column, base: Column, name: str = "_r") -> DataFrame:
+    """`rows` with a struct: raw content with absolute URLs, clean HTML, its text, Markdown and hash; all null for pages beyond the limit."""
+    made = set_apart(rows.withColumn("_raw", normalize_content_urls(content, base)), "_clean", clean_html(content, base))
+    text, md = F.when(F.col("_clean").isNotNull(), text_from_html(F.col("_clean"))), html_to_markdown_udf(F.col("_clean"))
+    fields = {"content": F.col("_raw"), "cleanHtml": F.col("_clean"), "contentText": text, "cleanMarkdown": md, "contentHash": content_hash_expr(F.col("_clean"))}
+    return made.withColumn(name, F.struct(*(F.when(within_limit(F.col("_clean")), x).alias(n) for n, x in fields.items()))).drop("_raw", "_clean")
 
 
 # Built-in forms

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidings.functions.textify import representations_udf
+from tidings.functions.textify import with_representations
 from tidings.functions.urls import source_url_expr
 from tidings.operators.quality import NEEDS_REFERER
 from tidings.schemas import ATTACHMENTS, KEY
@@ -53,7 +53,7 @@ def backfill_content(state: DataFrame, sources: DataFrame, now: Column) -> tuple
     counts = j.agg(F.count(F.lit(1)).alias("matched"), F.count_if(~usable).alias("skipped"))
     url = F.when(F.col("detailPath").isNotNull(), source_url_expr(F.col("_base"), F.col("detailPath"))).otherwise(F.col("sourceUrl"))
     has = F.coalesce(F.col("content") != "", F.lit(False))
-    made = j.where(usable).withColumn("_url", url).withColumn("_r", representations_udf(F.when(has, F.col("content")), F.col("_base")))
+    made = with_representations(j.where(usable).withColumn("_url", url), F.when(has, F.col("content")), F.col("_base"))
     r = F.col("_r")
     fresh = {c: F.when(has, r[c]).otherwise(F.col(c)) for c in ("cleanHtml", "cleanMarkdown", "contentHash")}
     fresh["contentText"] = F.when(has & r["cleanHtml"].isNotNull(), r["contentText"]).otherwise(F.col("contentText"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidings.functions.textify import html_to_markdown_udf, inject_dimensions_udf, representations_udf
+from tidings.functions.textify import html_to_markdown_udf, inject_dimensions, set_apart, with_representations
 from tidings.functions.urls import source_url_expr
 from tidings.session import small
 
@@ -27,13 +27,13 @@ def build_notices(joined: DataFrame, sources: DataFrame) -> DataFrame:
     d = F.col("detail")
     base = with_source(joined, sources).withColumn(
         "sourceUrl", source_url_expr(F.coalesce("_base", F.lit("")), F.coalesce("detailPath", F.lit(""))))
-    made = base.withColumn("_r", representations_udf(F.when(d["content"] != "", d["content"]), F.col("_base")))
+    made = with_representations(base, F.when(d["content"] != "", d["content"]), F.col("_base"))
     r = F.col("_r")
     text = F.when(r["cleanHtml"].isNotNull(), r["contentText"]).otherwise(F.nullif(d["contentText"], F.lit("")))
     clean, md = r["cleanHtml"], r["cleanMarkdown"]
     if "imageSizes" in joined.columns:
         sized = F.size(F.coalesce("imageSizes", F.array().cast("array<struct<url:string,w:int,h:int>>"))) > 0
-        made = made.withColumn("_sized", F.when(sized & clean.isNotNull(), inject_dimensions_udf(clean, F.col("imageSizes"))))
+        made = set_apart(made, "_sized", F.when(sized & clean.isNotNull(), inject_dimensions(clean, F.col("imageSizes"))))
         clean = F.coalesce("_sized", clean)
         md = F.when(F.col("_sized").isNotNull(), html_to_markdown_udf(F.col("_sized"))).otherwise(md)
     return made.select(

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidings.functions.textify import image_urls_udf, normalize_urls_udf, representations_udf
+from tidings.functions.textify import absolute_image_urls, normalize_content_urls, with_representations
 from tidings.operators import backfill, changes, enrich, merge, notices, quality, store
 from tidings.schemas import KEY
 from tidings.session import Config, Watch, small, written
@@ -109,7 +109,7 @@ def image_checks(details: DataFrame, sources: DataFrame, fetch: Fetch) -> DataFr
     Each address is fetched once, however many notices show it.
     """
     based = notices.with_source(details.select(*KEY, F.col("detail.content").alias("content")).where("content <> ''"), sources)
-    each = written(based.select(*KEY, F.posexplode(image_urls_udf(normalize_urls_udf("content", "_base"))).alias("pos", "url")))
+    each = written(based.select(*KEY, F.posexplode(absolute_image_urls(normalize_content_urls(F.col("content"), F.col("_base")))).alias("pos", "url")))
     answers = fetch(each.select("url").distinct()).select(F.col("url").alias("_u"), "status", image_size_udf("body").alias("size"))
     j = each.join(answers, F.col("url") == F.col("_u"), "left")
     ok = F.coalesce(F.col("status"), F.lit(0)) == 200
@@ -123,7 +123,7 @@ def check_changes(state: DataFrame, sources: DataFrame, fetch: Fetch, as_of: Col
     catalogue = readers.Catalogue(sources)
     window = merge.check_window(state, as_of, days, floor).where(F.coalesce("detailPath", F.lit("")) != "")
     answers = written(fetch(readers.detail_plan(window.select(*KEY, "detailPath"), catalogue)))
-    fresh = notices.with_source(readers.read_details(answers, catalogue), sources).withColumn("_r", representations_udf(F.col("detail.content"), F.col("_base")))
+    fresh = with_representations(notices.with_source(readers.read_details(answers, catalogue), sources), F.col("detail.content"), F.col("_base"))
     r = F.col("_r")
     fetched = fresh.select(
         *KEY, "status", r["contentHash"].alias("newHash"), r["content"].alias("content"), r["contentText"].alias("contentText"), r["cleanHtml"].alias("cleanHtml"),
@@ -191,7 +191,7 @@ def summaries(state: DataFrame, now: Column, *, limit: int = 50, make_client=lam
 
 def broken_images(state: DataFrame, answers: DataFrame, sample: int = 5) -> DataFrame:
     """Per notice how many image addresses were checked and are broken, and the first few of these. `answers`: url, status."""
-    each = state.select(*KEY, F.posexplode(image_urls_udf("cleanHtml")).alias("pos", "url"))
+    each = state.select(*KEY, F.posexplode(absolute_image_urls(F.col("cleanHtml"))).alias("pos", "url"))
     j = each.join(answers.select(F.col("url").alias("_u"), "status"), F.col("url") == F.col("_u"), "left")
     bad = F.coalesce(F.col("status"), F.lit(0)) != 200
     lists = F.transform(F.array_sort(F.collect_list(F.when(bad, F.struct("pos", "url")))), lambda x: x["url"])

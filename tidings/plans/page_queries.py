@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidings.functions import textify, urls
+from tidings.functions.clean import clean_html, normalize_content_urls
 from tidings.plans.queries import query
 from tidings.plans.views import table
 from tidings.schemas import SOURCE
@@ -232,7 +233,7 @@ def _chosen(values: list[str]) -> Column:
 
 @query("q52_clean_cases", f"SELECT c_custkey, {_expected([x[1] for x in CLEAN])} AS html FROM customer")
 def q52(spark, d):
-    return table(spark, d, "customer").select("c_custkey", textify.clean_html_udf(_chosen([x[0] for x in CLEAN]), F.lit("http://h.example/b/c")).alias("html"))
+    return table(spark, d, "customer").select("c_custkey", clean_html(_chosen([x[0] for x in CLEAN]), F.lit("http://h.example/b/c")).alias("html"))
 
 
 @query("q53_markdown_cases", f"SELECT c_custkey, {_expected([x[1] for x in MARKDOWN])} AS md FROM customer")
@@ -242,7 +243,7 @@ def q53(spark, d):
 
 @query("q54_text_cases", f"SELECT c_custkey, {_expected([x[1] for x in PLAIN_TEXT])} AS text FROM customer")
 def q54(spark, d):
-    return table(spark, d, "customer").select("c_custkey", textify.text_from_html_udf(_chosen([x[0] for x in PLAIN_TEXT])).alias("text"))
+    return table(spark, d, "customer").select("c_custkey", textify.text_from_html(_chosen([x[0] for x in PLAIN_TEXT])).alias("text"))
 
 
 @query("q55_resolve_cases", f"SELECT c_custkey, {_expected([x[2] for x in ADDRESSES], 'c_nationkey::VARCHAR')} AS url FROM customer")
@@ -254,7 +255,7 @@ def q55(spark, d):
 @query("q56_normalize_urls_cases", """SELECT c_custkey, '<p onclick="x"><a href="http://h.example/b/f?k=' || c_custkey || '">a</a><img src="http://k.example/i' || c_custkey || '"></p>' AS html FROM customer""")
 def q56(spark, d):
     raw = _text('<p onclick="x"><a href="f?k=', key_(), '">a</a><img src="//k.example/i', key_(), '"></p>')
-    return table(spark, d, "customer").select("c_custkey", textify.normalize_urls_udf(raw, F.lit("http://h.example/b/c")).alias("html"))
+    return table(spark, d, "customer").select("c_custkey", normalize_content_urls(raw, F.lit("http://h.example/b/c")).alias("html"))
 
 
 @query("q57_image_sizes", """SELECT c_custkey, (c_custkey % 65536)::INT AS w, (c_nationkey + 1)::INT AS h, '<p><img src="u" width="' || (c_custkey % 65536) || '" height="' || (c_nationkey + 1) || '"><img src="v" width="9"></p>' AS html FROM customer""")
@@ -263,10 +264,10 @@ def q57(spark, d):
     png = F.concat(F.unhex(F.lit("89504E470D0A1A0A0000000D49484452")), hex4(F.col("c_custkey") % 65536), hex4((F.col("c_nationkey") + 1).cast("long")))
     sized = table(spark, d, "customer").select("c_custkey", readers.image_size_udf(png).alias("s"))
     sizes = F.array(F.struct(F.lit("u").alias("url"), F.col("s.w").alias("w"), F.col("s.h").alias("h")), F.struct(F.lit("v").alias("url"), F.lit(1).alias("w"), F.lit(1).alias("h")))
-    return sized.select("c_custkey", "s.w", "s.h", textify.inject_dimensions_udf(F.lit('<p><img src="u"><img src="v" width="9"></p>'), sizes).alias("html"))
+    return sized.select("c_custkey", "s.w", "s.h", textify.inject_dimensions(F.lit('<p><img src="u"><img src="v" width="9"></p>'), sizes).alias("html"))
 
 
 @query("q58_image_addresses", "SELECT c_custkey, 'http://h/' || c_custkey || ',https://k/x,http://h/' || c_custkey AS urls FROM customer")
 def q58(spark, d):
     html = _text('<img src="http://h/', key_(), '"><img src="/rel"><img src="https://k/x"><img><img src="data:x"><img src="http://h/', key_(), '">')
-    return table(spark, d, "customer").select("c_custkey", F.array_join(textify.image_urls_udf(html), ",").alias("urls"))
+    return table(spark, d, "customer").select("c_custkey", F.array_join(textify.absolute_image_urls(html), ",").alias("urls"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidings.functions import textify, urls
+from tidings.functions.clean import clean_html, normalize_content_urls
 from tidings.operators import backfill, catalog, changes, enrich, merge, notices, quality
 from tidings.plans import views
 from tidings.plans.views import stamp, table
@@ -414,25 +415,27 @@ def q37(spark, d):
 
 @query("q38_clean_html")
 def q38(spark, d):
-    p = table(spark, d, "pages").withColumn("clean", textify.clean_html_udf("html", "url"))
+    p = textify.set_apart(table(spark, d, "pages"), "clean", clean_html(F.col("html"), F.col("url")))
     return p.select("page_id", F.length("clean").alias("n_chars"), (~F.col("clean").rlike("<(script|style|nav|footer)")).alias("sanitised"), textify.content_hash_expr(F.col("clean")).alias("content_hash"))
 
 
 @query("q39_text_from_html")
 def q39(spark, d):
-    p = table(spark, d, "pages").withColumn("t", textify.text_from_html_udf(textify.clean_html_udf("html", "url")))
+    p = textify.set_apart(table(spark, d, "pages"), "clean", clean_html(F.col("html"), F.col("url")))
+    p = textify.set_apart(p, "t", textify.text_from_html(F.col("clean")))
     return p.select("page_id", F.length("t").alias("n_chars"), F.sha2("t", 256).alias("h"))
 
 
 @query("q40_html_to_markdown")
 def q40(spark, d):
-    p = table(spark, d, "pages").withColumn("md", textify.html_to_markdown_udf(textify.clean_html_udf("html", "url")))
+    p = textify.set_apart(table(spark, d, "pages"), "clean", clean_html(F.col("html"), F.col("url")))
+    p = p.withColumn("md", textify.html_to_markdown_udf("clean"))
     return p.select("page_id", F.length("md").alias("n_chars"), F.col("md").contains("****").alias("four_stars"), F.sha2("md", 256).alias("h"))
 
 
 @query("q41_normalize_urls")
 def q41(spark, d):
-    p = table(spark, d, "pages").withColumn("h", textify.normalize_urls_udf("html", "url"))
+    p = textify.set_apart(table(spark, d, "pages"), "h", normalize_content_urls(F.col("html"), F.col("url")))
     return p.select("page_id", F.size(F.regexp_extract_all("h", F.lit('href="https?://'), F.lit(0))).alias("absolute"), F.size(F.regexp_extract_all("h", F.lit('href="/'), F.lit(0))).alias("relative"))
 
 
