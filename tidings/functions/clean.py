@@ -30,7 +30,7 @@ _ONE_OF = "|".join
 _PUNCTUATION = "".join(f"\\u{ord(c):04x}" for c in string.whitespace + string.punctuation + string.digits + CJK_PUNCTUATION + LT + GT + TEXT_QUOTE)
 _EMPHASIS = "strong|b|em|i"
 _CODED = -(-DATA_IMAGE_LEAST * 4 // 3) - 1  # the most letters of base64 that give fewer bytes
-_BOLD, _BREAK, _FROM, _TO = "﷞﷜﷚﷛"
+_BOLD, _BREAK, _FROM, _TO = "\ufdde\ufddc\ufdda\ufddb"
 
 
 def let(value: Column, body) -> Column:

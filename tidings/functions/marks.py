@@ -21,17 +21,17 @@ from tidings.functions.dom import VOID, Element, Text, body_of, parse
 from tidings.functions.urls import resolve_url
 
 # In texts and values: < > " ' of values, " of texts, and < > & that stay as they are (scripts).
-LT, GT, QUOTE, APOSTROPHE, TEXT_QUOTE, RAW_LT, RAW_GT, RAW_AND = "﷐﷑﷒﷓﷔﷪﷫﷬"
+LT, GT, QUOTE, APOSTROPHE, TEXT_QUOTE, RAW_LT, RAW_GT, RAW_AND = "\ufdd0\ufdd1\ufdd2\ufdd3\ufdd4\ufdea\ufdeb\ufdec"
 # In tags: between element and attribute, before the number, around a declaration, before a noted fact.
-OF, NUMBER, DECLARED, END, NOTED = "﷕﷖﷗﷘﷙"
-DIGITS = "﷠-﷩"
+OF, NUMBER, DECLARED, END, NOTED = "\ufdd5\ufdd6\ufdd7\ufdd8\ufdd9"
+DIGITS = "\ufde0-\ufde9"
 #: What Python strips, and the space that doesn't break, as the inside of a class of characters.
-BLANK = r"\t-\r\x1c-\x20\x85\xa0  -     　"
+BLANK = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 VOIDS = "|".join(sorted(VOID))
 
 SCHEME = re.compile(r"\s*([A-Za-z][A-Za-z0-9+.-]*):")
-UNSEEN = re.compile(r"[\x00-\x1f\x7f-\x9f​-‏ -‮⁠﻿]+")  # what browsers pass over in an address, and more
-_FOREIGN = re.compile("[﷐-﷯]")
+UNSEEN = re.compile(r"[\x00-\x1f\x7f-\x9f\u200b-\u200f\u2028-\u202e\u2060\ufeff]+")  # what browsers pass over in an address, and more
+_FOREIGN = re.compile("[\ufdd0-\ufdef]")
 _VALUE = str.maketrans({"<": LT, ">": GT, '"': QUOTE, "'": APOSTROPHE})
 _TEXT = str.maketrans({"<": LT, ">": GT, '"': TEXT_QUOTE})
 _RAW = str.maketrans({"<": RAW_LT, ">": RAW_GT, "&": RAW_AND, '"': TEXT_QUOTE})
@@ -74,7 +74,7 @@ def numbered(html: str | None, base: str | None = None, body: bool = False) -> s
     if html is None:
         return None
     try:
-        root = parse(_FOREIGN.sub("�", html))
+        root = parse(_FOREIGN.sub("\ufffd", html))
         root = body_of(root) if body else root
     except (ValueError, RecursionError):
         return None
