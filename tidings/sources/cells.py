@@ -6,10 +6,13 @@ else. What they mean is said in columns: numbers, dates, facts in order or by la
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidings.functions.dom import Element, node_attr, node_text, parse
+from tidings.functions.dom import Element, matching, node_attr, node_text, parse
 from tidings.functions.textify import first_number, normalize_date_expr, ustrip
 
 CELL = "struct<text:string,href:string,inner_text:string,inner_href:string>"
@@ -21,21 +24,39 @@ OWN = {"td": "td", "notice": 'img[src*="btn_notice"]'}
 
 
 def cells_of(row: Element, selectors: dict[str, str], row_name: str) -> dict[str, list[tuple]]:
-    """What each selector finds in a row: text and address of each element, and of what is looked up inside it."""
+    """What each selector finds in a row: text and address of each element, and of what is looked up inside it. Nothing found has no entry."""
     out = {"row": [(None, row.attr("style"), None, None)]}
+    elements = row.below()
     for name, selector in (selectors | OWN).items():
         if name == row_name or not selector:
             continue
         found = []
-        for e in row.find_all("td") if name == "td" else row.select(selector):
+        for e in [e for e in elements if e.tag == "td"] if name == "td" else matching(elements, selector, row):
             inner = e.select_one(INNER[name]) if name in INNER else None
             found.append((node_text(e), node_attr(e, "href"), node_text(inner) if inner else None, node_attr(inner, "href") if inner else None))
-        out[name] = found
+        if found:
+            out[name] = found
     return out
 
 
-def rows_of(body: str, selectors: dict[str, str], row_name: str) -> list[dict[str, list[tuple]]]:
-    return [cells_of(row, selectors, row_name) for row in parse(body).select(selectors[row_name])]
+def rows_of(body: str, selectors: dict[str, str], row_name: str) -> Iterator[dict[str, list[tuple]]]:
+    return (cells_of(row, selectors, row_name) for row in parse(body).select(selectors[row_name]))
+
+
+def arrow_cells(rows: list[dict[str, list[tuple]] | None]) -> pa.MapArray:
+    """Rows' cells as an Arrow array of the type `CELLS`."""
+    names, starts, ends, flat = [], [0], [0], []
+    for row in rows:
+        for name, some in (row or {}).items():
+            names.append(name)
+            flat += some
+            ends.append(len(flat))
+        starts.append(len(names))
+    parts = zip(*flat) if flat else ((), (), (), ())
+    fields = ["text", "href", "inner_text", "inner_href"]
+    found = pa.StructArray.from_arrays([pa.array(x, pa.string()) for x in parts], fields)
+    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found)
+    return pa.MapArray.from_arrays(pa.array(starts, pa.int32()), pa.array(names, pa.string()), lists)
 
 
 def _cell(name: str, part: str = "text", k: int = 0) -> Column:

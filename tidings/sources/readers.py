@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidings.functions.dom import parse
 from tidings.schemas import ATTACHMENTS, DETAIL, LIST_ITEM
@@ -16,6 +18,9 @@ from tidings.sources import cells, json_boards
 from tidings.sources.boards import BOARDS, WordPress
 
 
+AT_ONCE = 2000  # rows that Python holds before it hands them on
+
+
 def config_of(row) -> dict:
     """A catalogue row as the plain dict that boards read."""
 
@@ -132,32 +137,49 @@ def _page_items(fetched: DataFrame, configs, as_of: str) -> DataFrame:
     kinds = cells.item_columns(as_of, F.col("page"))
     names = tuple(kinds)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def found_on(source_id: str, page: int, body: bytes, c: dict) -> Iterator[tuple]:
+        board, source = BOARDS[c["strategy"]], {"skinType": c.get("skinType"), "infoParser": c.get("infoParser")}
+        if type(board).__name__ in JSON_KINDS:
+            return
+        try:
+            text = body.decode(board.encoding, "replace")
+            if type(board).__name__ in names and type(board).read.__qualname__.split(".")[0] in names:
+                for row in cells.rows_of(text, c["selectors"], board.row):
+                    yield source_id, page, type(board).__name__, source, row, None
+            else:
+                for x in board.items(text, c, page, as_of):
+                    held = {"listDetail": x.get("detail"), "listAttachments": x.get("attachments")}
+                    yield source_id, page, "own", source, None, {k: x[k] for k in LIST_ITEM.names} | held
+        except (ValueError, KeyError, TypeError, AttributeError):
+            return  # a page that can't be read has no items but those before
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = to_arrow_schema(schema)
+
+        def made(rows: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*rows))
+            held = [cells.arrow_cells(x) if f.name == "cells" else pa.array(x, f.type) for x, f in zip(columns, types)]
+            return pa.RecordBatch.from_arrays(held, types.names)
+
+        rows: list[tuple] = []
         for b in batches:
-            rows = []
-            for r in b.itertuples(index=False):
-                c = configs.value.get(r.sourceId)
-                if c is None or r.status != 200 or r.body is None:
-                    continue
-                board = BOARDS[c["strategy"]]
-                if type(board).__name__ in JSON_KINDS:
+            for k in range(b.num_rows):
+                source_id, page, status, body = (b.column(i)[k].as_py() for i in range(4))
+                c = configs.value.get(source_id)
+                if c is None or status != 200 or body is None:
                     continue
-                source = (c.get("skinType"), c.get("infoParser"))
-                try:
-                    text = bytes(r.body).decode(board.encoding, "replace")
-                    if type(board).__name__ in names and type(board).read.__qualname__.split(".")[0] in names:
-                        rows += [(r.sourceId, r.page, type(board).__name__, source, row, None) for row in cells.rows_of(text, c["selectors"], board.row)]
-                    else:
-                        found = board.items(text, c, r.page, as_of)
-                        rows += [(r.sourceId, r.page, "own", source, None, (*(x[k] for k in LIST_ITEM.names), x.get("detail"), x.get("attachments"))) for x in found]
-                except (ValueError, KeyError, TypeError, AttributeError):
-                    continue  # a page that can't be read has no items
-            yield pd.DataFrame(rows, columns=["sourceId", "page", "kind", "source", "cells", "item"])
+                for row in found_on(source_id, page, body, c):
+                    rows.append(row)
+                    if len(rows) == AT_ONCE:
+                        yield made(rows)
+                        rows = []
+        if rows:
+            yield made(rows)
 
     schema = T.StructType([
         T.StructField("sourceId", T.StringType()), T.StructField("page", T.IntegerType()), T.StructField("kind", T.StringType()), T.StructField("source", T.StructType([T.StructField("skinType", T.StringType()), T.StructField("infoParser", T.StringType())])),
         T.StructField("cells", T._parse_datatype_string(cells.CELLS)), T.StructField("item", ITEM)])
-    rows = spread(fetched.select("sourceId", "page", "status", "body"), "sourceId", "page").mapInPandas(run, schema)
+    rows = spread(fetched.select("sourceId", "page", "status", "body"), "sourceId", "page").mapInArrow(run, schema)
 
     def told(field: T.StructField) -> Column:
         value = F.lit(None).cast(field.dataType)
