@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidings.functions import marks
-from tidings.functions.marks import ANY, BLANK, DECLARED, DIGITS, END, GT, LT, NOTED, NUMBER, OF, TEXT_QUOTE, VOIDS, attribute, declared, drop, noted, tag, whole, word_of
+from tidings.functions.marks import ANY, BLANK, DECLARED, DIGITS, END, GT, LT, NOTED, NUMBER, OF, TEXT_QUOTE, VOIDS, attribute, declared, drop, let, noted, tag, until_same, where_held, whole, word_of
 
 # Fixed values.
 REMOVED = "script style iframe form button tfoot title head".split()
@@ -33,11 +33,6 @@ _CODED = -(-DATA_IMAGE_LEAST * 4 // 3) - 1  # the most letters of base64 that gi
 _BOLD, _BREAK, _FROM, _TO = "\ufdde\ufddc\ufdda\ufddb"
 
 
-def let(value: Column, body) -> Column:
-    """`body(value)` with `value` computed once a row."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def numbers_of(names: str, numbers: Column, end: str = "/?") -> Column:
     """A pattern for the tags of these elements with one of the numbers."""
     return F.concat(F.lit(f"<{end}(?:{names}){NUMBER}(?:"), F.array_join(numbers, "|"), F.lit(f")(?![{DIGITS}])[^>]*>"))
@@ -46,19 +41,20 @@ def numbers_of(names: str, numbers: Column, end: str = "/?") -> Column:
 def drop_subtrees(x: Column) -> Column:
     classes = word_of("class", _ONE_OF(REMOVED_CLASSES))
     x = drop(x, tag(_ONE_OF(REMOVED_VOID)), whole(_ONE_OF(REMOVED)), tag(VOIDS, classes), whole(ANY, classes))
-    return drop(x, whole("a", attribute("href", f'[^"]*{REMOVED_LINK}[^"]*')), whole("div", word_of("class", REMOVED_DIV)))
+    x = where_held(x, REMOVED_LINK, lambda s: drop(s, whole("a", attribute("href", f'[^"]*{REMOVED_LINK}[^"]*'))))
+    return where_held(x, REMOVED_DIV, lambda s: drop(s, whole("div", word_of("class", REMOVED_DIV))))
 
 
 def drop_small_data_images(x: Column) -> Column:
     """Inline images without data or of fewer decoded bytes than a real picture has."""
-    return drop(x, tag("img", attribute("src", f'[{BLANK}]*data:(?:[^",]*|[^",]*,[^"]{{0,{_CODED}}}?[{BLANK}]*)')))
+    return where_held(x, "data:", lambda s: drop(s, tag("img", attribute("src", f'[{BLANK}]*data:(?:[^",]*|[^",]*,[^"]{{0,{_CODED}}}?[{BLANK}]*)'))))
 
 
 def unwrap_layout_tables(x: Column) -> Column:
     """What the cells hold, without the table and what stands between its cells."""
     layout = f'(?:[^"]*[{BLANK}])?{LAYOUT_TABLE}(?:[{BLANK}][^"]*)?'
     held = f"{NUMBER}(?=[^>]*{noted('in', layout)})[^>]*>"
-    return drop(x, whole("table", noted("outside", layout)), f"<(?!/table{NUMBER}|t[dh]{NUMBER})/?+{ANY}{held}[^<]*", f"<(?:/table|t[dh]){held}")
+    return where_held(x, LAYOUT_TABLE, lambda s: drop(s, whole("table", noted("outside", layout)), f"<(?!/table{NUMBER}|t[dh]{NUMBER})/?+{ANY}{held}[^<]*", f"<(?:/table|t[dh]){held}"))
 
 
 def split_pre(x: Column) -> Column:
@@ -79,16 +75,20 @@ def split_pre(x: Column) -> Column:
 
 def styles_to_tags(x: Column) -> Column:
     """Bold and italic given by the style of inline elements become elements inside them."""
-    for name, value, made, same in (("font-weight", r"(?:bold|bolder|0*[6-9]\d\d|0*[1-9]\d{3,})", "strong", ("strong", "b")), ("font-style", "italic", "em", ("em", "i"))):
-        held = f"(?i:{declared(name, value)})"
-        for end, put in (("", f"$1<{made}{NUMBER}$2>"), ("/", f"</{made}{NUMBER}$2>$1")):
-            x = F.regexp_replace(x, f"(<{end}(?:{_ONE_OF(t for t in INLINE if t not in same)}){NUMBER}([{DIGITS}]++)(?=[^>]*{held})[^>]*>)", put)
-        x = drop(x, f"(?i){DECLARED}(?:{_ONE_OF(INLINE)}){OF}{name}:{value}{END}")
-    return x
+
+    def made_tags(x: Column) -> Column:
+        for name, value, made, same in (("font-weight", r"(?:bold|bolder|0*[6-9]\d\d|0*[1-9]\d{3,})", "strong", ("strong", "b")), ("font-style", "italic", "em", ("em", "i"))):
+            held = f"(?i:{declared(name, value)})"
+            for end, put in (("", f"$1<{made}{NUMBER}$2>"), ("/", f"</{made}{NUMBER}$2>$1")):
+                x = F.regexp_replace(x, f"(<{end}(?:{_ONE_OF(t for t in INLINE if t not in same)}){NUMBER}([{DIGITS}]++)(?=[^>]*{held})[^>]*>)", put)
+            x = drop(x, f"(?i){DECLARED}(?:{_ONE_OF(INLINE)}){OF}{name}:{value}{END}")
+        return x
+
+    return where_held(x, DECLARED, made_tags)
 
 
 def unwrap_underlined_emphasis(x: Column) -> Column:
-    return drop(x, tag("em|i", f"(?i:{declared('text-decoration', f'[^>{END}]*underline[^>{END}]*')})", "/?"))
+    return where_held(x, DECLARED, lambda s: drop(s, tag("em|i", f"(?i:{declared('text-decoration', f'[^>{END}]*underline[^>{END}]*')})", "/?")))
 
 
 def sanitise(x: Column) -> Column:
@@ -96,12 +96,13 @@ def sanitise(x: Column) -> Column:
     kept = _ONE_OF(f"{t}{OF}{a}" for t, names in ALLOWED_ATTRS.items() for a in names)
     x = drop(x, f"</?+(?!(?:{_ONE_OF(ALLOWED_TAGS)}){NUMBER})[^>]*>", f' (?!(?:{kept})=)[^\\s{OF}"]*{OF}[^\\s"]+="[^"]*"')
     x = drop(x, f' (?:a{OF}href|img{OF}src)="[^"]*"(?=[^>]*{noted("scheme", f"(?!(?:{_ONE_OF(ALLOWED_SCHEMES)}){chr(34)})[^{chr(34)}]*")})')
-    return drop(x, f"{DECLARED}[^{OF}]*{OF}(?!(?:{_ONE_OF(ALLOWED_STYLES)}):)[^{END}]*{END}", f' {NOTED}[^"]*="[^"]*"')
+    x = where_held(x, DECLARED, lambda s: drop(s, f"{DECLARED}[^{OF}]*{OF}(?!(?:{_ONE_OF(ALLOWED_STYLES)}):)[^{END}]*{END}"))
+    return drop(x, f' {NOTED}[^"]*="[^"]*"')
 
 
 def drop_empty(x: Column, passes: int = 10) -> Column:
     """Elements with neither text nor an element in them go, and then those that this empties."""
-    return drop(x, *[f"<({_ONE_OF(REMOVABLE)}){NUMBER}[^>]*>[{BLANK}]*</\\1{NUMBER}[^>]*>"] * passes)
+    return until_same(x, lambda s: drop(s, f"<({_ONE_OF(REMOVABLE)}){NUMBER}[^>]*>[{BLANK}]*</\\1{NUMBER}[^>]*>"), passes)
 
 
 def unwrap_bare_spans(x: Column) -> Column:
@@ -147,8 +148,7 @@ def unwrap_bold_runs(x: Column, least: int = 3) -> Column:
 
 def merge_emphasis(x: Column, passes: int = 10) -> Column:
     """Neighbours of the same emphasis, with at most one blank text between, become one."""
-    one = lambda s, _: F.regexp_replace(s, f"</({_EMPHASIS}){NUMBER}[^>]*>([{BLANK}]*)<\\1{NUMBER}[^>]*>", "$2")
-    return reduce(one, range(passes), x)
+    return until_same(x, lambda s: F.regexp_replace(s, f"</({_EMPHASIS}){NUMBER}[^>]*>([{BLANK}]*)<\\1{NUMBER}[^>]*>", "$2"), passes)
 
 
 RULES = (
@@ -159,8 +159,7 @@ RULES = (
 
 def clean_html(raw: Column, base: Column) -> Column:
     """Sanitised HTML of a page or fragment; null for null, blank or emptied input, and for input that can't be handled."""
-    x = drop(marks.numbered_body_udf(raw, base), attribute("style", '[^"]*'))
-    out = marks.to_html(reduce(lambda s, rule: rule(s), RULES, x))
+    out = marks.to_html(reduce(lambda s, rule: rule(s), RULES, marks.numbered_body_udf(raw, base)))
     return let(drop(out, f"^[{BLANK}]+|[{BLANK}]+$"), lambda html: F.when(html != "", html))
 
 

@@ -70,7 +70,7 @@ def _facts(e: Element, base: str | None, table: str | None, in_cell: bool, loose
 
 
 def numbered(html: str | None, base: str | None = None, body: bool = False) -> str | None:
-    """Numbered markup of a page or of its body; null for null and for what can't be read."""
+    """Numbered markup of a page, or of its body without style attributes as they were written; null for null and for what can't be read."""
     if html is None:
         return None
     try:
@@ -90,7 +90,7 @@ def numbered(html: str | None, base: str | None = None, body: bool = False) -> s
         else:
             n += 1
             tag, number = x.tag.translate(_VALUE), str(n).translate(_COUNT)
-            attrs = "".join(f' {tag}{OF}{k.translate(_VALUE)}="{(v or "").translate(_VALUE)}"' for k, v in x.attrs.items())
+            attrs = "".join(f' {tag}{OF}{k.translate(_VALUE)}="{(v or "").translate(_VALUE)}"' for k, v in x.attrs.items() if not (body and k == "style"))
             facts = "".join(f' {NOTED}{k}="{v.translate(_VALUE)}"' for k, v in _facts(x, base, table, in_cell, loose).items())
             style = "".join(f"{DECLARED}{tag}{OF}{k.translate(_VALUE)}:{v.translate(_VALUE)}{END}" for k, v in declarations(x.attr("style")).items())
             inside = f"{tag}{NUMBER}{number}{attrs}{facts}{style}>"
@@ -129,7 +129,7 @@ def whole(names: str, with_: str = "") -> str:
 ANY = f"[^\\s<>/{NUMBER}]+"
 
 
-def attribute(name: str, value: str, of: str = f"[^\\s{OF}\"]*") -> str:
+def attribute(name: str, value: str, of: str = f"[^\\s{OF}\"]*+") -> str:
     return f' {of}{OF}{name}="{value}"'
 
 
@@ -152,27 +152,52 @@ def drop(x: Column, *patterns: str) -> Column:
     return x
 
 
+def rewritten(x: Column, signs: str, written: str) -> Column:
+    """Signs as other ones, none of which is a sign itself: where there are none, this is a search and no work by character."""
+    for sign, by in zip(signs, written):
+        x = F.replace(x, F.lit(sign), F.lit(by))
+    return x
+
+
+def let(value: Column, body) -> Column:
+    """`body(value)` with `value` computed once a row."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def where_held(x: Column, sign: str, body) -> Column:
+    """`body(x)` for what holds the sign, which the rule needs; the rest stays."""
+    return let(x, lambda s: F.when(F.contains(s, F.lit(sign)), body(s)).otherwise(s))
+
+
+def until_same(x: Column, body, passes: int) -> Column:
+    """`body` again and again, until it changes nothing, `passes` times at most."""
+    first = F.struct(x.alias("now"), F.lit(None).cast("string").alias("before"))
+    again = lambda a, _: F.when(a["now"] == a["before"], a).otherwise(F.struct(body(a["now"]).alias("now"), a["now"].alias("before")))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(passes)), first, again, lambda a: a["now"])
+
+
 def plain(x: Column) -> Column:
     """A text or value as it was."""
-    return F.translate(x, LT + GT + QUOTE + APOSTROPHE + TEXT_QUOTE + RAW_LT + RAW_GT + RAW_AND, "<>\"'\"<>&")
+    return rewritten(x, LT + GT + QUOTE + APOSTROPHE + TEXT_QUOTE + RAW_LT + RAW_GT + RAW_AND, "<>\"'\"<>&")
 
 
 def to_html(x: Column) -> Column:
     """Numbered markup as HTML: numbers, notes and the attributes of closing tags go, declarations become a style again."""
     x = F.regexp_replace(x, f"</([^<>{NUMBER}]*){NUMBER}[^>]*>", "</$1>")
-    x = drop(F.regexp_replace(x, f"<([^<>/{NUMBER}]*){NUMBER}[{DIGITS}]*", "<$1"), noted("[^\\s\"]*", '[^"]*'))
-    x = F.regexp_replace(x, f"{DECLARED}[^{OF}]*{OF}", DECLARED)
+    x = F.regexp_replace(x, f"<([^<>/{NUMBER}]*){NUMBER}[{DIGITS}]*", "<$1")
+    x = where_held(x, NOTED, lambda s: drop(s, noted("[^\\s\"]*", '[^"]*')))
+    x = where_held(x, DECLARED, lambda s: F.regexp_replace(s, f"{DECLARED}[^{OF}]*{OF}", DECLARED))
     x = F.replace(F.replace(x, F.lit(END + DECLARED), F.lit(";")), F.lit(DECLARED), F.lit(' style="'))
-    x = F.regexp_replace(F.replace(x, F.lit(END), F.lit('"')), f" [^\\s{OF}\"]*{OF}", " ")
+    x = where_held(F.replace(x, F.lit(END), F.lit('"')), OF, lambda s: F.regexp_replace(s, f" [^\\s{OF}\"]*+{OF}", " "))
     x = F.replace(x, F.lit("&"), F.lit("&amp;"))
     for sign, written in ((LT, "&lt;"), (GT, "&gt;"), (QUOTE, "&quot;"), (APOSTROPHE, "&#x27;")):
         x = F.replace(x, F.lit(sign), F.lit(written))
-    return F.translate(x, TEXT_QUOTE + RAW_LT + RAW_GT + RAW_AND, '"<>&')
+    return rewritten(x, TEXT_QUOTE + RAW_LT + RAW_GT + RAW_AND, '"<>&')
 
 
 def absolute(x: Column) -> Column:
     """Addresses of images and links in their absolute form."""
-    return F.regexp_replace(x, f'( (?:img{OF}src|a{OF}href)=")[^"]*("[^>]* {NOTED}at="([^"]*)")', "$1$3$2")
+    return where_held(x, f"{NOTED}at=", lambda s: F.regexp_replace(s, f'( (?:img{OF}src|a{OF}href)=")[^"]*("[^>]* {NOTED}at="([^"]*)")', "$1$3$2"))
 
 
 def as_written(x: Column) -> Column:
