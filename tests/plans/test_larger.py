@@ -8,3 +8,8 @@ def test_reachability_where_pages_share_an_address(spark, tmp_path):
     spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     got = queries.QUERIES["q81_reachability"](spark, str(tmp_path))
     assert {r.page_id: r.gone for r in got.collect()} == {5: 2, 7: 0, 15: 1, 17: 0, 35: 2}
+
+
+def test_summaries_of_all_notices_are_not_brought_to_one_task(spark, sf):
+    plan = queries.QUERIES["q79_summary_run"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "GlobalLimit" not in plan and "TakeOrdered" not in plan and "SinglePartition" not in plan
