@@ -6,12 +6,13 @@ import json
 import logging
 from collections.abc import Callable
 from contextlib import contextmanager
+from datetime import UTC
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructType, TimestampType
 from pyspark.sql.window import Window
 
 from tidings.operators.merge import DELETED_AFTER
@@ -142,6 +143,11 @@ class Newest(StatefulProcessor):
 
     def __init__(self, fields: StructType, keep_ms: int):
         self.fields, self.keep_ms = fields, keep_ms
+        self.times = [isinstance(f.dataType, TimestampType) for f in fields]
+
+    def plain(self, values) -> tuple:
+        """Values that can be compared: those of the state have times without a zone, those that come have one."""
+        return tuple(None if x is None or x != x else x.astimezone(UTC) if is_time else x for x, is_time in zip(values, self.times))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -149,23 +155,25 @@ class Newest(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         names = self.fields.names
-        now = tuple(self.newest.get()) if self.newest.exists() else None
-        best = now
-        for b in rows:
-            for r in b[names].itertuples(index=False):
-                seen = tuple(None if pd.isna(x) else (x.to_pydatetime() if isinstance(x, pd.Timestamp) else x) for x in r)
-                if best is None or _order(seen) > _order(best):
-                    best = seen
+        now = self.newest.get()
+        now = best = None if now is None else self.plain(now)
+        for r in rows:
+            seen = self.plain(r[n] for n in names)
+            if best is None or _order(seen) > _order(best):
+                best = seen
         if best is not None and best != now:
-            if now is not None:
-                self.handle.deleteTimer(_ms(now[0]) + self.keep_ms)
             self.newest.update(best)
-            self.handle.registerTimer(_ms(best[0]) + self.keep_ms)
-            yield pd.DataFrame([(*key, *best)], columns=[*KEY, *names])
+            if now is None:  # one timer a key: when it is due it looks how new the newest is
+                self.handle.registerTimer(_ms(best[0]) + self.keep_ms)
+            yield Row(*KEY, *names)(*key, *best)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.newest.clear()
-        yield pd.DataFrame(columns=[*KEY, *self.fields.names])
+        due = _ms(self.plain(self.newest.get())[0]) + self.keep_ms
+        if due > expiredTimerInfo.getExpiryTimeInMs():
+            self.handle.registerTimer(due)
+        else:
+            self.newest.clear()
+        yield from ()
 
     def close(self) -> None:
         pass
@@ -311,7 +319,7 @@ def latest_by_key(observations: DataFrame, delay: str = "1 day", keep_ms: int =
     fields = StructType([observations.schema["observedAt"], *rest])
     out = StructType([*(observations.schema[k] for k in KEY), *fields])
     keyed = observations.withWatermark("observedAt", delay).groupBy(*KEY)
-    return keyed.transformWithStateInPandas(Newest(fields, keep_ms), out, "Update", "EventTime")
+    return keyed.transformWithState(Newest(fields, keep_ms), out, "Update", "EventTime")
 
 
 def lists_with_details(lists: DataFrame, details: DataFrame, within: str = "2 hours", delay: str = "1 hour") -> DataFrame:
