@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidings.functions.dom import Element, matching, node_attr, node_text, parse
 from tidings.functions.textify import first_number, normalize_date_expr, ustrip
+from tidings.sources.shapes import Rows
 
 CELL = "struct<text:string,href:string,inner_text:string,inner_href:string>"
 CELLS = f"map<string,array<{CELL}>>"
@@ -40,7 +41,16 @@ def cells_of(row: Element, selectors: dict[str, str], row_name: str) -> dict[str
 
 
 def rows_of(body: str, selectors: dict[str, str], row_name: str) -> Iterator[dict[str, list[tuple]]]:
-    return (cells_of(row, selectors, row_name) for row in parse(body).select(selectors[row_name]))
+    key = (row_name, *selectors.items())
+    if key not in _ROWS:
+        if len(_ROWS) >= 100:
+            _ROWS.clear()
+        _ROWS[key] = Rows(selectors | OWN, row_name, lambda row: cells_of(row, selectors, row_name))
+    found = _ROWS[key].found(body)
+    return iter(found) if found is not None else (cells_of(row, selectors, row_name) for row in parse(body).select(selectors[row_name]))
+
+
+_ROWS: dict[tuple, Rows] = {}  # by selectors
 
 
 def arrow_cells(rows: list[dict[str, list[tuple]] | None]) -> pa.MapArray:
