@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidings.session import small
+
 FLOOR_DATE = "2026-03-09"  # fixed value: notices dated before are not taken
 MAX_PAGES, MAX_PAGES_FULL = 100, 2500
+FEW = 100_000  # keys that are broadcast
 
 
 def too_old(date: Column, floor: str = FLOOR_DATE) -> Column:
@@ -32,6 +35,13 @@ def existing_meta(state: DataFrame) -> DataFrame:
     return state.select("sourceId", "articleNo", F.col("title").alias("oldTitle"), F.col("date").alias("oldDate"), F.col("contentHash").alias("oldHash"))
 
 
+def of_keys(state: DataFrame, items: DataFrame) -> DataFrame:
+    """The state's rows that the items can meet: where items are few, counted, they are broadcast and the rest of the state isn't shuffled."""
+    keys = items.select("sourceId", "articleNo")
+    few = small(keys, FEW)
+    return state if few is keys else state.join(few, ["sourceId", "articleNo"], "left_semi")
+
+
 def classify(items: DataFrame, state: DataFrame, floor: str = FLOOR_DATE) -> DataFrame:
     """Items with the state's title, date and hash and an `action`: old, new, changed or same."""
     meta = existing_meta(state).withColumn("_known", F.lit(True))

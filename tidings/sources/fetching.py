@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidings.functions.urls import host
-from tidings.session import written
+from tidings.session import small, written
 
 TRIES = 3
 GAP = 0.5  # seconds between requests of one task
@@ -172,8 +172,20 @@ def fetch_rounds(
     return reduce(DataFrame.unionByName, done)
 
 
-def fetch_from_table(requests: DataFrame, pages: DataFrame, url: str = "url") -> DataFrame:
-    """The same from a table of (url, status, body): an address that it lacks answers 404."""
-    known = pages.select(F.col("url").alias("_u"), F.col("status").alias("_status"), F.col("body").alias("_body")).dropDuplicates(["_u"])
+FEW = 100_000  # requests that are broadcast
+
+
+def fetch_from_table(requests: DataFrame, pages: DataFrame, url: str = "url", *, often: bool = False) -> DataFrame:
+    """The same from a table of (url, status, body): an address that it lacks answers 404.
+
+    `often`: the table is asked again and again. The requests are counted then, and few of them broadcast, so that only the
+    pages which they ask for are shuffled.
+    """
+    known = pages.select(F.col("url").alias("_u"), F.col("status").alias("_status"), F.col("body").alias("_body"))
+    if often:
+        asked = requests.select(F.col(url).alias("_u"))
+        few = small(asked, FEW)
+        known = known if few is asked else known.join(few, "_u", "left_semi")
+    known = known.dropDuplicates(["_u"])
     joined = requests.drop("status", "body").join(known, F.col(url) == F.col("_u"), "left")
     return joined.withColumns({"status": F.coalesce("_status", F.lit(404)).cast("int"), "body": F.col("_body").cast("binary")}).drop("_u", "_status", "_body")
