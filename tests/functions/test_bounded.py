@@ -1,10 +1,11 @@
 """What keeps page work small: few passes over a page, few rows in Python at a time, and the same trees by the quicker reading."""
 
+import hashlib
 import random
 
 from pyspark.sql import functions as F
 
-from tidings.functions import clean, dom
+from tidings.functions import clean, dom, textify
 from tidings.sources import cells
 
 
@@ -38,3 +39,16 @@ def test_cells_as_arrow():
     rows = [{"row": [(None, "", None, None)], "td": [("a", None, "b", "c"), ("d", "e", None, None)]}, None, {}]
     got = cells.arrow_cells(rows).to_pylist()
     assert got[1:] == [[], []] and got[0][1] == ("td", [{"text": "a", "href": None, "inner_text": "b", "inner_href": "c"}, {"text": "d", "href": "e", "inner_text": None, "inner_href": None}])
+
+
+def test_representations_take_few_steps_of_python(spark):
+    pages = spark.sql("SELECT concat('<p>', id, '<img src=\"/i\"></p>') AS html, array(named_struct('url', 'http://h/i', 'w', 4, 'h', 3)) AS sizes FROM range(1)")
+    for sizes, steps in ((None, 2), (F.col("sizes"), 3)):
+        made = textify.with_representations(pages, F.col("html"), F.lit("http://h/b"), sizes=sizes).select("_r.*")
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == steps, plan
+        r = made.first()
+        size = ' width="4" height="3"' if sizes is not None else ""
+        assert r.cleanHtml == f'<p>0<img src="http://h/i"{size}></p>' and r.contentText == "0" and ("{4x3}" in r.cleanMarkdown) == bool(size)
+        assert r.content == '<p>0<img src="http://h/i"></p>'
+        assert r.contentHash == hashlib.sha256(b'<p>0<img src="http://h/i"></p>').hexdigest()

@@ -159,7 +159,12 @@ RULES = (
 
 def clean_html(raw: Column, base: Column) -> Column:
     """Sanitised HTML of a page or fragment; null for null, blank or emptied input, and for input that can't be handled."""
-    out = marks.to_html(reduce(lambda s, rule: rule(s), RULES, marks.numbered_body_udf(raw, base)))
+    return clean_numbered(marks.numbered_body_udf(raw, base))
+
+
+def clean_numbered(body: Column) -> Column:
+    """The same of a page's numbered body."""
+    out = marks.to_html(reduce(lambda s, rule: rule(s), RULES, body))
     return let(drop(out, f"^[{BLANK}]+|[{BLANK}]+$"), lambda html: F.when(html != "", html))
 
 

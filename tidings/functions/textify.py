@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidings.functions import marks
-from tidings.functions.clean import clean_html, normalize_content_urls
+from tidings.functions.clean import clean_numbered, normalize_content_urls
 from tidings.functions.markdown import html_to_markdown
 
 LIMIT = 5 * 1024 * 1024  # bytes of clean HTML
@@ -25,12 +25,16 @@ def _numbered(html: Column) -> Column:
 
 def text_from_html(html: Column) -> Column:
     """Text with a newline after each block and break, a space after each cell and for breaks inside cells; '' for null."""
-    return F.coalesce(squeeze_expr(marks.text_of(_numbered(html))), F.lit(""))
+    return text_from_numbered(_numbered(html))
 
 
-def inject_dimensions(html: Column, sizes: Column) -> Column:
-    """Width and height for images that have neither and whose size is known. `sizes`: an array of (url, w, h)."""
-    changed = marks.as_written(marks.with_sizes(_numbered(html), sizes))
+def text_from_numbered(markup: Column) -> Column:
+    return F.coalesce(squeeze_expr(marks.text_of(markup)), F.lit(""))
+
+
+def inject_dimensions(html: Column, sizes: Column, markup: Column | None = None) -> Column:
+    """Width and height for images that have neither and whose size is known. `sizes`: an array of (url, w, h); `markup`: the HTML numbered, if at hand."""
+    changed = marks.as_written(marks.with_sizes(_numbered(html) if markup is None else markup, sizes))
     return F.when((html != "") & (F.coalesce(F.size(sizes), F.lit(0)) > 0), F.coalesce(changed, html)).otherwise(html)
 
 
@@ -48,12 +52,21 @@ def set_apart(rows: DataFrame, name: str, value: Column) -> DataFrame:
     return rows.withColumn(name, F.explode(F.array(value)))
 
 
-def with_representations(rows: DataFrame, content: Column, base: Column, name: str = "_r") -> DataFrame:
-    """`rows` with a struct: raw content with absolute URLs, clean HTML, its text, Markdown and hash; all null for pages beyond the limit."""
-    made = set_apart(rows.withColumn("_raw", normalize_content_urls(content, base)), "_clean", clean_html(content, base))
-    text, md = F.when(F.col("_clean").isNotNull(), text_from_html(F.col("_clean"))), html_to_markdown_udf(F.col("_clean"))
-    fields = {"content": F.col("_raw"), "cleanHtml": F.col("_clean"), "contentText": text, "cleanMarkdown": md, "contentHash": content_hash_expr(F.col("_clean"))}
-    return made.withColumn(name, F.struct(*(F.when(within_limit(F.col("_clean")), x).alias(n) for n, x in fields.items()))).drop("_raw", "_clean")
+def with_representations(rows: DataFrame, content: Column, base: Column, name: str = "_r", sizes: Column | None = None) -> DataFrame:
+    """`rows` with a struct: raw content with absolute URLs, clean HTML, its text, Markdown and hash; all null for pages beyond the limit.
+
+    `sizes` of images are filled in in HTML and Markdown; the hash is that of the clean HTML before. Each step of Python that
+    waits for another takes a worker a core, so there are no more than needed: the page, the clean page, Markdown of the sized one.
+    """
+    made = rows.withColumns({"_raw": normalize_content_urls(content, base), "_body": marks.numbered_body_udf(content, base)})
+    made = set_apart(made, "_clean", clean_numbered(F.col("_body"))).withColumn("_marks", _numbered(F.col("_clean")))
+    clean = shown = F.col("_clean")
+    if sizes is not None:
+        made = set_apart(made, "_shown", inject_dimensions(F.when(within_limit(clean), clean), sizes, F.col("_marks")))
+        shown = F.col("_shown")
+    text, md = F.when(clean.isNotNull(), text_from_numbered(F.col("_marks"))), html_to_markdown_udf(shown)
+    fields = {"content": F.col("_raw"), "cleanHtml": shown, "contentText": text, "cleanMarkdown": md, "contentHash": content_hash_expr(clean)}
+    return made.withColumn(name, F.struct(*(F.when(within_limit(clean), x).alias(n) for n, x in fields.items()))).drop("_raw", "_body", "_clean", "_marks", "_shown")
 
 
 # Built-in forms

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidings.functions.textify import html_to_markdown_udf, inject_dimensions, set_apart, with_representations
+from tidings.functions.textify import with_representations
 from tidings.functions.urls import source_url_expr
 from tidings.session import small
 
@@ -27,18 +27,12 @@ def build_notices(joined: DataFrame, sources: DataFrame) -> DataFrame:
     d = F.col("detail")
     base = with_source(joined, sources).withColumn(
         "sourceUrl", source_url_expr(F.coalesce("_base", F.lit("")), F.coalesce("detailPath", F.lit(""))))
-    made = with_representations(base, F.when(d["content"] != "", d["content"]), F.col("_base"))
+    made = with_representations(base, F.when(d["content"] != "", d["content"]), F.col("_base"), sizes=F.col("imageSizes") if "imageSizes" in joined.columns else None)
     r = F.col("_r")
     text = F.when(r["cleanHtml"].isNotNull(), r["contentText"]).otherwise(F.nullif(d["contentText"], F.lit("")))
-    clean, md = r["cleanHtml"], r["cleanMarkdown"]
-    if "imageSizes" in joined.columns:
-        sized = F.size(F.coalesce("imageSizes", F.array().cast("array<struct<url:string,w:int,h:int>>"))) > 0
-        made = set_apart(made, "_sized", F.when(sized & clean.isNotNull(), inject_dimensions(clean, F.col("imageSizes"))))
-        clean = F.coalesce("_sized", clean)
-        md = F.when(F.col("_sized").isNotNull(), html_to_markdown_udf(F.col("_sized"))).otherwise(md)
     return made.select(
         "articleNo", "sourceId", F.coalesce(F.when(d["title"] != "", d["title"]), F.col("title")).alias("title"), "category", "author",
         F.coalesce("_name", F.lit("")).alias("department"), "date", F.coalesce("views", F.lit(0)).alias("views"), r["content"].alias("content"),
-        text.alias("contentText"), clean.alias("cleanHtml"), md.alias("cleanMarkdown"),
+        text.alias("contentText"), r["cleanHtml"].alias("cleanHtml"), r["cleanMarkdown"].alias("cleanMarkdown"),
         F.coalesce(d["attachments"], F.array().cast("array<struct<name:string,url:string,referer:string>>")).alias("attachments"),
         "sourceUrl", "detailPath", "crawledAt", F.lit(None).cast("string").alias("lastModified"), r["contentHash"].alias("contentHash"))
